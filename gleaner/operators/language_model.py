@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 from gleaner.functions.scores import perplexity
 from gleaner.functions.template import CHATML, ChatTemplate, context_messages, response_message
 from gleaner.functions.tokens import tokens, within_budget
-from gleaner.operators.lookup import count_lookup
+from gleaner.operators.lookup import BROADCAST_ROWS, count_lookup
 from gleaner.stage import staged
 
 START = ""
 MIX = 0.5
+# Longer words are counted under their md5, so that a row of counts has a bounded size.
+LONG_WORD = 64
 
 
 def pairs_of(token_array: Column) -> Column:
@@ -29,8 +31,12 @@ def pairs_of(token_array: Column) -> Column:
 
     The outer one-element transform binds the tokens, so the text is split once.
     """
+    names = F.transform(
+        token_array,
+        lambda w: F.when(F.length(w) > LONG_WORD, F.concat(F.lit("#"), F.md5(w))).otherwise(w),
+    )
     return F.transform(
-        F.array(token_array),
+        F.array(names),
         lambda found: F.transform(
             found,
             lambda word, i: F.struct(
@@ -88,21 +94,41 @@ def mean_nll(
 ) -> DataFrame:
     """``id_col`` and ``mean_nll`` of each response that has tokens.
 
-    ``all_seen`` states that the responses are part of the model's corpus, which saves the
-    lookup of pairs the model does not know.
+    ``all_seen`` states that the responses are part of the model's corpus, so that every pair is
+    known and no pair is more frequent in the responses than the model's counts say.
     """
     parts = _explode_pairs(responses, token_array, id_col)
-    known = model.pairs.select("prev", "word", F.col("n").alias("pair_n"), "nll")
-    scored = count_lookup(parts, known, ["prev", "word"], "pair_n", model.pair_rows, model.total)
-    if not all_seen:
-        word_n = model.words.withColumnRenamed("n", "word_n")
-        scored = count_lookup(scored, word_n, ["word"], "word_n", model.vocabulary, model.total)
-        floor = math.log(max(model.total + model.vocabulary, 1)) - math.log(1.0 - model.mix)
-        unseen = F.lit(floor) - F.log(F.coalesce(F.col("word_n"), F.lit(0)) + 1)
-        scored = scored.withColumn("nll", F.coalesce("nll", unseen))
+    if all_seen:
+        losses = model.pairs.select("prev", "word", F.col("n").alias("pair_n"), "nll")
+        rows, total = model.pair_rows, model.total
+        if rows > BROADCAST_ROWS:
+            losses = staged(losses, "losses")
+    else:
+        losses, rows, total = _losses_of(parts, model)
+    scored = count_lookup(parts, losses, ["prev", "word"], "pair_n", rows, total)
     return scored.groupBy(id_col).agg(F.avg("nll").alias("mean_nll"))
 
 
+def _losses_of(parts: DataFrame, model: BigramModel) -> tuple[DataFrame, int, int]:
+    """The loss of every pair that occurs in ``parts``, with the count it has there.
+
+    Counting the pairs first makes the joins to the model run over distinct keys, whatever word the
+    texts repeat that the model has never seen.
+    """
+    counts = staged(parts.groupBy("prev", "word").agg(F.count(F.lit(1)).alias("pair_n")), "pairs")
+    model_words = model.words.withColumnRenamed("n", "word_n")
+    own_words = counts.groupBy("word").agg(F.sum("pair_n").alias("own_n"))
+    words = staged(own_words.join(model_words, "word", "left"), "words")
+    total, vocabulary = words.agg(F.coalesce(F.sum("own_n"), F.lit(0)), F.count(F.lit(1))).first()
+    known = counts.join(model.pairs.select("prev", "word", "nll"), ["prev", "word"], "left")
+    joined = count_lookup(known, words, ["word"], "own_n", vocabulary, total)
+    floor = math.log(max(model.total + model.vocabulary, 1)) - math.log(1.0 - model.mix)
+    unseen = F.lit(floor) - F.log(F.coalesce(F.col("word_n"), F.lit(0)) + 1)
+    losses = joined.select("prev", "word", "pair_n", F.coalesce("nll", unseen).alias("nll"))
+    held = staged(losses, "losses")
+    return held, held.count(), total
+
+
 def response_tokens(
     messages: Column, template: ChatTemplate = CHATML, token_budget: int | None = None
 ) -> Column:

@@ -18,7 +18,7 @@ from gleaner.operators.language_model import learning_values, normalised
 from gleaner.operators.neighbors import kept_ids
 from gleaner.operators.quality import judge_conversations, passes_quality
 from gleaner.operators.report import build_report, score_stats
-from gleaner.operators.select import combine_scores, random_sample, top_k
+from gleaner.operators.select import SMALL_K, combine_scores, random_sample, top_k
 from gleaner.sources.normalize import assemble_bounded
 from gleaner.sources.readers import read_dataset, read_jsonl
 from gleaner.sources.writers import write_jsonl, write_report
@@ -29,7 +29,7 @@ SCORERS = ("hash_random", "ngram_perplexity", "column", "udf")
 
 @dataclass(frozen=True)
 class CurationResult:
-    """``selected`` has the source columns, the scores and ``rank``; ``scored`` all candidates."""
+    """``selected``: the chosen rows with scores and ``rank``. ``scored``: id and scores of all candidates."""
 
     selected: DataFrame
     scored: DataFrame
@@ -138,20 +138,22 @@ def _finish(
     if not run.skip_deduplication and filtered_size > 0:
         ids = staged(deduplicate(filtered, config, run), "kept")
         kept = filtered.join(ids, run.id_col, "left_semi")
-    scored = staged(
-        combine_scores(
-            with_learning_value(kept, run),
-            config.scoring_weights,
-            quality=run.quality_col,
-            diversity=run.diversity_col,
-        ),
-        "scored",
+    # From here on only ids and numbers move; the selected rows are fetched at the end.
+    extra = [c for c in (run.quality_col, run.diversity_col) if c is not None]
+    values = combine_scores(
+        learning_value(kept, run, extra),
+        config.scoring_weights,
+        quality=run.quality_col,
+        diversity=run.diversity_col,
     )
+    scored = staged(values.select(run.id_col, "learning_value", "final_score"), "scored")
     kept_size = scored.count()
     if kept_size == 0:
         warnings.warn("no rows are left after filtering and deduplication", stacklevel=3)
     selected_size = min(k, kept_size)
-    selected = top_k(scored, k, id_col=run.id_col, available=kept_size or None)
+    best = top_k(scored, k, id_col=run.id_col, available=kept_size or None)
+    source = filtered.drop("learning_value", "final_score", "rank")
+    selected = source.join(F.broadcast(best) if k <= SMALL_K else best, run.id_col)
     validation = None
     if run.validate and kept_size:
         sides = compare_texts(baseline(selected_size), message_texts(selected))
@@ -183,21 +185,25 @@ def deduplicate(df: DataFrame, config: CurationConfig, run: RunOptions) -> DataF
     return kept_ids(vectors, run.id_col, "vector", settings.similarity_threshold)
 
 
-def with_learning_value(df: DataFrame, run: RunOptions) -> DataFrame:
-    """Add ``learning_value`` by the chosen scorer."""
+def learning_value(df: DataFrame, run: RunOptions, extra: list[str]) -> DataFrame:
+    """The id, the ``extra`` columns and ``learning_value`` by the chosen scorer."""
+    keep = [run.id_col, *dict.fromkeys(extra)]
     if run.scorer == "hash_random":
-        return df.withColumn("learning_value", random_score(F.col(run.id_col), run.seed))
+        return df.select(*keep, random_score(F.col(run.id_col), run.seed).alias("learning_value"))
     if run.scorer == "column":
         if run.score_col is None:
             raise ValueError("scorer 'column' needs score_col")
-        return df.withColumn("learning_value", F.col(run.score_col).cast("double"))
+        return df.select(*keep, F.col(run.score_col).cast("double").alias("learning_value"))
+    # These scorers read the texts more than once.
+    held = staged(df.select(*keep, "messages"), "unique")
     if run.scorer == "ngram_perplexity":
         values = learning_values(
-            df, run.id_col, template=run.template, token_budget=run.token_budget
+            held, run.id_col, template=run.template, token_budget=run.token_budget
         )
     else:
-        values = _user_values(df, run)
-    return df.join(values.select(run.id_col, "learning_value"), run.id_col)
+        values = _user_values(held, run)
+    scores = values.select(run.id_col, "learning_value")
+    return held.select(*keep).join(scores, run.id_col) if extra else scores
 
 
 def _user_values(df: DataFrame, run: RunOptions) -> DataFrame:

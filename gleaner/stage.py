@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: tempfile.TemporaryDirectory | None = None
+_written: list[str] = []
 
 
 def stage_folder(spark: SparkSession) -> str:
@@ -24,7 +25,18 @@ def stage_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{stage_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{stage_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the copies this process wrote. Frames built on them can no longer be read."""
+    count = 0
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        count += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return count
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
