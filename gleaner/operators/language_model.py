@@ -21,30 +21,22 @@ from gleaner.operators.lookup import BROADCAST_ROWS, count_lookup
 from gleaner.stage import staged
 
 START = ""
+PAIR = ["prev", "word"]
 MIX = 0.5
 # Longer words are counted under their md5, so that a row of counts has a bounded size.
-LONG_WORD = 64
+LONG_WORD = 32
 
 
 def pairs_of(token_array: Column) -> Column:
-    """``(prev, word)`` for every token; the first follows the start mark.
+    """``(prev, word)`` for every token, and a last entry without a word.
 
     The outer one-element transform binds the tokens, so the text is split once.
     """
-    names = F.transform(
-        token_array,
-        lambda w: F.when(F.length(w) > LONG_WORD, F.concat(F.lit("#"), F.md5(w))).otherwise(w),
-    )
-    return F.transform(
-        F.array(names),
-        lambda found: F.transform(
-            found,
-            lambda word, i: F.struct(
-                F.when(i == 0, F.lit(START)).otherwise(F.get(found, i - 1)).alias("prev"),
-                word.alias("word"),
-            ),
-        ),
+    start = F.array(F.lit(START))
+    shifted = F.transform(
+        F.array(token_array), lambda found: F.arrays_zip(F.concat(start, found), found)
     )[0]
+    return shifted.cast("array<struct<prev:string,word:string>>")
 
 
 @dataclass(frozen=True)
@@ -65,13 +57,19 @@ class BigramModel:
 
 
 def _explode_pairs(df: DataFrame, token_array: Column, *keep: str) -> DataFrame:
-    return df.select(*keep, F.inline(pairs_of(token_array)))
+    def short(name: str) -> Column:
+        w = F.col(name)
+        hashed = F.concat(F.lit("#"), F.md5(w))
+        return F.when(F.length(w) > LONG_WORD, hashed).otherwise(w).alias(name)
+
+    rows = df.select(*keep, F.inline(pairs_of(token_array))).filter(F.col("word").isNotNull())
+    return rows.select(*keep, short("prev"), short("word"))
 
 
 def fit(corpus: DataFrame, text: str, mix: float = MIX) -> BigramModel:
     """Fit on every text of ``corpus``; one pass over it, combined map-side."""
     seen = _explode_pairs(corpus.select(text), tokens(F.col(text)))
-    counts = staged(seen.groupBy("prev", "word").agg(F.count(F.lit(1)).alias("n")), "pairs")
+    counts = staged(seen.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n")), "pairs")
     words = staged(counts.groupBy("word").agg(F.sum("n").alias("n")), "words")
     starts = counts.groupBy("prev").agg(F.sum("n").alias("prev_n"))
     total, vocabulary = words.agg(
@@ -98,33 +96,44 @@ def mean_nll(
     known and no pair is more frequent in the responses than the model's counts say.
     """
     parts = _explode_pairs(responses, token_array, id_col)
-    if all_seen:
-        losses = model.pairs.select("prev", "word", F.col("n").alias("pair_n"), "nll")
-        rows, total = model.pair_rows, model.total
-        if rows > BROADCAST_ROWS:
-            losses = staged(losses, "losses")
+    known = model.pairs.select("prev", "word", F.col("n").alias("pair_n"), "nll")
+    if model.pair_rows <= BROADCAST_ROWS:
+        # A small model is broadcast whole, words and pairs.
+        scored = count_lookup(parts, known, PAIR, "pair_n", model.pair_rows, model.total)
+        if not all_seen:
+            words = model.words.withColumnRenamed("n", "word_n")
+            scored = count_lookup(scored, words, ["word"], "word_n", model.vocabulary, model.total)
+            scored = scored.withColumn("nll", F.coalesce("nll", _unseen_loss(model)))
+    elif all_seen:
+        losses = staged(known, "losses")
+        scored = count_lookup(parts, losses, PAIR, "pair_n", model.pair_rows, model.total)
     else:
         losses, rows, total = _losses_of(parts, model)
-    scored = count_lookup(parts, losses, ["prev", "word"], "pair_n", rows, total)
+        scored = count_lookup(parts, losses, PAIR, "pair_n", rows, total)
     return scored.groupBy(id_col).agg(F.avg("nll").alias("mean_nll"))
 
 
+def _unseen_loss(model: BigramModel) -> Column:
+    """Loss of a pair the model does not have, from ``word_n``, null for a new word."""
+    floor = math.log(max(model.total + model.vocabulary, 1)) - math.log(1.0 - model.mix)
+    return F.lit(floor) - F.log(F.coalesce(F.col("word_n"), F.lit(0)) + 1)
+
+
 def _losses_of(parts: DataFrame, model: BigramModel) -> tuple[DataFrame, int, int]:
     """The loss of every pair that occurs in ``parts``, with the count it has there.
 
     Counting the pairs first makes the joins to the model run over distinct keys, whatever word the
     texts repeat that the model has never seen.
     """
-    counts = staged(parts.groupBy("prev", "word").agg(F.count(F.lit(1)).alias("pair_n")), "pairs")
+    counts = staged(parts.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("pair_n")), "pairs")
     model_words = model.words.withColumnRenamed("n", "word_n")
     own_words = counts.groupBy("word").agg(F.sum("pair_n").alias("own_n"))
     words = staged(own_words.join(model_words, "word", "left"), "words")
     total, vocabulary = words.agg(F.coalesce(F.sum("own_n"), F.lit(0)), F.count(F.lit(1))).first()
-    known = counts.join(model.pairs.select("prev", "word", "nll"), ["prev", "word"], "left")
+    known = counts.join(model.pairs.select("prev", "word", "nll"), PAIR, "left")
     joined = count_lookup(known, words, ["word"], "own_n", vocabulary, total)
-    floor = math.log(max(model.total + model.vocabulary, 1)) - math.log(1.0 - model.mix)
-    unseen = F.lit(floor) - F.log(F.coalesce(F.col("word_n"), F.lit(0)) + 1)
-    losses = joined.select("prev", "word", "pair_n", F.coalesce("nll", unseen).alias("nll"))
+    loss = F.coalesce("nll", _unseen_loss(model)).alias("nll")
+    losses = joined.select("prev", "word", "pair_n", loss)
     held = staged(losses, "losses")
     return held, held.count(), total
 

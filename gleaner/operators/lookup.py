@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 20000
+# Keys are words of bounded length, so this many rows stay below some 60 MB.
+BROADCAST_ROWS = 200_000
 
 
 def count_lookup(

@@ -7,11 +7,13 @@ Plan, for vectors of any number:
 
 1. Copies of a vector are reduced map-side to their two smallest ids. Every later copy is always
    taken out, because the first one is at similarity 1 and has a smaller id.
-2. Sampled vectors serve as pivots, each distinct vector belongs to its nearest pivot's cell, and
-   a cell is cut by hash into blocks of limited size. No group of the join exceeds two blocks.
+2. Sampled vectors serve as pivots, and each distinct vector belongs to its nearest pivot's cell.
+   Neighbouring cells share a block, a large cell is cut by hash into several, so blocks have a
+   limited size and no group of the join exceeds two of them.
 3. A vector is sent to the pair (own block, other block) only where the geometry allows a
-   partner: it must lie within the threshold angle of the plane that separates the two cells, and of the
-   ball around the other cell. Both bounds are exact, so nothing is lost.
+   partner in some cell of the other block: it must lie within the threshold angle of the plane that
+   separates the two cells, and of the ball around the other cell. Both bounds are exact, so
+   nothing is lost.
 4. Each pair of blocks is a matrix product that gives every row its best partner in the other
    block, never all pairs. A map-side-combined ``min_by`` picks the best over all blocks.
 """
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +36,14 @@ from gleaner.stage import staged
 DIGITS = 9
 MAX_BLOCK_ROWS = 8192
 MIN_BLOCK_ROWS = 512
+# With fewer blocks than this, comparing all of them costs less than placing the vectors in cells.
+MIN_CELLS = 16
+CELLS_PER_BLOCK = 16
 # Pivots go to every task, so their total size is limited; with fewer pivots a cell has more blocks.
 PIVOT_BYTES = 64 * 1024 * 1024
 # Rows handed back to Spark at a time, and entries of one similarity tile.
 SPREAD_ROWS = 4096
-TILE_ENTRIES = 4_000_000
+TILE_ENTRIES = 2_000_000
 
 MATCH = T.StructType(
     [
@@ -120,6 +126,7 @@ def nearest_matches(
     vector_col: str,
     threshold: float,
     block_rows: int | None = None,
+    min_cells: int = MIN_CELLS,
 ) -> tuple[DataFrame, DataFrame]:
     """The distinct vectors, and each one's nearest partner at or above the threshold.
 
@@ -142,18 +149,20 @@ def nearest_matches(
 
     rows = block_rows or _block_rows(n, spark.sparkContext.defaultParallelism)
     vectors = reps.filter("packed IS NOT NULL").select("id", "packed")
-    pivots = _pivots(vectors, math.ceil(n / rows), codec)
-    if len(pivots) == 1:
+    blocks = math.ceil(n / rows)
+    if blocks < min_cells:
         placed = vectors.select("*", F.lit(0).alias("cell"))
-        sizes, radii = np.array([n]), np.array([math.pi])
+        pivots, sizes, radii = None, np.array([n]), np.array([math.pi])
     else:
+        pivots = _pivots(vectors, blocks, min(n, blocks * CELLS_PER_BLOCK), longest, codec)
         placed = staged(_place(vectors, pivots, codec), "placed")
         sizes, radii = np.zeros(len(pivots), dtype=np.int64), np.zeros(len(pivots))
         cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("r"))
         for cell in cells.collect():
             sizes[cell["cell"]], radii[cell["cell"]] = cell["n"], cell["r"]
 
-    spread = _spread(placed, pivots, sizes, radii, rows, threshold, codec)
+    layout = _Layout.of(sizes, rows)
+    spread = _spread(placed, pivots, radii, layout, threshold, codec)
     pairs = spread.groupBy("left", "right").applyInArrow(_block_match(threshold, codec), MATCH)
     order = F.struct(-F.col("similarity"), F.col("match_id"))
     best = (
@@ -171,9 +180,10 @@ def kept_ids(
     vector_col: str,
     threshold: float,
     block_rows: int | None = None,
+    min_cells: int = MIN_CELLS,
 ) -> DataFrame:
     """Ids that survive, one column named like ``id_col``. Rows without a direction all do."""
-    reps, best = nearest_matches(df, id_col, vector_col, threshold, block_rows)
+    reps, best = nearest_matches(df, id_col, vector_col, threshold, block_rows, min_cells)
     removed = best.select(F.greatest("id", "match_id").alias("id")).distinct()
     kept = reps.select("id").join(removed, "id", "left_anti")
     return kept.withColumnRenamed("id", id_col)
@@ -196,14 +206,61 @@ def _block_rows(n: int, parallelism: int) -> int:
     return min(MAX_BLOCK_ROWS, max(MIN_BLOCK_ROWS, math.ceil(n / wanted)))
 
 
-def _pivots(vectors: DataFrame, wanted: int, codec: np.dtype) -> np.ndarray:
-    """A sample of the vectors, at most ``PIVOT_BYTES`` of them, as unit rows."""
-    width = vectors.select(F.length("packed")).first()[0]
+def _pivots(vectors: DataFrame, groups: int, wanted: int, width: int, codec: np.dtype) -> np.ndarray:
+    """A sample of the vectors as unit rows, at most ``PIVOT_BYTES`` of them, neighbours together."""
     count = max(1, min(wanted, PIVOT_BYTES // width))
-    if count == 1:
-        return np.ones((1, width // codec.itemsize))
     chosen = vectors.orderBy(F.xxhash64("id"), "id").limit(count).select("packed").collect()
-    return _unpack([row["packed"] for row in chosen], codec)
+    pivots = _unpack([row["packed"] for row in chosen], codec)
+    nearest = (pivots @ pivots[:groups].T).argmax(axis=1)
+    return pivots[np.argsort(nearest, kind="stable")]
+
+
+@dataclass(frozen=True)
+class _Layout:
+    """How cells map to blocks of limited size.
+
+    Block ``b`` covers the cells from ``first_cell[b]`` up to ``end_cell[b]``. A cell's rows go to
+    ``count`` blocks from ``first_block`` on, chosen by hash where there are several.
+    """
+
+    first_cell: np.ndarray
+    end_cell: np.ndarray
+    first_block: np.ndarray
+    count: np.ndarray
+
+    @classmethod
+    def of(cls, sizes: np.ndarray, block_rows: int) -> _Layout:
+        spans: list[list[int]] = []
+        first_block, count = [], []
+        room = 0
+        for cell, size in enumerate(sizes.tolist()):
+            if size > block_rows:
+                first_block.append(len(spans))
+                count.append(math.ceil(size / block_rows))
+                spans.extend([cell, cell + 1] for _ in range(count[-1]))
+                room = 0
+                continue
+            if size > room:
+                spans.append([cell, cell])
+                room = block_rows
+            elif not spans or spans[-1][1] != cell:
+                spans.append([cell, cell])
+                room = block_rows
+            spans[-1][1] = cell + 1
+            room -= size
+            first_block.append(len(spans) - 1)
+            count.append(1)
+        first_cell, end_cell = np.array(spans, dtype=np.int64).T
+        return cls(first_cell, end_cell, np.array(first_block), np.array(count))
+
+    def block_of(self, cells: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        return self.first_block[cells] + _mix(ids) % self.count[cells]
+
+    def blocks_with(self, cell_mask: np.ndarray) -> np.ndarray:
+        """Rows by blocks: is any cell of the block marked?"""
+        marked = np.zeros((len(cell_mask), cell_mask.shape[1] + 1), dtype=np.int32)
+        np.cumsum(cell_mask, axis=1, out=marked[:, 1:])
+        return marked[:, self.end_cell] > marked[:, self.first_cell]
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
@@ -241,50 +298,48 @@ def _place(vectors: DataFrame, pivots: np.ndarray, codec: np.dtype) -> DataFrame
 
 def _spread(
     placed: DataFrame,
-    pivots: np.ndarray,
-    sizes: np.ndarray,
+    pivots: np.ndarray | None,
     radii: np.ndarray,
-    block_rows: int,
+    layout: _Layout,
     threshold: float,
     codec: np.dtype,
 ) -> DataFrame:
     """Send each vector to every pair of blocks in which it may have a partner."""
-    blocks = np.ceil(sizes / block_rows).astype(np.int64)
-    starts = np.concatenate([[0], np.cumsum(blocks)])
     # The angle bounds get a margin that covers rounding of the similarity and of this arithmetic.
     slack = 1e-6
-    reach = math.acos(max(threshold - 10.0**-DIGITS, -1.0)) + slack
-    shared = placed.sparkSession.sparkContext.broadcast((pivots, blocks, starts, radii))
+    reach = math.acos(threshold - 10.0**-DIGITS) + slack
+    # Plain arrays only: what is broadcast is unpickled without this package.
+    arrays = (layout.first_cell, layout.end_cell, layout.first_block, layout.count)
+    shared = placed.sparkSession.sparkContext.broadcast((pivots, radii, arrays))
 
-    def candidates(unit: np.ndarray, home: np.ndarray) -> np.ndarray:
+    def reachable(unit: np.ndarray, home: np.ndarray) -> np.ndarray:
         """For every row and cell: may the cell hold a partner of the row?"""
-        centres, _, _, radius = shared.value
+        centres, radius, _ = shared.value
         dots = unit @ centres.T
         own = np.take_along_axis(dots, home[:, None], axis=1)
         kinds, where = np.unique(home, return_inverse=True)
         apart = np.sqrt(np.maximum(2.0 - 2.0 * (centres[kinds] @ centres.T), 0.0))[where]
         near_plane = own - dots <= math.sin(min(reach, math.pi / 2)) * apart + slack
-        near_ball = np.arccos(np.clip(dots, -1.0, 1.0)) <= radius[None, :] + reach + slack
+        near_ball = dots >= np.cos(np.minimum(radius + reach + slack, math.pi)) - slack
         mask = near_plane & near_ball
         mask[np.arange(len(home)), home] = True
         return mask
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres, count, start, _ = shared.value
+        centres, radius, parts = shared.value
+        plan = _Layout(*parts)
+        step = max(1, TILE_ENTRIES // max(len(radius), len(plan.first_cell)))
         for batch in batches:
-            n = batch.num_rows
-            step = max(1, TILE_ENTRIES // max(len(centres), int(start[-1]), 1))
-            for at in range(0, n, step):
+            for at in range(0, batch.num_rows, step):
                 tile = batch.slice(at, step)
                 ids = tile.column("id").to_numpy()
                 home = tile.column("cell").to_numpy()
-                own = start[home] + _mix(ids) % count[home]
-                if len(centres) > 1:
-                    mask = candidates(_unpack(tile.column("packed").to_pylist(), codec), home)
-                else:
+                own = plan.block_of(home, ids)
+                if centres is None:
                     mask = np.ones((len(ids), 1), dtype=bool)
-                # One entry per row and block of each cell the row may have a partner in.
-                row, other = np.nonzero(np.repeat(mask, count, axis=1))
+                else:
+                    mask = reachable(_unpack(tile.column("packed").to_pylist(), codec), home)
+                row, other = np.nonzero(plan.blocks_with(mask))
                 left = np.minimum(own[row], other).astype(np.int32)
                 right = np.maximum(own[row], other).astype(np.int32)
                 for part in range(0, len(row), SPREAD_ROWS):
@@ -313,62 +368,55 @@ def _mix(ids: np.ndarray) -> np.ndarray:
 def _block_match(threshold: float, codec: np.dtype):
     limit = round(threshold, DIGITS)
 
-    def best_of(queries: np.ndarray, query_ids, others: np.ndarray, other_ids, same: bool):
-        """Best partner of each query row, ties to the smallest id (``other_ids`` ascend)."""
-        found, match, score = [], [], []
-        step = max(1, TILE_ENTRIES // len(others))
-        # A single-precision product finds the rows worth an exact one.
-        coarse_others = others.astype(np.float32)
-        coarse_limit = limit - (queries.shape[1] * 2.0**-22 + 1e-6)
-        for at in range(0, len(queries), step):
-            coarse = queries[at : at + step].astype(np.float32) @ coarse_others.T
+    def promising(a: np.ndarray, b: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of ``a`` and of ``b`` that may reach the limit, by a single-precision product."""
+        floor = limit - (a.shape[1] * 2.0**-22 + 1e-6)
+        a, b = a.astype(np.float32), b.astype(np.float32).T
+        of_a, of_b = np.empty(len(a), np.float32), np.full(b.shape[1], -2.0, np.float32)
+        step = max(1, TILE_ENTRIES // b.shape[1])
+        for at in range(0, len(a), step):
+            tile = a[at : at + step] @ b
             if same:
-                span = np.arange(coarse.shape[0])
-                coarse[span, at + span] = -2.0
-            hits = np.nonzero(coarse.max(axis=1) >= coarse_limit)[0]
-            if not len(hits):
-                continue
-            exact = np.round(queries[at + hits] @ others.T, DIGITS)
+                span = np.arange(len(tile))
+                tile[span, at + span] = -2.0
+            of_a[at : at + step] = tile.max(axis=1)
+            np.maximum(of_b, tile.max(axis=0), out=of_b)
+        return np.nonzero(of_a >= floor)[0], np.nonzero(of_b >= floor)[0]
+
+    def best_of(rows, unit, ids, others, other_ids, same: bool) -> list[np.ndarray]:
+        """Best partner of each of ``rows``, ties to the smallest id (``other_ids`` ascend)."""
+        out: list[list[np.ndarray]] = [[], [], []]
+        step = max(1, TILE_ENTRIES // len(others))
+        for at in range(0, len(rows), step):
+            part = rows[at : at + step]
+            exact = np.round(unit[part] @ others.T, DIGITS)
+            span = np.arange(len(part))
             if same:
-                exact[np.arange(len(hits)), at + hits] = -2.0
+                exact[span, part] = -2.0
             column = exact.argmax(axis=1)
-            value = exact[np.arange(len(hits)), column]
+            value = exact[span, column]
             good = value >= limit
-            found.append(query_ids[at + hits[good]])
-            match.append(other_ids[column[good]])
-            score.append(value[good])
-        return found, match, score
+            for values, more in zip(out, (ids[part], other_ids[column], value)):
+                values.append(more[good])
+        return [np.concatenate(v) if v else np.empty(0) for v in out]
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by("id")
-        own = group.column("own").to_numpy()
         ids = group.column("id").to_numpy()
-        left = group.column("left")[0].as_py()
-        right = group.column("right")[0].as_py()
-        in_left = own == left
-        out: tuple[list, list, list] = ([], [], [])
-        if left == right:
-            if len(ids) > 1:
-                unit = _unpack(group.column("packed").to_pylist(), codec)
-                out = best_of(unit, ids, unit, ids, same=True)
-        elif in_left.any() and not in_left.all():
+        same = group.column("left")[0] == group.column("right")[0]
+        in_left = group.column("own").to_numpy() == group.column("left")[0].as_py()
+        in_right = in_left if same else ~in_left
+        found = []
+        if len(ids) > 1 and in_left.any() and in_right.any():
             unit = _unpack(group.column("packed").to_pylist(), codec)
-            a, b = unit[in_left], unit[~in_left]
-            ids_a, ids_b = ids[in_left], ids[~in_left]
-            for part, more in zip(
-                out,
-                (
-                    x + y
-                    for x, y in zip(
-                        best_of(a, ids_a, b, ids_b, same=False),
-                        best_of(b, ids_b, a, ids_a, same=False),
-                    )
-                ),
-            ):
-                part.extend(more)
+            a, b, ids_a, ids_b = unit[in_left], unit[in_right], ids[in_left], ids[in_right]
+            rows_a, rows_b = promising(a, b, same)
+            found.append(best_of(rows_a, a, ids_a, b, ids_b, same))
+            if not same:
+                found.append(best_of(rows_b, b, ids_b, a, ids_a, same))
         columns = [
-            pa.array(np.concatenate(part) if part else np.empty(0), kind)
-            for part, kind in zip(out, (pa.int64(), pa.int64(), pa.float64()))
+            pa.array(np.concatenate([f[i] for f in found]) if found else np.empty(0), kind)
+            for i, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))
         ]
         return pa.Table.from_arrays(columns, names=MATCH.names)
 

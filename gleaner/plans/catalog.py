@@ -64,25 +64,25 @@ def query(fn: Query) -> Query:
 
 
 def conversations(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/conversations.parquet")
+    return widened(spark.read.parquet(f"{folder}/conversations.parquet"))
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return widened(spark.read.parquet(f"{folder}/documents.parquet"), "doc_id")
+    return widened(spark.read.parquet(f"{folder}/documents.parquet"))
 
 
 def embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/embeddings.parquet")
 
 
-def widened(scan: DataFrame, key: str) -> DataFrame:
+def widened(scan: DataFrame) -> DataFrame:
     """Spread a table over all cores if its scan has fewer splits than that.
 
     A small file is a single row group, which one task would tokenize alone. Data worth a cluster
     has more splits than cores and is left as it is.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def exchanges(spark: SparkSession, folder: str) -> DataFrame:

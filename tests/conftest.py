@@ -9,6 +9,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
+    # Workers started elsewhere cannot import the package from the working folder.
+    os.chdir(tmp_path_factory.mktemp("elsewhere"))
     session = (
         SparkSession.builder.master("local[8]")
         .appName("gleaner-tests")

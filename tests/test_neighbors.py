@@ -69,7 +69,7 @@ def frame(spark, rows, kind="double"):
 def test_planted_rows(spark, name, block_rows):
     rows, threshold, removed = CASES[name]
     df = frame(spark, rows)
-    kept = {r[0] for r in kept_ids(df, "k", "e", threshold, block_rows).collect()}
+    kept = {r[0] for r in kept_ids(df, "k", "e", threshold, block_rows, 2).collect()}
     assert kept == set(rows) - removed
     if name not in ("tiny and huge",):
         assert brute_force(rows, threshold) == removed
@@ -92,14 +92,14 @@ def test_against_brute_force(spark, seed):
     want = set(rows) - brute_force(rows, threshold)
     for block_rows in (None, 7, 40):
         df = frame(spark, rows).repartition(5)
-        kept = {r[0] for r in kept_ids(df, "k", "e", threshold, block_rows).collect()}
+        kept = {r[0] for r in kept_ids(df, "k", "e", threshold, block_rows, 2).collect()}
         assert kept == want
 
 
 def test_block_size_does_not_matter_on_real_vectors(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     results = [
-        {tuple(r) for r in nearest_matches(df, "vec_id", "embedding", 0.4, b)[1].collect()}
+        {tuple(r) for r in nearest_matches(df, "vec_id", "embedding", 0.4, b, 2)[1].collect()}
         for b in (None, 30, 101)
     ]
     assert results[0] == results[1] == results[2] and results[0]
