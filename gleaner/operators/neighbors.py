@@ -34,15 +34,17 @@ from gleaner.stage import staged
 
 # Similarities are compared after rounding, so that equal vectors tie whatever order a product sums in.
 DIGITS = 9
-MAX_BLOCK_ROWS = 8192
+# A task holds two blocks. The larger they are, the fewer blocks each vector is sent to.
+MAX_BLOCK_BYTES = 32 * 1024 * 1024
 MIN_BLOCK_ROWS = 512
 # With fewer blocks than this, comparing all of them costs less than placing the vectors in cells.
 MIN_CELLS = 16
 CELLS_PER_BLOCK = 16
 # Pivots go to every task, so their total size is limited; with fewer pivots a cell has more blocks.
 PIVOT_BYTES = 64 * 1024 * 1024
-# Rows handed back to Spark at a time, and entries of one similarity tile.
+# Rows handed back to Spark at a time, and the size of one similarity tile.
 SPREAD_ROWS = 4096
+MIN_TILE_ROWS = 64
 TILE_ENTRIES = 2_000_000
 
 MATCH = T.StructType(
@@ -147,7 +149,7 @@ def nearest_matches(
     if shortest != longest:
         raise ValueError("vectors differ in length")
 
-    rows = block_rows or _block_rows(n, spark.sparkContext.defaultParallelism)
+    rows = block_rows or _block_rows(n, longest, spark.sparkContext.defaultParallelism)
     vectors = reps.filter("packed IS NOT NULL").select("id", "packed")
     blocks = math.ceil(n / rows)
     if blocks < min_cells:
@@ -200,15 +202,17 @@ def drop_near_duplicates(
     return df.join(kept_ids(df, id_col, vector_col, threshold, block_rows), id_col, "left_semi")
 
 
-def _block_rows(n: int, parallelism: int) -> int:
+def _block_rows(n: int, width: int, parallelism: int) -> int:
     """Blocks small enough to occupy every core, and no larger than a task should hold."""
     wanted = math.ceil(math.sqrt(4 * parallelism))
-    return min(MAX_BLOCK_ROWS, max(MIN_BLOCK_ROWS, math.ceil(n / wanted)))
+    largest = max(1, MAX_BLOCK_BYTES // width)
+    return min(largest, max(MIN_BLOCK_ROWS, math.ceil(n / wanted)))
 
 
 def _pivots(vectors: DataFrame, groups: int, wanted: int, width: int, codec: np.dtype) -> np.ndarray:
     """A sample of the vectors as unit rows, at most ``PIVOT_BYTES`` of them, neighbours together."""
-    count = max(1, min(wanted, PIVOT_BYTES // width))
+    in_double = width // codec.itemsize * 8
+    count = max(1, min(wanted, PIVOT_BYTES // in_double))
     chosen = vectors.orderBy(F.xxhash64("id"), "id").limit(count).select("packed").collect()
     pivots = _unpack([row["packed"] for row in chosen], codec)
     nearest = (pivots @ pivots[:groups].T).argmax(axis=1)
@@ -373,7 +377,7 @@ def _block_match(threshold: float, codec: np.dtype):
         floor = limit - (a.shape[1] * 2.0**-22 + 1e-6)
         a, b = a.astype(np.float32), b.astype(np.float32).T
         of_a, of_b = np.empty(len(a), np.float32), np.full(b.shape[1], -2.0, np.float32)
-        step = max(1, TILE_ENTRIES // b.shape[1])
+        step = max(MIN_TILE_ROWS, TILE_ENTRIES // b.shape[1])
         for at in range(0, len(a), step):
             tile = a[at : at + step] @ b
             if same:

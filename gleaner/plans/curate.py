@@ -24,6 +24,7 @@ from gleaner.sources.readers import read_dataset, read_jsonl
 from gleaner.sources.writers import write_jsonl, write_report
 from gleaner.stage import staged
 
+GIANTS = 100_000
 SCORERS = ("hash_random", "ngram_perplexity", "column", "udf")
 
 
@@ -111,11 +112,12 @@ def curate_turns(
             template=run.template,
             total_mode=run.total_mode,
             id_col=turn_id,
-        ).select(turn_id, "passes"),
+        ).select(turn_id, "n_messages", "passes"),
         "judged",
     )
     ids = judged.filter("passes").select(turn_id)
-    bounded = assemble_bounded(turns.join(ids, turn_id, "left_semi"), turn_id)
+    light = without_giants(turns, judged, turn_id)
+    bounded = assemble_bounded(light.join(ids, turn_id, "left_semi"), turn_id)
     filtered = staged(bounded.withColumnRenamed(turn_id, run.id_col), "filtered")
 
     def baseline(n: int) -> DataFrame:
@@ -125,6 +127,16 @@ def curate_turns(
     return _finish(baseline, judged.count(), filtered, config, k, run)
 
 
+def without_giants(turns: DataFrame, judged: DataFrame, turn_id: str) -> DataFrame:
+    """Drop rejected conversations with a large share of all turns before anything is shuffled.
+
+    Fewer than ``GIANTS`` conversations can exceed that share, so their ids are safe to broadcast.
+    """
+    total = judged.agg(F.coalesce(F.sum("n_messages"), F.lit(0))).first()[0]
+    giant = ~F.col("passes") & (F.col("n_messages") > F.lit(total / GIANTS))
+    return turns.join(F.broadcast(judged.filter(giant).select(turn_id)), turn_id, "left_anti")
+
+
 def _finish(
     baseline: Callable[[int], DataFrame],
     original_size: int,
@@ -231,16 +243,26 @@ class Curator:
         self,
         dataset_path: str,
         output_dir: str,
+        model: str | None = None,
         config: str | None = None,
         top_k: int = 10000,
         skip_deduplication: bool = False,
         validate: bool = False,
+        test_model: str | None = None,
         fmt: str | None = None,
         id_col: str | None = None,
         **options,
     ) -> CurationResult:
-        """Read, curate, and write ``optimized_dataset`` and ``report`` below ``output_dir``."""
+        """Read, curate, and write ``optimized_dataset`` and ``report`` below ``output_dir``.
+
+        ``model`` and ``test_model`` name no neural model here. As a switch, ``test_model`` selects
+        scoring by the bigram model unless a scorer is given, and ``validate`` needs it.
+        """
         settings = load_config(config or self.config)
+        if test_model is not None:
+            options.setdefault("scorer", "ngram_perplexity")
+        elif validate:
+            warnings.warn("validate is set without test_model; validation is skipped", stacklevel=2)
         if fmt is None and dataset_path.endswith(".jsonl"):
             df = read_jsonl(self.spark, dataset_path, id_col=id_col)
         else:
@@ -253,7 +275,7 @@ class Curator:
             top_k,
             id_col=id_col or "sample_id",
             skip_deduplication=skip_deduplication,
-            validate=validate,
+            validate=validate and test_model is not None,
             **options,
         )
         folder = output_dir.rstrip("/")

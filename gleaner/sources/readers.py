@@ -20,6 +20,7 @@ RECORD = T.StructType(
 )
 CORRUPT = "_corrupt_record"
 PROBE_RECORDS = 1000
+BROADCAST_SPLITS = 1_000_000
 
 
 def _record_schema(spark: SparkSession, path: str) -> T.StructType:
@@ -102,17 +103,23 @@ def with_positions(df: DataFrame, out: str = "sample_id") -> DataFrame:
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_seen"),
     )
-    held = staged(tagged, "positions")
-    splits = held.groupBy("_file", "_start").agg(
-        F.min("_seen").alias("_first"), F.count(F.lit(1)).alias("_rows")
-    )
-    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
+    held = staged(tagged, "positions").select(
+        *df.columns,
         "_file",
+        "_seen",
+        # A split is known by its scan task, its file and where it starts. Numbers keep the key small.
+        F.shiftright("_seen", 33).alias("_task"),
+        F.xxhash64("_file").alias("_path"),
         "_start",
-        "_first",
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"),
     )
-    placed = held.join(offsets, ["_file", "_start"])
-    position = F.col("_offset") + F.col("_seen") - F.col("_first")
-    return placed.select(position.alias(out), *df.columns)
+    key = ["_task", "_path", "_start"]
+    splits = held.groupBy(*key).agg(
+        F.min("_file").alias("_file"), F.min("_seen").alias("_first"), F.count(F.lit(1)).alias("_rows")
+    )
+    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")
+    offsets = staged(splits.select(*key, offset.alias("_shift")), "splits")
+    # Four numbers per split; only an extreme number of splits goes through a shuffle.
+    small = offsets.count() <= BROADCAST_SPLITS
+    placed = held.join(F.broadcast(offsets) if small else offsets, key)
+    return placed.select((F.col("_shift") + F.col("_seen")).alias(out), *df.columns)

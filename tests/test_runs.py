@@ -64,6 +64,42 @@ def test_sample_file_with_a_loose_config(spark, tmp_path):
     assert {r["sample_id"] for r in written} == {0, 1}
 
 
+def test_switches_of_the_path_run(spark, nested, tmp_path):
+    source = str(tmp_path / "in")
+    nested.select("sample_id", "messages").write.parquet(source)
+    curator = Curator(spark)
+    with pytest.warns(UserWarning, match="without test_model"):
+        curator.optimize(source, str(tmp_path / "a"), config="llama_3_2_instruct", top_k=3, validate=True,
+                         fmt="parquet", id_col="sample_id")
+    report = json.loads(spark.read.text(str(tmp_path / "a/report")).first()[0])
+    assert report["config_used"] == "llama_3_2_instruct" and "validation_results" not in report
+    result = curator.optimize(source, str(tmp_path / "b"), "any", "llama_3_2_instruct", 3, validate=True,
+                              test_model="bigram", fmt="parquet", id_col="sample_id")
+    report = json.loads(spark.read.text(str(tmp_path / "b/report")).first()[0])
+    assert set(report["validation_results"]) == {"baseline_loss", "optimized_loss", "loss_reduction_percentage"}
+    assert result.scored.agg(F.max("learning_value")).first()[0] == 1.0
+    with pytest.raises(ValueError, match="id column"):
+        curator.optimize(source, str(tmp_path / "c"), fmt="parquet")
+
+
+def test_a_giant_conversation_is_left_before_the_shuffle(spark, turns):
+    from gleaner.operators.quality import judge_conversations
+    from gleaner.plans.curate import without_giants
+
+    giant = spark.range(300).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("some words that repeat again and again in this turn").alias("text"),
+    )
+    both = turns.unionByName(giant)
+    judged = judge_conversations(both, RUN.quality_filters)
+    assert without_giants(both, judged, "conv_id").filter("conv_id = -1").count() == 0
+    with_giant, plain = curate_turns(both, RUN, 20), curate_turns(turns, RUN, 20)
+    assert picked(with_giant) == picked(plain)
+    assert with_giant.report.first()["original_size"] == plain.report.first()["original_size"] + 1
+
+
 def test_nested_and_flat_runs_agree(turns, nested):
     a = curate_turns(turns, RUN, 20, validate=True)
     b = curate(nested, RUN, 20, validate=True)
