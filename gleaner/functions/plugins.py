@@ -27,6 +27,22 @@ def token_counter(load: Callable[[], Callable[[str], Sequence]]) -> Callable[[Co
     return count
 
 
+def message_counter(load: Callable[[], Callable[[str], Sequence]]) -> Callable[[Column], Column]:
+    """The same for an array of texts, such as ``messages.content``: one count per entry."""
+
+    @F.pandas_udf("array<int>")
+    def count(lists: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = load()
+
+        def sizes(texts):
+            return None if texts is None else [0 if t is None else len(encode(t)) for t in texts]
+
+        for batch in lists:
+            yield batch.map(sizes)
+
+    return count
+
+
 def encoder(load: Callable[[], Callable[[list[str]], np.ndarray]]) -> Callable[[Column], Column]:
     """Turn texts to vectors: ``load()`` returns list of texts -> float matrix."""
 

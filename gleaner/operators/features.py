@@ -78,7 +78,7 @@ def hashed_vectors(
     if not idf:
         return counted
     weights = idf_weights(counted, dims)
-    table = F.array(*[F.lit(float(w)).cast("float") for w in weights])
+    table = F.array(*[F.lit(float(w)) for w in weights])
     return counted.select(id_col, F.zip_with("vector", table, lambda x, w: x * w).alias("vector"))
 
 

@@ -136,6 +136,8 @@ def nearest_matches(
     """
     if not 0.0 < threshold <= 1.0:
         raise ValueError("threshold must be in (0, 1]")
+    if not isinstance(df.schema[id_col].dataType, T.IntegralType):
+        raise ValueError("the similarity join needs whole-number ids")
     spark = df.sparkSession
     codec = _codec(df, vector_col)
     reps = staged(distinct_vectors(df, id_col, vector_col), "vectors")

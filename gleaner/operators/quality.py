@@ -167,10 +167,16 @@ def conversation_facts(
     role_col: str = "role",
     text_col: str = "text",
     counts: Column | None = None,
+    totals: Column | None = None,
+    opening: int | None = None,
 ) -> DataFrame:
-    """One row of facts per conversation of a flat turn table."""
+    """One row of facts per conversation of a flat turn table.
+
+    ``counts`` replaces the built-in tokenizer for the text of a turn, ``totals`` for the turn as
+    rendered by the template, ``opening`` for what the template puts before the first turn.
+    """
     _check_mode(total_mode)
-    if total_mode == "template" and not template.additive:
+    if total_mode == "template" and totals is None and not template.additive:
         raise ValueError(f"counts of template {template.name} do not add up over flat turns")
     role, text = F.col(role_col), F.col(text_col)
     n = F.coalesce(counts, F.lit(0)) if counts is not None else count_tokens(text)
@@ -179,12 +185,17 @@ def conversation_facts(
         F.col(turn_col).alias("_turn"),
         role.alias("_role"),
         (n + F.lit(special_tokens if total_mode == "sum" else 0)).alias("_n"),
+        *([] if totals is None else [totals.alias("_total")]),
         (count_tokens(role) if total_mode == "template" else F.lit(0)).alias("_role_n"),
         _refusal(role, text, filters).alias("_refused"),
         (role.isNotNull() & text.isNotNull()).alias("_complete"),
     )
     markup = template.message_markup_tokens if total_mode == "template" else 0
-    opening = template.opening_tokens if total_mode == "template" else 0
+    added = F.col("_n") + F.col("_role_n") + F.lit(markup) if totals is None else F.col("_total")
+    if total_mode == "sum":
+        opening = 0
+    elif opening is None:
+        opening = template.opening_tokens
     allowed = F.coalesce(F.col("_role").isin(*filters.must_have_roles), F.lit(False))
 
     def by_role(name: str) -> Column:
@@ -194,7 +205,7 @@ def conversation_facts(
         F.count(F.lit(1)).alias("n_messages"),
         F.min_by(F.coalesce(F.col("_role") == "user", F.lit(False)), "_turn").alias("starts_with_user"),
         F.bool_and(allowed).alias("roles_allowed"),
-        (F.sum(F.col("_n") + F.col("_role_n") + F.lit(markup)) + F.lit(opening)).alias("total_tokens"),
+        (F.sum(added) + F.lit(opening)).alias("total_tokens"),
         F.min("_n").alias("fewest_tokens"),
         F.max("_n").alias("most_tokens"),
         by_role("user").alias("user_tokens"),

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.config import CurationConfig, load_config
+from gleaner.functions.plugins import message_counter, token_counter
 from gleaner.functions.scores import perplexity, random_score
 from gleaner.functions.template import CHATML, ChatTemplate, response_message
 from gleaner.operators.compare import compare_texts, message_texts
@@ -44,6 +45,7 @@ class RunOptions:
     id_col: str = "sample_id"
     template: ChatTemplate = CHATML
     total_mode: str = "template"
+    tokenizer: Callable[[], Callable[[str], Sequence]] | None = None
     skip_deduplication: bool = False
     vector_col: str | None = None
     encoder: Callable[[Column], Column] | None = None
@@ -77,11 +79,21 @@ def curate(
     run = _options(options, changes)
     if k < 1:
         raise ValueError("k must be at least 1")
-    passed = df.filter(
-        passes_quality(
-            F.col("messages"), config.quality_filters, template=run.template, total_mode=run.total_mode
-        )
+    messages, own = F.col("messages"), {}
+    source = df
+    if run.tokenizer is not None:
+        counted = df.withColumn("_counts", message_counter(run.tokenizer)(F.col("messages.content")))
+        own["counts"] = F.col("_counts")
+        if run.total_mode == "template":
+            rendered = token_counter(run.tokenizer)(run.template.render(messages))
+            counted = counted.withColumn("_total", rendered)
+            own["total"] = F.col("_total")
+        # Written, so that the tokenizer runs once per row and not once per check.
+        source = staged(counted, "counted")
+    passes = passes_quality(
+        messages, config.quality_filters, template=run.template, total_mode=run.total_mode, **own
     )
+    passed = source.filter(passes).select(*df.columns)
 
     def baseline(n: int) -> DataFrame:
         return message_texts(random_sample(df, n, run.seed, run.id_col))
@@ -105,6 +117,13 @@ def curate_turns(
     run = _options(options, changes)
     if k < 1:
         raise ValueError("k must be at least 1")
+    own = {}
+    if run.tokenizer is not None:
+        count = token_counter(run.tokenizer)
+        own["counts"] = count(F.col("text"))
+        if run.total_mode == "template":
+            own["totals"] = count(run.template.message_text(F.col("role"), F.col("text")))
+            own["opening"] = len(run.tokenizer()(run.template.bos)) if run.template.bos else 0
     judged = staged(
         judge_conversations(
             turns,
@@ -112,11 +131,15 @@ def curate_turns(
             template=run.template,
             total_mode=run.total_mode,
             id_col=turn_id,
+            **own,
         ).select(turn_id, "n_messages", "passes"),
         "judged",
     )
     ids = judged.filter("passes").select(turn_id)
-    light = without_giants(turns, judged, turn_id)
+    total, original_size = judged.agg(
+        F.coalesce(F.sum("n_messages"), F.lit(0)), F.count(F.lit(1))
+    ).first()
+    light = without_giants(turns, judged, turn_id, total)
     bounded = assemble_bounded(light.join(ids, turn_id, "left_semi"), turn_id)
     filtered = staged(bounded.withColumnRenamed(turn_id, run.id_col), "filtered")
 
@@ -124,15 +147,15 @@ def curate_turns(
         sample = random_sample(judged.select(turn_id), n, run.seed, turn_id)
         return turns.join(sample, turn_id, "left_semi").select(F.col("text").alias("content"))
 
-    return _finish(baseline, judged.count(), filtered, config, k, run)
+    return _finish(baseline, original_size, filtered, config, k, run)
 
 
-def without_giants(turns: DataFrame, judged: DataFrame, turn_id: str) -> DataFrame:
+def without_giants(turns: DataFrame, judged: DataFrame, turn_id: str, total: int) -> DataFrame:
     """Drop rejected conversations with a large share of all turns before anything is shuffled.
 
-    Fewer than ``GIANTS`` conversations can exceed that share, so their ids are safe to broadcast.
+    Fewer than ``GIANTS`` conversations can exceed that share of the ``total``, so their ids are
+    safe to broadcast.
     """
-    total = judged.agg(F.coalesce(F.sum("n_messages"), F.lit(0))).first()[0]
     giant = ~F.col("passes") & (F.col("n_messages") > F.lit(total / GIANTS))
     return turns.join(F.broadcast(judged.filter(giant).select(turn_id)), turn_id, "left_anti")
 
@@ -251,10 +274,14 @@ class Curator:
         test_model: str | None = None,
         fmt: str | None = None,
         id_col: str | None = None,
+        ordered: bool = False,
         **options,
     ) -> CurationResult:
         """Read, curate, and write ``optimized_dataset`` and ``report`` below ``output_dir``.
 
+        Rows are written as they come and carry their rank; ``ordered`` writes them from the lowest
+        score to the highest.
+
         ``model`` and ``test_model`` name no neural model here. As a switch, ``test_model`` selects
         scoring by the bigram model unless a scorer is given, and ``validate`` needs it.
         """
@@ -279,6 +306,7 @@ class Curator:
             **options,
         )
         folder = output_dir.rstrip("/")
-        write_jsonl(result.selected, f"{folder}/optimized_dataset", mode="overwrite")
+        rows = result.selected.orderBy(F.desc("rank")) if ordered else result.selected
+        write_jsonl(rows, f"{folder}/optimized_dataset", mode="overwrite")
         write_report(result.report, f"{folder}/report", mode="overwrite")
         return result

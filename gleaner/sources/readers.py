@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleaner.sources.normalize import MESSAGES, to_messages
+from gleaner.sources.normalize import MESSAGES, detect_format, to_messages
 from gleaner.stage import staged
 
 RECORD = T.StructType(
@@ -19,16 +19,18 @@ RECORD = T.StructType(
     ]
 )
 CORRUPT = "_corrupt_record"
-PROBE_RECORDS = 1000
 BROADCAST_SPLITS = 1_000_000
 
 
-def _record_schema(spark: SparkSession, path: str) -> T.StructType:
-    """The record columns that occur in the first records of the file."""
-    head = spark.read.text(path).limit(PROBE_RECORDS)
-    keys = head.select(F.explode(F.json_object_keys("value")).alias("k")).distinct()
-    found = {row["k"] for row in keys.collect()}
-    return T.StructType([f for f in RECORD.fields if f.name in found])
+def _schema(spark: SparkSession, path: str, mode: str, given: T.StructType | None) -> T.StructType:
+    """The given schema, or the columns that occur anywhere in the data."""
+    found = given or spark.read.option("mode", mode).json(path).schema
+    return T.StructType([f for f in found.fields if f.name != CORRUPT])
+
+
+def _check_name(schema: T.StructType, id_col: str | None) -> None:
+    if id_col is None and "sample_id" in schema.names:
+        raise ValueError("the data has a sample_id column: name it as id_col, or rename it")
 
 
 def read_jsonl(
@@ -39,13 +41,14 @@ def read_jsonl(
 ) -> DataFrame:
     """JSON lines to ``messages`` rows. A line that is not JSON stops the job.
 
-    Without ``id_col`` every row gets ``sample_id``, its position in file order.
+    Without ``id_col`` every row gets ``sample_id``, its position in file order. The layout follows
+    from the columns found anywhere in the data; a ``schema`` (such as ``RECORD``) saves that pass.
     """
-    schema = schema or _record_schema(spark, path)
-    raw = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    if id_col:
-        return to_messages(raw, id_col)
-    return to_messages(with_positions(raw), "sample_id")
+    fixed = _schema(spark, path, "FAILFAST", schema)
+    _check_name(fixed, id_col)
+    raw = spark.read.schema(fixed).option("mode", "FAILFAST").json(path)
+    detect_format(fixed)
+    return to_messages(raw if id_col else with_positions(raw), id_col or "sample_id")
 
 
 def read_jsonl_lenient(
@@ -55,8 +58,10 @@ def read_jsonl_lenient(
     id_col: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Like ``read_jsonl``, with lines that do not parse set apart as the second result."""
-    schema = schema or _record_schema(spark, path)
-    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    fixed = _schema(spark, path, "PERMISSIVE", schema)
+    detect_format(fixed)
+    _check_name(fixed, id_col)
+    wide = T.StructType([*fixed.fields, T.StructField(CORRUPT, T.StringType())])
     raw = spark.read.schema(wide).option("mode", "PERMISSIVE").json(path)
     # Spark refuses to read the corrupt column alone from raw JSON, so both results use one copy.
     held = staged(raw, "jsonl") if id_col else with_positions(raw)

@@ -134,6 +134,8 @@ def test_bad_arguments(spark):
     for threshold in (0.0, -0.5, 1.1):
         with pytest.raises(ValueError, match="threshold"):
             kept_ids(df, "k", "e", threshold)
+    with pytest.raises(ValueError, match="whole-number"):
+        kept_ids(df.withColumn("k", F.col("k").cast("string")), "k", "e", 0.5)
     with pytest.raises(ValueError, match="length"):
         kept_ids(df, "k", "e", 0.5)
 

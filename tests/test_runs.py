@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleaner import Curator, curate, curate_turns, load_config
+from gleaner.functions.template import HEADER
 from gleaner.sources.normalize import assemble_bounded
 from gleaner.streaming.stages import filter_stream
 
@@ -74,7 +75,9 @@ def test_switches_of_the_path_run(spark, nested, tmp_path):
     report = json.loads(spark.read.text(str(tmp_path / "a/report")).first()[0])
     assert report["config_used"] == "llama_3_2_instruct" and "validation_results" not in report
     result = curator.optimize(source, str(tmp_path / "b"), "any", "llama_3_2_instruct", 3, validate=True,
-                              test_model="bigram", fmt="parquet", id_col="sample_id")
+                              test_model="bigram", fmt="parquet", id_col="sample_id", ordered=True)
+    files = spark.read.json(str(tmp_path / "b/optimized_dataset")).coalesce(1)
+    assert [r["rank"] for r in files.collect()] == [3, 2, 1]
     report = json.loads(spark.read.text(str(tmp_path / "b/report")).first()[0])
     assert set(report["validation_results"]) == {"baseline_loss", "optimized_loss", "loss_reduction_percentage"}
     assert result.scored.agg(F.max("learning_value")).first()[0] == 1.0
@@ -94,7 +97,8 @@ def test_a_giant_conversation_is_left_before_the_shuffle(spark, turns):
     )
     both = turns.unionByName(giant)
     judged = judge_conversations(both, RUN.quality_filters)
-    assert without_giants(both, judged, "conv_id").filter("conv_id = -1").count() == 0
+    total = both.count()
+    assert without_giants(both, judged, "conv_id", total).filter("conv_id = -1").count() == 0
     with_giant, plain = curate_turns(both, RUN, 20), curate_turns(turns, RUN, 20)
     assert picked(with_giant) == picked(plain)
     assert with_giant.report.first()["original_size"] == plain.report.first()["original_size"] + 1
@@ -153,6 +157,30 @@ def test_scorers(nested):
         curate(nested, RUN, 0)
 
 
+@pytest.mark.parametrize("total_mode", ["template", "sum"])
+def test_own_tokenizer(turns, nested, total_mode):
+    def load():
+        import re
+
+        # The built-in tokens, as a user's tokenizer.
+        return re.compile(r"[^\W_]+|[^\w\s]|_").findall
+
+    for run in (
+        lambda **o: curate(nested, RUN, 20, skip_deduplication=True, total_mode=total_mode, **o),
+        lambda **o: curate_turns(turns, RUN, 20, skip_deduplication=True, total_mode=total_mode, **o),
+        lambda **o: curate_turns(
+            turns, RUN, 20, skip_deduplication=True, total_mode=total_mode, template=HEADER, **o
+        ),
+    ):
+        assert picked(run(tokenizer=load)) == picked(run())
+
+    def load_letters():
+        return list
+
+    few = curate_turns(turns, RUN, 20, skip_deduplication=True, tokenizer=load_letters)
+    assert few.report.first()["size_after_quality_filter"] < 62
+
+
 def test_vectors_from_a_column_or_an_encoder(nested):
     from gleaner.functions.plugins import encoder
 

@@ -68,6 +68,32 @@ def test_jsonl_positions_follow_the_file(spark, tmp_path):
         assert r["messages"][0]["content"].startswith(f"Question {r['sample_id']}:")
 
 
+def test_columns_that_appear_late_in_a_file(spark, tmp_path):
+    path = tmp_path / "late.jsonl"
+    lines = ['{"instruction":"Q","output":"A"}'] * 3000 + ['{"instruction":"Q","input":"X","output":"B"}']
+    path.write_text("\n".join(lines) + "\n")
+    rows = read_jsonl(spark, str(path))
+    assert contents(rows.filter("sample_id = 3000")) == [["Q\nX", "B"]]
+    assert contents(rows.filter("sample_id = 0")) == [["Q", "A"]]
+
+
+def test_conversation_lines(spark, tmp_path):
+    path = tmp_path / "talk.jsonl"
+    path.write_text(
+        '{"messages":[{"content":"hi","role":"user"}],"instruction":"I","output":"O","n":5}\n'
+        '{"n":6,"messages":[{"role":"user","content":"there"}]}\n'
+    )
+    rows = read_jsonl(spark, str(path))
+    assert set(rows.columns) == {"sample_id", "messages", "instruction", "output", "n"}
+    assert [m[0] for m in contents(rows.orderBy("sample_id"))] == ["hi", "there"]
+    named = read_jsonl(spark, str(path), id_col="n")
+    assert {r["n"]: r["messages"][0]["content"] for r in named.collect()} == {5: "hi", 6: "there"}
+    other = tmp_path / "other.jsonl"
+    other.write_text('{"text":"x"}\n')
+    with pytest.raises(ValueError, match="unsupported"):
+        read_jsonl(spark, str(other))
+
+
 def test_bad_line_stops_or_is_set_apart(spark, tmp_path):
     path = tmp_path / "bad.jsonl"
     path.write_text('{"instruction":"Q","output":"A"}\nnot json\n{"instruction":"R","output":"B"}\n')
