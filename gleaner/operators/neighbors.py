@@ -39,7 +39,7 @@ MAX_BLOCK_BYTES = 32 * 1024 * 1024
 MIN_BLOCK_ROWS = 512
 # With fewer blocks than this, comparing all of them costs less than placing the vectors in cells.
 MIN_CELLS = 16
-CELLS_PER_BLOCK = 16
+CELLS_PER_BLOCK = 64
 # Pivots go to every task, so their total size is limited; with fewer pivots a cell has more blocks.
 PIVOT_BYTES = 64 * 1024 * 1024
 # Rows handed back to Spark at a time, and the size of one similarity tile.
