@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Keys are words of bounded length, so this many rows stay below some 60 MB.
-BROADCAST_ROWS = 200_000
+# Keys are at most two words of bounded length, so this many rows stay below some 140 MB, and with
+# words of usual length below 40 MB.
+BROADCAST_ROWS = 400_000
 
 
 def count_lookup(
