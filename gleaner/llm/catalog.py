@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gleaner.llm.common import table
 from gleaner.llm.exact import exact_groups
+from gleaner.llm.html import extracted
+from gleaner.llm.language import languages
 from gleaner.llm.mixing import mixed
+from gleaner.llm.packing import packed
+from gleaner.llm.quality import judged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,13 +21,33 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
+
+
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 def op9_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op4_mixing": op4_mixing,
+    "op5_packing": op5_packing,
+    "op7_language": op7_language,
+    "op8_html": op8_html,
     "op9_exact": op9_exact,
+    "op10_quality": op10_quality,
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
