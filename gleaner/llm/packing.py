@@ -139,25 +139,29 @@ def non_negative_least_squares(a: np.ndarray, b: np.ndarray, steps: int = 400) -
     return x
 
 
-def repeats(histogram: np.ndarray) -> list[tuple[int, int]]:
-    """How often to use each combination: ``(index, times)``, never more than the pieces there are."""
+def repeats(histogram: np.ndarray, rounds: int = 4) -> list[tuple[int, int]]:
+    """How often to use each combination: ``(index, times)``, never more than the pieces there are.
+
+    Least squares may ask for more of a length than there is; what that leaves over of the other
+    lengths is solved for again.
+    """
     matrix, listed = combinations()
-    total = histogram.sum()
-    if not total:
-        return []
-    x = non_negative_least_squares(matrix, histogram / total) * total
     left = histogram.astype(np.int64).copy()
     chosen = []
-    for j in np.argsort(-x, kind="stable"):
-        times = int(x[j] + 1e-6)
-        if times <= 0:
+    for _ in range(rounds):
+        total = left.sum()
+        if not total:
             break
-        for slots, each in listed[j]:
-            times = min(times, int(left[slots]) // each)
-        if times > 0:
-            for slots, each in listed[j]:
-                left[slots] -= times * each
-            chosen.append((int(j), times))
+        x = non_negative_least_squares(matrix, left / total) * total
+        for j in np.argsort(-x, kind="stable"):
+            times = int(x[j] + 1e-6)
+            if times <= 0:
+                break
+            times = min(times, *(int(left[slots]) // each for slots, each in listed[j]))
+            if times > 0:
+                for slots, each in listed[j]:
+                    left[slots] -= times * each
+                chosen.append((int(j), times))
     return chosen
 
 
