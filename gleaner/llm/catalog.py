@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gleaner.llm.common import table
 from gleaner.llm.exact import exact_groups
@@ -13,10 +14,15 @@ from gleaner.llm.language import languages
 from gleaner.llm.mixing import mixed
 from gleaner.llm.packing import packed
 from gleaner.llm.quality import judged
+from gleaner.llm.search import nearest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.coalesce(F.col("vec_id") % 20 == 0, F.lit(False)))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).drop("source")
 
@@ -42,6 +48,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_search": op1_search,
     "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
     "op7_language": op7_language,
@@ -54,6 +61,18 @@ _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
 ORACLES: dict[str, str] = {
+    "op1_search": """
+WITH vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.v, c.v) DESC, c.vec_id) AS rank
+  FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v))
+WHERE rank <= 20
+""",
     "op4_mixing": f"""
 WITH docs AS (
   SELECT doc_id, source, {_WORDS}::BIGINT AS size,
