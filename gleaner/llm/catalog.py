@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gleaner.llm.common import table
 from gleaner.llm.exact import exact_groups
 from gleaner.llm.html import extracted
+from gleaner.llm.jaccard import linked
 from gleaner.llm.language import languages
 from gleaner.llm.mixing import mixed
 from gleaner.llm.packing import packed
@@ -23,6 +24,10 @@ def op1_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.coalesce(F.col("vec_id") % 20 == 0, F.lit(False)))
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).drop("source")
 
@@ -49,6 +54,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_search": op1_search,
+    "op3_jaccard": op3_jaccard,
     "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
     "op7_language": op7_language,

@@ -76,29 +76,48 @@ def spans_of_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-_POWERS: dict[str, np.ndarray] = {}
+_CHUNK = 1 << 18
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64, ``n`` at least."""
-    if "up" not in _POWERS or len(_POWERS["up"]) < n:
-        size = 1 << max(16, int(n).bit_length())
-        for key, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+    size = 1 << max(18, int(n).bit_length())
+    if size not in _POWERS:
+        tables = []
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             step = np.full(size, base, np.uint64)
             step[0] = 1
-            _POWERS[key] = np.multiply.accumulate(step)
-    return _POWERS["up"], _POWERS["down"]
+            tables.append(np.multiply.accumulate(step))
+        _POWERS.clear()
+        _POWERS[size] = tuple(tables)
+    return _POWERS[size]
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each word."""
-    if not len(starts):
-        return np.empty(0, np.uint64)
-    up, down = _powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * down[starts]
-    return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    """A 64-bit hash of the bytes of each word. Works on one chunk of the data at a time."""
+    out = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        low = int(starts[first])
+        last = max(first + 1, int(np.searchsorted(starts, low + _CHUNK)))
+        high = int(ends[last - 1])
+        up, down = _powers(high - low + 1)
+        sums = np.zeros(high - low + 1, np.uint64)
+        np.cumsum((data[low:high].astype(np.uint64) + np.uint64(1)) * up[: high - low], out=sums[1:])
+        s, e = starts[first:last] - low, ends[first:last] - low
+        h = (sums[e] - sums[s]) * down[s]
+        out[first:last] = mix(h + (e - s).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        first = last
+    return out
+
+
+def spaced(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The texts one after the other, each followed by a space."""
+    raw = data.tobytes()
+    cuts = offsets.tolist()
+    texts = [raw[s:e] for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
+    return np.frombuffer(b" ".join([*texts, b""]), np.uint8)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -122,15 +141,14 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
 
 
-def large_batches(batches, rows: int = 4096, size: int = 16 << 20):
-    """Cut Arrow batches so that one holds at most about ``size`` bytes, if it has several rows."""
+def large_batches(batches, size: int = 4 << 20):
+    """Cut Arrow batches so that one holds at most about ``size`` bytes, unless it is a single row."""
     for batch in batches:
-        start = 0
-        while start < batch.num_rows:
-            take = min(rows, batch.num_rows - start)
-            while take > 1 and batch.slice(start, take).get_total_buffer_size() and (
-                batch.slice(start, take).nbytes > size
-            ):
-                take //= 2
-            yield batch.slice(start, take)
-            start += take
+        todo = [batch]
+        while todo:
+            part = todo.pop()
+            if part.num_rows > 1 and part.nbytes > size:
+                half = part.num_rows // 2
+                todo += [part.slice(half), part.slice(0, half)]
+            elif part.num_rows:
+                yield part

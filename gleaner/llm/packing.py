@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gleaner.llm.common import large_batches, ragged, spans_of_words, text_bytes, word_hashes
+from gleaner.llm.common import large_batches, ragged, spaced, spans_of_words, text_bytes, word_hashes
 from gleaner.stage import staged
 
 WINDOW = 2048
@@ -23,7 +24,7 @@ UNIT = 8
 SLOTS = WINDOW // UNIT
 CLOSING_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 500_000
 
 
 class WordTokenizer:
@@ -35,6 +36,8 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str):
+        # A task has one core.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.clear()
 
@@ -45,7 +48,10 @@ class WordTokenizer:
         self.ids = np.empty(0, np.uint32)
 
     def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        found = []
+        for at in range(0, len(words), 2048):
+            part = self.tokenizer.encode_batch_fast(words[at : at + 2048], add_special_tokens=False)
+            found += [e.ids for e in part]
         lengths = np.array([len(i) for i in found], np.int64)
         ids = np.fromiter((k for i in found for k in i), np.uint32, int(lengths.sum()))
         starts = len(self.ids) + np.cumsum(lengths) - lengths
@@ -58,18 +64,16 @@ class WordTokenizer:
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts ``data[offsets[i] : offsets[i + 1]]``, and how many each has."""
         # White space ends every text, so that no word runs into the next one.
-        spaced = np.full(len(data) + len(offsets) - 1, 0x20, np.uint8)
-        text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-        spaced[np.arange(len(data)) + text] = data
-        starts, ends = spans_of_words(spaced)
+        text = spaced(data, offsets)
+        starts, ends = spans_of_words(text)
         owner = np.searchsorted(offsets[1:] + np.arange(1, len(offsets)), starts, side="right")
-        h = word_hashes(spaced, starts, ends)
+        h = word_hashes(text, starts, ends)
         unique, first, inverse = np.unique(h, return_index=True, return_inverse=True)
         if len(self.hashes) > CACHED_WORDS:
             self.clear()
         new = ~np.isin(unique, self.hashes)
         if new.any():
-            raw = spaced.tobytes()
+            raw = text.tobytes()
             at = first[new]
             words = [raw[s:e].decode() for s, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
             self._learn(unique[new], words)
@@ -194,7 +198,7 @@ def _cut(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatc
     """
     tokenizer, part = WordTokenizer(path), TaskContext.get().partitionId()
     seen, at = np.zeros(SLOTS + 1, np.int64), 0
-    for batch in large_batches(batches, size=8 << 20):
+    for batch in large_batches(batches, size=2 << 20):
         ids, counts = tokenizer.encode(*text_bytes(batch.column("text")))
         sizes = counts + 1
         closed = np.empty(int(sizes.sum()), np.uint32)
