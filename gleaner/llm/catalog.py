@@ -14,6 +14,7 @@ from gleaner.llm.jaccard import linked
 from gleaner.llm.language import languages
 from gleaner.llm.mixing import mixed
 from gleaner.llm.packing import packed
+from gleaner.llm.passages import without_repeated_bytes, without_repeated_words
 from gleaner.llm.quality import judged
 from gleaner.llm.search import nearest
 
@@ -24,6 +25,10 @@ def op1_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.coalesce(F.col("vec_id") % 20 == 0, F.lit(False)))
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeated_words(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked(table(spark, sf_dir, "documents"))
 
@@ -36,6 +41,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeated_bytes(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(table(spark, sf_dir, "documents"))
 
@@ -54,9 +63,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_search": op1_search,
+    "op2_substrings": op2_substrings,
     "op3_jaccard": op3_jaccard,
     "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
+    "op6_suffixes": op6_suffixes,
     "op7_language": op7_language,
     "op8_html": op8_html,
     "op9_exact": op9_exact,
