@@ -30,7 +30,7 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linked(table(spark, sf_dir, "documents"))
+    return linked(table(spark, sf_dir, "documents")).drop("root", "text_hash")
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,6 +30,11 @@ def id_bucket(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(parts)
 
 
+def unique_ids(docs: DataFrame) -> bool:
+    """Whether every row has an id of its own. Reads and shuffles ids only."""
+    return docs.groupBy("doc_id").count().filter("doc_id is null or count > 1").isEmpty()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread 64-bit values (in place) over all bits."""
     h ^= h >> np.uint64(30)

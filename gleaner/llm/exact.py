@@ -13,10 +13,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import SPACE, large_batches
+from gleaner.llm.common import SPACE, large_batches, unique_ids
 from gleaner.stage import staged
 
 # Bytes of distinct content that one table holds before its bucket is cut again.
@@ -245,12 +245,13 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with all their columns. Rows that share an id and a text become one."""
-    keep = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+    """The rows that stay, with all their columns. Where ids repeat, rows are matched by text as well."""
+    keep = exact_groups(docs).filter("kept")
+    if unique_ids(docs):
+        return docs.join(keep.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
     digest = F.sha2(F.encode(F.coalesce(F.regexp_replace("text", SPACE, " "), F.lit("")), "utf-8"), 256)
-    marked = docs.withColumn("_digest", digest)
-    matched = marked.join(
-        keep, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_sha")), "left_semi"
-    )
-    # Only rows without an own id can still be alike here: one of them stays.
-    return matched.dropDuplicates(["doc_id", "_digest"]).drop("_digest")
+    keep = keep.select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
+    same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (digest == F.col("_kept_sha"))
+    number = Window.partitionBy("doc_id", digest).orderBy("text")
+    matched = docs.join(keep, same, "left_semi").withColumn("_nth", F.row_number().over(number))
+    return matched.filter("_nth = 1").select(docs.columns)

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import large_batches, mix, spaced, spans_of_words, text_bytes, word_hashes
+from gleaner.llm.common import large_batches, mix, spaced, spans_of_words, text_bytes, unique_ids, word_hashes
 from gleaner.llm.components import components
 from gleaner.stage import staged
 
@@ -149,13 +149,14 @@ def _sets(batches: Iterable[pa.RecordBatch], classes: np.ndarray) -> Iterator[pa
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
+                batch.column("text_hash"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(uids, pa.int64()),
                 pa.array(keys, pa.int64()),
                 pa.array(prefixes, pa.binary()),
                 pa.array(signatures, pa.binary()),
             ],
-            names=["doc_id", "n", "uid", "set_key", "prefix", "bits"],
+            names=["doc_id", "text_hash", "n", "uid", "set_key", "prefix", "bits"],
         )
 
 
@@ -459,7 +460,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, sets: DataFrame, classes) -> Da
 
 
 def linked(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, n_links, component_id`` for every row of ``docs``.
+    """``doc_id, n_shingles, n_links, component_id`` (and ``text_hash``) for every row of ``docs``.
 
     Words are runs of anything but ASCII white space, with A-Z lower-cased. The set of a text is its
     distinct shingles of five words; a shorter text has one shingle. Sets link when their Jaccard
@@ -485,8 +486,10 @@ def linked(docs: DataFrame) -> DataFrame:
         return _sets(batches, classes.value)
 
     sets = staged(
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-            sets_of, "doc_id long, n long, uid long, set_key long, prefix binary, bits binary"
+        docs.select(
+            F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("text_hash")
+        ).mapInArrow(
+            sets_of, "doc_id long, text_hash long, n long, uid long, set_key long, prefix binary, bits binary"
         ),
         "sets",
     )
@@ -534,11 +537,11 @@ def linked(docs: DataFrame) -> DataFrame:
     )
     roots = components(links).withColumnRenamed("node", "canon")
     placed = (
-        sets.select("doc_id", "n", "uid")
+        sets.select("doc_id", "text_hash", "n", "uid")
         .join(same, "uid", "left")
         .join(roots, "canon", "left")
         .join(degree, "canon", "left")
-        .select("doc_id", "n", F.coalesce("root", "canon").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        .select("doc_id", "text_hash", "n", F.coalesce("root", "canon").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     )
     placed = staged(placed, "placed")
     least = placed.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
@@ -547,4 +550,28 @@ def linked(docs: DataFrame) -> DataFrame:
         F.col("n").alias("n_shingles"),
         "n_links",
         F.coalesce("least", F.when(F.col("root").isNull(), F.col("doc_id"))).alias("component_id"),
+        "root",
+        "text_hash",
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each component, the one with the smallest id, with all its columns.
+
+    Rows without a shingle stay. Where ids repeat or are null, the row with the smallest text hash of
+    the smallest id stays (null last), and equal rows of that kind stay as one.
+    """
+    found = staged(linked(docs), "components")
+    if unique_ids(docs):
+        keep = found.filter("component_id = doc_id").select("doc_id")
+        return docs.join(keep, "doc_id", "left_semi").select(docs.columns)
+    order = Window.partitionBy("root").orderBy(F.col("doc_id").asc_nulls_last(), "text_hash")
+    first = found.filter("root is not null").withColumn("_nth", F.row_number().over(order)).filter("_nth = 1")
+    keep = first.select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
+    bare = found.filter("root is null").select("doc_id", "text_hash").distinct()
+    bare = bare.select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.xxhash64("text") == F.col("_kept_hash"))
+    without = docs.join(bare, same, "left_semi")
+    number = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("text")
+    matched = docs.join(keep, same, "left_semi").withColumn("_nth", F.row_number().over(number)).filter("_nth = 1")
+    return matched.select(docs.columns).unionByName(without.select(docs.columns))

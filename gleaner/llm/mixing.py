@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import word_count
+from gleaner.llm.common import WORD, word_count
 from gleaner.stage import staged
 
 WEIGHTS = (3, 1, 2)
@@ -59,38 +59,30 @@ def _crossing(histogram: DataFrame, source: Column, bucket: str, budget: Column)
     )
 
 
-def mixed(
-    docs: DataFrame,
-    weights: Sequence[int] = WEIGHTS,
-    share: float = SHARE,
-    most: int = MOST,
-) -> DataFrame:
-    """Words that the mix takes of every document.
+def _joined(left: DataFrame, right: DataFrame, *more: Column, how: str = "inner") -> DataFrame:
+    """Join on the source, null being a source. Spark broadcasts the small side if its size allows."""
+    name = right.select(F.col("source").alias("_source"), *[c for c in right.columns if c != "source"])
+    on = F.col("source").eqNullSafe(F.col("_source"))
+    for condition in more:
+        on = on & condition
+    return left.join(name, on, how).drop("_source")
+
+
+def _hashed(docs: DataFrame, *columns: str) -> DataFrame:
+    """The id's hash and its first two groups of bits, and the size in words."""
+    text = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")
+    h = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return docs.select(
+        *columns,
+        word_count(F.col("text")).alias("size"),
+        F.shiftright(h, 32 - BITS).alias("high"),
+        F.shiftright(h, 32 - 2 * BITS).bitwiseAND((1 << BITS) - 1).alias("low"),
+        h.alias("hash"),
+    )
 
-    ``doc_id, source, size, source_size, target, taken``, one row per row of ``docs``. A target is
-    met by whole repeats of the source and, for the rest, by the documents whose hash lies below a
-    threshold: words are summed by source and hash bucket, the bucket where the budget ends is
-    summed again by its next bits, and only what falls into that last bucket (about one document in
-    16 million) is put in order. The document on the edge is taken in part, so that each source
-    meets its target to the word.
 
-    Null text has size 0 and takes nothing. A null source is a source, the last one. Rows with the
-    same id (or null) share a hash and are taken in the order of their sizes. An empty table gives
-    no rows. Other columns are ignored.
-    """
-    digits = F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 8)
-    h = F.conv(digits, 16, 10).cast("bigint")
-    narrow = staged(
-        docs.select(
-            "doc_id",
-            F.col("source"),
-            word_count(F.col("text")).alias("size"),
-            F.shiftright(h, 32 - BITS).alias("high"),
-            F.shiftright(h, 32 - 2 * BITS).bitwiseAND((1 << BITS) - 1).alias("low"),
-            h.alias("hash"),
-        ),
-        "mix-sizes",
-    )
+def _edges(narrow: DataFrame, weights: Sequence[int], share: float, most: int) -> DataFrame:
+    """Per source: size, target, whole repeats, the bucket on the edge and the words left for it."""
     first = staged(
         narrow.groupBy("source", "high").agg(F.sum("size").alias("words")), "mix-histogram"
     )
@@ -103,29 +95,25 @@ def mixed(
     )
     plan = staged(plan, "mix-plan")
 
-    def joined(left: DataFrame, right: DataFrame, *more: Column, how: str = "inner") -> DataFrame:
-        name = right.select(F.col("source").alias("_source"), *[c for c in right.columns if c != "source"])
-        on = F.col("source").eqNullSafe(F.col("_source"))
-        for condition in more:
-            on = on & condition
-        return left.join(name, on, how).drop("_source")
-
-    coarse = _crossing(joined(first, plan.select("source", "budget")), F.col("source"), "high", F.col("budget"))
-    inside = joined(narrow, coarse, F.col("high") == F.col("edge_high"))
+    coarse = _crossing(_joined(first, plan.select("source", "budget")), F.col("source"), "high", F.col("budget"))
+    inside = _joined(narrow, coarse, F.col("high") == F.col("edge_high"))
     second = inside.groupBy("source", "low").agg(
         F.sum("size").alias("words"), F.max("left").alias("budget")
     )
     fine = _crossing(second, F.col("source"), "low", F.col("budget"))
-    edges = joined(coarse.select("source", "edge_high"), fine, how="left")
-    edges = staged(joined(plan, edges, how="left"), "mix-edges")
+    edges = _joined(coarse.select("source", "edge_high"), fine, how="left")
+    return staged(_joined(plan, edges, how="left"), "mix-edges")
 
-    all_docs = joined(narrow, edges)
+
+def _taken(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """``rows`` (with their hashes and sizes) and ``taken``, the words that the mix takes of each."""
+    placed = _joined(rows, edges)
     on_edge = (F.col("high") == F.col("edge_high")) & (F.col("low") == F.col("edge_low"))
     below = (F.col("high") < F.col("edge_high")) | (
         (F.col("high") == F.col("edge_high")) & (F.col("low") < F.col("edge_low"))
     )
     within = F.coalesce(on_edge, F.lit(False))
-    plain = all_docs.filter(~within).withColumn(
+    plain = placed.filter(~within).withColumn(
         "extra", F.when(F.coalesce(below, F.lit(False)), F.col("size")).otherwise(0)
     )
     order = (
@@ -134,14 +122,62 @@ def mixed(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     room = F.col("left") - F.coalesce(F.sum("size").over(order), F.lit(0))
-    last = all_docs.filter(within).withColumn(
+    last = placed.filter(within).withColumn(
         "extra", F.greatest(F.lit(0), F.least(F.col("size"), room))
     )
-    return plain.unionByName(last).select(
-        "doc_id",
-        "source",
-        "size",
-        "source_size",
-        "target",
-        (F.col("whole") * F.col("size") + F.col("extra")).cast("bigint").alias("taken"),
+    taken = (F.col("whole") * F.col("size") + F.col("extra")).cast("bigint")
+    return plain.unionByName(last).withColumn("taken", taken)
+
+
+def mixed(
+    docs: DataFrame,
+    weights: Sequence[int] = WEIGHTS,
+    share: float = SHARE,
+    most: int = MOST,
+) -> DataFrame:
+    """Words that the mix takes of every document.
+
+    ``doc_id, source, size, source_size, target, taken``, one row per row of ``docs``. A target is
+    met by whole repeats of the source and, for the rest, by the documents whose hash lies below a
+    threshold: words are summed by source and hash bucket, the bucket where the budget ends is
+    summed again by its next bits, and only what falls into that last bucket (about one document in
+    16 million) is put in order. The document on the edge is taken in part, so that each source
+    meets its target to the word.
+
+    Null text has size 0 and takes nothing. A null source is a source, the last one. Rows with the
+    same id (or null) share a hash and are taken in the order of their sizes. An empty table gives
+    no rows. Other columns are ignored.
+    """
+    narrow = staged(_hashed(docs, "doc_id", "source"), "mix-sizes")
+    rows = _taken(narrow, _edges(narrow, weights, share, most))
+    return rows.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+def mixture(
+    docs: DataFrame,
+    weights: Sequence[int] = WEIGHTS,
+    share: float = SHARE,
+    most: int = MOST,
+) -> DataFrame:
+    """The mix itself: the rows that it takes, as often as it takes them, with the columns of ``docs``.
+
+    Of a document taken in part the last copy has its first words only, joined by one space; where
+    there is a column ``n_chars``, it is that text's. Cases are those of ``mixed``.
+    """
+    narrow = staged(_hashed(docs, "doc_id", "source"), "mix-sizes")
+    edges = _edges(narrow, weights, share, most)
+    whole = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    rows = _taken(_hashed(docs.select(whole, "doc_id", "source", "text"), "row", "doc_id", "source"), edges)
+    rows = rows.filter("taken > 0").select(
+        "row", "size", "taken", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("taken") - 1) / F.col("size")))).alias("copy")
+    )
+    left = F.col("taken") - F.col("copy") * F.col("size")
+    words = F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0))
+    text = F.when(left >= F.col("size"), F.col("row.text")).otherwise(
+        F.array_join(F.slice(words, F.lit(1), left.cast("int")), " ")
     )
+    replaced = {"text": text}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        replaced["n_chars"] = F.when(left >= F.col("size"), F.col("row.n_chars")).otherwise(F.length(text).cast(kind))
+    return rows.select(*[replaced.get(c, F.col("row")[c]).alias(c) for c in docs.columns])

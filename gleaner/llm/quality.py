@@ -120,25 +120,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, held_out_fold: int = 0, fold
     return QualityModel(good, bad, tuple(centre), tuple(scale), tuple(w))
 
 
-def quality_scores(docs: DataFrame, model: QualityModel, columns: list[str]) -> DataFrame:
-    """``columns`` of ``docs`` and ``score``, the probability (0 to 1) that a text is good.
-
-    Whole texts are compressed; a null text is the empty text, which is scored like any other.
-    """
-    given = docs.select(*columns, F.col("text").alias("_text"))
-
-    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in large_batches(batches):
-            texts = (t.as_buffer() if t.is_valid else b"" for t in batch.column("_text"))
-            sizes = compressed_sizes(texts, model.good, model.bad)
-            x = (_features(sizes) - np.array(model.centre)) / np.array(model.scale)
-            z = model.weights[0] + x @ np.array(model.weights[1:])
-            kept = [batch.column(c) for c in columns]
-            value = pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))), pa.float64())
-            yield pa.RecordBatch.from_arrays([*kept, value], names=[*columns, "score"])
-
-    schema = given.drop("_text").withColumn("score", F.lit(0.0)).schema
-    return given.mapInArrow(score, schema)
+def text_scores(column: pa.Array, model: QualityModel) -> np.ndarray:
+    """The probability (0 to 1) that each text is good. Whole texts are compressed; null is empty."""
+    texts = (t.as_buffer() if t.is_valid else b"" for t in column)
+    x = (_features(compressed_sizes(texts, model.good, model.bad)) - np.array(model.centre)) / np.array(model.scale)
+    z = model.weights[0] + x @ np.array(model.weights[1:])
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -148,7 +135,14 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     an empty table gives no rows; labels may repeat or be absent. Other columns are not read.
     """
     model = fit_quality(docs, labels)
-    scored = quality_scores(docs, model, ["doc_id"])
+
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in large_batches(batches):
+            value = pa.array(text_scores(batch.column("text"), model), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), value], names=["doc_id", "score"])
+
+    given = docs.select("doc_id", "text")
+    scored = given.mapInArrow(score, given.select("doc_id", F.lit(0.0).alias("score")).schema)
     held_out = F.coalesce(id_bucket(F.col("doc_id"), FOLDS) == 0, F.lit(False))
     predicted = (F.col("score") >= THRESHOLD).cast("int")
     return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
@@ -157,7 +151,9 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, with all their columns."""
     model = fit_quality(docs, labels)
-    scored = quality_scores(docs.withColumnRenamed("text", "_whole").withColumn("text", F.col("_whole")), model,
-                            [c if c != "text" else "_whole" for c in docs.columns])
-    kept = scored.filter(F.col("score") >= THRESHOLD).drop("score")
-    return kept.withColumnRenamed("_whole", "text").select(docs.columns)
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in large_batches(batches):
+            yield batch.filter(pa.array(text_scores(batch.column("text"), model) >= THRESHOLD))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -31,6 +31,7 @@ from gleaner.llm.common import (
     spaced,
     spans_of_words,
     text_bytes,
+    unique_ids,
     window_hashes,
     word_hashes,
 )
@@ -474,8 +475,7 @@ def covered(kind: Kind, docs: DataFrame, finish: Callable, schema: str) -> DataF
 
     ``finish(batch, symbols' spans of removal)`` gets, per document, start and end symbols.
     """
-    repeated = docs.groupBy("doc_id").count().filter("count > 1")
-    clash = not repeated.isEmpty()
+    clash = not unique_ids(docs)
     named = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         # Rows that share an id are told apart by their text.
