@@ -6,6 +6,7 @@ import os
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gleaner.llm.common import large_batches, ragged, spaced, spans_of_words, text_bytes, word_hashes
+from gleaner.llm.common import large_batches, ragged, spaced, text_bytes, word_hashes
 from gleaner.stage import staged
 
 WINDOW = 2048
@@ -27,12 +28,66 @@ TOKENIZER = "word_bpe_49k.json"
 CACHED_WORDS = 500_000
 
 
+# Classes of bytes: white space, letters, digits, other ASCII, and what makes a word be left whole.
+_SPACE, _LETTER, _DIGIT, _OTHER, _WHOLE = range(5)
+_CLASS = np.full(256, _WHOLE, np.uint8)
+_CLASS[:128] = _OTHER
+_CLASS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = _SPACE
+_CLASS[48:58] = _DIGIT
+_CLASS[65:91] = _CLASS[97:123] = _LETTER
+# An apostrophe may begin an ending, a bar may be part of a special token, control characters may be white space.
+_CLASS[[*range(9), *range(14, 32), 127, ord("'"), ord("|")]] = _WHOLE
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def _visible() -> dict[int, int]:
+    """The vocabulary writes a byte as a printable character: those that are one as themselves, the
+    others as the characters from U+0100 on, in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: 256 + k for k, b in enumerate(others)}
+
+
+def token_spans(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The text to encode, the starts and ends of what the vocabulary's rules never join, and which
+    of these are words left whole.
+
+    They lower-case and cut a word into runs of letters, single digits and runs of other characters.
+    That is done here for words of ASCII and of the letters from U+00C0 to U+00FF; a word with
+    anything else is left whole and as it is.
+    """
+    kinds = _CLASS[text]
+    # 0xC3 and a second byte: a letter, but for the signs of multiplication and division.
+    lead = np.flatnonzero(text[:-1] == 0xC3)
+    follow = text[lead + 1]
+    lead = lead[(follow >= 0x80) & (follow < 0xC0) & (follow != 0x97) & (follow != 0xB7)]
+    kinds[lead] = kinds[lead + 1] = _LETTER
+    lowered = _LOWER[text]
+    capitals = lead[text[lead + 1] < 0x9F] + 1
+    lowered[capitals] += 0x20
+    before = np.concatenate([[np.uint8(_SPACE)], kinds[:-1]])
+    word = kinds != _SPACE
+    head = word & (before == _SPACE)
+    own = np.cumsum(head, dtype=np.int32) - 1
+    whole = np.zeros(int(own[-1]) + 2 if len(own) else 1, bool)
+    whole[own[kinds == _WHOLE]] = True
+    kept = whole[own]
+    cut = head | (word & ((kinds != before) | (kinds == _DIGIT)) & ~kept)
+    starts = np.flatnonzero(cut)
+    stop = np.flatnonzero(~word & (before != _SPACE))
+    # A token ends where the next one begins, or where its word ends.
+    ends = np.append(starts[1:], len(text))
+    ends = np.minimum(ends, stop[np.minimum(np.searchsorted(stop, starts, side="right"), len(stop) - 1)]) if len(stop) else ends
+    return np.where(kept, text, lowered), starts, ends, kept[starts]
+
+
 class WordTokenizer:
-    """Ids of whole texts, put together from the ids of their words.
+    """Ids of whole texts, put together from the ids of their words' parts.
 
-    The vocabulary's own rules cut at white space and drop it, so a text's ids are those of its
-    words in order. Frequent texts share words; each distinct one is encoded once while the table
-    holds at most ``CACHED_WORDS``.
+    The vocabulary's own rules cut at white space, which is dropped, and between letters, digits and
+    other characters, so a text's ids are those of the parts in order. Texts share parts; each
+    distinct one is encoded once while the table holds at most ``CACHED_WORDS``.
     """
 
     def __init__(self, path: str):
@@ -47,13 +102,21 @@ class WordTokenizer:
         self.lengths = np.empty(0, np.int64)
         self.ids = np.empty(0, np.uint32)
 
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        found = []
-        for at in range(0, len(words), 2048):
-            part = self.tokenizer.encode_batch_fast(words[at : at + 2048], add_special_tokens=False)
-            found += [e.ids for e in part]
+    def _learn(self, hashes: np.ndarray, parts: list[bytes], whole: list[bool]) -> None:
+        visible, model = _visible(), self.tokenizer.model
+        found = [
+            self.tokenizer.encode(part.decode(), add_special_tokens=False).ids
+            if own
+            else [
+                token.id
+                for token in model.tokenize(
+                    part.decode() if part.isascii() else part.decode("latin-1").translate(visible)
+                )
+            ]
+            for part, own in zip(parts, whole, strict=True)
+        ]
         lengths = np.array([len(i) for i in found], np.int64)
-        ids = np.fromiter((k for i in found for k in i), np.uint32, int(lengths.sum()))
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
         starts = len(self.ids) + np.cumsum(lengths) - lengths
         order = np.argsort(np.concatenate([self.hashes, hashes]), kind="stable")
         self.hashes = np.concatenate([self.hashes, hashes])[order]
@@ -64,19 +127,19 @@ class WordTokenizer:
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts ``data[offsets[i] : offsets[i + 1]]``, and how many each has."""
         # White space ends every text, so that no word runs into the next one.
-        text = spaced(data, offsets)
-        starts, ends = spans_of_words(text)
+        text, starts, ends, whole = token_spans(spaced(data, offsets))
         owner = np.searchsorted(offsets[1:] + np.arange(1, len(offsets)), starts, side="right")
         h = word_hashes(text, starts, ends)
         unique, first, inverse = np.unique(h, return_index=True, return_inverse=True)
         if len(self.hashes) > CACHED_WORDS:
             self.clear()
-        new = ~np.isin(unique, self.hashes)
+        at = np.minimum(np.searchsorted(self.hashes, unique), max(0, len(self.hashes) - 1))
+        new = self.hashes[at] != unique if len(self.hashes) else np.ones(len(unique), bool)
         if new.any():
             raw = text.tobytes()
-            at = first[new]
-            words = [raw[s:e].decode() for s, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
-            self._learn(unique[new], words)
+            own = first[new]
+            parts = [raw[s:e] for s, e in zip(starts[own].tolist(), ends[own].tolist(), strict=True)]
+            self._learn(unique[new], parts, whole[own].tolist())
         entry = np.searchsorted(self.hashes, unique)[inverse]
         lengths = self.lengths[entry]
         ids = self.ids[ragged(self.starts[entry], lengths)]
@@ -198,7 +261,7 @@ def _cut(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatc
     """
     tokenizer, part = WordTokenizer(path), TaskContext.get().partitionId()
     seen, at = np.zeros(SLOTS + 1, np.int64), 0
-    for batch in large_batches(batches, size=2 << 20):
+    for batch in large_batches(batches):
         ids, counts = tokenizer.encode(*text_bytes(batch.column("text")))
         sizes = counts + 1
         closed = np.empty(int(sizes.sum()), np.uint32)
