@@ -139,12 +139,13 @@ def languages(docs: DataFrame) -> DataFrame:
     fold: it is neither learned from nor held out. Ties go to the first language by code point.
     """
     model = fit_language(docs)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain values: executors need not have this package installed to read them.
+    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.priors, model.log_probs))
     known = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     given = docs.select("doc_id", F.when(known, F.col("text")).alias("text"))
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = sent.value
+        held = LanguageModel(*sent.value)
         for batch in large_batches(batches, size=4 << 20):
             texts = batch.column("text").to_pylist()
             use = np.array([t is not None for t in texts]) & bool(held.languages)
