@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from gleaner.llm.common import large_batches, mix, spaced, spans_of_words, text_bytes, unique_ids, word_hashes
 from gleaner.llm.components import components
+from gleaner.llm.repeats import id_filter, only_marked
 from gleaner.stage import staged
 
 WORDS = 5
@@ -24,8 +25,8 @@ CLASS_SHIFT = 59
 # A class is the binary logarithm of a bucket's count over the mean; classes from HOT on are dealt out in parts.
 HOT_CLASS = 8
 HOT_PARTS = 64
-# Larger groups first try a few centres; larger blocks than BLOCK are cut.
-SMALL_GROUP = 64
+# Larger groups first try one centre; larger ones than BLOCK are cut.
+SMALL_GROUP = 8
 BLOCK = 2048
 FANOUT = 8
 PAIRS = 1 << 15
@@ -290,22 +291,21 @@ class SignatureTree:
         return (TOP + SHARE) * overlap >= SHARE * (low[a] + low[b])
 
     def centre_pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs with the set nearest to what most sets have, and with the first and the last one."""
+        """The pairs that may link with the set nearest to what most sets have."""
         words = self.levels[0][0]
         bits = np.unpackbits(words.view(np.uint8), axis=1)
         most = bits.sum(axis=0) * 2 > len(bits)
         centre = int((bits != most).sum(axis=1).argmin())
-        found = []
-        for hub in dict.fromkeys([centre, int(self.order.argmin()), len(bits) - 1]):
-            others = np.delete(np.arange(len(bits)), hub)
-            x, y = np.minimum(others, hub), np.maximum(others, hub)
-            keep = self.possible(0, x, y)
-            found.append((self.order[x[keep]], self.order[y[keep]]))
-        return tuple(np.concatenate(side) for side in zip(*found, strict=True))
+        others = np.delete(np.arange(len(bits)), centre)
+        x, y = np.minimum(others, centre), np.maximum(others, centre)
+        keep = self.possible(0, x, y)
+        x, y = x[keep], y[keep]
+        keep = np.array([self._fits(a, b) for a, b in zip(x.tolist(), y.tolist(), strict=True)], bool)
+        return self.order[x[keep]], self.order[y[keep]]
 
 
 def _joined(batches: Iterable[pa.RecordBatch], everything: bool) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of each group (sorted by group). Large groups give pairs with centres only,
+    """Candidate pairs of each group (sorted by group). Large groups give pairs with their centre only,
     unless ``everything`` is asked for."""
 
     def group(rows: list[tuple]) -> pa.RecordBatch | None:
@@ -339,19 +339,8 @@ def _joined(batches: Iterable[pa.RecordBatch], everything: bool) -> Iterator[pa.
         yield out
 
 
-def _candidates(groups: DataFrame, everything: bool) -> DataFrame:
-    """Pairs of the sets of each shingle. A group of more than ``BLOCK`` sets is cut into blocks, and
-    a set goes to all pairs of blocks that contain its own."""
-    cuts = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("uid"), F.col("cuts")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))
-    dealt = (
-        groups.withColumn("cuts", cuts)
-        .withColumn("own", own)
-        .withColumn("other", other)
-        .withColumn("i", F.least("own", "other"))
-        .withColumn("j", F.greatest("own", "other"))
-    )
+def _candidates(dealt: DataFrame, everything: bool) -> DataFrame:
+    """Pairs of the sets of each group ``token, i, j``."""
 
     def join(batches):
         return _joined(batches, everything)
@@ -365,72 +354,92 @@ def _candidates(groups: DataFrame, everything: bool) -> DataFrame:
     )
 
 
+def _in_blocks(groups: DataFrame) -> DataFrame:
+    """A group of more than ``BLOCK`` sets is cut into blocks: a set goes to all pairs of blocks that
+    contain its own."""
+    cuts = F.ceil(F.col("members") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("uid"), F.col("cuts")).cast("int")
+    return (
+        groups.withColumn("cuts", cuts)
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+        .withColumn("i", F.least("own", "other"))
+        .withColumn("j", F.greatest("own", "other"))
+    )
+
+
+def _neighbourhoods(members: DataFrame) -> DataFrame:
+    """A first cut of the sets into groups: ``token`` is a set with which many shingles are shared.
+
+    Of each shingle's sets the first is the head; a set goes to the head with which it shares most
+    shingles. A large group is dealt out in parts, with its head in all of them. Which sets meet here
+    decides how much is left for later, not what is found.
+    """
+    heads = members.groupBy("token").agg(F.min("uid").alias("head"), F.count("*").alias("members"))
+    heads = heads.filter("members > 1").select("token", "head")
+    shared = members.join(heads, "token").filter("uid <> head")
+    shared = shared.groupBy("uid", "head").agg(F.count("*").alias("common"), F.max("n").alias("n"))
+    best = shared.groupBy("uid").agg(
+        F.max_by("head", F.struct("common", -F.col("head"))).alias("token"), F.max("n").alias("n")
+    )
+    best = staged(best, "best")
+    sizes = best.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("cuts"))
+    own = best.join(sizes, "token").withColumn("i", F.pmod(F.xxhash64("uid"), F.col("cuts")).cast("int"))
+    sets = members.select("uid", "n").distinct()
+    of_heads = (
+        sizes.join(sets.withColumnRenamed("uid", "token"), "token")
+        .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+        .withColumn("uid", F.col("token"))
+    )
+    columns = ["token", "i", "uid", "n"]
+    both = own.select(*columns).unionByName(of_heads.select(*columns))
+    return both.withColumn("j", F.col("i")).withColumn("component", F.lit(-1).cast("bigint"))
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, sets: DataFrame, classes) -> DataFrame:
     """The pairs whose sets really link. Only documents of these pairs are read into sets again.
 
-    Each set goes to the pairs' smaller ends: the end with more pairs is dealt out in slices, so
-    that no task gets all partners of one set.
+    Of the ends of a pair, the one with more pairs waits and the other is sent to it; a set with very
+    many pairs waits in several slices.
     """
-    spark = docs.sparkSession
     degree = (
-        pairs.select(F.col("a").alias("uid")).unionByName(pairs.select(F.col("b").alias("uid")))
-        .groupBy("uid").agg(F.count("*").alias("degree"))
+        pairs.select(F.col("a").alias("uid"))
+        .unionByName(pairs.select(F.col("b").alias("uid")))
+        .groupBy("uid")
+        .agg(F.count("*").alias("degree"))
     )
-    ends = degree.withColumnRenamed("uid", "a").withColumnRenamed("degree", "da")
-    both = pairs.join(ends, "a").join(ends.select(F.col("a").alias("b"), F.col("da").alias("db")), "b")
-    first = F.col("da") >= F.col("db")
+    one = degree.select(F.col("uid").alias("a"), F.col("degree").alias("of_a"))
+    two = degree.select(F.col("uid").alias("b"), F.col("degree").alias("of_b"))
+    ends = pairs.join(one, "a").join(two, "b")
+    first = F.col("of_a") >= F.col("of_b")
     routes = staged(
-        both.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"),
-                    F.when(first, F.col("b")).otherwise(F.col("a")).alias("uid"))
-        .withColumn("slice", F.pmod(F.xxhash64("uid"), F.lit(1 << 20))
-                    ),
+        ends.select(
+            F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"),
+            F.when(first, F.col("b")).otherwise(F.col("a")).alias("uid"),
+        ),
         "routes",
     )
-    per_hub = routes.groupBy("hub").agg(F.count("*").alias("k"))
-    routes = routes.join(per_hub, "hub").withColumn("slices", F.ceil(F.col("k") / 256).cast("int"))
-    members = routes.select("uid", "hub", F.pmod("slice", "slices").cast("int").alias("slice"), F.lit(1).alias("role"))
-    hubs = per_hub.withColumn("slice", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("k") / 256) - 1).cast("int"))))
-    sides = hubs.select(F.col("hub").alias("uid"), "hub", "slice", F.lit(0).alias("role")).unionByName(members)
-    sides = staged(sides, "sides")
-    wanted = sides.select("uid").distinct().join(sets.filter("prefix is not null").select("uid", "set_key", "n"), "uid")
-    wanted = staged(wanted.select("uid", "set_key", "n"), "wanted")
-
-    # Bits of the wanted keys: a filter of fixed size, exact matching follows in the join.
-    def mark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << 23, bool)
-        for batch in batches:
-            bits[batch.column("slot").to_numpy()] = True
-        at = np.flatnonzero(bits)
-        for start in range(0, len(at), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(at[start : start + (1 << 16)])], names=["slot"])
-
-    slot = F.pmod(F.col("set_key"), F.lit(1 << 23)).alias("slot")
-    marks = np.zeros(1 << 23, bool)
-    slots = wanted.select(slot).mapInArrow(mark, "slot long").select(
-        F.floor(F.col("slot") / 4096).alias("page"), F.col("slot")
-    ).groupBy("page").agg(F.collect_set("slot").alias("slots"))
-    for row in slots.toLocalIterator():
-        marks[row["slots"]] = True
-    sent = spark.sparkContext.broadcast((np.packbits(marks), classes.value))
+    sizes = routes.groupBy("hub").agg(F.ceil(F.count("*") / 256).cast("int").alias("slices"))
+    members = routes.join(sizes, "hub").select(
+        "uid", "hub", F.pmod(F.xxhash64("uid"), F.col("slices")).cast("int").alias("slice"), F.lit(1).alias("role")
+    )
+    hubs = sizes.select(
+        F.col("hub").alias("uid"),
+        "hub",
+        F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
+        F.lit(0).alias("role"),
+    )
+    sides = hubs.unionByName(members)
+    named = sets.filter("prefix is not null").select("uid", "doc_id", "text_hash")
+    sides = staged(sides.join(named, "uid").withColumn("name", F.xxhash64("doc_id", "text_hash")), "sides")
 
     def rebuild(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed, held = sent.value
-        want = np.unpackbits(packed).view(bool)
         for batch in large_batches(batches):
-            rows = []
-            for numbers in text_sets(batch, held):
-                key = set_key(numbers)
-                if len(numbers) and want[key % (1 << 23)]:
-                    rows.append((key, len(numbers), numbers.tobytes()))
-            columns = list(zip(*rows, strict=True)) or [(), (), ()]
-            kinds = (pa.int64(), pa.int64(), pa.binary())
+            blobs = [numbers.tobytes() for numbers in text_sets(batch, classes.value)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["set_key", "n", "numbers"]
+                [batch.column("name"), pa.array(blobs, pa.binary())], names=["name", "numbers"]
             )
 
-    contents = docs.select("text").mapInArrow(rebuild, "set_key long, n long, numbers binary")
-    contents = contents.join(wanted, ["set_key", "n"]).dropDuplicates(["uid"]).select("uid", "numbers")
-
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, hub = None, None
         for batch in batches:
@@ -449,8 +458,10 @@ def _verified(docs: DataFrame, pairs: DataFrame, sets: DataFrame, classes) -> Da
             columns = list(zip(*found, strict=True)) or [(), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
 
+    texts = docs.select("text", F.xxhash64(F.col("doc_id").cast("bigint"), F.xxhash64("text")).alias("name"))
+    contents = only_marked(texts, "name", id_filter(sides, "name")).mapInArrow(rebuild, "name long, numbers binary")
     return staged(
-        sides.join(contents, "uid")
+        sides.join(contents, "name")
         .select("hub", "slice", "role", "uid", "numbers")
         .repartition("hub", "slice")
         .sortWithinPartitions("hub", "slice", "role")
@@ -471,10 +482,11 @@ def linked(docs: DataFrame) -> DataFrame:
 
     1. All shingles are counted in a table of fixed size, which gives an order: rare ones first.
     2. Sets that link share one of the first fifth of their shingles in that order. Rows of those
-       are grouped by shingle; what no other set has is gone. Groups with the same members are one.
-    3. In each group a signature tree finds the pairs that may link; they are checked on the whole
-       sets. Large groups first try their centres; what then is in one component is pruned when the
-       trees of the rest are traversed.
+       are grouped by shingle; what no other set has is gone.
+    3. Sets go to the neighbour with which they share most. There a signature tree finds the pairs
+       that may link, in large groups those with a centre; they are checked on the whole sets.
+    4. Shingles whose sets are not yet in one component get a tree of their own, whose traversal
+       prunes nodes within a component. So no link between components is missed.
 
     The checks compare 64-bit hashes of shingles, so a wrong result needs a collision.
     """
@@ -508,28 +520,27 @@ def linked(docs: DataFrame) -> DataFrame:
     )
     members = shared.join(same, "uid").select("token", F.col("canon").alias("uid"), "n").distinct()
     members = staged(members, "members")
-    # Shingles with the same sets are one group: the first of them stands for all.
-    named = members.groupBy("token").agg(F.count("*").alias("members"), F.bit_xor(F.xxhash64("uid")).alias("name"))
-    named = named.filter("members > 1").groupBy("members", "name").agg(F.min("token").alias("token"))
-    groups = members.join(named.select("token", "members"), "token")
     bits = sets.filter("prefix is not null").select("uid", "bits")
-    groups = staged(groups, "groups")
-    plain = groups.withColumn("component", F.lit(-1).cast("bigint")).join(bits, "uid")
-    links = _verified(docs, staged(_candidates(plain, False), "pairs"), sets, classes)
-
-    large = groups.filter(F.col("members") > SMALL_GROUP)
-    if not large.isEmpty():
-        roots = components(links)
-        placed = large.join(roots.withColumnRenamed("node", "uid"), "uid", "left").select(
-            "token", "uid", "n", F.coalesce("root", "uid").alias("component")
-        )
-        placed = staged(placed, "placed")
-        open_ones = placed.groupBy("token").agg(
-            F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
-        ).filter("low <> high").select("token", "members")
-        again = placed.join(open_ones, "token").join(bits, "uid")
-        more = _verified(docs, staged(_candidates(again, True), "pairs"), sets, classes)
-        links = links.unionByName(more)
+    near = staged(_candidates(_neighbourhoods(members).join(bits, "uid"), False), "pairs")
+    links = _verified(docs, near, sets, classes)
+    roots = components(links).withColumnRenamed("node", "uid")
+    placed = members.join(roots, "uid", "left").select(
+        "token", "uid", "n", F.coalesce("root", "uid").alias("component")
+    )
+    placed = staged(placed, "placed")
+    # Shingles whose sets are in one component are done. Those with the same sets are one group: the
+    # first of them stands for all.
+    named = placed.groupBy("token").agg(
+        F.count("*").alias("members"),
+        F.bit_xor(F.xxhash64("uid")).alias("name"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+    )
+    named = named.filter("low <> high").groupBy("members", "name").agg(F.min("token").alias("token"))
+    groups = placed.join(named.select("token", "members"), "token")
+    if not groups.isEmpty():
+        rest = staged(_candidates(_in_blocks(groups).join(bits, "uid"), True), "pairs")
+        links = links.unionByName(_verified(docs, rest, sets, classes))
     links = links.distinct()
     degree = (
         links.select(F.col("a").alias("canon")).unionByName(links.select(F.col("b").alias("canon")))
