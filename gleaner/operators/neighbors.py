@@ -178,6 +178,42 @@ def nearest_matches(
     return reps, best
 
 
+def collapse_copies(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows with the smallest id of each text, read without case and with single spaces.
+
+    Ids are compared within a task before they are shuffled. Null counts as the empty text.
+    """
+    plain = F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[ \t\n\r\f\x0B]+", " "))
+    first = df.groupBy(F.sha2(plain, 256)).agg(F.min(id_col).alias(id_col)).select(id_col)
+    return df.join(first, id_col, "left_semi")
+
+
+def nearest_rows(
+    df: DataFrame,
+    id_col: str,
+    vector_col: str,
+    threshold: float,
+    block_rows: int | None = None,
+) -> DataFrame:
+    """The nearest partner at or above the threshold of every row: ``id, match_id, similarity``.
+
+    Copies beyond the first have the first one, at similarity 1, unless a smaller id is as near.
+    """
+    reps, best = nearest_matches(df, id_col, vector_col, threshold, block_rows)
+    rows = _packed(df, id_col, vector_col).filter("packed IS NOT NULL")
+    first = reps.filter("packed IS NOT NULL").select(F.col("id").alias("first"), "packed")
+    copies = rows.withColumn("h", F.xxhash64("packed")).join(
+        first.withColumn("h", F.xxhash64("packed")), ["h", "packed"]
+    )
+    copies = copies.filter(F.col("id") > F.col("first")).select("id", "first")
+    near = best.select(F.col("id").alias("first"), "match_id", F.col("similarity").alias("s"))
+    as_near = F.when(F.col("s") >= 1.0, F.least("first", "match_id")).otherwise(F.col("first"))
+    others = copies.join(near, "first", "left").select(
+        "id", as_near.alias("match_id"), F.lit(1.0).alias("similarity")
+    )
+    return best.unionByName(others)
+
+
 def kept_ids(
     df: DataFrame,
     id_col: str,

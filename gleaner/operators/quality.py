@@ -215,6 +215,33 @@ def conversation_facts(
     )
 
 
+def rejection_reason(fact: Callable[[str], Column], filters: QualityFilters) -> Column:
+    """The first check that a conversation fails, in the order of the filter; null if it passes all."""
+    turns, total = turn_count(fact("n_messages")), fact("total_tokens")
+    ratio = balance_ratio(fact("user_tokens"), fact("assistant_tokens"))
+    checks = {
+        "turns": turns.between(filters.min_turns, filters.max_turns),
+        "incomplete": fact("complete"),
+        "first_role": fact("starts_with_user"),
+        "roles": fact("roles_allowed"),
+        "total_tokens": total.between(filters.min_total_tokens, filters.max_total_tokens),
+        "message_tokens": (fact("fewest_tokens") >= filters.min_tokens_per_turn)
+        & (fact("most_tokens") <= filters.max_tokens_per_turn),
+        "refusal": ~fact("refused"),
+        "balance": ratio.isNull() | (ratio <= filters.balanced_conversation_ratio),
+    }
+    reason = F.lit(None).cast("string")
+    for name, passed in reversed(checks.items()):
+        reason = F.when(~F.coalesce(passed, F.lit(False)), F.lit(name)).otherwise(reason)
+    return reason
+
+
+def rejection_funnel(turns: DataFrame, filters: QualityFilters, **options) -> DataFrame:
+    """``reason, n``: conversations by the first check they fail; those that pass have a null reason."""
+    facts = conversation_facts(turns, filters, **options)
+    return facts.groupBy(rejection_reason(F.col, filters).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def judge_conversations(turns: DataFrame, filters: QualityFilters, **options) -> DataFrame:
     """Facts of every conversation with a ``passes`` flag."""
     facts = conversation_facts(turns, filters, **options)

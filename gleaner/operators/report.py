@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.scores import as_percent, reduction
 
-EMPTY_NOTE = "All samples were filtered out. Consider adjusting quality filter thresholds."
+EMPTY_NOTE = "No row passed the filters; looser thresholds would keep some."
 
 
 def score_stats(scored: DataFrame, score: str = "final_score") -> DataFrame:

@@ -38,6 +38,24 @@ def join_scores(df: DataFrame, scores: DataFrame, id_col: str, *columns: str) ->
     return df.join(scores.select(id_col, *columns), id_col, "left")
 
 
+def in_band(df: DataFrame, low: float, high: float, score: str = "learning_value") -> DataFrame:
+    """Rows whose score lies in the band, ends included; a null score is outside."""
+    return df.filter(F.col(score).between(low, high))
+
+
+def most_per_group(
+    df: DataFrame, most: int, group: str, score: str = "final_score", id_col: str = "sample_id"
+) -> DataFrame:
+    """At most ``most`` rows of each group, the best by score, ties to the smaller id.
+
+    The limit is applied before the shuffle too, so of a large group a task sends ``most`` rows.
+    """
+    if most < 1:
+        raise ValueError("most must be at least 1")
+    order = Window.partitionBy(group).orderBy(F.desc(score), F.asc(id_col))
+    return df.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= most).drop("_nth")
+
+
 def take_ranked(
     df: DataFrame, order: Sequence[Column], k: int, out: str = "rank", small_k: int = SMALL_K
 ) -> DataFrame:

@@ -24,16 +24,17 @@ from gleaner.functions.vectors import cosine, mean_pool, norm, unit
 from gleaner.operators.compare import compare_texts
 from gleaner.operators.features import hashed_vectors, packed_vectors
 from gleaner.operators.language_model import fit, mean_nll, normalised, with_perplexity
-from gleaner.operators.neighbors import kept_ids, nearest_matches
+from gleaner.operators.neighbors import collapse_copies, kept_ids, nearest_matches, nearest_rows
 from gleaner.operators.quality import (
     conversation_facts,
     judge_conversations,
     matches_refusal,
     passes_quality,
+    rejection_funnel as funnel,
     turn_count,
 )
 from gleaner.operators.report import score_stats, stage_counts
-from gleaner.operators.select import combine_scores, join_scores, random_sample, top_k
+from gleaner.operators.select import combine_scores, in_band, join_scores, most_per_group, random_sample, top_k
 from gleaner.plans.curate import CurationResult, curate, curate_turns
 from gleaner.sources.normalize import alpaca_messages, assemble_turns, to_messages
 from gleaner.sources.readers import parse_records, read_dataset, read_jsonl
@@ -54,6 +55,7 @@ TOP_K = 25
 # Phrases that do occur in the test conversations, in other letter case, after the preset ones.
 EXTRA_PHRASES = ("ÉTION", "that WITH", r"und\s+Die")
 TOKEN_BUDGET = 200
+MOST_SIMILAR = 5
 
 QUERIES: dict[str, Query] = {}
 
@@ -119,7 +121,6 @@ def assemble_messages(spark, folder):
     built = assemble_turns(conversations(spark, folder))
     return built.select(
         "conv_id",
-        "part",
         F.size("messages").cast("bigint").alias("n_messages"),
         F.array_join("messages.role", ",").alias("roles"),
         text_md5(F.array_join("messages.content", "\n")).alias("content_md5"),
@@ -184,10 +185,9 @@ def dataset_split(spark, folder):
 def _render(template: ChatTemplate) -> Query:
     def run(spark, folder):
         built = assemble_turns(conversations(spark, folder))
-        rendered = built.select("conv_id", "part", template.render(F.col("messages")).alias("t"))
+        rendered = built.select("conv_id", template.render(F.col("messages")).alias("t"))
         return rendered.select(
             "conv_id",
-            "part",
             F.length("t").cast("bigint").alias("n_chars"),
             text_md5(F.col("t")).alias("text_md5"),
         )
@@ -441,6 +441,13 @@ def nearest_vectors(spark, folder):
     return best.select("id", "match_id", F.round("similarity", 6).alias("similarity"))
 
 
+@query
+def nearest_documents(spark, folder):
+    vectors = packed_vectors(documents(spark, folder), F.col("text"), "doc_id")
+    best = nearest_rows(vectors, "doc_id", "vector", DOCUMENT_THRESHOLD)
+    return best.select("id", "match_id", F.round("similarity", 6).alias("similarity"))
+
+
 @query
 def dedup_documents(spark, folder):
     vectors = packed_vectors(documents(spark, folder), F.col("text"), "doc_id")
@@ -617,6 +624,31 @@ def reduction_ratio(spark, folder):
     return counts.select("before", "after", as_percent(share).alias("reduction_percentage"))
 
 
+@query
+def exact_dedup(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "lang", "text")
+    return collapse_copies(docs, "doc_id", "text").select("doc_id", "lang")
+
+
+@query
+def rejection_funnel(spark, folder):
+    return funnel(conversations(spark, folder), INSTRUCT.quality_filters)
+
+
+@query
+def perplexity_band(spark, folder):
+    return _rounded(in_band(_scored(spark, folder), 0.4, 0.9), "learning_value").select(
+        "conv_id", "learning_value"
+    )
+
+
+@query
+def max_similar(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "source")
+    scored = docs.withColumn("final_score", random_score(F.col("doc_id")))
+    return most_per_group(scored, MOST_SIMILAR, "source", id_col="doc_id").select("doc_id", "source")
+
+
 # ---- whole runs
 
 

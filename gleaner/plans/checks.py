@@ -9,6 +9,7 @@ from gleaner.plans.catalog import (
     DOCUMENT_THRESHOLD,
     EXTRA_PHRASES,
     INSTRUCT,
+    MOST_SIMILAR,
     OPTIMIZED,
     RUN,
     TOKEN_BUDGET,
@@ -16,7 +17,6 @@ from gleaner.plans.catalog import (
     VECTOR_THRESHOLD,
     WIDE,
 )
-from gleaner.sources.normalize import PART_TURNS
 
 PATTERN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\t\n\x0B\f\r ]"
 
@@ -251,10 +251,10 @@ FROM scored QUALIFY rank <= {TOP_K}"""
 
 def render_sql(template: ChatTemplate) -> str:
     return f"""
-SELECT conv_id, part, length(t) AS n_chars, md5(t) AS text_md5
-FROM (SELECT conv_id, turn // {PART_TURNS} AS part, {text(template.bos)} ||
+SELECT conv_id, length(t) AS n_chars, md5(t) AS text_md5
+FROM (SELECT conv_id, {text(template.bos)} ||
         string_agg({wrapped(template, 'role', 'text')}, '' ORDER BY turn) AS t
-      FROM conversations GROUP BY 1, 2)"""
+      FROM conversations GROUP BY 1)"""
 
 
 def header_context() -> str:
@@ -296,12 +296,13 @@ def oracles() -> dict[str, str]:
         + wrapped(HEADER, "'assistant'", "output")
     )
     f_wide, f_base = WIDE.quality_filters, BASE.quality_filters
+    f_instruct = INSTRUCT.quality_filters
     out = {
         "assemble_messages": f"""
-SELECT conv_id, turn // {PART_TURNS} AS part, count(*) AS n_messages,
+SELECT conv_id, count(*) AS n_messages,
        string_agg(role, ',' ORDER BY turn) AS roles,
        md5(string_agg(text, chr(10) ORDER BY turn)) AS content_md5
-FROM conversations GROUP BY 1, 2""",
+FROM conversations GROUP BY 1""",
         "alpaca_to_messages": f"""
 WITH {EXCHANGES}
 SELECT conv_id || ':' || turn AS key, 'user,assistant' AS roles,
@@ -399,6 +400,9 @@ WITH {SIMILAR_VECTORS}, {removed_sql(VECTOR_THRESHOLD)}
 SELECT vec_id FROM embeddings WHERE vec_id NOT IN (SELECT id FROM removed)""",
         "nearest_vectors": f"""
 WITH {SIMILAR_VECTORS}, {removed_sql(VECTOR_THRESHOLD)}
+SELECT i AS id, j AS match_id, round(s, 6) AS similarity FROM nearest""",
+        "nearest_documents": f"""
+WITH {buckets_sql('documents', 'doc_id', 'text', 512)}, {SIMILAR_BUCKETS}, {removed_sql(DOCUMENT_THRESHOLD)}
 SELECT i AS id, j AS match_id, round(s, 6) AS similarity FROM nearest""",
         "dedup_documents": f"""
 WITH {buckets_sql('documents', 'doc_id', 'text', 512)}, {SIMILAR_BUCKETS}, {removed_sql(DOCUMENT_THRESHOLD)}
@@ -464,6 +468,28 @@ WITH {EXCHANGES}
 SELECT conv_id, turn, round(length(output) / (1.0::DOUBLE + length({chat_context})), 6) AS mean_nll
 FROM asked""",
         "compare_with_baseline": ab_sql(),
+        "exact_dedup": r"""
+SELECT min(doc_id) AS doc_id, arg_min(lang, doc_id) AS lang FROM documents
+GROUP BY trim(regexp_replace(lower(coalesce(text, '')), '[ \t\n\r\f\x0B]+', ' ', 'g'))""",
+        "rejection_funnel": f"""
+WITH {facts_sql(f_instruct)}
+SELECT CASE WHEN n_messages // 2 NOT BETWEEN {f_instruct.min_turns} AND {f_instruct.max_turns} THEN 'turns'
+            WHEN NOT starts_with_user THEN 'first_role' WHEN NOT roles_allowed THEN 'roles'
+            WHEN total_tokens NOT BETWEEN {f_instruct.min_total_tokens} AND {f_instruct.max_total_tokens}
+              THEN 'total_tokens'
+            WHEN fewest_tokens < {f_instruct.min_tokens_per_turn}
+              OR most_tokens > {f_instruct.max_tokens_per_turn} THEN 'message_tokens'
+            WHEN refused THEN 'refusal'
+            WHEN user_tokens > 0 AND assistant_tokens > 0
+              AND abs(user_tokens - assistant_tokens)::DOUBLE / (user_tokens + assistant_tokens)
+                > {f_instruct.balanced_conversation_ratio}::DOUBLE THEN 'balance' END AS reason,
+       count(*) AS n FROM facts GROUP BY 1""",
+        "perplexity_band": f"""
+WITH {SCORED} SELECT conv_id, round(learning_value, 6) AS learning_value FROM scored
+WHERE learning_value BETWEEN 0.4 AND 0.9""",
+        "max_similar": f"""
+SELECT doc_id, source FROM documents
+QUALIFY row_number() OVER (PARTITION BY source ORDER BY {learning('doc_id')} DESC, doc_id) <= {MOST_SIMILAR}""",
         "reduction_ratio": f"""
 WITH {facts_sql(f_wide)},
 c AS (SELECT count(*) AS before, count(*) FILTER ({passes_sql(f_wide)}) AS after FROM facts)
@@ -486,7 +512,7 @@ WITH {EXCHANGES}
 SELECT '{OPTIMIZED.name}' AS config_used, count(*) AS original_size,
        0::BIGINT AS size_after_quality_filter, 0::BIGINT AS size_after_deduplication,
        0::BIGINT AS optimized_size, '100.00%' AS reduction_percentage,
-       'All samples were filtered out. Consider adjusting quality filter thresholds.' AS note,
+       'No row passed the filters; looser thresholds would keep some.' AS note,
        NULL::DOUBLE AS score_mean, NULL::DOUBLE AS score_std,
        NULL::DOUBLE AS score_min, NULL::DOUBLE AS score_max FROM asked""",
     }

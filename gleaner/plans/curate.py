@@ -20,7 +20,7 @@ from gleaner.operators.neighbors import kept_ids
 from gleaner.operators.quality import judge_conversations, passes_quality
 from gleaner.operators.report import build_report, score_stats
 from gleaner.operators.select import SMALL_K, combine_scores, random_sample, top_k
-from gleaner.sources.normalize import assemble_bounded
+from gleaner.sources.normalize import assemble_turns
 from gleaner.sources.readers import read_dataset, read_jsonl
 from gleaner.sources.writers import write_jsonl, write_report
 from gleaner.stage import staged
@@ -140,7 +140,7 @@ def curate_turns(
         F.coalesce(F.sum("n_messages"), F.lit(0)), F.count(F.lit(1))
     ).first()
     light = without_giants(turns, judged, turn_id, total)
-    bounded = assemble_bounded(light.join(ids, turn_id, "left_semi"), turn_id)
+    bounded = assemble_turns(light.join(ids, turn_id, "left_semi"), turn_id)
     filtered = staged(bounded.withColumnRenamed(turn_id, run.id_col), "filtered")
 
     def baseline(n: int) -> DataFrame:

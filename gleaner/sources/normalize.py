@@ -11,9 +11,6 @@ MESSAGE = T.StructType(
 )
 MESSAGES = T.ArrayType(MESSAGE)
 
-# A conversation longer than this is assembled in several parts, so no row grows without bound.
-PART_TURNS = 4096
-
 
 def _is_message_list(kind: T.DataType) -> bool:
     if not isinstance(kind, T.ArrayType) or not isinstance(kind.elementType, T.StructType):
@@ -89,24 +86,10 @@ def assemble_turns(
     turn_col: str = "turn",
     role_col: str = "role",
     text_col: str = "text",
-    part_turns: int = PART_TURNS,
 ) -> DataFrame:
-    """Flat turn rows to ``messages``, one row per conversation and part.
+    """Flat turn rows to ``messages``, one row per conversation whatever its turn numbers are.
 
-    A part covers ``part_turns`` consecutive turn numbers; almost every conversation has part 0 only.
+    A conversation is one row, so its turns meet in one task. ``curate_turns`` judges conversations
+    first and assembles only those that pass, which the filter keeps short.
     """
-    part = F.floor(F.col(turn_col) / F.lit(part_turns)).cast("bigint").alias("part")
-    return turns.groupBy(F.col(id_col), part).agg(
-        _gather(turn_col, role_col, text_col).alias("messages")
-    )
-
-
-def assemble_bounded(
-    turns: DataFrame,
-    id_col: str = "conv_id",
-    turn_col: str = "turn",
-    role_col: str = "role",
-    text_col: str = "text",
-) -> DataFrame:
-    """One row per conversation. Only for turns already limited to a few per conversation."""
     return turns.groupBy(id_col).agg(_gather(turn_col, role_col, text_col).alias("messages"))

@@ -53,7 +53,7 @@ def test_jsonl_positions_follow_the_file(spark, tmp_path):
     path = tmp_path / "rows.jsonl"
     path.write_text(
         "".join(
-            json.dumps({"instruction": f"Question {i}: What is {i} + {i}?", "response": f"The answer is {2 * i}."})
+            json.dumps({"instruction": f"Row {i} asks for a name.", "response": f"Name it item-{i}."})
             + "\n"
             for i in range(500)
         )
@@ -65,7 +65,7 @@ def test_jsonl_positions_follow_the_file(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert sorted(r["sample_id"] for r in rows) == list(range(500))
     for r in rows:
-        assert r["messages"][0]["content"].startswith(f"Question {r['sample_id']}:")
+        assert r["messages"][0]["content"].startswith(f"Row {r['sample_id']} ")
 
 
 def test_columns_that_appear_late_in_a_file(spark, tmp_path):
@@ -122,13 +122,12 @@ def test_records_in_a_text_column(spark):
     assert (row["k"], row["instruction"], row["output"], row["input"]) == (1, "Q", "A", None)
 
 
-def test_turn_rows_in_parts(spark):
-    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"m{t}") for t in range(7)]
+@pytest.mark.parametrize("turns", [range(5000), (1700000000, 1700009000)])
+def test_a_conversation_is_one_row(spark, turns):
+    rows = [(1, t, "user" if k % 2 == 0 else "assistant", f"m{t}") for k, t in enumerate(turns)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
     whole = assemble_turns(df).collect()
-    assert len(whole) == 1 and [m["content"] for m in whole[0]["messages"]] == [f"m{t}" for t in range(7)]
-    parts = {r["part"]: [m["content"] for m in r["messages"]] for r in assemble_turns(df, part_turns=3).collect()}
-    assert parts == {0: ["m0", "m1", "m2"], 1: ["m3", "m4", "m5"], 2: ["m6"]}
+    assert len(whole) == 1 and [m["content"] for m in whole[0]["messages"]] == [f"m{t}" for t in turns]
 
 
 def test_presets_and_yaml(tmp_path):
