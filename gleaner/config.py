@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 from dataclasses import dataclass, fields, replace
 from typing import Any
@@ -111,9 +112,20 @@ class Deduplication:
     similarity_threshold: float
     method: str = "hashed"
     dims: int = 512
+    # The text that is compared: the messages' contents, or the conversation as the template renders it.
+    text: str = "content"
+    # Whether rare words weigh more.
+    idf: bool = True
 
     def __post_init__(self):
+        if self.text not in ("content", "rendered"):
+            raise ValueError("deduplication compares the 'content' or the 'rendered' text")
         if self.method in ENCODER_METHODS:
+            warnings.warn(
+                f"{self.method} is a neural encoder: unless a run has a vector column or an encoder, hashed "
+                "word counts take its place, for which its threshold was not made",
+                stacklevel=2,
+            )
             object.__setattr__(self, "method", "hashed")
         if self.method not in ("hashed", "column", "udf"):
             raise ValueError(f"unknown deduplication method: {self.method}")

@@ -8,10 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.tokens import tokens
+from gleaner.stage import staged
 
 # Hex digits of a word's md5 that choose its bucket.
 CODE_DIGITS = 4
 MAX_DIMS = 16**CODE_DIGITS
+# Cells of the count matrix that are worked on at a time.
+TILE_CELLS = 1 << 22
 
 
 def word_codes(text: Column) -> Column:
@@ -24,7 +27,13 @@ def word_codes(text: Column) -> Column:
 
 
 def _bucket_counts(codes: pa.Array, dims: int) -> np.ndarray:
-    """Count matrix, one row per text."""
+    """Count matrix, one row per text. Only a tile of rows is counted in wide numbers at a time."""
+    rows = max(1, TILE_CELLS // dims)
+    tiles = [_tile_counts(codes.slice(at, rows), dims) for at in range(0, len(codes), rows)]
+    return np.concatenate(tiles) if tiles else np.zeros((0, dims), np.float32)
+
+
+def _tile_counts(codes: pa.Array, dims: int) -> np.ndarray:
     n = len(codes)
     lengths = np.array([0 if c is None else len(c) for c in codes.to_pylist()], dtype=np.int64)
     digits = np.frombuffer("".join(codes.drop_null().to_pylist()).encode("ascii"), dtype=np.uint8)
@@ -77,22 +86,52 @@ def hashed_vectors(
     counted = df.select(id_col, count_vector(text, dims).alias("vector"))
     if not idf:
         return counted
-    weights = idf_weights(counted, dims)
-    table = F.array(*[F.lit(float(w)) for w in weights])
+    counted = staged(counted, "counts")
+    table = F.array(*[F.lit(float(w)) for w in idf_weights(counted, dims)])
     return counted.select(id_col, F.zip_with("vector", table, lambda x, w: x * w).alias("vector"))
 
 
-def packed_vectors(df: DataFrame, text: Column, id_col: str, dims: int = 512) -> DataFrame:
-    """``hashed_vectors`` without weights, packed for ``neighbors``."""
-    return df.select(id_col, packed_count_vector(text, dims).alias("vector"))
+def packed_vectors(df: DataFrame, text: Column, id_col: str, dims: int = 512, idf: bool = False) -> DataFrame:
+    """``hashed_vectors`` packed for ``neighbors``.
+
+    Here a weight is at least 1, so texts that consist of words all rows have keep a direction.
+    """
+    counted = df.select(id_col, packed_count_vector(text, dims).alias("vector"))
+    if not idf:
+        return counted
+    counted = staged(counted, "counts")
+    weights = (1 + np.array(idf_weights(counted, dims))).astype(np.float32)
+
+    @F.arrow_udf("binary")
+    def weigh(packed: pa.Array) -> pa.Array:
+        rows = packed.to_pylist()
+        return pa.array(
+            [None if r is None else (np.frombuffer(r, np.float32) * weights).tobytes() for r in rows], pa.binary()
+        )
+
+    return counted.select(id_col, weigh("vector").alias("vector"))
 
 
 def idf_weights(counted: DataFrame, dims: int) -> list[float]:
-    """``ln((n + 1) / (df + 1))`` per bucket. The driver receives ``dims`` numbers."""
-    n = counted.count()
-    present = counted.select(F.posexplode("vector").alias("bucket", "x")).filter("x > 0")
-    rows = present.groupBy("bucket").count().collect()
+    """``ln((n + 1) / (df + 1))`` per bucket. Presence is summed per task; the driver receives ``dims`` numbers."""
+    packed = counted.schema["vector"].dataType.typeName() == "binary"
+
+    def present(batches):
+        seen = np.zeros(dims, np.int64)
+        for batch in batches:
+            column = batch.column("vector")
+            for at in range(0, len(column), max(1, TILE_CELLS // dims)):
+                part = column.slice(at, max(1, TILE_CELLS // dims)).drop_null()
+                if packed:
+                    values = np.frombuffer(b"".join(part.to_pylist()), np.float32)
+                else:
+                    values = part.flatten().to_numpy(zero_copy_only=False)
+                seen += (values.reshape(-1, dims) > 0).sum(axis=0)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], names=["bucket", "n"])
+
+    rows = counted.select("vector").mapInArrow(present, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     seen = np.zeros(dims)
-    for row in rows:
-        seen[row["bucket"]] = row["count"]
-    return list(np.log((n + 1) / (seen + 1)))
+    for row in rows.collect():
+        seen[row["bucket"]] = row["n"]
+    return list(np.log((counted.count() + 1) / (seen + 1)))

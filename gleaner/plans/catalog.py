@@ -394,9 +394,9 @@ def hashed_features(spark, folder):
 @query
 def hashed_features_idf(spark, folder):
     vectors = hashed_vectors(
-        documents(spark, folder).filter("n_chars > 0"), F.col("text"), "doc_id", dims=64, idf=True
+        documents(spark, folder), F.col("text"), "doc_id", dims=64, idf=True
     )
-    return vectors.select("doc_id", F.round(norm(F.col("vector")), 3).alias("length"))
+    return vectors.select("doc_id", F.round(norm(F.col("vector")), 6).alias("length"))
 
 
 @query
@@ -474,7 +474,7 @@ def user_encoder_dedup(spark, folder):
 
         return encode
 
-    docs = documents(spark, folder).filter(F.length("text") > 0)
+    docs = documents(spark, folder)
     vectors = docs.select("doc_id", encoder(load)(F.col("text")).alias("vector"))
     return kept_ids(vectors, "doc_id", "vector", 0.9999)
 
@@ -701,6 +701,15 @@ def curation_report(spark, folder):
     return _report_row(_curated(spark, folder))
 
 
+@query
+def curate_exchanges(spark, folder):
+    """Rows with text ids, deduplicated."""
+    rows = exchange_messages(spark, folder).select(
+        F.concat_ws(":", "conv_id", "turn").alias("sample_id"), "messages"
+    )
+    return _selection(curate(rows, RUN, TOP_K)).drop("n_messages")
+
+
 @query
 def empty_run_report(spark, folder):
     """Each exchange alone is one turn, which the strict preset does not take: nothing is left."""

@@ -118,6 +118,16 @@ buckets AS (
   FROM (SELECT {key}, unnest({words(f'lower({column})')}) AS w FROM {source}) GROUP BY 1, 2)"""
 
 
+def weighted_sql(source: str, key: str, column: str, dims: int) -> str:
+    """``buckets`` with counts weighted by the rarity of the bucket."""
+    raw = buckets_sql(source, key, column, dims).replace("buckets AS", "counts AS")
+    return f"""{raw},
+rarity AS (
+  SELECT bucket, 1 + ln((SELECT count(*) FROM {source}) + 1.0::DOUBLE) - ln(count(*) + 1.0::DOUBLE) AS w
+  FROM counts GROUP BY bucket),
+buckets AS (SELECT id, bucket, c * w AS c FROM counts JOIN rarity USING (bucket))"""
+
+
 def removed_sql(threshold: float) -> str:
     """``removed`` from ``alike`` (i, j, s: both directions)."""
     return f"""
@@ -195,18 +205,17 @@ last_turns AS (
 def run_sql(dedup: bool = True, by_perplexity: bool = False) -> str:
     """CTEs of a whole run up to ``scored``."""
     f = RUN.quality_filters
-    chat = wrapped(CHATML, "role", "text")
     parts = [
         facts_sql(f),
         f"passed AS (SELECT conv_id, n_messages FROM facts WHERE {passes_sql(f)})",
         f"""
-rendered AS (
-  SELECT conv_id, string_agg({chat}, '' ORDER BY turn) AS t
+contents AS (
+  SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS t
   FROM conversations JOIN passed USING (conv_id) GROUP BY conv_id)""",
     ]
     if dedup:
         parts += [
-            buckets_sql("rendered", "conv_id", "t", RUN.deduplication.dims),
+            weighted_sql("contents", "conv_id", "t", RUN.deduplication.dims),
             SIMILAR_BUCKETS,
             removed_sql(RUN.deduplication.similarity_threshold),
             "kept AS (SELECT * FROM passed WHERE conv_id NOT IN (SELECT id FROM removed))",
@@ -507,6 +516,20 @@ SELECT '{RUN.name}' AS config_used, o AS original_size, p AS size_after_quality_
        printf('%.2f%%', 100.0 * (o - n) / o) AS reduction_percentage, NULL::VARCHAR AS note,
        round(a, 6) AS score_mean, round(s, 6) AS score_std, round(lo, 6) AS score_min,
        round(hi, 6) AS score_max FROM sizes""",
+        "curate_exchanges": f"""
+WITH {EXCHANGES},
+counted AS (SELECT conv_id || ':' || turn AS sample_id, output, question, {n_tokens('question')} AS u,
+                   {n_tokens('output')} AS a, {n_tokens(chat_pair)} AS total FROM asked),
+passed AS (SELECT sample_id, question || chr(10) || output AS t FROM counted WHERE {exchange_passes(RUN.quality_filters)}),
+{weighted_sql('passed', 'sample_id', 't', RUN.deduplication.dims)},
+{SIMILAR_BUCKETS},
+{removed_sql(RUN.deduplication.similarity_threshold)},
+valued AS (SELECT sample_id, {learning('sample_id')} AS learning_value FROM passed
+           WHERE sample_id NOT IN (SELECT id FROM removed)),
+scored AS (SELECT *, {final_score(RUN, 'learning_value')} AS final_score FROM valued)
+SELECT sample_id, round(learning_value, 6) AS learning_value, round(final_score, 6) AS final_score,
+       row_number() OVER (ORDER BY final_score DESC, sample_id) AS rank
+FROM scored QUALIFY rank <= {TOP_K}""",
         "empty_run_report": f"""
 WITH {EXCHANGES}
 SELECT '{OPTIMIZED.name}' AS config_used, count(*) AS original_size,
@@ -523,17 +546,17 @@ SELECT '{OPTIMIZED.name}' AS config_used, count(*) AS original_size,
         f"(length(lower(text)) - length(replace(lower(text), '{c}', '')))::DOUBLE" for c in letters
     )
     out["user_encoder_dedup"] = f"""
-WITH v AS (SELECT doc_id, [{counts}] AS e FROM documents WHERE length(text) > 0),
+WITH v AS (SELECT doc_id, [{counts}] AS e FROM documents),
 alike AS (SELECT a.doc_id AS i, b.doc_id AS j, round(list_cosine_similarity(a.e, b.e), 9) AS s
             FROM v a JOIN v b ON a.doc_id <> b.doc_id
             WHERE list_sum(a.e) > 0 AND list_sum(b.e) > 0),
 {removed_sql(0.9999)}
 SELECT doc_id FROM v WHERE doc_id NOT IN (SELECT id FROM removed)"""
     out["hashed_features_idf"] = f"""
-WITH d AS (SELECT doc_id, text FROM documents WHERE n_chars > 0),
+WITH d AS (SELECT doc_id, text FROM documents),
 {buckets_sql('d', 'doc_id', 'text', 64)},
 w AS (SELECT bucket, ln((SELECT count(*) FROM d) + 1.0::DOUBLE) - ln(count(*) + 1.0::DOUBLE) AS idf
       FROM buckets GROUP BY bucket)
-SELECT doc_id, round(sqrt(coalesce(sum((c * idf) * (c * idf)), 0)), 3) AS length
+SELECT doc_id, round(sqrt(coalesce(sum((c * idf) * (c * idf)), 0)), 6) AS length
 FROM d LEFT JOIN buckets ON id = doc_id LEFT JOIN w USING (bucket) GROUP BY doc_id"""
     return out

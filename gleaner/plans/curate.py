@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleaner.config import CurationConfig, load_config
 from gleaner.functions.plugins import message_counter, token_counter
@@ -168,6 +169,7 @@ def _finish(
     k: int,
     run: RunOptions,
 ) -> CurationResult:
+    check_ids(filtered, run.id_col)
     filtered_size = filtered.count()
     kept = filtered
     if not run.skip_deduplication and filtered_size > 0:
@@ -208,16 +210,36 @@ def _finish(
 def deduplicate(df: DataFrame, config: CurationConfig, run: RunOptions) -> DataFrame:
     """Ids that survive near-duplicate removal under the configured kind of vector."""
     settings = config.deduplication
-    text = run.template.render(F.col("messages"))
+    whole = isinstance(df.schema[run.id_col].dataType, T.IntegralType)
+    rows, id_col = (df, run.id_col) if whole else _numbered(df, run.id_col)
+    if settings.text == "rendered":
+        text = run.template.render(F.col("messages"))
+    else:
+        text = F.array_join("messages.content", "\n")
     if run.vector_col is not None:
-        vectors = df.select(run.id_col, F.col(run.vector_col).alias("vector"))
+        vectors = rows.select(id_col, F.col(run.vector_col).alias("vector"))
     elif run.encoder is not None:
-        vectors = df.select(run.id_col, run.encoder(text).alias("vector"))
+        vectors = rows.select(id_col, run.encoder(text).alias("vector"))
     elif settings.method == "hashed":
-        vectors = packed_vectors(df, text, run.id_col, settings.dims)
+        vectors = packed_vectors(rows, text, id_col, settings.dims, settings.idf)
     else:
         raise ValueError(f"method {settings.method} needs a vector column or an encoder")
-    return kept_ids(vectors, run.id_col, "vector", settings.similarity_threshold)
+    kept = kept_ids(vectors, id_col, "vector", settings.similarity_threshold)
+    return kept if whole else rows.select(id_col, run.id_col).join(kept, id_col).select(run.id_col)
+
+
+def _numbered(df: DataFrame, id_col: str) -> tuple[DataFrame, str]:
+    """Put a number beside ids of another type, in their order; written, so it never changes."""
+    ids = df.select(id_col).repartitionByRange(id_col).sortWithinPartitions(id_col)
+    numbers = staged(ids.withColumn("_number", F.monotonically_increasing_id()), "numbers")
+    return df.join(numbers, id_col), "_number"
+
+
+def check_ids(df: DataFrame, id_col: str) -> None:
+    """Stop if an id is missing or repeated: rows are matched by it."""
+    bad = df.groupBy(id_col).count().filter(F.col(id_col).isNull() | (F.col("count") > 1)).first()
+    if bad is not None:
+        raise ValueError(f"{id_col} must be unique and not null; {bad[0]!r} occurs {bad[1]} times")
 
 
 def learning_value(df: DataFrame, run: RunOptions, extra: list[str]) -> DataFrame:
@@ -293,9 +315,7 @@ class Curator:
         if fmt is None and dataset_path.endswith(".jsonl"):
             df = read_jsonl(self.spark, dataset_path, id_col=id_col)
         else:
-            if id_col is None:
-                raise ValueError("name the id column of a dataset that is not JSON lines")
-            df = read_dataset(self.spark, dataset_path, fmt, id_col=id_col)
+            df = read_dataset(self.spark, dataset_path, fmt, id_col=id_col, number=id_col is None)
         result = curate(
             df,
             settings,

@@ -77,13 +77,18 @@ def read_dataset(
     split: str | None = "train",
     split_col: str = "split",
     id_col: str | None = None,
+    number: bool = False,
     **options: str,
 ) -> DataFrame:
     """A path in any Spark format, or a catalog table when no format is given.
 
-    Where the data has a split column, only the rows of ``split`` are read.
+    Where the data has a split column, only the rows of ``split`` are read. ``number`` gives every row
+    of a file source ``sample_id``, its position over all splits.
     """
     raw = spark.read.options(**options).format(fmt).load(source) if fmt else spark.table(source)
+    if number:
+        _check_name(raw.schema, id_col)
+        raw, id_col = with_positions(raw), "sample_id"
     if split is not None and split_col in raw.columns:
         raw = raw.filter(F.col(split_col) == split)
     return to_messages(raw, id_col)
