@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A run of letters and digits, or one other visible character. Blank characters are spelled out
+# Scripts written without spaces between words: each of their letters is a token.
+UNSPACED = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
+_UNSPACED = "".join(rf"\p{{Is{name}}}" for name in UNSPACED)
+# Else a run of letters and digits, or one other visible character. Blank characters are spelled out
 # because regex engines disagree on what \s covers. Naming the ASCII ranges first and never giving
 # back part of a run only makes the search faster.
-TOKEN_PATTERN = r"[a-zA-Z0-9\p{L}\p{N}]++|[^\p{L}\p{N}\t\n\x0B\f\r ]"
+TOKEN_PATTERN = (
+    rf"[a-zA-Z0-9[\p{{L}}\p{{N}}&&[^{_UNSPACED}]]]++|[{_UNSPACED}&&[\p{{L}}\p{{N}}]]|"
+    r"[^\p{L}\p{N}\t\n\x0B\f\r ]"
+)
 
 
 def tokens(text: Column) -> Column:

@@ -158,7 +158,7 @@ def nearest_matches(
         placed = vectors.select("*", F.lit(0).alias("cell"))
         pivots, sizes, radii = None, np.array([n]), np.array([math.pi])
     else:
-        pivots = _pivots(vectors, blocks, min(n, blocks * CELLS_PER_BLOCK), longest, codec)
+        pivots = _pivots(vectors, n, blocks, min(n, blocks * CELLS_PER_BLOCK), longest, codec)
         placed = staged(_place(vectors, pivots, codec), "placed")
         sizes, radii = np.zeros(len(pivots), dtype=np.int64), np.zeros(len(pivots))
         cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("r"))
@@ -247,13 +247,19 @@ def _block_rows(n: int, width: int, parallelism: int) -> int:
     return min(largest, max(MIN_BLOCK_ROWS, math.ceil(n / wanted)))
 
 
-def _pivots(vectors: DataFrame, groups: int, wanted: int, width: int, codec: np.dtype) -> np.ndarray:
+def _pivots(
+    vectors: DataFrame, rows: int, groups: int, wanted: int, width: int, codec: np.dtype
+) -> np.ndarray:
     """A sample of the vectors as unit rows, at most ``PIVOT_BYTES`` of them, neighbours together."""
     in_double = width // codec.itemsize * 8
     count = max(1, min(wanted, PIVOT_BYTES // in_double))
-    chosen = vectors.orderBy(F.xxhash64("id"), "id").limit(count).select("packed").collect()
+    # The hash is uniform, so a bound on it leaves little more than is wanted of each partition.
+    near = vectors.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1.2 * count + 50) / rows * (1 << 30)))
+    chosen = near.orderBy(F.xxhash64("id"), "id").limit(count).select("packed").collect()
     pivots = _unpack([row["packed"] for row in chosen], codec)
-    nearest = (pivots @ pivots[:groups].T).argmax(axis=1)
+    first = pivots[:groups].T
+    tiles = [(pivots[at : at + 1024] @ first).argmax(axis=1) for at in range(0, len(pivots), 1024)]
+    nearest = np.concatenate(tiles)
     return pivots[np.argsort(nearest, kind="stable")]
 
 

@@ -12,8 +12,9 @@ from gleaner.config import ScoringWeights
 from gleaner.functions.scores import order_hash, weighted
 from gleaner.stage import staged
 
-# Up to this many rows one task may order the result; above it the order is found by range partitions.
-SMALL_K = 100_000
+# Up to this many rows one task may order the result, which gets as many from every partition; above
+# it the order is found by range partitions.
+SMALL_K = 10_000
 
 
 def combine_scores(
@@ -110,6 +111,13 @@ def random_sample(
 ) -> DataFrame:
     """Exactly ``n`` random rows (all, if there are fewer), the same for any partitioning."""
     keyed = df.select(id_col, order_hash(F.col(id_col), seed).alias("_h"))
+    total = keyed.count()
+    if total > 4 * n >= 4:
+        # The hash is uniform: nearly all of the rows that are wanted lie below this bound.
+        bound = int((1.2 * n + 50) / total * 2**32)
+        near = keyed.filter(F.col("_h") < f"{min(bound, 2**32 - 1):08x}")
+        if near.count() >= n:
+            keyed = near
     chosen = take_ranked(keyed, [F.asc("_h"), F.asc(id_col)], n, small_k=small_k)
     ids = chosen.select(id_col)
     return df.join(F.broadcast(ids) if n <= small_k else ids, id_col, "left_semi")

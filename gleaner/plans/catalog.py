@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleaner.config import CurationConfig, load_config
@@ -543,8 +543,9 @@ def random_baseline(spark, folder):
 
 def _last_turns(turns: DataFrame) -> DataFrame:
     """The final turn of each conversation."""
-    ends = turns.groupBy("conv_id").agg(F.max("turn").alias("turn"))
-    return turns.join(ends, ["conv_id", "turn"])
+    # The limit of one is applied before the shuffle too.
+    nth = F.row_number().over(Window.partitionBy("conv_id").orderBy(F.desc("turn")))
+    return turns.withColumn("_nth", nth).filter("_nth = 1").drop("_nth")
 
 
 @query
@@ -586,16 +587,17 @@ def perplexity_under_other_corpus(spark, folder):
     return scores.select("doc_id", F.round("perplexity", 3).alias("perplexity"))
 
 
-@query
-def user_model_scores(spark, folder):
-    def load():
-        def score(contexts, responses):
-            return [len(r) / (1.0 + len(c)) for c, r in zip(contexts, responses)]
+def _length_model():
+    def score(contexts, responses):
+        return [len(r) / (1.0 + len(c)) for c, r in zip(contexts, responses)]
 
-        return score
+    return score
 
+
+@query
+def user_model_scores(spark, folder):
     messages = F.col("messages")
-    loss = nll_scorer(load)(CHATML.render_context(messages), response_message(messages)["content"])
+    loss = nll_scorer(_length_model)(CHATML.render_context(messages), response_message(messages)["content"])
     rows = exchange_messages(spark, folder).select("conv_id", "turn", loss.alias("mean_nll"))
     return _rounded(rows, "mean_nll")
 
@@ -710,6 +712,24 @@ def curate_exchanges(spark, folder):
     return _selection(curate(rows, RUN, TOP_K)).drop("n_messages")
 
 
+@query
+def curate_by_column(spark, folder):
+    rows = exchange_messages(spark, folder).select(
+        F.concat_ws(":", "conv_id", "turn").alias("sample_id"), "messages", (F.col("turn") % 7 / 7.0).alias("given")
+    )
+    run = curate(rows, RUN, TOP_K, scorer="column", score_col="given", skip_deduplication=True)
+    return _selection(run).drop("n_messages")
+
+
+@query
+def curate_by_model(spark, folder):
+    rows = exchange_messages(spark, folder).select(
+        F.concat_ws(":", "conv_id", "turn").alias("sample_id"), "messages"
+    )
+    run = curate(rows, RUN, TOP_K, scorer="udf", nll=nll_scorer(_length_model), skip_deduplication=True)
+    return _selection(run).drop("n_messages")
+
+
 @query
 def empty_run_report(spark, folder):
     """Each exchange alone is one turn, which the strict preset does not take: nothing is left."""

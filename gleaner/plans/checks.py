@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from gleaner.config import CurationConfig, QualityFilters
 from gleaner.functions.template import CHATML, HEADER, ROLE_TAG, ChatTemplate
+from gleaner.functions.tokens import UNSPACED
 from gleaner.plans.catalog import (
     BASE,
     DOCUMENT_THRESHOLD,
@@ -18,6 +19,7 @@ from gleaner.plans.catalog import (
     WIDE,
 )
 
+UNSPACED_LETTERS = "".join(rf"\p{{{name}}}" for name in UNSPACED)
 PATTERN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\t\n\x0B\f\r ]"
 
 
@@ -28,7 +30,9 @@ def text(value: str) -> str:
 
 
 def words(column: str) -> str:
-    return f"regexp_extract_all(coalesce({column}, ''), '{PATTERN}')"
+    """A letter of an unspaced script is set apart by spaces, which are no tokens."""
+    spaced = f"regexp_replace(coalesce({column}, ''), '([{UNSPACED_LETTERS}])', ' \\1 ', 'g')"
+    return f"regexp_extract_all({spaced}, '{PATTERN}')"
 
 
 def n_tokens(column: str) -> str:
@@ -527,6 +531,27 @@ passed AS (SELECT sample_id, question || chr(10) || output AS t FROM counted WHE
 valued AS (SELECT sample_id, {learning('sample_id')} AS learning_value FROM passed
            WHERE sample_id NOT IN (SELECT id FROM removed)),
 scored AS (SELECT *, {final_score(RUN, 'learning_value')} AS final_score FROM valued)
+SELECT sample_id, round(learning_value, 6) AS learning_value, round(final_score, 6) AS final_score,
+       row_number() OVER (ORDER BY final_score DESC, sample_id) AS rank
+FROM scored QUALIFY rank <= {TOP_K}""",
+        "curate_by_column": f"""
+WITH {EXCHANGES},
+counted AS (SELECT conv_id || ':' || turn AS sample_id, turn, output, {n_tokens('question')} AS u,
+                   {n_tokens('output')} AS a, {n_tokens(chat_pair)} AS total FROM asked),
+scored AS (SELECT sample_id, (turn % 7) / 7.0::DOUBLE AS learning_value,
+                  {final_score(RUN, '((turn % 7) / 7.0::DOUBLE)')} AS final_score
+           FROM counted WHERE {exchange_passes(RUN.quality_filters)})
+SELECT sample_id, round(learning_value, 6) AS learning_value, round(final_score, 6) AS final_score,
+       row_number() OVER (ORDER BY final_score DESC, sample_id) AS rank
+FROM scored QUALIFY rank <= {TOP_K}""",
+        "curate_by_model": f"""
+WITH {EXCHANGES},
+counted AS (SELECT conv_id || ':' || turn AS sample_id, question, output, {n_tokens('question')} AS u,
+                   {n_tokens('output')} AS a, {n_tokens(chat_pair)} AS total FROM asked),
+raw AS (SELECT sample_id, least(exp(length(output) / (1.0::DOUBLE + length({chat_context}))), 10000) AS ppl
+        FROM counted WHERE {exchange_passes(RUN.quality_filters)}),
+valued AS (SELECT sample_id, ppl / (SELECT max(ppl) FROM raw) AS learning_value FROM raw),
+scored AS (SELECT *, {final_score(RUN, 'learning_value')} AS final_score FROM valued)
 SELECT sample_id, round(learning_value, 6) AS learning_value, round(final_score, 6) AS final_score,
        row_number() OVER (ORDER BY final_score DESC, sample_id) AS rank
 FROM scored QUALIFY rank <= {TOP_K}""",
