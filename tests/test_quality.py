@@ -14,7 +14,7 @@ from gleaner.functions.template import (
 )
 from gleaner.functions.tokens import count_tokens, message_tokens
 from gleaner.operators.quality import judge_conversations, nested_facts, passes_quality, quality_filter
-from gleaner.sources.normalize import assemble_bounded
+from gleaner.sources.normalize import assemble_turns
 
 FILTERS = QualityFilters(
     min_turns=1,
@@ -185,5 +185,10 @@ def test_same_result_nested_or_flat_on_real_turns(spark):
     for name in ("llama_3_2_instruct", "llama_3_1_base"):
         filters = load_config(name).quality_filters
         judged = judge_conversations(turns, filters).filter("passes").select("conv_id")
-        passed = assemble_bounded(turns).filter(passes_quality(F.col("messages"), filters))
+        passed = assemble_turns(turns).filter(passes_quality(F.col("messages"), filters))
         assert {r[0] for r in judged.collect()} == {r["conv_id"] for r in passed.collect()}
+
+
+def test_letters_without_spaces_are_tokens(spark):
+    row = spark.createDataFrame([("日本語 ab1中 ไทย, ひ。",)], "t string").select(count_tokens(F.col("t")).alias("n"))
+    assert row.first()["n"] == 3 + 2 + 3 + 1 + 1 + 1

@@ -227,3 +227,54 @@ def test_stages_can_be_released(spark, tmp_path):
         assert stage.release(spark) == 1 and stage.release(spark) == 0
     finally:
         stage._written.extend(before)
+
+
+LOOSE = load_config("llama_3_2_instruct").with_filters(
+    min_tokens_per_turn=1, min_total_tokens=1, balanced_conversation_ratio=1.0
+)
+
+
+def _pairs(spark, rows, kind="sample_id long"):
+    made = [
+        (key, [{"role": "user", "content": ask}, {"role": "assistant", "content": answer}])
+        for key, ask, answer in rows
+    ]
+    return spark.createDataFrame(made, f"{kind}, messages array<struct<role:string,content:string>>")
+
+
+SHORT = [
+    (1, "Red apples", "grow slowly."),
+    (2, "Count seven", "blue whales."),
+    (3, "Paint every", "wooden fence."),
+    (4, "Count seven", "blue whales."),
+]
+
+
+def test_unrelated_short_rows_stay_and_copies_go(spark):
+    kept = curate(_pairs(spark, SHORT), LOOSE, 10).selected
+    assert {r["sample_id"] for r in kept.collect()} == {1, 2, 3}
+
+
+def test_text_ids_are_deduplicated(spark):
+    rows = [(f"row-{k}", ask, answer) for k, ask, answer in SHORT]
+    kept = curate(_pairs(spark, rows, "sample_id string"), LOOSE, 10).selected
+    assert {r["sample_id"] for r in kept.collect()} == {"row-1", "row-2", "row-3"}
+
+
+def test_repeated_and_missing_ids_are_errors(spark):
+    for rows in ([*SHORT, (1, "far", "away")], [*SHORT, (None, "far", "away")]):
+        with pytest.raises(ValueError, match="unique"):
+            curate(_pairs(spark, rows), LOOSE, 10)
+
+
+def test_parquet_without_an_id(spark, tmp_path):
+    _pairs(spark, SHORT).drop("sample_id").coalesce(1).write.parquet(str(tmp_path / "in"))
+    result = Curator(spark, "llama_3_1_base").optimize(
+        str(tmp_path / "in"), str(tmp_path / "out"), fmt="parquet", top_k=3, skip_deduplication=True
+    )
+    assert result.report.first()["original_size"] == 4
+
+
+def test_encoder_names_warn():
+    with pytest.warns(UserWarning, match="neural encoder"):
+        load_config("llama_3_2_instruct").with_dedup(method="sentence_transformer")
