@@ -19,6 +19,9 @@ CLASS_SAMPLE = 3000
 TEXT_CHARS = 50_000
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
+# Texts meet the dictionaries in pieces, so that a text's own repeats do not drown what they know.
+PIECE_BYTES = 256
+RIDGE = 0.03
 FOLDS = 5
 THRESHOLD = 0.3
 
@@ -34,10 +37,15 @@ class QualityModel:
     weights: tuple[float, ...]
 
 
+def _pieces(text: bytes) -> list[bytes]:
+    return [text[at : at + PIECE_BYTES] for at in range(0, len(text), PIECE_BYTES)]
+
+
 def _dictionary(samples: list[bytes]) -> bytes:
     """A trained dictionary; few samples are one themselves, as zstandard cannot train on them."""
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
+        pieces = [piece for text in samples for piece in _pieces(text)]
+        return zstandard.train_dictionary(DICTIONARY_BYTES, pieces).as_bytes()
     except zstandard.ZstdError:
         return b"\n".join(samples)[-DICTIONARY_BYTES:]
 
@@ -50,34 +58,59 @@ def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
 
 
 def compressed_sizes(texts: Iterable[bytes], good: bytes, bad: bytes) -> np.ndarray:
-    """Per text: size under the good and the bad dictionary, and its own."""
-    with_good, with_bad = _compressor(good), _compressor(bad)
-    rows = [(len(with_good.compress(t)), len(with_bad.compress(t)), len(t)) for t in texts]
-    return np.array(rows, np.float64).reshape(-1, 3)
+    """Per text: size of its pieces under the good and the bad dictionary, whole without, and plain."""
+    with_good, with_bad, without = _compressor(good), _compressor(bad), _compressor(b"")
+    rows = []
+    for text in texts:
+        text = bytes(text)
+        pieces = _pieces(text)
+        rows.append(
+            (
+                sum(len(with_good.compress(p)) for p in pieces),
+                sum(len(with_bad.compress(p)) for p in pieces),
+                len(without.compress(text)),
+                len(text),
+            )
+        )
+    return np.array(rows, np.float64).reshape(-1, 4)
 
 
 def _features(sizes: np.ndarray) -> np.ndarray:
-    """The normalised difference, the rate of compression and the length, with their squares."""
-    good, bad, plain = sizes.T
+    """The normalised difference, the rates of compression and the length, with their squares."""
+    good, bad, alone, plain = sizes.T
     base = np.stack(
-        [(bad - good) / (bad + good + 1), np.log((good + 10) / (plain + 10)), np.log(plain + 1)], axis=1
+        [
+            (bad - good) / (bad + good + 1),
+            np.log((good + 10) / (plain + 10)),
+            np.log((alone + 10) / (plain + 10)),
+            np.log(plain + 1),
+        ],
+        axis=1,
     )
     return np.concatenate([base, base**2], axis=1)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Weighted logistic regression by Newton steps, slightly regularised."""
+    """Weighted, slightly regularised logistic regression by Newton steps that never go uphill."""
     design = np.concatenate([np.ones((len(x), 1)), x], axis=1)
     w = np.zeros(design.shape[1])
-    ridge = 1e-3 * np.eye(len(w))
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
+    ridge = RIDGE * np.eye(len(w))
+
+    def loss(v: np.ndarray) -> float:
+        margin = design @ v
+        return float((weight * (np.logaddexp(0, margin) - y * margin)).sum() + v @ ridge @ v / 2)
+
+    current = loss(w)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(design @ w, -500, 500)))
         slope = design.T @ (weight * (y - p)) - ridge @ w
         curve = (design * (weight * p * (1 - p))[:, None]).T @ design + ridge
         step = np.linalg.solve(curve, slope)
-        w += np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+        while (after := loss(w + step)) > current and np.abs(step).max() > 1e-9:
+            step /= 2
+        if not after < current - 1e-9:
             break
+        w, current = w + step, after
     return w
 
 
@@ -109,7 +142,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, held_out_fold: int = 0, fold
     share = (totals.get(1, 0) + 1) / (sum(totals.values()) + 2) if totals else 0.5
     if min(map(len, texts.values())) < 2:
         odds = float(np.log(share / (1 - share)))
-        return QualityModel(b"", b"", (0.0,) * 6, (1.0,) * 6, (odds, *(0.0,) * 6))
+        return QualityModel(b"", b"", (0.0,) * 8, (1.0,) * 8, (odds, *(0.0,) * 8))
     good, bad = _dictionary(texts[1][::2]), _dictionary(texts[0][::2])
     fit = [(t, c) for c in (0, 1) for t in texts[c][1::2]]
     x = _features(compressed_sizes([t for t, _ in fit], good, bad))
