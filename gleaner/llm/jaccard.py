@@ -19,7 +19,7 @@ WORDS = 5
 # A pair links when TOP * intersection >= SHARE * union.
 TOP, SHARE = 100, 80
 # Shingles are counted by so many hash buckets; the counts only set an order.
-COUNT_BITS = 20
+COUNT_BITS = 22
 COUNT_SLICES = 64
 CLASS_SHIFT = 59
 # A class is the binary logarithm of a bucket's count over the mean; classes from HOT on are dealt out in parts.
@@ -81,13 +81,16 @@ def count_classes(docs: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts"), strict=True):
-                values = np.frombuffer(counts.as_buffer(), np.uint32)
+                values = np.frombuffer(counts.as_buffer(), np.uint8)
+                values = values.view(np.uint16 if len(values) == 2 * size else np.uint32)
                 sums[part] = sums.get(part, 0) + values.astype(np.int64)
         if sums:
             yield _counted(sums, list(sums.values()))
 
     def _counted(parts, rows) -> pa.RecordBatch:
-        blobs = [np.minimum(r, 0xFFFFFFFF).astype(np.uint32).tobytes() for r in rows]
+        # Two bytes a count where that is enough.
+        kinds = [np.uint16 if r.max() < 1 << 16 else np.uint32 for r in rows]
+        blobs = [np.minimum(r, 0xFFFFFFFF).astype(k).tobytes() for r, k in zip(rows, kinds, strict=True)]
         return pa.RecordBatch.from_arrays(
             [pa.array(list(parts), pa.int32()), pa.array(blobs, pa.binary())], names=["part", "counts"]
         )
@@ -96,7 +99,8 @@ def count_classes(docs: DataFrame) -> np.ndarray:
     summed = docs.select("text").mapInArrow(count, schema).repartition(COUNT_SLICES, "part").mapInArrow(add, schema)
     table = np.zeros((COUNT_SLICES, size), np.float64)
     for row in summed.toLocalIterator():
-        table[row["part"]] += np.frombuffer(row["counts"], np.uint32)
+        values = np.frombuffer(row["counts"], np.uint8)
+        table[row["part"]] = values.view(np.uint16 if len(values) == 2 * size else np.uint32)
     table = table.ravel()
     mean = max(1.0, table.mean())
     return np.clip(np.log2(np.maximum(table, 1) / mean), 0, 31).astype(np.uint8)
@@ -118,8 +122,8 @@ def set_key(numbers: np.ndarray) -> int:
 
 
 def signature(numbers: np.ndarray) -> bytes:
-    """A bitmap with four to eight bits per shingle; 64 at least."""
-    bits = max(64, 1 << int(4 * len(numbers) - 1).bit_length())
+    """A bitmap with one to two bits per shingle; 64 at least."""
+    bits = max(64, 1 << int(len(numbers) - 1).bit_length())
     at = ((numbers * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) & np.uint64(bits - 1)
     out = np.zeros(bits, np.uint8)
     out[at] = 1
