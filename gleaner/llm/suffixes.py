@@ -9,7 +9,7 @@ import numpy as np
 
 def _ranked(keys: np.ndarray) -> np.ndarray:
     """Equal keys get the same number, in the order of the keys."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     ordered = keys[order]
     new = np.ones(len(keys), np.int64)
     new[1:] = ordered[1:] != ordered[:-1]
@@ -40,11 +40,20 @@ class Shard:
         longest = int(np.diff(ends, prepend=-1).max())
         first = symbols.astype(np.int64) + len(ends)
         first[ends] = np.arange(len(ends))
-        ranks, depth = {1: _ranked(first)}, 1
-        while depth < longest:
+        # The first ranking takes as many symbols at once as fit a number.
+        bits, depth = int(first.max() + 1).bit_length(), 1
+        keys = first + 1
+        while 2 * depth * bits < 63 and 2 * depth < width:
+            following = np.zeros(len(keys), np.int64)
+            following[: len(keys) - depth] = keys[depth:]
+            keys = (keys << (depth * bits)) | following
+            depth *= 2
+        ranks = {depth: _ranked(keys)}
+        while depth < longest and ranks[depth].max() < len(first) - 1:
             ranks[2 * depth] = _paired(ranks[depth], depth)
             depth *= 2
-        self.order = np.argsort(ranks[depth], kind="stable")
+        self.order = np.empty(len(first), np.int64)
+        self.order[ranks[depth]] = np.arange(len(first))
         self.cut = {d: self._differ(ranks, d) for d in (width - 1, width)}
         # The symbol before each suffix; the one before the first is the end of the last segment.
         self.bwt = symbols[self.order - 1]
