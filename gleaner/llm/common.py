@@ -146,6 +146,11 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Send rows to Python 16 MB at a time: a worker, and the JVM beside it, hold a few of these at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
 def large_batches(batches, size: int = 4 << 20):
     """Cut Arrow batches so that one holds at most about ``size`` bytes, unless it is a single row."""
     for batch in batches:

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import SPACE, large_batches, unique_ids
+from gleaner.llm.common import SPACE, large_batches, small_batches, unique_ids
 from gleaner.stage import staged
 
 # Bytes of distinct content that one table holds before its bucket is cut again.
@@ -225,6 +225,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     result by the number of the task's group.
     """
     content = F.encode(F.coalesce(F.regexp_replace("text", SPACE, " "), F.lit("")), "utf-8")
+    small_batches(docs.sparkSession)
     numbered = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST_ID)).alias("doc_id"), content.alias("content")
     )

@@ -10,16 +10,25 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import large_batches, mix, spaced, spans_of_words, text_bytes, unique_ids, word_hashes
+from gleaner.llm.common import (
+    large_batches,
+    mix,
+    small_batches,
+    spaced,
+    spans_of_words,
+    text_bytes,
+    unique_ids,
+    word_hashes,
+)
 from gleaner.llm.components import components
-from gleaner.llm.repeats import id_filter, only_marked
+from gleaner.llm.repeats import id_filter, marked, with_slots
 from gleaner.stage import staged
 
 WORDS = 5
 # A pair links when TOP * intersection >= SHARE * union.
 TOP, SHARE = 100, 80
 # Shingles are counted by so many hash buckets; the counts only set an order.
-COUNT_BITS = 22
+COUNT_BITS = 20
 COUNT_SLICES = 64
 CLASS_SHIFT = 59
 # A class is the binary logarithm of a bucket's count over the mean; classes from HOT on are dealt out in parts.
@@ -437,8 +446,11 @@ def _verified(docs: DataFrame, pairs: DataFrame, sets: DataFrame, classes) -> Da
     named = sets.filter("prefix is not null").select("uid", "doc_id", "text_hash")
     sides = staged(sides.join(named, "uid").withColumn("name", F.xxhash64("doc_id", "text_hash")), "sides")
 
+    marks = id_filter(sides, "name")
+    sent = docs.sparkSession.sparkContext.broadcast(marks)
+
     def rebuild(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in large_batches(batches):
+        for batch in large_batches(marked(batches, sent.value)):
             blobs = [numbers.tobytes() for numbers in text_sets(batch, classes.value)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("name"), pa.array(blobs, pa.binary())], names=["name", "numbers"]
@@ -463,7 +475,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, sets: DataFrame, classes) -> Da
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
 
     texts = docs.select("text", F.xxhash64(F.col("doc_id").cast("bigint"), F.xxhash64("text")).alias("name"))
-    contents = only_marked(texts, "name", id_filter(sides, "name")).mapInArrow(rebuild, "name long, numbers binary")
+    contents = with_slots(texts, "name", marks).mapInArrow(rebuild, "name long, numbers binary")
     return staged(
         sides.join(contents, "name")
         .select("hub", "slice", "role", "uid", "numbers")
@@ -495,6 +507,7 @@ def linked(docs: DataFrame) -> DataFrame:
     The checks compare 64-bit hashes of shingles, so a wrong result needs a collision.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     counted = count_classes(docs)
     classes = spark.sparkContext.broadcast(counted)
 

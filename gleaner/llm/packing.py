@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gleaner.llm.common import large_batches, ragged, spaced, text_bytes, word_hashes
+from gleaner.llm.common import large_batches, ragged, small_batches, spaced, text_bytes, word_hashes
 from gleaner.stage import staged
 
 WINDOW = 2048
@@ -348,6 +348,7 @@ def packed(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     Rows that share an id, and null ids, are documents of their own. No rows give no rows.
     """
+    small_batches(docs.sparkSession)
     vocabulary = path or public_tokenizers.path(TOKENIZER)
 
     def cut(batches):

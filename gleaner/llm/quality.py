@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import id_bucket, large_batches
+from gleaner.llm.common import id_bucket, large_batches, small_batches
 
 # The fit reads at most so many labelled texts of each class, none longer than TEXT_CHARS. Half of
 # them build the dictionaries, the other half fit the score.
@@ -121,6 +121,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, held_out_fold: int = 0, fold
     in the score by how often all labelled rows have them. Null labels, ids and texts are left out.
     With one class or none, every score is that class's share (0.5 without labels).
     """
+    small_batches(docs.sparkSession)
     learn = labels.filter(
         (id_bucket(F.col("doc_id"), folds) != held_out_fold) & F.col("quality").isin(0, 1)
     ).select("doc_id", F.col("quality").alias("label"))

@@ -255,19 +255,29 @@ def id_filter(ids: DataFrame, column: str, bits: int = 1 << 23) -> np.ndarray:
     return np.packbits(marks.ravel())
 
 
+def with_slots(frame: DataFrame, column: str, marks: np.ndarray) -> DataFrame:
+    """``frame`` with the place ``_slot`` of each row in the bitmap."""
+    return frame.withColumn("_slot", F.pmod(F.xxhash64(column), F.lit(len(marks) * 8)))
+
+
+def marked(batches: Iterable[pa.RecordBatch], marks: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows whose ``_slot`` is in the bitmap: surely all that were put in, and few others."""
+    for batch in batches:
+        slot = batch.column("_slot").to_numpy()
+        kept = (marks[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1
+        yield batch.filter(pa.array(kept.astype(bool)))
+
+
 def only_marked(frame: DataFrame, column: str, marks: np.ndarray) -> DataFrame:
-    """The rows whose ``column`` may be in the bitmap: surely all that are in it."""
+    """The rows whose ``column`` may be in the bitmap."""
     sent = frame.sparkSession.sparkContext.broadcast(marks)
-    bits = len(marks) * 8
     names = frame.columns
 
     def select(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.unpackbits(sent.value).view(bool)
-        for batch in batches:
-            kept = batch.filter(pa.array(held[batch.column("_slot").to_numpy()]))
-            yield kept.select(names)
+        for batch in marked(batches, sent.value):
+            yield batch.select(names)
 
-    return frame.withColumn("_slot", F.pmod(F.xxhash64(column), F.lit(bits))).mapInArrow(select, frame.schema)
+    return with_slots(frame, column, marks).mapInArrow(select, frame.schema)
 
 
 def _with_symbols(kind: Kind, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
