@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from gleaner.llm.common import (
     large_batches,
     mix,
+    ragged,
     small_batches,
     spaced,
     spans_of_words,
@@ -37,6 +38,8 @@ HOT_PARTS = 64
 # Larger groups first try one centre; larger ones than BLOCK are cut.
 SMALL_GROUP = 8
 BLOCK = 2048
+# Where whole sets meet to have their links counted, a block has about so many shingles at most.
+BLOCK_SHINGLES = 1 << 20
 FANOUT = 8
 PAIRS = 1 << 15
 
@@ -265,7 +268,7 @@ class SignatureTree:
         keep[at] = (TOP + SHARE) * overlap >= SHARE * (low[x[at]] + low[y[at]])
         return keep
 
-    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(self, whole_bitmaps: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Dual traversal: the pairs of sets (by their given number) that may link."""
         top = len(self.levels) - 1
         stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64))]
@@ -279,6 +282,9 @@ class SignatureTree:
             x, y = x[keep], y[keep]
             if not len(x):
                 continue
+            if level == 0 and not whole_bitmaps:
+                yield self.order[x], self.order[y]
+                continue
             if level == 0:
                 fits = np.array([self._fits(a, b) for a, b in zip(x.tolist(), y.tolist(), strict=True)], bool)
                 yield self.order[x[fits]], self.order[y[fits]]
@@ -367,10 +373,11 @@ def _candidates(dealt: DataFrame, everything: bool) -> DataFrame:
     )
 
 
-def _in_blocks(groups: DataFrame) -> DataFrame:
+def _in_blocks(groups: DataFrame, cuts=None) -> DataFrame:
     """A group of more than ``BLOCK`` sets is cut into blocks: a set goes to all pairs of blocks that
-    contain its own."""
-    cuts = F.ceil(F.col("members") / BLOCK).cast("int")
+    contain its own. ``cuts`` may name another number of blocks."""
+    if cuts is None:
+        cuts = F.ceil(F.col("members") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("uid"), F.col("cuts")).cast("int")
     return (
         groups.withColumn("cuts", cuts)
@@ -486,15 +493,111 @@ def _verified(docs: DataFrame, pairs: DataFrame, sets: DataFrame, classes) -> Da
     )
 
 
-def linked(docs: DataFrame) -> DataFrame:
+def count_links(uids: np.ndarray, own: np.ndarray, sets: list[np.ndarray], across: bool) -> np.ndarray:
+    """How many of the others each set links with; ``across`` takes only pairs of different blocks ``own``."""
+    lengths = np.array([len(s) for s in sets], np.int64)
+    starts = np.cumsum(lengths) - lengths
+    # Shingles by number within the group, so that a set can be marked in a table.
+    values, at = np.unique(np.concatenate(sets), return_inverse=True)
+    at = at.astype(np.int32)
+    inside = np.zeros(len(values), np.uint8)
+    # The traversal passes over pairs of one component. Here those are pairs that meet elsewhere.
+    tree = SignatureTree(
+        lengths, [np.frombuffer(signature(s), np.uint64) for s in sets], own if across else np.full(len(sets), -1)
+    )
+    counts = np.zeros(len(uids), np.int64)
+    for x, y in tree.pairs(whole_bitmaps=False):
+        order = np.argsort(x, kind="stable")
+        x, y = x[order], y[order]
+        heads = np.flatnonzero(np.diff(x, prepend=-1))
+        for k, others in zip(x[heads].tolist(), np.split(y, heads[1:]), strict=True):
+            mine = at[starts[k] : starts[k] + lengths[k]]
+            inside[mine] = 1
+            sizes = lengths[others]
+            found = inside[at[ragged(starts[others], sizes)]]
+            common = np.add.reduceat(found, np.cumsum(sizes) - sizes, dtype=np.int64)
+            inside[mine] = 0
+            links = others[TOP * common >= SHARE * (lengths[k] + sizes - common)]
+            counts[links] += 1
+            counts[k] += len(links)
+    return counts
+
+
+def _links_in_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The number of links that each set has in a pair of blocks (sorted input)."""
+
+    def group(name: tuple, rows: dict[int, tuple]) -> pa.RecordBatch:
+        uids = np.array(list(rows), np.int64)
+        own = np.array([r[0] for r in rows.values()], np.int64)
+        counts = count_links(uids, own, [r[1] for r in rows.values()], name[1] != name[2])
+        return pa.RecordBatch.from_arrays([pa.array(uids), pa.array(counts)], names=["canon", "n_links"])
+
+    name, rows = None, {}
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("root", "i", "j", "uid", "own")]
+        for root, i, j, uid, own, blob in zip(*columns, batch.column("numbers"), strict=True):
+            if (root, i, j) != name:
+                if len(rows) > 1:
+                    yield group(name, rows)
+                name, rows = (root, i, j), {}
+            # Rows with equal id and text come more than once.
+            if uid not in rows:
+                rows[uid] = own, np.frombuffer(blob.as_py(), np.uint64)
+    if len(rows) > 1:
+        yield group(name, rows)
+
+
+def _degrees(docs: DataFrame, links: DataFrame, roots: DataFrame, sets: DataFrame, classes) -> DataFrame:
+    """``canon, n_links``: with how many other sets each set of a component links.
+
+    No link leaves a component. Where ``links`` holds every pair of a component, its numbers are known.
+    The sets of the other components are read again and meet whole, in pairs of blocks, so that each
+    pair is tested once; only counts leave a task.
+    """
+    known = links.join(roots.withColumnRenamed("node", "a"), "a").groupBy("root").agg(F.count("*").alias("links"))
+    named = sets.filter("prefix is not null").select("uid", "n", F.xxhash64("doc_id", "text_hash").alias("name"))
+    nodes = staged(roots.withColumnRenamed("node", "uid").join(named, "uid"), "nodes")
+    sizes = nodes.groupBy("root").agg(F.count("*").alias("members"), F.sum("n").alias("shingles")).join(known, "root")
+    sizes = staged(sizes.withColumn("open", F.expr("2 * links < members * (members - 1)")), "sizes")
+    whole = nodes.join(sizes.filter("not open"), "root").select(
+        F.col("uid").alias("canon"), (F.col("members") - 1).alias("n_links")
+    )
+    rest = nodes.join(sizes.filter("open"), "root").select("uid", "root", "name", "members", "shingles")
+    rest = staged(rest, "open")
+    if rest.isEmpty():
+        return whole
+    marks = id_filter(rest, "name")
+    sent = docs.sparkSession.sparkContext.broadcast(marks)
+
+    def rebuild(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in large_batches(marked(batches, sent.value)):
+            blobs = [numbers.tobytes() for numbers in text_sets(batch, classes.value)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("name"), pa.array(blobs, pa.binary())], names=["name", "numbers"]
+            )
+
+    texts = docs.select("text", F.xxhash64(F.col("doc_id").cast("bigint"), F.xxhash64("text")).alias("name"))
+    contents = with_slots(texts, "name", marks).mapInArrow(rebuild, "name long, numbers binary")
+    cuts = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    counted = (
+        _in_blocks(rest.join(contents, "name"), cuts)
+        .select("root", "i", "j", "uid", "own", "numbers")
+        .repartition("root", "i", "j")
+        .sortWithinPartitions("root", "i", "j")
+        .mapInArrow(_links_in_blocks, "canon long, n_links long")
+    )
+    return whole.unionByName(counted.groupBy("canon").agg(F.sum("n_links").alias("n_links")))
+
+
+def linked(docs: DataFrame, count: bool = True) -> DataFrame:
     """``doc_id, n_shingles, n_links, component_id`` (and ``text_hash``) for every row of ``docs``.
 
     Words are runs of anything but ASCII white space, with A-Z lower-cased. The set of a text is its
     distinct shingles of five words; a shorter text has one shingle. Sets link when their Jaccard
     similarity is 0.8 or more. ``component_id`` is the smallest id reachable by links, also over rows
     with equal sets; null ids are passed over, and a component of null ids only has none. A null
-    text or one without words has no shingle, no link and its own id. ``n_links`` counts other
-    different sets that the join tested and found linked; within a component it need not test all.
+    text or one without words has no shingle, no link and its own id. ``n_links`` counts all
+    other different sets that the set links with; without ``count`` it is left out.
 
     1. All shingles are counted in a table of fixed size, which gives an order: rare ones first.
     2. Sets that link share one of the first fifth of their shingles in that order. Rows of those
@@ -503,6 +606,8 @@ def linked(docs: DataFrame) -> DataFrame:
        that may link, in large groups those with a centre; they are checked on the whole sets.
     4. Shingles whose sets are not yet in one component get a tree of their own, whose traversal
        prunes nodes within a component. So no link between components is missed.
+    5. For ``n_links``, components of which not every pair has been found linked are read again; their
+       sets meet in pairs of blocks and a tree without that pruning, and are counted there.
 
     The checks compare 64-bit hashes of shingles, so a wrong result needs a collision.
     """
@@ -558,25 +663,24 @@ def linked(docs: DataFrame) -> DataFrame:
     if not groups.isEmpty():
         rest = staged(_candidates(_in_blocks(groups).join(bits, "uid"), True), "pairs")
         links = links.unionByName(_verified(docs, rest, sets, classes))
-    links = links.distinct()
-    degree = (
-        links.select(F.col("a").alias("canon")).unionByName(links.select(F.col("b").alias("canon")))
-        .groupBy("canon").agg(F.count("*").alias("n_links"))
-    )
-    roots = components(links).withColumnRenamed("node", "canon")
+    links = staged(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    roots = staged(components(links), "roots")
     placed = (
         sets.select("doc_id", "text_hash", "n", "uid")
         .join(same, "uid", "left")
-        .join(roots, "canon", "left")
-        .join(degree, "canon", "left")
-        .select("doc_id", "text_hash", "n", F.coalesce("root", "canon").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        .join(roots.withColumnRenamed("node", "canon"), "canon", "left")
     )
+    columns = ["doc_id", "text_hash", "n", F.coalesce("root", "canon").alias("root")]
+    if count:
+        placed = placed.join(_degrees(docs, links, roots, sets, classes), "canon", "left")
+        columns.append(F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    placed = placed.select(*columns)
     placed = staged(placed, "placed")
     least = placed.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return placed.join(least, "root", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        "n_links",
+        *(["n_links"] if count else []),
         F.coalesce("least", F.when(F.col("root").isNull(), F.col("doc_id"))).alias("component_id"),
         "root",
         "text_hash",
@@ -589,7 +693,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Rows without a shingle stay. Where ids repeat or are null, the row with the smallest text hash of
     the smallest id stays (null last), and equal rows of that kind stay as one.
     """
-    found = staged(linked(docs), "components")
+    found = staged(linked(docs, count=False), "components")
     if unique_ids(docs):
         keep = found.filter("component_id = doc_id").select("doc_id")
         return docs.join(keep, "doc_id", "left_semi").select(docs.columns)

@@ -182,6 +182,38 @@ def test_linked_large_groups(spark, monkeypatch):
     check_components(spark, rows)
 
 
+def check_links(spark, rows):
+    got = jaccard.linked(docs_of(spark, rows)).collect()
+    sets = {k: shingles(t) for k, t in rows}
+    different = set(sets.values()) - {frozenset()}
+    want = {}
+    for k, s in sets.items():
+        want[k] = sum(100 * len(s & o) >= 80 * len(s | o) for o in different if o != s)
+    assert {r.doc_id: r.n_links for r in got} == want
+    return sum(want.values())
+
+
+@pytest.mark.parametrize("block, block_shingles", [(2048, 1 << 20), (8, 1 << 20), (2048, 1500)])
+def test_all_links_are_counted(spark, monkeypatch, block, block_shingles):
+    """Groups over ``SMALL_GROUP``: mutants of one text, most of which link with one another, and a chain."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", block_shingles, raising=False)
+    rng = np.random.default_rng(6)
+    base = prose(31, 200).split()
+    rows = []
+    for k in range(40):
+        own = list(base)
+        for at in rng.choice(200, k % 5, replace=False):
+            own[at] = f"m{k}"
+        rows.append((k, " ".join(own)))
+    chain = prose(32, 120).split()
+    for k in range(12):
+        chain = [*chain[2:], f"c{k}", f"d{k}"]
+        rows.append((200 + k, " ".join(chain)))
+    rows += [(300, prose(33, 90)), (301, prose(33, 90)), (302, prose(33, 90) + " more"), (303, None), (304, "a")]
+    assert check_links(spark, rows) > 600
+
+
 def test_signature_tree_misses_no_link():
     rng = np.random.default_rng(3)
     sets = []
