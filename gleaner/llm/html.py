@@ -28,7 +28,10 @@ STOP_WORDS = frozenset(
     """.split()
 )
 # Elements that are never text, that stand outside the article, and that end a block.
-RAW = "script|style|noscript|template|title|textarea|iframe|object|svg|math|canvas|select|button|audio|video"
+# Those of NESTED may hold one of their own name, those of VERBATIM hold no tags.
+RAW = frozenset("noscript template title textarea iframe object svg math canvas select button audio video".split())
+NESTED = frozenset("noscript template object svg math".split())
+VERBATIM = frozenset("title textarea iframe".split())
 OUTSIDE = frozenset("nav footer aside form menu dialog head header".split())
 BLOCKS = frozenset(
     """
@@ -54,7 +57,7 @@ STOP_SHARE = 0.15
 LINK_SHARE = 0.4
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>"""
     r"|</?[a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I,
@@ -85,6 +88,49 @@ def _marked(attrs: str) -> bool:
     return False
 
 
+def _after_raw(page: str, at: int, name: str, enclosing: set[str], last_ends: dict[str, int]) -> int:
+    """Where a raw element ends whose start tag ends at ``at``.
+
+    That is behind its end tag. An element that is not closed before another of its name (if they do
+    not nest) or before an element around it ends at the next start or end of a block.
+    """
+    if name not in last_ends:
+        last_ends[name] = max((m.start() for m in re.finditer(rf"</{name}\s*>", page, re.I)), default=-1)
+    closable = last_ends[name] >= at
+    if closable and name in VERBATIM:
+        found = re.compile(rf"<(/?){name}(?=[\s/>])[^>]*>", re.I).search(page, at)
+        if found and found[1]:
+            return found.end()
+        closable = False
+    boundary, depth, inside = None, 1, dict.fromkeys(enclosing, 0)
+    while token := _TOKEN.search(page, at):
+        at = token.end()
+        if token["name"] is None:
+            continue
+        other, ending = token["name"].lower(), token["end"] == "/"
+        if other in BLOCKS and boundary is None:
+            boundary = token.start()
+        if boundary is not None and not closable:
+            return boundary
+        if other == name:
+            if ending:
+                depth -= 1
+                if not depth:
+                    return at
+            elif name not in NESTED:
+                closable = False
+                if boundary is None:
+                    return token.start()
+                return boundary
+            elif not (token["attrs"] or "").endswith("/"):
+                depth += 1
+        elif other in inside:
+            inside[other] += -1 if ending else 1
+            if inside[other] < 0:
+                return boundary
+    return len(page) if boundary is None else boundary
+
+
 def page_blocks(page: str) -> list[Block]:
     """Cut a page into blocks of text, in page order."""
     blocks: list[Block] = []
@@ -102,8 +148,8 @@ def page_blocks(page: str) -> list[Block]:
             pieces.clear()
             links.clear()
 
-    at = 0
-    for token in _TOKEN.finditer(page):
+    at, line, last_ends = 0, None, {}
+    while token := _TOKEN.search(page, at):
         if token.start() > at:
             pieces.append(page[at : token.start()])
             if in_link:
@@ -115,6 +161,13 @@ def page_blocks(page: str) -> list[Block]:
                 pieces.append(" ")
             continue
         name, ending = name.lower(), token["end"] == "/"
+        if name in RAW:
+            pieces.append(" ")
+            closed = name in ("svg", "math") and (token["attrs"] or "").endswith("/")
+            if not ending and not closed:
+                enclosing = {n for n, _ in stack} | ({line} if line else set())
+                at = _after_raw(page, at, name, enclosing, last_ends)
+            continue
         if name == "a":
             in_link = not ending
         elif name == "br":
@@ -122,6 +175,7 @@ def page_blocks(page: str) -> list[Block]:
         if name not in BLOCKS:
             continue
         close()
+        line = None if ending or name in CONTAINERS else name
         if ending:
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == name:

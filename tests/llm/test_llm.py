@@ -487,6 +487,29 @@ def test_main_text():
     assert main_text("<nav><a>never closed<article><p>text</p>") == "text"
 
 
+@pytest.mark.parametrize(
+    "part, want",
+    [
+        ('<svg class="icon"/>', "one two three four"),
+        ('<svg class="icon"><path d=""/></svg>', "one two three four"),
+        ("<math/>", "one two three four"),
+        ("<button>Press", "one two three four"),
+        ("<button>Press<div>in</div></button>", "one two three four"),
+        ("<p>x<button>Press</p><button>Again</button>", "one x two three four"),
+        ("<select><option>a", "one two three four"),
+        ("<video src=x><source>", "one two three four"),
+        ("<object><p>in</p><object>in</object></object>", "one two three four"),
+        ("<div><svg><path></div>", "one two three four"),
+        ("<noscript><p>in</p></noscript>", "one two three four"),
+        ("<textarea></p></article></textarea>", "one two three four"),
+        ("<script>var t = '<p>'", "one"),
+    ],
+)
+def test_raw_elements_end(part, want):
+    page = f"<article><p>one</p>{part}<p>two</p><p>three</p></article><p>four</p>"
+    assert " ".join(b.text for b in page_blocks(page)) == want
+
+
 def test_short_blocks_follow_their_neighbours():
     long = "The house of the man is in the town and it was built by the people that he knew in the old days of the war"
     page = (f"<div><a href=x>One</a> <a href=y>Two</a></div><div>Short a</div><div>{long}</div>"
