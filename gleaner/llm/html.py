@@ -69,18 +69,19 @@ _PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 @dataclass
 class Block:
-    """``place``: -1 outside the article by its element, 1 inside an article, 0 unknown."""
+    """``place``: -2 never text, -1 likely not the article by an element or mark, 1 inside an article, 0 unknown.
+
+    ``origin`` is the number of the nearest marked container, or -1.
+    """
 
     text: str
     link_chars: int
     place: int
+    origin: int = -1
+    heading: bool = False
 
 
 def _marked(attrs: str) -> bool:
-    if not attrs.strip():
-        return False
-    if _HIDDEN.search(attrs):
-        return True
     for match in _MARKED.finditer(attrs):
         value = match[1] or match[2] or match[3] or ""
         if any(part.lower() in MARKS for part in _PARTS.findall(value)):
@@ -136,15 +137,17 @@ def page_blocks(page: str) -> list[Block]:
     blocks: list[Block] = []
     pieces: list[str] = []
     links: list[str] = []
-    stack: list[tuple[str, int]] = []
-    in_link = False
+    stack: list[tuple[str, int, int]] = []
+    in_link, origins = False, 0
 
     def close() -> None:
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
                 linked = len(" ".join(html.unescape("".join(links)).split()))
-                blocks.append(Block(text, linked, stack[-1][1] if stack else 0))
+                _, place, origin = stack[-1] if stack else ("", 0, -1)
+                heading = line is not None and line[0] == "h" and line != "hr"
+                blocks.append(Block(text, linked, place, origin, heading))
             pieces.clear()
             links.clear()
 
@@ -165,7 +168,7 @@ def page_blocks(page: str) -> list[Block]:
             pieces.append(" ")
             closed = name in ("svg", "math") and (token["attrs"] or "").endswith("/")
             if not ending and not closed:
-                enclosing = {n for n, _ in stack} | ({line} if line else set())
+                enclosing = {n for n, _, _ in stack} | ({line} if line else set())
                 at = _after_raw(page, at, name, enclosing, last_ends)
             continue
         if name == "a":
@@ -185,16 +188,30 @@ def page_blocks(page: str) -> list[Block]:
         in_link = False
         if name not in CONTAINERS:
             continue
-        place = stack[-1][1] if stack else 0
-        if name in ("article", "main"):
+        _, place, origin = stack[-1] if stack else ("", 0, -1)
+        attrs = token["attrs"] or ""
+        body = name in ("article", "main")
+        if body:
             # A menu that is never closed ends where the article begins.
-            if place < 0 and all(n in OUTSIDE or p >= 0 for n, p in stack):
+            if place < 0 and all(n in OUTSIDE or p >= 0 for n, p, _ in stack):
                 stack.clear()
-                place = 0
-            place = place if place < 0 else 1
-        if (name in OUTSIDE and not (name == "header" and place > 0)) or _marked(token["attrs"] or ""):
-            place = -1
-        stack.append((name, place))
+                place, origin = 0, -1
+            # A mark around an article does not decide: there it is judged by its blocks.
+            if place == -1 and not any(n in OUTSIDE for n, _, _ in stack):
+                place, origin = 0, -1
+            elif place >= 0:
+                place = 1
+        if name == "head" or _HIDDEN.search(attrs):
+            place = -2
+        elif place > -2 and name in OUTSIDE and not (name == "header" and place > 0):
+            place, origin = -1, -1
+            if name == "form":
+                origins += 1
+                origin = origins
+        elif place > -2 and not body and _marked(attrs):
+            origins += 1
+            place, origin = -1, origins
+        stack.append((name, place, origin))
     pieces.append(page[at:])
     close()
     return blocks
@@ -203,27 +220,40 @@ def page_blocks(page: str) -> list[Block]:
 def block_labels(blocks: list[Block]) -> list[bool]:
     """Whether each block is main text.
 
-    First pass: what stands in a menu, footer, advert or the like is not; what stands in an article
-    is; of the rest, blocks full of links are not, long blocks with function words are, and blocks
-    without them are not. Short blocks stay open. Second pass: an open block takes the label of the
-    nearest decided block, the following one if two are as near; with none, it is text.
+    First pass: long blocks with function words and few links are, wherever they stand, and blocks full of
+    links are not. Of the rest, what stands in a menu, footer, advert or the like is not, unless a
+    long block shows that the mark is one of a wrapper; what stands in an article is, unless it has
+    many links and few function words; elsewhere, blocks without function words are not. Short blocks
+    stay open, as do headings in an article that are links. Second pass: an open block takes the
+    label of the nearest decided block, the following one if two are as near; with none, it is text.
     """
-    first: list[bool | None] = []
+    facts = []
     for block in blocks:
         words = block.text.split()
         links = block.link_chars / max(1, len(block.text))
-        if block.place:
-            first.append(block.place > 0)
-        elif links > LINK_SHARE:
+        known = sum(w.strip(".,;:!?\"'()").lower() in STOP_WORDS for w in words) / max(1, len(words))
+        prose = len(words) >= LONG_WORDS and known >= STOP_SHARE and links <= LINK_SHARE / 2
+        facts.append((len(words), links, known, prose))
+    wrappers = {b.origin for b, f in zip(blocks, facts, strict=True) if f[3] and b.place == -1 and b.origin >= 0}
+    first: list[bool | None] = []
+    for block, (n, links, known, prose) in zip(blocks, facts, strict=True):
+        place = 0 if block.place == -1 and block.origin in wrappers else block.place
+        if place == -2:
+            first.append(False)
+        elif prose:
+            first.append(True)
+        elif place == -1:
             first.append(False)
-        elif len(words) < SHORT_WORDS:
+        elif links > LINK_SHARE:
+            first.append(None if place == 1 and block.heading else False)
+        elif place == 1:
+            first.append(n < SHORT_WORDS or links <= LINK_SHARE / 2 or known >= STOP_SHARE)
+        elif n < SHORT_WORDS:
             first.append(None)
+        elif known >= STOP_SHARE:
+            first.append(True if n >= LONG_WORDS else None)
         else:
-            known = sum(w.strip(".,;:!?\"'()").lower() in STOP_WORDS for w in words) / len(words)
-            if known >= STOP_SHARE:
-                first.append(True if len(words) >= LONG_WORDS else None)
-            else:
-                first.append(False if len(words) < LONG_WORDS else None)
+            first.append(False if n < LONG_WORDS else None)
     decided = np.array([k for k, label in enumerate(first) if label is not None], np.int64)
     if not len(decided):
         return [True] * len(blocks)

@@ -487,6 +487,31 @@ def test_main_text():
     assert main_text("<nav><a>never closed<article><p>text</p>") == "text"
 
 
+LONG = "The house of the man is in the town and it was built by the people that he knew in the old days of the war"
+
+
+@pytest.mark.parametrize(
+    "around",
+    ["article class='post has-comments'", "main class='with-sidebar'", "div class='no-sidebar'", "div class=has-sidebar",
+     "div class='elementor-widget-container'", "section id=social-post", "form id=aspnetForm", "nav"],
+)
+def test_marks_do_not_empty_a_page(around):
+    name = around.split()[0]
+    menu = "<div class=menu><a href=a>One</a> <a href=b>Two</a></div>"
+    kept = main_text(f"<body>{menu}<{around}><p>{LONG}</p></{name}><footer>End</footer>")
+    assert kept == LONG
+    if name != "nav":
+        nested = f"<{around}><article><h1>Head</h1><p>{LONG}</p><p>Short</p></article></{name}>"
+        assert name == "form" or main_text(f"<body>{menu}{nested}") == f"Head\n{LONG}\nShort"
+    assert main_text(f"<div hidden><article><p>{LONG}</p></article></div><p>{LONG} now</p>") == f"{LONG} now"
+
+
+def test_blocks_in_articles_are_judged_by_links():
+    links = "<ul><li><a href=a>Another story</a></li><li><a href=b>One more story</a></li></ul>"
+    page = f"<article><h1><a href=x>Head</a></h1><p>{LONG}</p><p>See <a href=y>that</a> too, some more.</p>{links}</article>"
+    assert main_text(page) == f"Head\n{LONG}\nSee that too, some more."
+
+
 @pytest.mark.parametrize(
     "part, want",
     [
