@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleaner.llm.audit import filter_audit, text_failures
 from gleaner.llm.common import table
 from gleaner.llm.exact import exact_groups
 from gleaner.llm.html import extracted
@@ -61,6 +62,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(text_failures(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_search": op1_search,
     "op2_substrings": op2_substrings,
@@ -72,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op8_html": op8_html,
     "op9_exact": op9_exact,
     "op10_quality": op10_quality,
+    "op12_audit": op12_audit,
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
@@ -129,5 +135,48 @@ WITH docs AS (SELECT doc_id, {_NORMAL} AS content FROM documents)
 SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = min(doc_id) OVER same AS kept, sha256(content) AS text_sha256
 FROM docs WINDOW same AS (PARTITION BY content)
+""",
+    "op12_audit": r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first
+  FROM documents),
+docs AS (
+  SELECT part,
+         (len(words) < 200)::INT
+         + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+         + 4 * (100 * len(regexp_replace(body, '[^A-Z]', '', 'g')) > 2 * len(body))::INT
+         + 8 * regexp_matches(body, '[#$%&*|]')::INT
+         + 16 * coalesce(doc_id > first, false)::INT AS fails,
+         doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) AS good,
+         doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL) AS toxic
+  FROM texts),
+filters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS name, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT '' AS filter_order, 0 AS used
+  UNION ALL
+  SELECT filter_order || name, used + bit FROM orders JOIN filters ON used & bit = 0),
+steps AS (
+  SELECT filter_order, step, bit,
+         (SELECT coalesce(sum(f.bit), 0) FROM filters f
+          WHERE instr(filter_order, f.name) BETWEEN 1 AND step - 1)::INT AS before
+  FROM (SELECT filter_order FROM orders WHERE used = 31), generate_series(1, 5) AS s(step)
+  JOIN filters ON name = substr(filter_order, step, 1)),
+tallies AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM docs GROUP BY part, fails),
+counts AS (
+  SELECT part, filter_order, step, bit,
+         coalesce(sum(n) FILTER (fails & (before | bit) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (fails & bit > 0 AND fails & before = 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (fails & bit > 0 AND fails & before > 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (fails = bit), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (fails & bit > 0 AND fails & before = 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (fails & bit > 0 AND fails & before = 0), 0)::BIGINT AS toxic_lost
+  FROM tallies, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM counts
 """,
 }
