@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.llm.audit import filter_audit, text_failures
+from gleaner.llm.centroids import clustered
 from gleaner.llm.common import table
 from gleaner.llm.exact import exact_groups
 from gleaner.llm.html import extracted
@@ -18,6 +19,7 @@ from gleaner.llm.packing import packed
 from gleaner.llm.passages import without_repeated_bytes, without_repeated_words
 from gleaner.llm.quality import judged
 from gleaner.llm.search import nearest
+from gleaner.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,10 +64,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustered(table(spark, sf_dir, "embeddings")).drop("compared")
+
+
 def op12_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(text_failures(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_search": op1_search,
     "op2_substrings": op2_substrings,
@@ -77,12 +87,29 @@ QUERIES: dict[str, Query] = {
     "op8_html": op8_html,
     "op9_exact": op9_exact,
     "op10_quality": op10_quality,
+    "op11_centroids": op11_centroids,
     "op12_audit": op12_audit,
+    "op13_toxicity": op13_toxicity,
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
+# One round of op11: r<n> are centroids, r<m> the next ones.
+_ROUND = """r{n}_near AS MATERIALIZED (
+  SELECT rid, k FROM (
+    SELECT rid, k, row_number() OVER (PARTITION BY rid ORDER BY d, k) AS place FROM (
+      SELECT rid, k, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+      FROM points, r{n})) WHERE place = 1),
+r{m} AS MATERIALIZED (
+  SELECT k, list(x ORDER BY dim) AS c FROM (
+    SELECT k, dim, ((s - ((s % n + n) % n)) // n)::BIGINT AS x FROM (
+      SELECT k, dim, sum(v[dim])::BIGINT AS s, count(*) AS n
+      FROM r{n}_near JOIN points USING (rid), generate_series(1, 64) AS g(dim) GROUP BY k, dim)) GROUP BY k
+  UNION ALL
+  SELECT k, c FROM r{n} WHERE k NOT IN (SELECT k FROM r{n}_near)),
+"""
+
 ORACLES: dict[str, str] = {
     "op1_search": """
 WITH vectors AS (
@@ -135,6 +162,25 @@ WITH docs AS (SELECT doc_id, {_NORMAL} AS content FROM documents)
 SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = min(doc_id) OVER same AS kept, sha256(content) AS text_sha256
 FROM docs WINDOW same AS (PARTITION BY content)
+""",
+    "op11_centroids": f"""
+WITH points AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id,
+         list_transform(embedding::DOUBLE[], lambda x: floor(64 * x)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+r0 AS (
+  SELECT row_number() OVER (ORDER BY h NULLS LAST, v) - 1 AS k, v AS c
+  FROM (SELECT sha256('1:' || vec_id::VARCHAR) AS h, v FROM points) ORDER BY h NULLS LAST, v LIMIT 16),
+{_ROUND.format(n=0, m=1)}{_ROUND.format(n=1, m=2)}{_ROUND.format(n=2, m=3)}last AS (
+  SELECT rid, k, d FROM (
+    SELECT rid, k, d, row_number() OVER (PARTITION BY rid ORDER BY d, k) AS place FROM (
+      SELECT rid, k, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+      FROM points, r3)) WHERE place = 1)
+SELECT vec_id, k::INT AS cluster, d AS distance,
+       (sum(d) OVER (PARTITION BY k))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM last JOIN points USING (rid) JOIN r3 USING (k)
 """,
     "op12_audit": r"""
 WITH RECURSIVE texts AS (
