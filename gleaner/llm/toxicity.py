@@ -31,6 +31,8 @@ HELD_OUT = 1
 THRESHOLD = 0.7
 # A sentence from this probability on is reported as offending.
 OFFENDING = 0.5
+# Log-odds of a sentence before its n-grams speak.
+BIAS = -6.0
 STEPS = 250
 STEP_SIZE = 0.1
 SPARSITY = 0.3
@@ -42,12 +44,11 @@ _LETTERS: list[np.ndarray] = []
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """``weights`` of the n-gram ``buckets``, the ``bias`` of a sentence, and the ``leak``: the rate
-    (-log(1 - p)) at which a document is labelled for no sentence of its own."""
+    """``weights`` of the n-gram ``buckets``, and the ``leak``: the rate (-log(1 - p)) at which a document
+    is labelled for no sentence of its own."""
 
     buckets: np.ndarray
     weights: np.ndarray
-    bias: float
     leak: float
 
 
@@ -137,47 +138,52 @@ def _places(buckets: np.ndarray) -> np.ndarray:
     return place
 
 
-def sentence_odds(texts: list[str | None], model: ToxicityModel, place: np.ndarray) -> tuple[Pieces, np.ndarray]:
-    """The sentences of some texts and their log-odds: the bias and the weights of their different n-grams."""
+def sentence_rates(weight: np.ndarray) -> np.ndarray:
+    """-log(1 - p) of sentences whose n-grams weigh so much; 0 without a net weight towards toxic.
+
+    So a text does not become suspicious by its length.
+    """
+    return np.maximum(np.logaddexp(0, BIAS + weight) - np.logaddexp(0, BIAS), 0)
+
+
+def sentence_scores(texts: list[str | None], model: ToxicityModel, place: np.ndarray) -> tuple[Pieces, np.ndarray]:
+    """The sentences of some texts and the rates that the weights of their different n-grams give."""
     symbols, pieces, sentence = split(texts)
     rows, columns = _found(symbols, sentence, place)
-    return pieces, model.bias + np.bincount(rows, model.weights[columns], minlength=len(pieces.starts))
+    return pieces, sentence_rates(np.bincount(rows, model.weights[columns], minlength=len(pieces.starts)))
 
 
-def document_scores(pieces: Pieces, odds: np.ndarray, model: ToxicityModel) -> np.ndarray:
+def document_scores(pieces: Pieces, rates: np.ndarray, model: ToxicityModel) -> np.ndarray:
     """Noisy-or: the probability that any sentence, or the leak, makes the document toxic."""
-    rates = np.bincount(pieces.text_of, np.logaddexp(0, odds), minlength=pieces.texts)
-    return -np.expm1(-(rates + model.leak))
+    return -np.expm1(-(np.bincount(pieces.text_of, rates, minlength=pieces.texts) + model.leak))
 
 
 def train(rows: np.ndarray, columns: np.ndarray, text_of: np.ndarray, labels: np.ndarray, buckets: np.ndarray) -> ToxicityModel:
-    """Fit n-gram weights, bias and leak to document labels by gradient steps on the noisy-or likelihood.
+    """Fit n-gram weights and leak to document labels by gradient steps on the noisy-or likelihood.
 
     ``rows, columns``: sentences and numbers of the n-grams in them. Weights shrink by a constant
     (proximal) amount, so n-grams that do not help end at zero.
     """
     count = len(text_of)
-    weights, bias, leak = np.zeros(len(buckets)), -7.0, float(np.log(np.clip(labels.mean(), 1e-4, 0.9) / 10))
-    first, second = np.zeros(len(buckets) + 2), np.zeros(len(buckets) + 2)
+    weights, leak = np.zeros(len(buckets)), float(np.log(np.clip(labels.mean(), 1e-4, 0.9) / 10))
+    first, second = np.zeros(len(buckets) + 1), np.zeros(len(buckets) + 1)
     for step in range(1, STEPS + 1):
-        z = bias + np.bincount(rows, weights[columns], minlength=count)
-        total = np.bincount(text_of, np.logaddexp(0, z), minlength=len(labels)) + np.logaddexp(0, leak)
+        weight = np.bincount(rows, weights[columns], minlength=count)
+        total = np.bincount(text_of, sentence_rates(weight), minlength=len(labels)) + np.logaddexp(0, leak)
         # Of the loss -log P(label) by the sum of rates: 1 for clean texts, -1 / (e^rate - 1) for toxic ones.
         pull = np.where(labels > 0, -1 / np.maximum(np.expm1(np.minimum(total, 50)), 1e-9), 1.0)
-        by_sentence = pull[text_of] / (1 + np.exp(-z))
+        by_sentence = pull[text_of] * (weight >= 0) / (1 + np.exp(-BIAS - weight))
         slope = np.append(
-            np.bincount(columns, by_sentence[rows], minlength=len(buckets)),
-            [by_sentence.sum(), pull.sum() / (1 + np.exp(-leak))],
+            np.bincount(columns, by_sentence[rows], minlength=len(buckets)), pull.sum() / (1 + np.exp(-leak))
         )
         first = 0.9 * first + 0.1 * slope
         second = 0.99 * second + 0.01 * slope**2
         rate = STEP_SIZE / (np.sqrt(second / (1 - 0.99**step)) + 1e-6)
         move = rate * first / (1 - 0.9**step)
-        weights = weights - move[:-2]
-        weights = np.sign(weights) * np.maximum(np.abs(weights) - SPARSITY * rate[:-2], 0)
-        bias, leak = min(bias - move[-2], -5.0), leak - move[-1]
+        weights, leak = weights - move[:-1], leak - move[-1]
+        weights = np.sign(weights) * np.maximum(np.abs(weights) - SPARSITY * rate[:-1], 0)
     kept = np.abs(weights) > 1e-3
-    return ToxicityModel(buckets[kept], weights[kept], float(bias), float(np.logaddexp(0, leak)))
+    return ToxicityModel(buckets[kept], weights[kept], float(np.logaddexp(0, leak)))
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, held_out: int = HELD_OUT, folds: int = FOLDS) -> DataFrame:
@@ -232,7 +238,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     sample = staged(labelled_texts(docs, labels), "labelled").repartition(32)
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     share = (sizes.get(1, 0) + 1) / (sum(sizes.values()) + 2)
-    constant = ToxicityModel(np.empty(0, np.int64), np.empty(0), -50.0, float(-np.log1p(-share)))
+    constant = ToxicityModel(np.empty(0, np.int64), np.empty(0), float(-np.log1p(-share)))
     if len(sizes) < 2:
         return constant
     buckets = telling_grams(sample, share)
@@ -272,20 +278,20 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     ``offending`` lists the sentences from a probability of ``OFFENDING`` on, in the text's order:
     ``start`` and ``length`` in code points, and ``score``. Null and empty texts, and those without
-    words, have none, and a score of the leak and an empty sentence. A null id is in no fold: neither learned
+    words, have none, and the score of the leak alone. A null id is in no fold: neither learned
     from nor held out. Whole texts are read; an empty table gives no rows; labels may repeat or be absent.
     Other columns are not read.
     """
     model = fit_toxicity(docs, labels)
     # Plain values, a few thousand numbers: executors need not have this package installed to read them.
-    sent = (model.buckets, model.weights, model.bias, model.leak)
+    sent = (model.buckets, model.weights, model.leak)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = ToxicityModel(*sent)
         place = _places(held.buckets)
         for batch in large_batches(batches, size=1 << 20):
-            pieces, odds = sentence_odds(batch.column("text").to_pylist(), held, place)
-            chance = 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
+            pieces, rates = sentence_scores(batch.column("text").to_pylist(), held, place)
+            chance = -np.expm1(-rates)
             bad = np.flatnonzero(chance >= OFFENDING)
             cuts = np.searchsorted(pieces.text_of[bad], np.arange(pieces.texts + 1))
             listed = pa.ListArray.from_arrays(
@@ -294,7 +300,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
                     [pa.array(x[bad]) for x in (pieces.starts, pieces.lengths, chance)], names=["start", "length", "score"]
                 ),
             )
-            value = np.clip(document_scores(pieces, odds, held), 0, 1)
+            value = np.clip(document_scores(pieces, rates, held), 0, 1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(value, pa.float64()), listed], names=["doc_id", "score", "offending"]
             )
