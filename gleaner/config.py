@@ -110,6 +110,7 @@ class QualityFilters:
 @dataclass(frozen=True)
 class Deduplication:
     similarity_threshold: float
+    # "hashed" counts words in ``dims`` buckets, "sparse" in a space so wide that words keep their own.
     method: str = "hashed"
     dims: int = 512
     # The text that is compared: the messages' contents, or the conversation as the template renders it.
@@ -127,7 +128,7 @@ class Deduplication:
                 stacklevel=2,
             )
             object.__setattr__(self, "method", "hashed")
-        if self.method not in ("hashed", "column", "udf"):
+        if self.method not in ("hashed", "sparse", "column", "udf"):
             raise ValueError(f"unknown deduplication method: {self.method}")
         if not 0.0 < self.similarity_threshold <= 1.0:
             raise ValueError("similarity_threshold must be in (0, 1]")
@@ -140,30 +141,67 @@ class ScoringWeights:
     diversity: float
 
 
+@dataclass(frozen=True)
+class Selection:
+    """Limits on what may be selected; none by default.
+
+    ``min_perplexity_score`` and ``max_perplexity_score`` bound the learning value, ends included.
+    ``max_similar_samples`` bounds the rows of a cluster of similar rows.
+    """
+
+    min_perplexity_score: float | None = None
+    max_perplexity_score: float | None = None
+    max_similar_samples: int | None = None
+
+    def __post_init__(self):
+        if self.max_similar_samples is not None and self.max_similar_samples < 1:
+            raise ValueError("max_similar_samples must be at least 1")
+
+    @property
+    def band(self) -> tuple[float, float] | None:
+        if self.min_perplexity_score is None and self.max_perplexity_score is None:
+            return None
+        low, high = self.min_perplexity_score, self.max_perplexity_score
+        return (float("-inf") if low is None else low, float("inf") if high is None else high)
+
+
 @dataclass(frozen=True)
 class CurationConfig:
     name: str
     quality_filters: QualityFilters
     deduplication: Deduplication
     scoring_weights: ScoringWeights
+    selection: Selection = Selection()
 
     @classmethod
     def from_mapping(cls, name: str, raw: Mapping[str, Any]) -> CurationConfig:
-        """Read the three sections a run uses; batch sizes and model names have no meaning on Spark."""
+        """Read the sections a run uses; batch sizes and model names have no meaning on Spark.
+
+        ``selection`` holds limits that take effect. An ``advanced`` section is not used, and says so.
+        """
         missing = [k for k in ("quality_filters", "deduplication", "scoring_weights") if k not in raw]
         if missing:
             raise ValueError(f"config {name} lacks: {', '.join(missing)}")
+        if raw.get("advanced"):
+            warnings.warn(
+                f"the advanced section of {name} has no effect; its limits take effect in a section named selection",
+                stacklevel=2,
+            )
         dedup = {k: v for k, v in raw["deduplication"].items() if k != "embedding_model"}
         return cls(
             name,
             _checked(QualityFilters, raw["quality_filters"], "quality_filters"),
             _checked(Deduplication, dedup, "deduplication"),
             _checked(ScoringWeights, raw["scoring_weights"], "scoring_weights"),
+            _checked(Selection, raw.get("selection") or {}, "selection"),
         )
 
     def with_filters(self, **changes: Any) -> CurationConfig:
         return replace(self, quality_filters=replace(self.quality_filters, **changes))
 
+    def with_selection(self, **changes: Any) -> CurationConfig:
+        return replace(self, selection=replace(self.selection, **changes))
+
     def with_dedup(self, **changes: Any) -> CurationConfig:
         return replace(self, deduplication=replace(self.deduplication, **changes))
 

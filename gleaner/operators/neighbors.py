@@ -200,6 +200,11 @@ def nearest_rows(
     Copies beyond the first have the first one, at similarity 1, unless a smaller id is as near.
     """
     reps, best = nearest_matches(df, id_col, vector_col, threshold, block_rows)
+    return with_copies(df, id_col, vector_col, reps, best)
+
+
+def with_copies(df: DataFrame, id_col: str, vector_col: str, reps: DataFrame, best: DataFrame) -> DataFrame:
+    """The partners of all rows of ``df`` from those of its distinct vectors."""
     rows = _packed(df, id_col, vector_col).filter("packed IS NOT NULL")
     first = reps.filter("packed IS NOT NULL").select(F.col("id").alias("first"), "packed")
     copies = rows.withColumn("h", F.xxhash64("packed")).join(
@@ -223,10 +228,14 @@ def kept_ids(
     min_cells: int = MIN_CELLS,
 ) -> DataFrame:
     """Ids that survive, one column named like ``id_col``. Rows without a direction all do."""
-    reps, best = nearest_matches(df, id_col, vector_col, threshold, block_rows, min_cells)
+    matches = nearest_matches(df, id_col, vector_col, threshold, block_rows, min_cells)
+    return survivors(*matches).withColumnRenamed("id", id_col)
+
+
+def survivors(reps: DataFrame, best: DataFrame) -> DataFrame:
+    """``id`` of the distinct vectors that are not the larger id of a match."""
     removed = best.select(F.greatest("id", "match_id").alias("id")).distinct()
-    kept = reps.select("id").join(removed, "id", "left_anti")
-    return kept.withColumnRenamed("id", id_col)
+    return reps.select("id").join(removed, "id", "left_anti")
 
 
 def drop_near_duplicates(

@@ -21,6 +21,7 @@ from gleaner.functions.template import (
 )
 from gleaner.functions.tokens import count_tokens, message_tokens, tokens, within_budget
 from gleaner.functions.vectors import cosine, mean_pool, norm, unit
+from gleaner.operators.clusters import match_clusters
 from gleaner.operators.compare import compare_texts
 from gleaner.operators.features import hashed_vectors, packed_vectors
 from gleaner.operators.language_model import fit, mean_nll, normalised, with_perplexity
@@ -34,6 +35,7 @@ from gleaner.operators.quality import (
     turn_count,
 )
 from gleaner.operators.report import score_stats, stage_counts
+from gleaner.operators.sparse_join import sparse_kept_ids, sparse_nearest, sparse_vectors
 from gleaner.operators.select import combine_scores, in_band, join_scores, most_per_group, random_sample, top_k
 from gleaner.plans.curate import CurationResult, curate, curate_turns
 from gleaner.sources.normalize import alpaca_messages, assemble_turns, to_messages
@@ -51,11 +53,13 @@ WIDE = INSTRUCT.with_filters(balanced_conversation_ratio=0.75)
 RUN = WIDE.with_dedup(similarity_threshold=0.9)
 VECTOR_THRESHOLD = 0.45
 DOCUMENT_THRESHOLD = 0.95
+SPARSE_THRESHOLD = 0.9
 TOP_K = 25
 # Phrases that do occur in the test conversations, in other letter case, after the preset ones.
 EXTRA_PHRASES = ("ÉTION", "that WITH", r"und\s+Die")
 TOKEN_BUDGET = 200
-MOST_SIMILAR = 5
+MOST_SIMILAR = 2
+PERPLEXITY_BAND = (0.1, 0.9)
 
 QUERIES: dict[str, Query] = {}
 
@@ -462,6 +466,20 @@ def removed_documents(spark, folder):
     return docs.select("doc_id", "lang", "n_chars").join(kept, "doc_id", "left_anti")
 
 
+@query
+def dedup_documents_sparse(spark, folder):
+    vectors = sparse_vectors(documents(spark, folder), F.col("text"), "doc_id")
+    return sparse_kept_ids(vectors, "doc_id", "vector", DOCUMENT_THRESHOLD)
+
+
+@query
+def nearest_documents_sparse(spark, folder):
+    """At a threshold that longer prefixes are needed for."""
+    vectors = sparse_vectors(documents(spark, folder), F.col("text"), "doc_id")
+    best = sparse_nearest(vectors, "doc_id", "vector", SPARSE_THRESHOLD)
+    return best.select("id", "match_id", F.round("similarity", 6).alias("similarity"))
+
+
 @query
 def user_encoder_dedup(spark, folder):
     def load():
@@ -639,16 +657,23 @@ def rejection_funnel(spark, folder):
 
 @query
 def perplexity_band(spark, folder):
-    return _rounded(in_band(_scored(spark, folder), 0.4, 0.9), "learning_value").select(
-        "conv_id", "learning_value"
-    )
+    return in_band(response_perplexity(spark, folder), *PERPLEXITY_BAND).select("conv_id", "learning_value")
+
+
+@query
+def similar_clusters(spark, folder):
+    vectors = packed_vectors(documents(spark, folder), F.col("text"), "doc_id")
+    return match_clusters(nearest_rows(vectors, "doc_id", "vector", DOCUMENT_THRESHOLD))
 
 
 @query
 def max_similar(spark, folder):
-    docs = documents(spark, folder).select("doc_id", "source")
-    scored = docs.withColumn("final_score", random_score(F.col("doc_id")))
-    return most_per_group(scored, MOST_SIMILAR, "source", id_col="doc_id").select("doc_id", "source")
+    """The best rows of each cluster of similar documents; a document without a match is one alone."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    clusters = similar_clusters(spark, folder).withColumnRenamed("id", "doc_id")
+    scored = docs.select("doc_id", random_score(F.col("doc_id")).alias("final_score")).join(clusters, "doc_id", "left")
+    grouped = scored.withColumn("cluster", F.coalesce("cluster", "doc_id"))
+    return most_per_group(grouped, MOST_SIMILAR, "cluster", id_col="doc_id").select("doc_id", "cluster")
 
 
 # ---- whole runs

@@ -12,7 +12,9 @@ from gleaner.plans.catalog import (
     INSTRUCT,
     MOST_SIMILAR,
     OPTIMIZED,
+    PERPLEXITY_BAND,
     RUN,
+    SPARSE_THRESHOLD,
     TOKEN_BUDGET,
     TOP_K,
     VECTOR_THRESHOLD,
@@ -149,6 +151,24 @@ alike AS (
         FROM buckets a JOIN buckets b ON a.bucket = b.bucket AND a.id <> b.id GROUP BY 1, 2) d
   JOIN lengths x ON x.id = d.i JOIN lengths y ON y.id = d.j)"""
 
+def sparse_sql(threshold: float) -> str:
+    """``nearest`` and ``removed`` of the documents' words by 28 bits of their md5, without folding."""
+    wide = weighted_sql("documents", "doc_id", "text", 1 << 28).replace("1, 4))", "1, 7))")
+    return f"WITH {wide}, {SIMILAR_BUCKETS}, {removed_sql(threshold)}"
+
+
+def clusters_sql() -> str:
+    """``roots``: id, cluster of every document with a match, by walking the matches."""
+    return f"""WITH RECURSIVE {buckets_sql('documents', 'doc_id', 'text', 512)}, {SIMILAR_BUCKETS},
+{removed_sql(DOCUMENT_THRESHOLD)},
+ends AS (SELECT a.i FROM nearest a JOIN nearest b ON b.i = a.j AND b.j = a.i WHERE a.i < a.j),
+walk AS (
+  SELECT i AS id, i AS place FROM nearest
+  UNION ALL
+  SELECT w.id, n.j FROM walk w JOIN nearest n ON n.i = w.place WHERE w.place NOT IN (SELECT i FROM ends)),
+roots AS (SELECT id, place AS cluster FROM walk WHERE place IN (SELECT i FROM ends))"""
+
+
 SIMILAR_VECTORS = """
 alike AS (
   SELECT a.vec_id AS i, b.vec_id AS j,
@@ -497,12 +517,6 @@ SELECT CASE WHEN n_messages // 2 NOT BETWEEN {f_instruct.min_turns} AND {f_instr
               AND abs(user_tokens - assistant_tokens)::DOUBLE / (user_tokens + assistant_tokens)
                 > {f_instruct.balanced_conversation_ratio}::DOUBLE THEN 'balance' END AS reason,
        count(*) AS n FROM facts GROUP BY 1""",
-        "perplexity_band": f"""
-WITH {SCORED} SELECT conv_id, round(learning_value, 6) AS learning_value FROM scored
-WHERE learning_value BETWEEN 0.4 AND 0.9""",
-        "max_similar": f"""
-SELECT doc_id, source FROM documents
-QUALIFY row_number() OVER (PARTITION BY source ORDER BY {learning('doc_id')} DESC, doc_id) <= {MOST_SIMILAR}""",
         "reduction_ratio": f"""
 WITH {facts_sql(f_wide)},
 c AS (SELECT count(*) AS before, count(*) FILTER ({passes_sql(f_wide)}) AS after FROM facts)
@@ -570,6 +584,18 @@ SELECT '{OPTIMIZED.name}' AS config_used, count(*) AS original_size,
     counts = ", ".join(
         f"(length(lower(text)) - length(replace(lower(text), '{c}', '')))::DOUBLE" for c in letters
     )
+    out["dedup_documents_sparse"] = f"""{sparse_sql(DOCUMENT_THRESHOLD)}
+SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT id FROM removed)"""
+    out["nearest_documents_sparse"] = f"""{sparse_sql(SPARSE_THRESHOLD)}
+SELECT i AS id, j AS match_id, round(s, 6) AS similarity FROM nearest"""
+    out["similar_clusters"] = f"{clusters_sql()} SELECT id, cluster FROM roots"
+    out["max_similar"] = f"""{clusters_sql()}
+SELECT doc_id, coalesce(cluster, doc_id) AS cluster FROM documents LEFT JOIN roots ON id = doc_id
+QUALIFY row_number() OVER (PARTITION BY coalesce(cluster, doc_id)
+                           ORDER BY {learning('doc_id')} DESC, doc_id) <= {MOST_SIMILAR}"""
+    out["perplexity_band"] = f"""
+SELECT conv_id, learning_value FROM ({out['response_perplexity']})
+WHERE learning_value BETWEEN {PERPLEXITY_BAND[0]} AND {PERPLEXITY_BAND[1]}"""
     out["user_encoder_dedup"] = f"""
 WITH v AS (SELECT doc_id, [{counts}] AS e FROM documents),
 alike AS (SELECT a.doc_id AS i, b.doc_id AS j, round(list_cosine_similarity(a.e, b.e), 9) AS s

@@ -14,13 +14,15 @@ from gleaner.config import CurationConfig, load_config
 from gleaner.functions.plugins import message_counter, token_counter
 from gleaner.functions.scores import perplexity, random_score
 from gleaner.functions.template import CHATML, ChatTemplate, response_message
+from gleaner.operators.clusters import match_clusters
 from gleaner.operators.compare import compare_texts, message_texts
 from gleaner.operators.features import packed_vectors
 from gleaner.operators.language_model import learning_values, normalised
-from gleaner.operators.neighbors import kept_ids
+from gleaner.operators.neighbors import nearest_matches, survivors, with_copies
 from gleaner.operators.quality import judge_conversations, passes_quality
 from gleaner.operators.report import build_report, score_stats
-from gleaner.operators.select import SMALL_K, combine_scores, random_sample, top_k
+from gleaner.operators.select import SMALL_K, combine_scores, in_band, most_per_group, random_sample, top_k
+from gleaner.operators.sparse_join import sparse_matches, sparse_vectors
 from gleaner.sources.normalize import assemble_turns
 from gleaner.sources.readers import read_dataset, read_jsonl
 from gleaner.sources.writers import write_jsonl, write_report
@@ -171,10 +173,12 @@ def _finish(
 ) -> CurationResult:
     check_ids(filtered, run.id_col)
     filtered_size = filtered.count()
-    kept = filtered
-    if not run.skip_deduplication and filtered_size > 0:
-        ids = staged(deduplicate(filtered, config, run), "kept")
-        kept = filtered.join(ids, run.id_col, "left_semi")
+    kept, clusters = filtered, None
+    most_similar = config.selection.max_similar_samples
+    if filtered_size > 0 and not (run.skip_deduplication and most_similar is None):
+        ids, clusters = deduplicate(filtered, config, run, clustered=most_similar is not None)
+        if not run.skip_deduplication:
+            kept = filtered.join(staged(ids, "kept"), run.id_col, "left_semi")
     # From here on only ids and numbers move; the selected rows are fetched at the end.
     extra = [c for c in (run.quality_col, run.diversity_col) if c is not None]
     values = combine_scores(
@@ -187,8 +191,18 @@ def _finish(
     kept_size = scored.count()
     if kept_size == 0:
         warnings.warn("no rows are left after filtering and deduplication", stacklevel=3)
-    selected_size = min(k, kept_size)
-    best = top_k(scored, k, id_col=run.id_col, available=kept_size or None)
+    eligible, available = scored, kept_size
+    if config.selection.band is not None:
+        eligible = in_band(eligible, *config.selection.band)
+    if clusters is not None:
+        # A row without a similar one is a cluster of its own; ids of clusters are ids of rows.
+        grouped = eligible.join(clusters, run.id_col, "left").withColumn("_cluster", F.coalesce("_cluster", F.col(run.id_col)))
+        eligible = most_per_group(grouped, most_similar, "_cluster", id_col=run.id_col).drop("_cluster")
+    if eligible is not scored:
+        eligible = staged(eligible, "eligible")
+        available = eligible.count()
+    selected_size = min(k, available)
+    best = top_k(eligible, k, id_col=run.id_col, available=available or None)
     source = filtered.drop("learning_value", "final_score", "rank")
     selected = source.join(F.broadcast(best) if k <= SMALL_K else best, run.id_col)
     validation = None
@@ -207,8 +221,13 @@ def _finish(
     return CurationResult(selected, scored, report)
 
 
-def deduplicate(df: DataFrame, config: CurationConfig, run: RunOptions) -> DataFrame:
-    """Ids that survive near-duplicate removal under the configured kind of vector."""
+def deduplicate(
+    df: DataFrame, config: CurationConfig, run: RunOptions, clustered: bool = False
+) -> tuple[DataFrame, DataFrame | None]:
+    """Ids that survive near-duplicate removal under the configured kind of vector.
+
+    With ``clustered`` also the id and ``_cluster`` of every row that has a similar one.
+    """
     settings = config.deduplication
     whole = isinstance(df.schema[run.id_col].dataType, T.IntegralType)
     rows, id_col = (df, run.id_col) if whole else _numbered(df, run.id_col)
@@ -216,16 +235,36 @@ def deduplicate(df: DataFrame, config: CurationConfig, run: RunOptions) -> DataF
         text = run.template.render(F.col("messages"))
     else:
         text = F.array_join("messages.content", "\n")
+    threshold = settings.similarity_threshold
+    sparse = False
     if run.vector_col is not None:
         vectors = rows.select(id_col, F.col(run.vector_col).alias("vector"))
     elif run.encoder is not None:
         vectors = rows.select(id_col, run.encoder(text).alias("vector"))
     elif settings.method == "hashed":
         vectors = packed_vectors(rows, text, id_col, settings.dims, settings.idf)
+    elif settings.method == "sparse":
+        sparse, vectors = True, staged(sparse_vectors(rows, text, id_col), "counts")
     else:
         raise ValueError(f"method {settings.method} needs a vector column or an encoder")
-    kept = kept_ids(vectors, id_col, "vector", settings.similarity_threshold)
-    return kept if whole else rows.select(id_col, run.id_col).join(kept, id_col).select(run.id_col)
+    if sparse:
+        reps, best = sparse_matches(vectors, id_col, "vector", threshold, settings.idf)
+    else:
+        reps, best = nearest_matches(vectors, id_col, "vector", threshold)
+    if clustered:
+        best = staged(best, "matches")
+    kept = survivors(reps, best).withColumnRenamed("id", id_col)
+    clusters = None
+    if clustered:
+        found = match_clusters(with_copies(vectors, id_col, "vector", reps, best))
+        clusters = found.select(F.col("id").alias(id_col), F.col("cluster").alias("_cluster"))
+    if whole:
+        return kept, clusters
+    names = rows.select(id_col, run.id_col)
+    if clusters is not None:
+        named = names.select(F.col(id_col).alias("_cluster"), F.col(run.id_col).alias("_name"))
+        clusters = names.join(clusters, id_col).join(named, "_cluster").select(run.id_col, F.col("_name").alias("_cluster"))
+    return names.join(kept, id_col).select(run.id_col), clusters
 
 
 def _numbered(df: DataFrame, id_col: str) -> tuple[DataFrame, str]:
