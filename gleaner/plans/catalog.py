@@ -39,7 +39,7 @@ from gleaner.operators.sparse_join import sparse_kept_ids, sparse_nearest, spars
 from gleaner.operators.select import combine_scores, in_band, join_scores, most_per_group, random_sample, top_k
 from gleaner.plans.curate import CurationResult, curate, curate_turns
 from gleaner.sources.normalize import alpaca_messages, assemble_turns, to_messages
-from gleaner.sources.readers import parse_records, read_dataset, read_jsonl
+from gleaner.sources.readers import parse_records, parsed_lines, read_dataset, read_jsonl
 from gleaner.sources.writers import write_jsonl, write_parquet
 from gleaner.stage import fresh_path, staged
 
@@ -174,6 +174,27 @@ def jsonl_round_trip(spark, folder):
     )
 
 
+@query
+def jsonl_lenient(spark, folder):
+    """Lines of both layouts, and some that are cut off or have no known layout, in one scan."""
+    turns = conversations(spark, folder)
+    key = (F.col("conv_id") * 1000 + F.col("turn")).alias("id")
+    listed = F.to_json(F.struct(key, F.array(F.struct("role", F.col("text").alias("content"))).alias("messages")))
+    pair = F.to_json(F.struct(key, F.col("role").alias("instruction"), F.col("text").alias("response")))
+    other = F.to_json(F.struct(key, "text"))
+    line = F.when(F.col("turn") % 2 == 0, listed).when(F.col("conv_id") % 7 == 0, other).otherwise(pair)
+    cut = F.when(F.col("conv_id") % 5 == 0, F.expr("substring(line, 1, length(line) - 3)")).otherwise(F.col("line"))
+    path = fresh_path(spark, "lines")
+    turns.select("conv_id", line.alias("line")).select(cut.alias("value")).write.text(path)
+    rows = parsed_lines(spark, path, id_col="id")
+    return rows.select(
+        "id",
+        F.coalesce(F.size("messages"), F.lit(0)).cast("bigint").alias("n_messages"),
+        text_md5(F.array_join("messages.content", "|")).alias("content_md5"),
+        text_md5(F.col("_corrupt_record")).alias("corrupt_md5"),
+    )
+
+
 @query
 def dataset_split(spark, folder):
     path = fresh_path(spark, "splits")

@@ -596,6 +596,21 @@ QUALIFY row_number() OVER (PARTITION BY coalesce(cluster, doc_id)
     out["perplexity_band"] = f"""
 SELECT conv_id, learning_value FROM ({out['response_perplexity']})
 WHERE learning_value BETWEEN {PERPLEXITY_BAND[0]} AND {PERPLEXITY_BAND[1]}"""
+    out["jsonl_lenient"] = """
+WITH lines AS (
+  SELECT *, conv_id * 1000 + turn AS id, conv_id % 5 = 0 AS cut, turn % 2 = 0 AS listed, conv_id % 7 = 0 AS other
+  FROM conversations),
+written AS (
+  SELECT *, CASE WHEN listed THEN to_json(struct_pack(id := id, messages := [struct_pack(role := role, content := text)]))
+                 WHEN other THEN to_json(struct_pack(id := id, text := text))
+                 ELSE to_json(struct_pack(id := id, instruction := role, response := text)) END::VARCHAR AS line,
+         NOT cut AND (listed OR NOT other) AS good
+  FROM lines)
+SELECT CASE WHEN NOT cut THEN id END AS id,
+       CASE WHEN NOT good THEN 0 WHEN listed THEN 1 ELSE 2 END::BIGINT AS n_messages,
+       CASE WHEN good THEN md5(CASE WHEN listed THEN text ELSE role || '|' || text END) END AS content_md5,
+       CASE WHEN NOT good THEN md5(CASE WHEN cut THEN left(line, length(line) - 3) ELSE line END) END AS corrupt_md5
+FROM written"""
     out["user_encoder_dedup"] = f"""
 WITH v AS (SELECT doc_id, [{counts}] AS e FROM documents),
 alike AS (SELECT a.doc_id AS i, b.doc_id AS j, round(list_cosine_similarity(a.e, b.e), 9) AS s

@@ -6,7 +6,7 @@ import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,7 @@ from gleaner.config import CurationConfig, load_config
 from gleaner.functions.plugins import message_counter, token_counter
 from gleaner.functions.scores import perplexity, random_score
 from gleaner.functions.template import CHATML, ChatTemplate, response_message
+from gleaner.operators.bitmap import keep_ids
 from gleaner.operators.clusters import match_clusters
 from gleaner.operators.compare import compare_texts, message_texts
 from gleaner.operators.features import packed_vectors
@@ -96,12 +97,15 @@ def curate(
     passes = passes_quality(
         messages, config.quality_filters, template=run.template, total_mode=run.total_mode, **own
     )
-    passed = source.filter(passes).select(*df.columns)
+    # The source is counted by the write that filters it.
+    seen = Observation()
+    passed = source.observe(seen, F.count(F.lit(1)).alias("n")).filter(passes).select(*df.columns)
+    filtered = staged(passed, "filtered")
 
     def baseline(n: int) -> DataFrame:
         return message_texts(random_sample(df, n, run.seed, run.id_col))
 
-    return _finish(baseline, df.count(), staged(passed, "filtered"), config, k, run)
+    return _finish(baseline, seen.get["n"], filtered, config, k, run)
 
 
 def curate_turns(
@@ -138,12 +142,13 @@ def curate_turns(
         ).select(turn_id, "n_messages", "passes"),
         "judged",
     )
-    ids = judged.filter("passes").select(turn_id)
-    total, original_size = judged.agg(
-        F.coalesce(F.sum("n_messages"), F.lit(0)), F.count(F.lit(1))
+    # A null id passes like any other, but matches nothing.
+    ids = judged.filter(F.col("passes") & F.col(turn_id).isNotNull()).select(turn_id)
+    total, original_size, passing = judged.agg(
+        F.coalesce(F.sum("n_messages"), F.lit(0)), F.count(F.lit(1)), F.count_if(F.col("passes"))
     ).first()
     light = without_giants(turns, judged, turn_id, total)
-    bounded = assemble_turns(light.join(ids, turn_id, "left_semi"), turn_id)
+    bounded = assemble_turns(keep_ids(light, ids, turn_id, passing), turn_id)
     filtered = staged(bounded.withColumnRenamed(turn_id, run.id_col), "filtered")
 
     def baseline(n: int) -> DataFrame:

@@ -278,3 +278,22 @@ def test_parquet_without_an_id(spark, tmp_path):
 def test_encoder_names_warn():
     with pytest.warns(UserWarning, match="neural encoder"):
         load_config("llama_3_2_instruct").with_dedup(method="sentence_transformer")
+
+
+def test_rejected_rows_go_before_the_shuffle(spark):
+    from gleaner.operators.bitmap import MOST_BITS, bitmap_bits, keep_ids, may_match
+
+    turns = spark.range(20_000).select(F.when(F.col("id") % 50 != 49, F.col("id") % 5000).alias("conv_id"), F.lit("t").alias("text"), F.lit("x").alias("_word"))
+    ids = spark.range(300).select((F.col("id") * 16).alias("conv_id"))
+    want = turns.filter("conv_id % 16 = 0 and conv_id < 4800").count()
+    for few in (0, 1_000):
+        kept = keep_ids(turns, ids, "conv_id", 300, broadcast_ids=few)
+        assert kept.count() == want and kept.columns == turns.columns
+    passed = may_match(turns, ids, "conv_id", 300)
+    assert want <= passed.count() < want + 0.12 * 20_000
+    plan = passed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    named = turns.select(F.concat(F.lit("c"), "conv_id").alias("conv_id"))
+    assert keep_ids(named, ids.select(F.concat(F.lit("c"), "conv_id").alias("conv_id")), "conv_id", 300, 0).count() == want
+    assert keep_ids(turns, ids.limit(0), "conv_id", 0, 0).count() == 0 and keep_ids(turns, ids.limit(0), "conv_id", 0).count() == 0
+    assert bitmap_bits(0) == bitmap_bits(1) == 64 and bitmap_bits(10**12) == MOST_BITS

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gleaner.config import PRESETS, load_config
 from gleaner.sources.normalize import assemble_turns, detect_format, to_messages
-from gleaner.sources.readers import parse_records, read_dataset, read_jsonl, read_jsonl_lenient
+from gleaner.sources.readers import parse_records, parsed_lines, read_dataset, read_jsonl, read_jsonl_lenient, with_positions
 from gleaner.sources.writers import report_yaml, write_jsonl, write_report
 
 ALPACA = "instruction string, input string, output string, response string"
@@ -68,6 +68,61 @@ def test_jsonl_positions_follow_the_file(spark, tmp_path):
         assert r["messages"][0]["content"].startswith(f"Row {r['sample_id']} ")
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "json", "text", "csv"])
+def test_positions_need_no_copy_of_the_rows(spark, tmp_path, monkeypatch, fmt):
+    """Files of several splits and row groups; only numbers per file or split are written."""
+    from gleaner.sources import readers
+
+    written, real = [], readers.staged
+    monkeypatch.setattr(readers, "staged", lambda df, label: written.append(df.columns) or real(df, label))
+    path = str(tmp_path / "rows")
+    rows = spark.range(0, 3000, 1, 3).select(F.format_string("row %05d %s", "id", F.repeat(F.lit("x"), 40)).alias("value"))
+    rows.write.option("parquet.block.size", "8192").format(fmt).save(path)
+    (tmp_path / "rows" / "zz-last.csv").write_text("") if fmt == "csv" else None
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        scan = spark.read.schema("value string").format(fmt).load(path)
+        placed = with_positions(scan)
+        got = {r["sample_id"]: r["value"][:9] for r in placed.filter("value > 'row 01'").collect()}
+        every = placed.count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {k: f"row {k:05d}" for k in range(1000, 3000)} and every == 3000
+    assert all("value" not in columns for columns in written) and written
+
+
+def test_positions_stop_if_the_splits_change(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(0, 3000, 1, 2).select(F.format_string("row %05d", "id").alias("value")).write.text(path)
+    placed = with_positions(spark.read.text(path))
+    assert placed.select(F.max("sample_id")).first()[0] == 2999
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        with pytest.raises((PySparkException, Py4JJavaError), match="changed"):
+            with_positions_again = placed.select("*", F.lit(1).alias("one"))
+            with_positions_again.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_each_line_is_parsed_once_by_its_own_keys(spark, tmp_path):
+    path = tmp_path / "mixed.jsonl"
+    lines = [
+        '{"id": 1, "instruction": "Q", "output": "A", "response": "no"}', '{"id": 2, "instruction": "Q", "input": "X", "response": "B"}',
+        '{"id": 3, "messages": [{"role": "user", "content": "hi"}], "instruction": "I", "output": "O"}', "not json", "",
+        '{"id": 4, "text": "x"}', '{"id": 5, "messages": "none"}', '{"id": "six", "instruction": "Q", "output": ""}', "[1, 2]", "   ",
+    ]
+    path.write_text("\n".join(lines) + "\n")
+    rows = parsed_lines(spark, str(path), id_col="id").collect()
+    good = {r["id"]: [m["content"] for m in r["messages"]] for r in rows if r["messages"] is not None}
+    assert good == {1: ["Q", "A"], 2: ["Q\nX", "B"], 3: ["hi"], None: ["Q", ""]}
+    assert {r["_corrupt_record"] for r in rows if r["messages"] is None} == {"not json", lines[5], lines[6], "[1, 2]"}
+    numbered = parsed_lines(spark, str(path))
+    assert {r["sample_id"] for r in numbered.filter("messages is null").collect()} == {3, 5, 6, 8}
+    plan = parsed_lines(spark, str(path), id_col="id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+
+
 def test_columns_that_appear_late_in_a_file(spark, tmp_path):
     path = tmp_path / "late.jsonl"
     lines = ['{"instruction":"Q","output":"A"}'] * 3000 + ['{"instruction":"Q","input":"X","output":"B"}']
