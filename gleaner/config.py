@@ -117,6 +117,8 @@ class Deduplication:
     text: str = "content"
     # Whether rare words weigh more.
     idf: bool = True
+    # Hashed vectors count n-grams of so many characters; 0: words.
+    ngram: int = 0
 
     def __post_init__(self):
         if self.text not in ("content", "rendered"):
@@ -130,6 +132,8 @@ class Deduplication:
             object.__setattr__(self, "method", "hashed")
         if self.method not in ("hashed", "sparse", "column", "udf"):
             raise ValueError(f"unknown deduplication method: {self.method}")
+        if self.ngram < 0 or (self.ngram and self.method != "hashed"):
+            raise ValueError("ngram is 0 or the length of the n-grams of method 'hashed'")
         if not 0.0 < self.similarity_threshold <= 1.0:
             raise ValueError("similarity_threshold must be in (0, 1]")
 

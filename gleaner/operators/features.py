@@ -1,4 +1,4 @@
-"""Text to vector: hashed word counts, with an optional inverse-document-frequency weight."""
+"""Text to vector: hashed counts of words or of character n-grams, with an optional inverse-document-frequency weight."""
 
 from __future__ import annotations
 
@@ -15,6 +15,9 @@ CODE_DIGITS = 4
 MAX_DIMS = 16**CODE_DIGITS
 # Cells of the count matrix that are worked on at a time.
 TILE_CELLS = 1 << 22
+# The rolling hash of n-grams; products stay within 63 bits.
+GRAM_BASE = 65_599
+GRAM_MODULUS = (1 << 31) - 1
 
 
 def word_codes(text: Column) -> Column:
@@ -28,8 +31,12 @@ def word_codes(text: Column) -> Column:
 
 def _bucket_counts(codes: pa.Array, dims: int) -> np.ndarray:
     """Count matrix, one row per text. Only a tile of rows is counted in wide numbers at a time."""
+    return _tiled(codes, dims, lambda tile: _tile_counts(tile, dims))
+
+
+def _tiled(texts: pa.Array, dims: int, count) -> np.ndarray:
     rows = max(1, TILE_CELLS // dims)
-    tiles = [_tile_counts(codes.slice(at, rows), dims) for at in range(0, len(codes), rows)]
+    tiles = [count(texts.slice(at, rows)) for at in range(0, len(texts), rows)]
     return np.concatenate(tiles) if tiles else np.zeros((0, dims), np.float32)
 
 
@@ -44,30 +51,65 @@ def _tile_counts(codes: pa.Array, dims: int) -> np.ndarray:
     return np.bincount(rows * dims + buckets, minlength=n * dims).astype(np.float32).reshape(n, dims)
 
 
-def count_vector(text: Column, dims: int) -> Column:
-    """Word counts of the whole text in ``dims`` buckets, as ``array<float>``."""
+def _gram_counts(texts: pa.Array, dims: int, ngram: int) -> np.ndarray:
+    """Count matrix of the texts' n-grams of characters, by a rolling hash over their code points."""
+    return _tiled(texts, dims, lambda tile: _tile_grams(tile, dims, ngram))
+
+
+def _tile_grams(texts: pa.Array, dims: int, ngram: int) -> np.ndarray:
+    values = [t or "" for t in texts.to_pylist()]
+    lengths = np.array([len(v) for v in values], dtype=np.int64)
+    points = np.frombuffer("".join(values).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    rows = np.repeat(np.arange(len(values)), lengths)
+    size = len(points) - ngram + 1
+    if size <= 0:
+        return np.zeros((len(values), dims), np.float32)
+    hashes = points[:size] % GRAM_MODULUS
+    for k in range(1, ngram):
+        hashes = (hashes * GRAM_BASE + points[k : k + size]) % GRAM_MODULUS
+    # An n-gram belongs to a text if it ends in it too.
+    whole = rows[:size] == rows[ngram - 1 :]
+    cells = rows[:size][whole] * dims + hashes[whole] % dims
+    return np.bincount(cells, minlength=len(values) * dims).astype(np.float32).reshape(len(values), dims)
+
+
+def _feature_counts(ngram: int):
+    """What is sent to Python of a text, and how its features are counted there."""
+    if not ngram:
+        return word_codes, _bucket_counts
+    return F.lower, lambda texts, dims: _gram_counts(texts, dims, ngram)
+
+
+def count_vector(text: Column, dims: int, ngram: int = 0) -> Column:
+    """Counts of the whole text's words in ``dims`` buckets, as ``array<float>``; or of its n-grams.
+
+    With ``ngram``, every run of that many characters counts, white space too: for scripts without spaces
+    and texts with typing errors. A shorter text has none.
+    """
     _check_dims(dims)
+    prepared, counted = _feature_counts(ngram)
 
     @F.arrow_udf("array<float>")
     def histogram(codes: pa.Array) -> pa.Array:
-        counts = _bucket_counts(codes, dims)
+        counts = counted(codes, dims)
         offsets = np.arange(0, counts.size + 1, dims, dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(counts.ravel()))
 
-    return histogram(word_codes(text))
+    return histogram(prepared(text))
 
 
-def packed_count_vector(text: Column, dims: int) -> Column:
-    """The same as float32 bytes, the form the similarity join works on; null for a text without words."""
+def packed_count_vector(text: Column, dims: int, ngram: int = 0) -> Column:
+    """The same as float32 bytes, the form the similarity join works on; null for a text without features."""
     _check_dims(dims)
+    prepared, counted = _feature_counts(ngram)
 
     @F.arrow_udf("binary")
     def histogram(codes: pa.Array) -> pa.Array:
-        counts = _bucket_counts(codes, dims)
+        counts = counted(codes, dims)
         filled = counts.any(axis=1)
         return pa.array([c.tobytes() if f else None for c, f in zip(counts, filled)], pa.binary())
 
-    return histogram(word_codes(text))
+    return histogram(prepared(text))
 
 
 def _check_dims(dims: int) -> None:
@@ -76,14 +118,14 @@ def _check_dims(dims: int) -> None:
 
 
 def hashed_vectors(
-    df: DataFrame, text: Column, id_col: str, dims: int = 512, idf: bool = False
+    df: DataFrame, text: Column, id_col: str, dims: int = 512, idf: bool = False, ngram: int = 0
 ) -> DataFrame:
     """``id_col`` and ``vector``: the word counts of the whole text, in ``dims`` buckets.
 
     Vectors are left unnormalised. Small counts are exact in float32 and the similarity join
     divides by the length itself.
     """
-    counted = df.select(id_col, count_vector(text, dims).alias("vector"))
+    counted = df.select(id_col, count_vector(text, dims, ngram).alias("vector"))
     if not idf:
         return counted
     counted = staged(counted, "counts")
@@ -91,12 +133,14 @@ def hashed_vectors(
     return counted.select(id_col, F.zip_with("vector", table, lambda x, w: x * w).alias("vector"))
 
 
-def packed_vectors(df: DataFrame, text: Column, id_col: str, dims: int = 512, idf: bool = False) -> DataFrame:
+def packed_vectors(
+    df: DataFrame, text: Column, id_col: str, dims: int = 512, idf: bool = False, ngram: int = 0
+) -> DataFrame:
     """``hashed_vectors`` packed for ``neighbors``.
 
     Here a weight is at least 1, so texts that consist of words all rows have keep a direction.
     """
-    counted = df.select(id_col, packed_count_vector(text, dims).alias("vector"))
+    counted = df.select(id_col, packed_count_vector(text, dims, ngram).alias("vector"))
     if not idf:
         return counted
     counted = staged(counted, "counts")

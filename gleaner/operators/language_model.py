@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions.scores import perplexity
@@ -41,7 +41,7 @@ def pairs_of(token_array: Column) -> Column:
 
 @dataclass(frozen=True)
 class BigramModel:
-    """``pairs``: prev, word, n, nll. ``words``: word, n. Plus their sizes."""
+    """``pairs``: prev, word, n, prev_n, word_n, nll. ``words``: word, n. Plus their sizes."""
 
     pairs: DataFrame
     words: DataFrame
@@ -83,7 +83,7 @@ def fit(corpus: DataFrame, text: str, mix: float = MIX) -> BigramModel:
     chance = F.lit(mix) * F.col("n") / F.col("prev_n") + F.lit(1.0 - mix) * (
         F.col("word_n") + 1
     ) / F.lit(float(max(total + vocabulary, 1)))
-    pairs = joined.select("prev", "word", "n", (-F.log(chance)).alias("nll"))
+    pairs = joined.select("prev", "word", "n", "prev_n", "word_n", (-F.log(chance)).alias("nll"))
     return BigramModel(pairs, words, total, vocabulary, pair_rows, mix)
 
 
@@ -113,6 +113,35 @@ def mean_nll(
     return scored.groupBy(id_col).agg(F.avg("nll").alias("mean_nll"))
 
 
+def mean_nll_left_out(
+    responses: DataFrame, id_col: str, token_array: Column, model: BigramModel
+) -> DataFrame:
+    """Like ``mean_nll`` for responses of the model's corpus, each judged by a model without itself.
+
+    A response's own pairs and words are taken off the counts, and the words that only it has off the
+    vocabulary; so no text vouches for itself, and copies of it elsewhere still do.
+    """
+    own = _explode_pairs(responses, token_array, id_col).groupBy(id_col, *PAIR).agg(F.count("*").alias("c"))
+    known = model.pairs.select("prev", "word", F.col("n").alias("pair_n"), "prev_n", "word_n")
+    found = count_lookup(own, known, PAIR, "pair_n", model.pair_rows, model.total)
+    # The windows hold the different pairs of one response.
+    of_row, of_prev, of_word = (Window.partitionBy(id_col, *more) for more in ([], ["prev"], ["word"]))
+    parts = found.select(
+        "*",
+        F.sum("c").over(of_row).alias("own_total"),
+        F.sum("c").over(of_prev).alias("own_prev"),
+        F.sum("c").over(of_word).alias("own_word"),
+    )
+    only_here = F.when(F.col("word_n") == F.col("own_word"), F.col("c") / F.col("own_word"))
+    parts = parts.withColumn("own_vocabulary", F.round(F.coalesce(F.sum(only_here).over(of_row), F.lit(0.0))))
+    followers = F.col("prev_n") - F.col("own_prev")
+    share = F.when(followers > 0, (F.col("pair_n") - F.col("c")) / followers).otherwise(F.lit(0.0))
+    room = F.greatest(F.lit(model.total + model.vocabulary) - F.col("own_total") - F.col("own_vocabulary"), F.lit(1.0))
+    chance = F.lit(model.mix) * share + F.lit(1.0 - model.mix) * (F.col("word_n") - F.col("own_word") + 1) / room
+    loss = F.sum(F.col("c") * -F.log(chance)) / F.sum("c")
+    return parts.groupBy(id_col).agg(loss.alias("mean_nll"))
+
+
 def _unseen_loss(model: BigramModel) -> Column:
     """Loss of a pair the model does not have, from ``word_n``, null for a new word."""
     floor = math.log(max(model.total + model.vocabulary, 1)) - math.log(1.0 - model.mix)
@@ -164,12 +193,16 @@ def learning_values(
     template: ChatTemplate = CHATML,
     token_budget: int | None = None,
     mix: float = MIX,
+    leave_out: bool = False,
 ) -> DataFrame:
     """``id_col``, ``perplexity`` and ``learning_value`` for every conversation.
 
     The model is fitted on ``corpus``, by default on all messages of the conversations. Conversations
-    without a final assistant message, or without tokens in it, score 0.
+    without a final assistant message, or without tokens in it, score 0. With ``leave_out`` each final
+    message is judged by the model of all others; a corpus of its own and a token budget rule that out.
     """
+    if leave_out and (corpus is not None or token_budget is not None):
+        raise ValueError("leave_out needs whole messages of the corpus itself")
     own = corpus is None
     if own:
         corpus = conversations.select(F.explode(messages).alias("m")).select(
@@ -177,7 +210,10 @@ def learning_values(
         )
     model = fit(corpus, corpus_text, mix)
     found = response_tokens(F.col(messages), template, token_budget)
-    losses = mean_nll(conversations, id_col, found, model, all_seen=own)
+    if leave_out:
+        losses = mean_nll_left_out(conversations, id_col, found, model)
+    else:
+        losses = mean_nll(conversations, id_col, found, model, all_seen=own)
     return normalised(with_perplexity(conversations.select(id_col), losses, id_col))
 
 

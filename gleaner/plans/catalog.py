@@ -24,7 +24,8 @@ from gleaner.functions.vectors import cosine, mean_pool, norm, unit
 from gleaner.operators.clusters import match_clusters
 from gleaner.operators.compare import compare_texts
 from gleaner.operators.features import hashed_vectors, packed_vectors
-from gleaner.operators.language_model import fit, mean_nll, normalised, with_perplexity
+from gleaner.operators.hyperplanes import hyperplane_matches
+from gleaner.operators.language_model import fit, mean_nll, mean_nll_left_out, normalised, with_perplexity
 from gleaner.operators.neighbors import collapse_copies, kept_ids, nearest_matches, nearest_rows
 from gleaner.operators.quality import (
     conversation_facts,
@@ -42,6 +43,7 @@ from gleaner.sources.normalize import alpaca_messages, assemble_turns, to_messag
 from gleaner.sources.readers import parse_records, parsed_lines, read_dataset, read_jsonl
 from gleaner.sources.writers import write_jsonl, write_parquet
 from gleaner.stage import fresh_path, staged
+from gleaner.streaming.stages import filter_stream, run_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +56,9 @@ RUN = WIDE.with_dedup(similarity_threshold=0.9)
 VECTOR_THRESHOLD = 0.45
 DOCUMENT_THRESHOLD = 0.95
 SPARSE_THRESHOLD = 0.9
+# The threshold on the test vectors is low, so buckets have few bits.
+PLANES = {"bands": 24, "bits": 4}
+CHARACTERS = 3
 TOP_K = 25
 # Phrases that do occur in the test conversations, in other letter case, after the preset ones.
 EXTRA_PHRASES = ("ÉTION", "that WITH", r"und\s+Die")
@@ -416,6 +421,18 @@ def hashed_features(spark, folder):
     )
 
 
+@query
+def hashed_char_features(spark, folder):
+    vectors = hashed_vectors(documents(spark, folder), F.col("text"), "doc_id", ngram=CHARACTERS)
+    v = F.col("vector")
+    return vectors.select(
+        "doc_id",
+        F.aggregate(v, F.lit(0.0), lambda a, x: a + x).cast("bigint").alias("n_grams"),
+        F.size(F.filter(v, lambda x: x > 0)).cast("bigint").alias("n_buckets"),
+        F.round(norm(v), 6).alias("length"),
+    )
+
+
 @query
 def hashed_features_idf(spark, folder):
     vectors = hashed_vectors(
@@ -466,6 +483,13 @@ def nearest_vectors(spark, folder):
     return best.select("id", "match_id", F.round("similarity", 6).alias("similarity"))
 
 
+@query
+def nearest_by_hyperplanes(spark, folder):
+    """Approximate: partners among the vectors that share a bucket."""
+    _, best = hyperplane_matches(embeddings(spark, folder), "vec_id", "embedding", VECTOR_THRESHOLD, **PLANES)
+    return best.select("id", "match_id", F.round("similarity", 6).alias("similarity"))
+
+
 @query
 def nearest_documents(spark, folder):
     vectors = packed_vectors(documents(spark, folder), F.col("text"), "doc_id")
@@ -605,7 +629,8 @@ def response_split(spark, folder):
 def response_perplexity(spark, folder):
     turns = conversations(spark, folder)
     model = fit(turns, "text")
-    last = _last_turns(turns)
+    # Read twice, and a sort over whole texts.
+    last = staged(_last_turns(turns), "last")
     answers = last.filter(F.col("role") == "assistant")
     losses = mean_nll(answers, "conv_id", tokens(F.col("text")), model, all_seen=True)
     scores = normalised(with_perplexity(last.select("conv_id"), losses, "conv_id"))
@@ -616,6 +641,18 @@ def response_perplexity(spark, folder):
     )
 
 
+@query
+def response_perplexity_loo(spark, folder):
+    """Each final answer judged by the model of everything else."""
+    turns = conversations(spark, folder)
+    model = fit(turns, "text")
+    last = staged(_last_turns(turns), "last")
+    answers = last.filter(F.col("role") == "assistant")
+    losses = mean_nll_left_out(answers, "conv_id", tokens(F.col("text")), model)
+    scores = normalised(with_perplexity(last.select("conv_id"), losses, "conv_id"))
+    return _rounded(scores, "perplexity", "learning_value")
+
+
 @query
 def perplexity_under_other_corpus(spark, folder):
     """Loss of documents in a model of the conversations, where many words are new."""
@@ -697,6 +734,22 @@ def max_similar(spark, folder):
     return most_per_group(grouped, MOST_SIMILAR, "cluster", id_col="doc_id").select("doc_id", "cluster")
 
 
+# ---- streams
+
+
+@query
+def stream_filter(spark, folder):
+    """Files that arrive in two batches, filtered by a stream that stops and goes on from its checkpoint."""
+    built = assemble_turns(conversations(spark, folder))
+    source, sink, progress = (fresh_path(spark, name) for name in ("arrivals", "filtered", "progress"))
+    for part in (0, 1):
+        built.filter(F.pmod(F.col("conv_id"), F.lit(2)) == part).write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(built.schema).parquet(source)
+        run_available(filter_stream(arriving, WIDE.quality_filters, "conv_id"), sink, progress)
+    rows = spark.read.schema(built.schema).parquet(sink)
+    return rows.select("conv_id", F.size("messages").cast("bigint").alias("n_messages"))
+
+
 # ---- whole runs
 
 

@@ -5,14 +5,17 @@ from __future__ import annotations
 from gleaner.config import CurationConfig, QualityFilters
 from gleaner.functions.template import CHATML, HEADER, ROLE_TAG, ChatTemplate
 from gleaner.functions.tokens import UNSPACED
+from gleaner.operators.features import GRAM_BASE, GRAM_MODULUS
 from gleaner.plans.catalog import (
     BASE,
+    CHARACTERS,
     DOCUMENT_THRESHOLD,
     EXTRA_PHRASES,
     INSTRUCT,
     MOST_SIMILAR,
     OPTIMIZED,
     PERPLEXITY_BAND,
+    PLANES,
     RUN,
     SPARSE_THRESHOLD,
     TOKEN_BUDGET,
@@ -611,6 +614,59 @@ SELECT CASE WHEN NOT cut THEN id END AS id,
        CASE WHEN good THEN md5(CASE WHEN listed THEN text ELSE role || '|' || text END) END AS content_md5,
        CASE WHEN NOT good THEN md5(CASE WHEN cut THEN left(line, length(line) - 3) ELSE line END) END AS corrupt_md5
 FROM written"""
+    out["response_perplexity_loo"] = f"""
+WITH {LAST_TURNS},
+{pairs_sql('corpus_pairs', 'conversations', 'conv_id', 'text')},
+{model_sql('lm', 'corpus_pairs')},
+answers AS (SELECT conv_id, text FROM last_turns WHERE role = 'assistant'),
+{pairs_sql('answer_pairs', 'answers', 'conv_id', 'text')},
+own AS (SELECT conv_id, prev, word, count(*) AS c FROM answer_pairs GROUP BY ALL),
+parts AS (
+  SELECT conv_id, word, c, n, pn, wn, sum(c) OVER (PARTITION BY conv_id)::DOUBLE AS t,
+         sum(c) OVER (PARTITION BY conv_id, prev)::BIGINT AS cp,
+         sum(c) OVER (PARTITION BY conv_id, word)::BIGINT AS cw
+  FROM own JOIN lm_n USING (prev, word) JOIN lm_p USING (prev) JOIN lm_w USING (word)),
+gone AS (SELECT conv_id, count(DISTINCT word) FILTER (wn = cw) AS v FROM parts GROUP BY 1),
+losses AS (
+  SELECT conv_id, sum(c * -ln(0.5::DOUBLE * CASE WHEN pn > cp THEN (n - c)::DOUBLE / (pn - cp) ELSE 0 END
+                              + 0.5::DOUBLE * (wn - cw + 1) / greatest((SELECT size FROM lm_size) - t - v, 1)))
+                  / sum(c)::DOUBLE AS loss
+  FROM parts JOIN gone USING (conv_id) GROUP BY 1),
+raw AS (SELECT conv_id, coalesce(CASE WHEN loss IS NOT NULL THEN least(exp(loss), 10000) END, 0) AS ppl
+        FROM last_turns LEFT JOIN losses USING (conv_id))
+SELECT conv_id, round(ppl, 6) AS perplexity, round(ppl / (SELECT max(ppl) FROM raw), 6) AS learning_value FROM raw"""
+    hashed = "0::BIGINT"
+    for k in range(CHARACTERS):
+        hashed = f"({hashed} * {GRAM_BASE} + points[p + {k}]) % {GRAM_MODULUS}"
+    out["hashed_char_features"] = f"""
+WITH low AS (
+  SELECT doc_id, list_transform(regexp_extract_all(lower(coalesce(text, '')), '(?s).'), lambda c: unicode(c)) AS points
+  FROM documents),
+grams AS (SELECT doc_id, points, unnest(range(1, len(points) - {CHARACTERS - 2})) AS p FROM low),
+buckets AS (SELECT doc_id, {hashed} % 512 AS bucket, count(*) AS c FROM grams GROUP BY 1, 2)
+SELECT doc_id, coalesce(sum(c), 0)::BIGINT AS n_grams, count(c) AS n_buckets,
+       round(sqrt(coalesce(sum(c * c), 0)::DOUBLE), 6) AS length
+FROM documents LEFT JOIN buckets USING (doc_id) GROUP BY doc_id"""
+    bands, bits = PLANES["bands"], PLANES["bits"]
+    out["nearest_by_hyperplanes"] = f"""
+WITH normals AS (
+  SELECT band, bit, list(CASE WHEN ('0x' || substr(md5('42:' || band || ':' || bit || ':' || d), 1, 1))::INT < 8
+                              THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END ORDER BY d) AS normal
+  FROM range({bands}) AS a(band), range({bits}) AS b(bit), range(64) AS c(d) GROUP BY 1, 2),
+marks AS (
+  SELECT vec_id, band, sum(CASE WHEN list_inner_product(embedding::DOUBLE[], normal) >= 0 THEN 1 << bit ELSE 0 END) AS mark
+  FROM embeddings, normals GROUP BY 1, 2),
+met AS (
+  SELECT DISTINCT a.vec_id AS i, b.vec_id AS j
+  FROM marks a JOIN marks b ON a.band = b.band AND a.mark = b.mark AND a.vec_id <> b.vec_id),
+alike AS (
+  SELECT i, j, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) AS s
+  FROM met JOIN embeddings a ON a.vec_id = i JOIN embeddings b ON b.vec_id = j),
+{removed_sql(VECTOR_THRESHOLD)}
+SELECT i AS id, j AS match_id, round(s, 6) AS similarity FROM nearest"""
+    out["stream_filter"] = f"""
+WITH {facts_sql(WIDE.quality_filters)}
+SELECT conv_id, n_messages FROM facts WHERE {passes_sql(WIDE.quality_filters)}"""
     out["user_encoder_dedup"] = f"""
 WITH v AS (SELECT doc_id, [{counts}] AS e FROM documents),
 alike AS (SELECT a.doc_id AS i, b.doc_id AS j, round(list_cosine_similarity(a.e, b.e), 9) AS s

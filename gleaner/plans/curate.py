@@ -30,7 +30,7 @@ from gleaner.sources.writers import write_jsonl, write_report
 from gleaner.stage import staged
 
 GIANTS = 100_000
-SCORERS = ("hash_random", "ngram_perplexity", "column", "udf")
+SCORERS = ("hash_random", "ngram_perplexity", "ngram_perplexity_left_out", "column", "udf")
 
 
 @dataclass(frozen=True)
@@ -247,7 +247,7 @@ def deduplicate(
     elif run.encoder is not None:
         vectors = rows.select(id_col, run.encoder(text).alias("vector"))
     elif settings.method == "hashed":
-        vectors = packed_vectors(rows, text, id_col, settings.dims, settings.idf)
+        vectors = packed_vectors(rows, text, id_col, settings.dims, settings.idf, settings.ngram)
     elif settings.method == "sparse":
         sparse, vectors = True, staged(sparse_vectors(rows, text, id_col), "counts")
     else:
@@ -297,9 +297,13 @@ def learning_value(df: DataFrame, run: RunOptions, extra: list[str]) -> DataFram
         return df.select(*keep, F.col(run.score_col).cast("double").alias("learning_value"))
     # These scorers read the texts more than once.
     held = staged(df.select(*keep, "messages"), "unique")
-    if run.scorer == "ngram_perplexity":
+    if run.scorer.startswith("ngram_perplexity"):
         values = learning_values(
-            held, run.id_col, template=run.template, token_budget=run.token_budget
+            held,
+            run.id_col,
+            template=run.template,
+            token_budget=run.token_budget,
+            leave_out=run.scorer == "ngram_perplexity_left_out",
         )
     else:
         values = _user_values(held, run)
