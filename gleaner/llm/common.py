@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +12,8 @@ from pyspark.sql import functions as F
 # A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
+# Bytes of input after which a worker gives memory back.
+GIVE_BACK = 16 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 _IS_SPACE = np.zeros(256, bool)
@@ -151,8 +155,27 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
-def large_batches(batches, size: int = 4 << 20):
-    """Cut Arrow batches so that one holds at most about ``size`` bytes, unless it is a single row."""
+def give_back() -> None:
+    """Return freed memory to the system. Workers are used again, and would keep what their largest task needed."""
+    pa.default_memory_pool().release_unused()
+    for trim in _trim():
+        trim(0)
+
+
+def _trim() -> list:
+    """malloc_trim, where the C library has it."""
+    try:
+        return [ctypes.CDLL(None).malloc_trim]
+    except (AttributeError, OSError):
+        return []
+
+
+def large_batches(batches, size: int = 4 << 20, release: bool = False):
+    """Cut Arrow batches so that one holds at most about ``size`` bytes, unless it is a single row.
+
+    With ``release``, memory is given back now and then, and at the end.
+    """
+    done = 0
     for batch in batches:
         todo = [batch]
         while todo:
@@ -162,3 +185,10 @@ def large_batches(batches, size: int = 4 << 20):
                 todo += [part.slice(half), part.slice(0, half)]
             elif part.num_rows:
                 yield part
+        done += batch.nbytes
+        del batch, todo, part
+        if release and done >= GIVE_BACK:
+            done = 0
+            give_back()
+    if release:
+        give_back()

@@ -161,7 +161,7 @@ def _local_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     ids = array("q")
 
     def records():
-        for batch in large_batches(batches):
+        for batch in large_batches(batches, release=True):
             keys = batch.column("doc_id").to_pylist()
             for doc_id, content in zip(keys, batch.column("content"), strict=True):
                 ids.append(doc_id)
@@ -196,7 +196,7 @@ def _global_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Group the distinct contents of all tasks; a row for each of a task's groups."""
 
     def records():
-        for batch in large_batches(batches):
+        for batch in large_batches(batches, release=True):
             columns = [batch.column(c).to_pylist() for c in ("local_key", "doc_id", "copies")]
             for *numbers, content in zip(*columns, batch.column("content"), strict=True):
                 yield *numbers, content.as_buffer().to_pybytes()

@@ -83,7 +83,7 @@ def count_classes(docs: DataFrame) -> np.ndarray:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNT_BITS, np.int64)
-        for batch in large_batches(batches):
+        for batch in large_batches(batches, release=True):
             h, _ = shingle_hashes(*text_bytes(batch.column("text")))
             total += np.bincount(h >> np.uint64(64 - COUNT_BITS), minlength=1 << COUNT_BITS)
         if total.any():
@@ -151,7 +151,7 @@ def _sets(batches: Iterable[pa.RecordBatch], classes: np.ndarray) -> Iterator[pa
     """A row per document; of equal sets in a task only the first has a prefix and a signature."""
     base, at = TaskContext.get().partitionId() << 36, 0
     known: dict[tuple[int, int], int] = {}
-    for batch in large_batches(batches):
+    for batch in large_batches(batches, release=True):
         sets = text_sets(batch, classes)
         uids, prefixes, signatures, keys = [], [], [], []
         for numbers in sets:
@@ -457,7 +457,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, sets: DataFrame, classes) -> Da
     sent = docs.sparkSession.sparkContext.broadcast(marks)
 
     def rebuild(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in large_batches(marked(batches, sent.value)):
+        for batch in large_batches(marked(batches, sent.value), release=True):
             blobs = [numbers.tobytes() for numbers in text_sets(batch, classes.value)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("name"), pa.array(blobs, pa.binary())], names=["name", "numbers"]
@@ -570,7 +570,7 @@ def _degrees(docs: DataFrame, links: DataFrame, roots: DataFrame, sets: DataFram
     sent = docs.sparkSession.sparkContext.broadcast(marks)
 
     def rebuild(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in large_batches(marked(batches, sent.value)):
+        for batch in large_batches(marked(batches, sent.value), release=True):
             blobs = [numbers.tobytes() for numbers in text_sets(batch, classes.value)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("name"), pa.array(blobs, pa.binary())], names=["name", "numbers"]

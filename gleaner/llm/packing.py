@@ -19,6 +19,8 @@ from tokenizers import Tokenizer
 from gleaner.llm.common import large_batches, ragged, small_batches, spaced, text_bytes, word_hashes
 from gleaner.stage import staged
 
+# Text that is encoded at a time.
+PIECE_BYTES = 1 << 20
 WINDOW = 2048
 # Lengths are packed in units of so many tokens; what is left of a document below one unit is a tail.
 UNIT = 8
@@ -253,15 +255,17 @@ _PIECE = (
 )
 
 
-def _cut(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterable[pa.RecordBatch], path: str, width: str) -> Iterator[pa.RecordBatch]:
     """Cut documents into full windows, one piece of whole units, and a tail below one unit.
 
+    ``width``: the number type that the ids of pieces are kept in.
+
     ``slots`` is the piece's length in units: all of them for a full window, 0 for a tail. ``rank``
     counts the pieces of that length within the task, for tails their tokens.
     """
     tokenizer, part = WordTokenizer(path), TaskContext.get().partitionId()
     seen, at = np.zeros(SLOTS + 1, np.int64), 0
-    for batch in large_batches(batches):
+    for batch in large_batches(batches, size=PIECE_BYTES, release=True):
         ids, counts = tokenizer.encode(*text_bytes(batch.column("text")))
         sizes = counts + 1
         closed = np.empty(int(sizes.sum()), np.uint32)
@@ -289,7 +293,7 @@ def _cut(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatc
         rank[order] = sums - base[slots[order]] + seen[slots[order]]
         seen += np.bincount(slots, weights=step, minlength=SLOTS + 1).astype(np.int64)
         first = (ends - sizes)[doc] + start
-        narrow, wide = closed.astype("<u2"), closed.astype("<u4")
+        narrow, wide = closed.astype(width), closed.astype("<u4")
         spans = list(zip(first.tolist(), (first + length).tolist(), strict=True))
         crcs = [zlib.crc32(wide[s:e]) for s, e in spans]
         kept = [None if f == SLOTS else narrow[s:e].tobytes() for (s, e), f in zip(spans, slots.tolist(), strict=True)]
@@ -313,12 +317,12 @@ def _cut(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatc
         )
 
 
-def _split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _split(batches: Iterable[pa.RecordBatch], width: str) -> Iterator[pa.RecordBatch]:
     """Cut the pieces that reach over the end of a window, with the checksums of what results."""
     for batch in batches:
         rows = []
         for row in batch.to_pylist():
-            ids = np.frombuffer(row["ids"], "<u2").astype("<u4")
+            ids = np.frombuffer(row["ids"], width).astype("<u4")
             done, place = 0, row["place"]
             while done < len(ids):
                 take = min(len(ids) - done, WINDOW - place % WINDOW)
@@ -332,6 +336,12 @@ def _split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
 
+def id_width(path: str) -> str:
+    """The narrowest number type that holds all ids of a vocabulary."""
+    largest = max([CLOSING_ID, *Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values()])
+    return "<u2" if largest < 1 << 16 else "<u4"
+
+
 def packed(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Pieces of all documents in sequences of ``WINDOW`` tokens, only the last of which is padded.
 
@@ -350,9 +360,13 @@ def packed(docs: DataFrame, path: str | None = None) -> DataFrame:
     """
     small_batches(docs.sparkSession)
     vocabulary = path or public_tokenizers.path(TOKENIZER)
+    width = id_width(vocabulary)
 
     def cut(batches):
-        return _cut(batches, vocabulary)
+        return _cut(batches, vocabulary, width)
+
+    def split(batches):
+        return _split(batches, width)
 
     pieces = staged(docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(cut, _PIECE), "pieces")
     # One row per task and length: what each task adds, and what those before it have.
@@ -418,7 +432,7 @@ def packed(docs: DataFrame, path: str | None = None) -> DataFrame:
     crosses = F.floor(F.col("place") / WINDOW) != F.floor((F.col("place") + F.col("length") - 1) / WINDOW)
     crossing = residual.filter(crosses).select(*keep, "place", "part", "at")
     cut_up = crossing.join(pieces.select("part", "at", "ids"), ["part", "at"]).select(*keep, "place", "ids").mapInArrow(
-        _split, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, place long"
+        split, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, place long"
     )
     rest = residual.filter(~crosses).select(*keep, "place").unionByName(cut_up)
     rest = rest.select(

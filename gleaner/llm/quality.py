@@ -171,7 +171,7 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit_quality(docs, labels)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in large_batches(batches):
+        for batch in large_batches(batches, release=True):
             value = pa.array(text_scores(batch.column("text"), model), pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), value], names=["doc_id", "score"])
 
@@ -187,7 +187,7 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit_quality(docs, labels)
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in large_batches(batches):
+        for batch in large_batches(batches, release=True):
             yield batch.filter(pa.array(text_scores(batch.column("text"), model) >= THRESHOLD))
 
     return docs.mapInArrow(keep, docs.schema)
