@@ -151,11 +151,14 @@ plan AS (
   SELECT *, round(target)::BIGINT AS aim,
          CASE WHEN source_size > 0 THEN round(target)::BIGINT // source_size ELSE 0 END AS whole
   FROM targets)
-SELECT d.doc_id, d.size, p.source_size, p.target,
-       (p.whole * d.size + greatest(0, least(d.size, p.aim - p.whole * p.source_size - coalesce(
-          sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id
-                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))))::BIGINT AS taken
-FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
+SELECT doc_id, size, source_size, target,
+       (whole * size + CASE WHEN room > 0 AND 2 * room >= size THEN size ELSE 0 END)::BIGINT AS taken
+FROM (
+  SELECT d.doc_id, d.size, p.source_size, p.target, p.whole,
+         p.aim - p.whole * p.source_size - coalesce(
+            sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room
+  FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source)
 """,
     "op9_exact": f"""
 WITH docs AS (SELECT doc_id, {_NORMAL} AS content FROM documents)

@@ -122,9 +122,10 @@ def _taken(rows: DataFrame, edges: DataFrame) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     room = F.col("left") - F.coalesce(F.sum("size").over(order), F.lit(0))
-    last = placed.filter(within).withColumn(
-        "extra", F.greatest(F.lit(0), F.least(F.col("size"), room))
-    )
+    # Whole or not at all, whichever is nearer to the target.
+    last = placed.filter(within).withColumn("room", room).withColumn(
+        "extra", F.when((F.col("room") > 0) & (2 * F.col("room") >= F.col("size")), F.col("size")).otherwise(0)
+    ).drop("room")
     taken = (F.col("whole") * F.col("size") + F.col("extra")).cast("bigint")
     return plain.unionByName(last).withColumn("taken", taken)
 
@@ -141,8 +142,8 @@ def mixed(
     met by whole repeats of the source and, for the rest, by the documents whose hash lies below a
     threshold: words are summed by source and hash bucket, the bucket where the budget ends is
     summed again by its next bits, and only what falls into that last bucket (about one document in
-    16 million) is put in order. The document on the edge is taken in part, so that each source
-    meets its target to the word.
+    16 million) is put in order. The document on the edge is taken whole or not at all, so each source
+    comes as near its target as half of that document.
 
     Null text has size 0 and takes nothing. A null source is a source, the last one. Rows with the
     same id (or null) share a hash and are taken in the order of their sizes. An empty table gives
@@ -161,23 +162,12 @@ def mixture(
 ) -> DataFrame:
     """The mix itself: the rows that it takes, as often as it takes them, with the columns of ``docs``.
 
-    Of a document taken in part the last copy has its first words only, joined by one space; where
-    there is a column ``n_chars``, it is that text's. Cases are those of ``mixed``.
+    Documents are taken whole. Cases are those of ``mixed``.
     """
     narrow = staged(_hashed(docs, "doc_id", "source"), "mix-sizes")
     edges = _edges(narrow, weights, share, most)
     whole = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
     rows = _taken(_hashed(docs.select(whole, "doc_id", "source", "text"), "row", "doc_id", "source"), edges)
-    rows = rows.filter("taken > 0").select(
-        "row", "size", "taken", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("taken") - 1) / F.col("size")))).alias("copy")
-    )
-    left = F.col("taken") - F.col("copy") * F.col("size")
-    words = F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0))
-    text = F.when(left >= F.col("size"), F.col("row.text")).otherwise(
-        F.array_join(F.slice(words, F.lit(1), left.cast("int")), " ")
-    )
-    replaced = {"text": text}
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        replaced["n_chars"] = F.when(left >= F.col("size"), F.col("row.n_chars")).otherwise(F.length(text).cast(kind))
-    return rows.select(*[replaced.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+    copies = F.explode(F.array_repeat(F.lit(True), F.floor(F.col("taken") / F.col("size")).cast("int")))
+    rows = rows.filter("taken > 0").select("row", copies.alias("copy"))
+    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns])
