@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleaner.stage import staged
 
@@ -78,6 +79,10 @@ class Nearest:
                 own = self.ids[q][:, None] == ids[c][None, :]
                 low = np.where(own, -np.inf, tile - bound)
                 floor = self.floor[q]
+                # Rows come in the order of their ids, and of those that share an id the best one counts.
+                first = np.flatnonzero(np.diff(ids[c], prepend=ids[c][0] - 1))
+                if len(first) < low.shape[1]:
+                    low = np.maximum.reduceat(low, first, axis=1)
                 if low.shape[1] >= self.k:
                     best = np.partition(low, low.shape[1] - self.k, axis=1)[:, low.shape[1] - self.k]
                     floor = np.maximum(floor, best)
@@ -129,14 +134,17 @@ def few_copies(ids: np.ndarray, vectors: np.ndarray, most: int) -> tuple[np.ndar
 
 
 def _blocks(rows: DataFrame, size: int) -> DataFrame:
-    """Rows of each task packed into blocks of ``size`` vectors, one row per block and width."""
+    """Rows of each task packed into blocks of ``size`` vectors, one row per block and width.
+
+    Components keep the precision they are given in; tasks widen them.
+    """
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
 
         def block(width: int) -> pa.RecordBatch:
             ids, vectors = (np.concatenate(x) for x in zip(*held.pop(width), strict=True))
-            row = [[ids.tobytes()], [vectors.astype("<f8").tobytes()], [width]]
+            row = [[ids.tobytes()], [vectors.astype(f"<f{vectors.dtype.itemsize}").tobytes()], [width]]
             arrays = [pa.array(v, t) for v, t in zip(row, (pa.binary(), pa.binary(), pa.int32()), strict=True)]
             return pa.RecordBatch.from_arrays(arrays, names=["ids", "vectors", "width"])
 
@@ -175,9 +183,10 @@ def nearest(vectors: DataFrame, query: Column, k: int = K) -> DataFrame:
     is the vectors once per query block, and ``k`` rows per query and task. Of copies, ``k + 1`` per block are looked at.
     """
     spark = vectors.sparkSession
+    single = vectors.schema["embedding"].dataType == T.ArrayType(T.FloatType())
     rows = vectors.select(
         F.col("vec_id").cast("bigint").alias("vec_id"),
-        F.col("embedding").cast("array<double>").alias("vector"),
+        F.col("embedding").cast("array<float>" if single else "array<double>").alias("vector"),
         query.alias("is_query"),
     ).filter(F.col("vec_id").isNotNull() & usable(F.col("vector")))
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -241,7 +250,9 @@ def _searched(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
         for n in range(batch.num_rows):
             q, split, kind, ids, vectors, width = (batch.column(c)[n] for c in range(6))
             ids = np.frombuffer(ids.as_buffer(), np.int64)
-            vectors = np.frombuffer(vectors.as_buffer(), "<f8").reshape(-1, width.as_py())
+            buffer = vectors.as_buffer()
+            kind_of = f"<f{buffer.size // (len(ids) * width.as_py())}"
+            vectors = np.frombuffer(buffer, kind_of).reshape(-1, width.as_py()).astype(np.float64)
             if kind.as_py() == 0:
                 yield from flush()
                 current, held = (q.as_py(), split.as_py()), Nearest(ids, vectors, k)
