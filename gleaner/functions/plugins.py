@@ -16,29 +16,49 @@ from pyspark.sql import types as T
 
 
 def token_counter(load: Callable[[], Callable[[str], Sequence]]) -> Callable[[Column], Column]:
-    """Count tokens with the user's tokenizer: ``load()`` returns text -> sequence of tokens."""
+    """Count tokens with the user's tokenizer: ``load()`` returns text -> sequence of tokens.
+
+    A tokenizer with an attribute ``batch`` (list of texts -> list of sequences) is called once per batch.
+    """
 
     @F.pandas_udf("int")
     def count(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = load()
+        sizes = _batch_sizes(load())
         for batch in texts:
-            yield batch.map(lambda t: 0 if t is None else len(encode(t))).astype("int32")
+            yield pd.Series(sizes(batch.tolist()), dtype="int32")
 
     return count
 
 
+def _batch_sizes(encode: Callable) -> Callable[[list[str | None]], np.ndarray]:
+    """Numbers of tokens of many texts, by one call where the tokenizer takes many; 0 for null."""
+    many = getattr(encode, "batch", None) or (lambda texts: [encode(t) for t in texts])
+
+    def sizes(texts: list[str | None]) -> np.ndarray:
+        out = np.zeros(len(texts), np.int32)
+        given = [k for k, t in enumerate(texts) if t is not None]
+        if given:
+            out[given] = [len(found) for found in many([texts[k] for k in given])]
+        return out
+
+    return sizes
+
+
 def message_counter(load: Callable[[], Callable[[str], Sequence]]) -> Callable[[Column], Column]:
     """The same for an array of texts, such as ``messages.content``: one count per entry."""
 
     @F.pandas_udf("array<int>")
     def count(lists: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = load()
-
-        def sizes(texts):
-            return None if texts is None else [0 if t is None else len(encode(t)) for t in texts]
-
+        sizes = _batch_sizes(load())
         for batch in lists:
-            yield batch.map(sizes)
+            # All messages of a batch at once; rows without messages stay null.
+            held = [None if texts is None else list(texts) for texts in batch]
+            found = sizes([t for texts in held if texts is not None for t in texts])
+            ends = np.cumsum([0 if texts is None else len(texts) for texts in held])
+            yield pd.Series(
+                [None if t is None else found[end - len(t) : end].tolist() for t, end in zip(held, ends.tolist(), strict=True)],
+                dtype=object,
+            )
 
     return count
 

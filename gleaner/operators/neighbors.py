@@ -181,11 +181,15 @@ def nearest_matches(
 def collapse_copies(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows with the smallest id of each text, read without case and with single spaces.
 
-    Ids are compared within a task before they are shuffled. Null counts as the empty text.
+    Ids are compared within a task before they are shuffled, and rows are matched by id and text, so an id
+    on several rows keeps only those whose text it is first with. Null counts as the empty text. A row
+    without an id stays if its text has no row with one. Rows alike in id and text all stay.
     """
     plain = F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[ \t\n\r\f\x0B]+", " "))
-    first = df.groupBy(F.sha2(plain, 256)).agg(F.min(id_col).alias(id_col)).select(id_col)
-    return df.join(first, id_col, "left_semi")
+    rows = df.withColumn("_hash", F.sha2(plain, 256))
+    first = rows.groupBy("_hash").agg(F.min(id_col).alias("_first")).withColumnRenamed("_hash", "_of")
+    same = F.col(id_col).eqNullSafe(F.col("_first")) & (F.col("_hash") == F.col("_of"))
+    return rows.join(first, same, "left_semi").drop("_hash")
 
 
 def nearest_rows(

@@ -14,7 +14,7 @@ from gleaner.stage import staged
 
 # Up to this many rows one task may order the result, which gets as many from every partition; above
 # it the order is found by range partitions.
-SMALL_K = 10_000
+SMALL_K = 1_000
 
 
 def combine_scores(

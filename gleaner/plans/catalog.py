@@ -62,6 +62,7 @@ CHARACTERS = 3
 TOP_K = 25
 # Phrases that do occur in the test conversations, in other letter case, after the preset ones.
 EXTRA_PHRASES = ("ÉTION", "that WITH", r"und\s+Die")
+REFUSING = WIDE.with_filters(refusal_patterns=INSTRUCT.quality_filters.refusal_patterns + EXTRA_PHRASES)
 TOKEN_BUDGET = 200
 MOST_SIMILAR = 2
 PERPLEXITY_BAND = (0.1, 0.9)
@@ -734,6 +735,21 @@ def max_similar(spark, folder):
     return most_per_group(grouped, MOST_SIMILAR, "cluster", id_col="doc_id").select("doc_id", "cluster")
 
 
+@query
+def refused_conversations(spark, folder):
+    """Whole conversations judged flat, with phrases that do occur among the refusals."""
+    judged = judge_conversations(conversations(spark, folder), REFUSING.quality_filters)
+    return judged.select("conv_id", "n_messages", "refused", "passes")
+
+
+@query
+def quality_filter_whole(spark, folder):
+    """The same verdicts on rows that hold whole conversations of any length."""
+    built = assemble_turns(conversations(spark, folder))
+    passes = passes_quality(F.col("messages"), REFUSING.quality_filters)
+    return built.select("conv_id", F.size("messages").cast("bigint").alias("n_messages"), passes.alias("passes"))
+
+
 # ---- streams
 
 

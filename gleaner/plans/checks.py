@@ -16,6 +16,7 @@ from gleaner.plans.catalog import (
     OPTIMIZED,
     PERPLEXITY_BAND,
     PLANES,
+    REFUSING,
     RUN,
     SPARSE_THRESHOLD,
     TOKEN_BUDGET,
@@ -667,6 +668,9 @@ SELECT i AS id, j AS match_id, round(s, 6) AS similarity FROM nearest"""
     out["stream_filter"] = f"""
 WITH {facts_sql(WIDE.quality_filters)}
 SELECT conv_id, n_messages FROM facts WHERE {passes_sql(WIDE.quality_filters)}"""
+    judged = judged_sql(REFUSING)
+    out["refused_conversations"] = f"SELECT conv_id, n_messages, refused, passes FROM ({judged})"
+    out["quality_filter_whole"] = f"SELECT conv_id, n_messages, coalesce(passes, false) AS passes FROM ({judged})"
     out["user_encoder_dedup"] = f"""
 WITH v AS (SELECT doc_id, [{counts}] AS e FROM documents),
 alike AS (SELECT a.doc_id AS i, b.doc_id AS j, round(list_cosine_similarity(a.e, b.e), 9) AS s

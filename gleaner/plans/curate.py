@@ -25,9 +25,9 @@ from gleaner.operators.report import build_report, score_stats
 from gleaner.operators.select import SMALL_K, combine_scores, in_band, most_per_group, random_sample, top_k
 from gleaner.operators.sparse_join import sparse_matches, sparse_vectors
 from gleaner.sources.normalize import assemble_turns
-from gleaner.sources.readers import read_dataset, read_jsonl
-from gleaner.sources.writers import write_jsonl, write_report
-from gleaner.stage import staged
+from gleaner.sources.readers import read_dataset, read_jsonl, read_jsonl_lenient
+from gleaner.sources.writers import report_yaml, write_jsonl, write_report
+from gleaner.stage import release, staged, written
 
 GIANTS = 100_000
 SCORERS = ("hash_random", "ngram_perplexity", "ngram_perplexity_left_out", "column", "udf")
@@ -345,13 +345,22 @@ class Curator:
         fmt: str | None = None,
         id_col: str | None = None,
         ordered: bool = False,
+        schema: T.StructType | None = None,
+        split: str | None = "train",
+        lenient: bool = False,
+        clean: bool = False,
         **options,
     ) -> CurationResult:
-        """Read, curate, and write ``optimized_dataset`` and ``report`` below ``output_dir``.
+        """Read, curate, and write ``optimized_dataset``, ``report`` and ``report_yaml`` below ``output_dir``.
 
         Rows are written as they come and carry their rank; ``ordered`` writes them from the lowest
         score to the highest.
 
+        ``schema`` saves the pass that finds the columns of JSON lines; ``lenient`` sets lines that do not
+        parse apart, in ``rejected_lines``; ``split`` names the rows to read where there is a split column.
+        ``clean`` deletes the run's written stages at the end; the result's frames are then read from
+        the output, and ``scored`` holds the selected rows only.
+
         ``model`` and ``test_model`` name no neural model here. As a switch, ``test_model`` selects
         scoring by the bigram model unless a scorer is given, and ``validate`` needs it.
         """
@@ -360,10 +369,16 @@ class Curator:
             options.setdefault("scorer", "ngram_perplexity")
         elif validate:
             warnings.warn("validate is set without test_model; validation is skipped", stacklevel=2)
+        before, folder, rejected = written(), output_dir.rstrip("/"), None
         if fmt is None and dataset_path.endswith(".jsonl"):
-            df = read_jsonl(self.spark, dataset_path, id_col=id_col)
+            if lenient:
+                df, rejected = read_jsonl_lenient(self.spark, dataset_path, schema, id_col)
+            else:
+                df = read_jsonl(self.spark, dataset_path, schema, id_col)
+        elif lenient or schema is not None:
+            raise ValueError("schema and lenient are for JSON lines")
         else:
-            df = read_dataset(self.spark, dataset_path, fmt, id_col=id_col, number=id_col is None)
+            df = read_dataset(self.spark, dataset_path, fmt, split, id_col=id_col, number=id_col is None)
         result = curate(
             df,
             settings,
@@ -373,8 +388,17 @@ class Curator:
             validate=validate and test_model is not None,
             **options,
         )
-        folder = output_dir.rstrip("/")
         rows = result.selected.orderBy(F.desc("rank")) if ordered else result.selected
         write_jsonl(rows, f"{folder}/optimized_dataset", mode="overwrite")
         write_report(result.report, f"{folder}/report", mode="overwrite")
-        return result
+        # One row, and one file of a few lines.
+        text = self.spark.createDataFrame([(report_yaml(result.report),)], "value string")
+        text.coalesce(1).write.mode("overwrite").text(f"{folder}/report_yaml")
+        if rejected is not None:
+            rejected.write.mode("overwrite").text(f"{folder}/rejected_lines")
+        if not clean:
+            return result
+        chosen = self.spark.read.schema(result.selected.schema).json(f"{folder}/optimized_dataset")
+        report = self.spark.read.schema(result.report.schema).json(f"{folder}/report")
+        release(self.spark, before)
+        return CurationResult(chosen, chosen.select(*result.scored.columns), report)

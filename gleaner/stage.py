@@ -30,15 +30,23 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def release(spark: SparkSession) -> int:
-    """Delete the copies this process wrote. Frames built on them can no longer be read."""
+def release(spark: SparkSession, since: int = 0) -> int:
+    """Delete the copies this process wrote. Frames built on them can no longer be read.
+
+    ``since``: an earlier ``written()``; only what came after it is deleted.
+    """
     count = 0
-    while _written:
+    while len(_written) > since:
         path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
         count += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return count
 
 
+def written() -> int:
+    """How many copies this process has written and not deleted."""
+    return len(_written)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back.
 

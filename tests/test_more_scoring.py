@@ -128,3 +128,23 @@ def test_a_second_batch_adds_only_its_rows(spark, tmp_path):
     assert arrive(range(10)) == [k for k in range(10) if k % 3]
     assert arrive(range(10, 15)) == [k for k in range(15) if k % 3]
     assert arrive([]) == [k for k in range(15) if k % 3]
+
+
+def test_tokenizers_are_called_in_batches(spark):
+    from gleaner.functions.plugins import message_counter, token_counter
+
+    def load():
+        class Many:
+            def __call__(self, text):
+                raise AssertionError("one text at a time")
+
+            def batch(self, texts):
+                assert all(t is not None for t in texts)
+                return [t.split() for t in texts]
+
+        return Many()
+
+    rows = spark.createDataFrame([(1, "a b", ["x", None, "y z"]), (2, None, []), (3, "", None)], "id long, t string, m array<string>")
+    for make in (load, lambda: str.split):
+        got = rows.select("id", token_counter(make)(F.col("t")).alias("n"), message_counter(make)(F.col("m")).alias("ms")).collect()
+        assert {r["id"]: (r["n"], r["ms"]) for r in got} == {1: (2, [1, 0, 2]), 2: (0, []), 3: (0, None)}

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleaner import Curator, curate, curate_turns, load_config
+from gleaner.config import PRESETS
 from gleaner.functions.template import HEADER
 from gleaner.sources.normalize import assemble_turns
 from gleaner.streaming.stages import filter_stream
@@ -297,3 +298,39 @@ def test_rejected_rows_go_before_the_shuffle(spark):
     assert keep_ids(named, ids.select(F.concat(F.lit("c"), "conv_id").alias("conv_id")), "conv_id", 300, 0).count() == want
     assert keep_ids(turns, ids.limit(0), "conv_id", 0, 0).count() == 0 and keep_ids(turns, ids.limit(0), "conv_id", 0).count() == 0
     assert bitmap_bits(0) == bitmap_bits(1) == 64 and bitmap_bits(10**12) == MOST_BITS
+
+
+def test_a_path_run_may_clean_up(spark, tmp_path):
+    from gleaner.stage import stage_folder, written
+
+    lines = [
+        json.dumps({"instruction": f"Question {k} about several things?", "output": f"An answer number {k} with words"})
+        for k in range(12)
+    ]
+    path = tmp_path / "rows.jsonl"
+    path.write_text("\n".join([*lines, "not json"]) + "\n")
+    config = tmp_path / "loose.yaml"
+    raw = dict(PRESETS["llama_3_2_instruct"])
+    raw["quality_filters"] = raw["quality_filters"] | {"min_tokens_per_turn": 1, "min_total_tokens": 1, "balanced_conversation_ratio": 1.0}
+    config.write_text(json.dumps(raw))
+    shape = spark.createDataFrame([], "instruction string, output string").schema
+    before = written()
+    result = Curator(spark, str(config)).optimize(
+        str(path), str(tmp_path / "out"), top_k=5, skip_deduplication=True, lenient=True, clean=True, schema=shape
+    )
+    assert written() == before
+    assert result.selected.count() == 5 and result.report.first()["original_size"] == 12
+    assert [r[0] for r in spark.read.text(str(tmp_path / "out" / "rejected_lines")).collect()] == ["not json"]
+    yaml_lines = [r[0] for r in spark.read.text(str(tmp_path / "out" / "report_yaml")).collect()]
+    assert "original_size: 12" in yaml_lines
+    assert stage_folder(spark)
+
+
+def test_copies_are_matched_by_id_and_text(spark):
+    from gleaner.operators.neighbors import collapse_copies
+
+    rows = [(None, "only here"), (0, "b"), (1, "a"), (1, "b"), (None, "A "), (2, None), (3, ""), (None, "Only  Here")]
+    frame = spark.createDataFrame(rows, "id long, text string")
+    got = sorted(map(str, (tuple(r) for r in collapse_copies(frame, "id", "text").collect())))
+    want = [(None, "only here"), (0, "b"), (1, "a"), (2, None), (None, "Only  Here")]
+    assert got == sorted(map(str, want))
