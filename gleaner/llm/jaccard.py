@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +38,16 @@ HOT_PARTS = 64
 # Larger groups first try one centre; larger ones than BLOCK are cut.
 SMALL_GROUP = 8
 BLOCK = 2048
-# Where whole sets meet to have their links counted, a block has about so many shingles at most.
+# Where whole sets meet, a block has about so many shingles at most; with bitmaps, so many times that.
 BLOCK_SHINGLES = 1 << 20
+BITMAP_BLOCKS = 8
 FANOUT = 8
 PAIRS = 1 << 15
+# Bits of a bitmap per shingle, at least, and words of bitmaps that are compared at once.
+BITS = 8
+COMPARED = 1 << 20
+# Pairs of a forest that are tested at once.
+TESTED = 1024
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -134,9 +140,9 @@ def set_key(numbers: np.ndarray) -> int:
 
 
 def signature(numbers: np.ndarray) -> bytes:
-    """A bitmap with one to two bits per shingle; 64 at least."""
-    bits = max(64, 1 << int(len(numbers) - 1).bit_length())
-    at = ((numbers * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) & np.uint64(bits - 1)
+    """A bitmap with ``BITS`` to twice as many bits per shingle; 64 at least."""
+    bits = max(64, BITS << int(len(numbers) - 1).bit_length())
+    at = ((numbers * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24)) & np.uint64(bits - 1)
     out = np.zeros(bits, np.uint8)
     out[at] = 1
     return np.packbits(out, bitorder="little").tobytes()
@@ -239,9 +245,15 @@ class SignatureTree:
     def __init__(self, sizes: np.ndarray, bitmaps: list[np.ndarray], components: np.ndarray):
         order = np.argsort(sizes, kind="stable")
         self.order = order
-        self.bitmaps = [bitmaps[k] for k in order]
-        width = min(self.WIDTH, min(len(b) for b in bitmaps))
-        words = np.stack([np.bitwise_or.reduce(b.reshape(-1, width), axis=0) for b in self.bitmaps])
+        ordered = [bitmaps[k] for k in order]
+        # The whole bitmaps, by their width.
+        self.widths = np.array([len(b) for b in ordered])
+        self.whole = {w: np.stack([b for b in ordered if len(b) == w]) for w in set(self.widths.tolist())}
+        self.place = np.zeros(len(ordered), np.int64)
+        for w, rows in self.whole.items():
+            self.place[self.widths == w] = np.arange(len(rows))
+        width = min(self.WIDTH, int(self.widths.min()))
+        words = np.stack([np.bitwise_or.reduce(b.reshape(-1, width), axis=0) for b in ordered])
         low = high = sizes[order].astype(np.int64)
         excess = low - np.bitwise_count(words).sum(axis=1, dtype=np.int64)
         component = components[order]
@@ -268,26 +280,21 @@ class SignatureTree:
         keep[at] = (TOP + SHARE) * overlap >= SHARE * (low[x[at]] + low[y[at]])
         return keep
 
-    def pairs(self, whole_bitmaps: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Dual traversal: the pairs of sets (by their given number) that may link."""
-        top = len(self.levels) - 1
-        stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    def leaves(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Dual traversal: the pairs of sets, by their place in the tree, that the nodes and the folded bitmaps let pass."""
+        stack = [(len(self.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
         while stack:
             level, x, y = stack.pop()
             if len(x) > PAIRS:
                 half = len(x) // 2
                 stack += [(level, x[:half], y[:half]), (level, x[half:], y[half:])]
                 continue
-            keep = self.possible(level, x, y) if level or top == 0 else self.possible(0, x, y)
+            keep = self.possible(level, x, y)
             x, y = x[keep], y[keep]
             if not len(x):
                 continue
-            if level == 0 and not whole_bitmaps:
-                yield self.order[x], self.order[y]
-                continue
             if level == 0:
-                fits = np.array([self._fits(a, b) for a, b in zip(x.tolist(), y.tolist(), strict=True)], bool)
-                yield self.order[x[fits]], self.order[y[fits]]
+                yield x, y
                 continue
             below = len(self.levels[level - 1][0])
             i = (x[:, None] * FANOUT + np.arange(FANOUT))[:, :, None]
@@ -296,18 +303,54 @@ class SignatureTree:
             use = (i < below) & (j < below) & (i <= j)
             stack.append((level - 1, i[use], j[use]))
 
-    def _fits(self, a: int, b: int) -> bool:
-        """The overlap that the whole bitmaps allow: a bit of one set alone is a shingle alone."""
-        left, right = self.bitmaps[a], self.bitmaps[b]
-        if len(left) > len(right):
-            left = np.bitwise_or.reduce(left.reshape(-1, len(right)), axis=0)
-        elif len(right) > len(left):
-            right = np.bitwise_or.reduce(right.reshape(-1, len(left)), axis=0)
+    def pairs(self, whole_bitmaps: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The pairs of sets, by their given number, that may link."""
+        for x, y in self.leaves():
+            if whole_bitmaps:
+                keep = self.fits(x, y)
+                x, y = x[keep], y[keep]
+            yield self.order[x], self.order[y]
+
+    def forest(self, test: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs for which ``test`` holds (it takes places in the tree), one fewer than sets at most.
+
+        With the given components they connect all sets that any pairs for which ``test`` holds connect.
+        """
+        label = np.unique(self.levels[0][4], return_inverse=True)[1]
+        found: list[tuple[int, int]] = []
+        for x, y in self.leaves():
+            for first in range(0, len(x), TESTED):
+                i, j = x[first : first + TESTED], y[first : first + TESTED]
+                apart = label[i] != label[j]
+                i, j = i[apart], j[apart]
+                holds = test(i, j)
+                for a, b in zip(i[holds].tolist(), j[holds].tolist(), strict=True):
+                    if label[a] != label[b]:
+                        label[label == label[b]] = label[a]
+                        found.append((a, b))
+        ends = np.array(found, np.int64).reshape(-1, 2)
+        return self.order[ends[:, 0]], self.order[ends[:, 1]]
+
+    def fits(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether the whole bitmaps allow the overlap: a bit of one set alone is a shingle alone."""
         low = self.levels[0][1]
-        overlap = min(
-            low[a] - int(np.bitwise_count(left & ~right).sum()), low[b] - int(np.bitwise_count(right & ~left).sum())
-        )
-        return (TOP + SHARE) * overlap >= SHARE * (low[a] + low[b])
+        out = np.zeros(len(x), bool)
+        left, right = self.widths[x], self.widths[y]
+        for a, b in set(zip(left.tolist(), right.tolist(), strict=True)):
+            at = np.flatnonzero((left == a) & (right == b))
+            width, step = min(a, b), max(1, COMPARED // max(a, b))
+            for first in range(0, len(at), step):
+                part = at[first : first + step]
+                i, j = x[part], y[part]
+                one, two = self.whole[a][self.place[i]], self.whole[b][self.place[j]]
+                one = np.bitwise_or.reduce(one.reshape(len(part), -1, width), axis=1)
+                two = np.bitwise_or.reduce(two.reshape(len(part), -1, width), axis=1)
+                overlap = np.minimum(
+                    low[i] - np.bitwise_count(one & ~two).sum(axis=1, dtype=np.int64),
+                    low[j] - np.bitwise_count(two & ~one).sum(axis=1, dtype=np.int64),
+                )
+                out[part] = (TOP + SHARE) * overlap >= SHARE * (low[i] + low[j])
+        return out
 
     def centre_pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """The pairs that may link with the set nearest to what most sets have."""
@@ -319,15 +362,15 @@ class SignatureTree:
         x, y = np.minimum(others, centre), np.maximum(others, centre)
         keep = self.possible(0, x, y)
         x, y = x[keep], y[keep]
-        keep = np.array([self._fits(a, b) for a, b in zip(x.tolist(), y.tolist(), strict=True)], bool)
+        keep = self.fits(x, y)
         return self.order[x[keep]], self.order[y[keep]]
 
 
-def _joined(batches: Iterable[pa.RecordBatch], everything: bool) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of each group (sorted by group). Large groups give pairs with their centre only,
-    unless ``everything`` is asked for."""
+def _joined(batches: Iterable[pa.RecordBatch], forest: bool) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs of each group (sorted by group): of large groups those with their centre, or with
+    ``forest`` as many as connect all that may link. Either way there are fewer than sets, but for small groups."""
 
-    def group(rows: list[tuple]) -> pa.RecordBatch | None:
+    def group(token: int, rows: list[tuple]) -> pa.RecordBatch | None:
         rows = list({r[0]: r for r in rows}.values())
         if len(rows) < 2:
             return None
@@ -337,47 +380,48 @@ def _joined(batches: Iterable[pa.RecordBatch], everything: bool) -> Iterator[pa.
             [np.frombuffer(r[2], np.uint64) for r in rows],
             np.array([r[3] for r in rows], np.int64),
         )
-        if everything or len(rows) <= SMALL_GROUP:
+        if forest:
+            x, y = tree.forest(tree.fits)
+        elif len(rows) <= SMALL_GROUP:
             found = list(tree.pairs()) or [(np.empty(0, np.int64),) * 2]
             x, y = (np.concatenate(side) for side in zip(*found, strict=True))
         else:
             x, y = tree.centre_pairs()
         a, b = np.minimum(uids[x], uids[y]), np.maximum(uids[x], uids[y])
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        tokens = pa.array(np.full(len(a), token, np.int64))
+        return pa.RecordBatch.from_arrays([tokens, pa.array(a), pa.array(b)], names=["token", "a", "b"])
 
     name, rows = None, []
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in ("token", "i", "j", "uid", "n", "bits", "component")]
         for token, i, j, *row in zip(*columns, strict=True):
             if (token, i, j) != name:
-                if (out := group(rows)) is not None:
+                if name is not None and (out := group(name[0], rows)) is not None:
                     yield out
                 name, rows = (token, i, j), []
             rows.append(tuple(row))
-    if (out := group(rows)) is not None:
+    if name is not None and (out := group(name[0], rows)) is not None:
         yield out
 
 
-def _candidates(dealt: DataFrame, everything: bool) -> DataFrame:
-    """Pairs of the sets of each group ``token, i, j``."""
+def _candidates(dealt: DataFrame, forest: bool) -> DataFrame:
+    """``token, a, b``: pairs of the sets of each group ``token, i, j``."""
 
     def join(batches):
-        return _joined(batches, everything)
+        return _joined(batches, forest)
 
     return (
         dealt.select("token", "i", "j", "uid", "n", "bits", "component")
         .repartition("token", "i", "j")
         .sortWithinPartitions("token", "i", "j")
-        .mapInArrow(join, "a long, b long")
-        .distinct()
+        .mapInArrow(join, "token long, a long, b long")
     )
 
 
-def _in_blocks(groups: DataFrame, cuts=None) -> DataFrame:
-    """A group of more than ``BLOCK`` sets is cut into blocks: a set goes to all pairs of blocks that
-    contain its own. ``cuts`` may name another number of blocks."""
-    if cuts is None:
-        cuts = F.ceil(F.col("members") / BLOCK).cast("int")
+def _in_blocks(groups: DataFrame, shingles: int) -> DataFrame:
+    """A group of more than ``BLOCK`` sets or so many ``shingles`` is cut into blocks: a set goes to all
+    pairs of blocks that contain its own."""
+    cuts = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles") / shingles)).cast("int")
     own = F.pmod(F.xxhash64("uid"), F.col("cuts")).cast("int")
     return (
         groups.withColumn("cuts", cuts)
@@ -416,6 +460,22 @@ def _neighbourhoods(members: DataFrame) -> DataFrame:
     return both.withColumn("j", F.col("i")).withColumn("component", F.lit(-1).cast("bigint"))
 
 
+def _whole_sets(docs: DataFrame, wanted: DataFrame, classes) -> DataFrame:
+    """``name, numbers``: the sets of the documents that ``wanted`` names, read from their texts again."""
+    marks = id_filter(wanted, "name")
+    sent = docs.sparkSession.sparkContext.broadcast(marks)
+
+    def rebuild(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in large_batches(marked(batches, sent.value), release=True):
+            blobs = [numbers.tobytes() for numbers in text_sets(batch, classes.value)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("name"), pa.array(blobs, pa.binary())], names=["name", "numbers"]
+            )
+
+    texts = docs.select("text", F.xxhash64(F.col("doc_id").cast("bigint"), F.xxhash64("text")).alias("name"))
+    return with_slots(texts, "name", marks).mapInArrow(rebuild, "name long, numbers binary")
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, sets: DataFrame, classes) -> DataFrame:
     """The pairs whose sets really link. Only documents of these pairs are read into sets again.
 
@@ -432,37 +492,18 @@ def _verified(docs: DataFrame, pairs: DataFrame, sets: DataFrame, classes) -> Da
     two = degree.select(F.col("uid").alias("b"), F.col("degree").alias("of_b"))
     ends = pairs.join(one, "a").join(two, "b")
     first = F.col("of_a") >= F.col("of_b")
-    routes = staged(
-        ends.select(
-            F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"),
-            F.when(first, F.col("b")).otherwise(F.col("a")).alias("uid"),
-        ),
-        "routes",
-    )
-    sizes = routes.groupBy("hub").agg(F.ceil(F.count("*") / 256).cast("int").alias("slices"))
-    members = routes.join(sizes, "hub").select(
-        "uid", "hub", F.pmod(F.xxhash64("uid"), F.col("slices")).cast("int").alias("slice"), F.lit(1).alias("role")
-    )
-    hubs = sizes.select(
-        F.col("hub").alias("uid"),
-        "hub",
-        F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
-        F.lit(0).alias("role"),
+    routes = ends.select(
+        F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"),
+        F.when(first, F.col("b")).otherwise(F.col("a")).alias("uid"),
+        F.ceil(F.greatest("of_a", "of_b") / 256).cast("int").alias("slices"),
     )
+    routes = staged(routes.withColumn("slice", F.pmod(F.xxhash64("uid"), F.col("slices")).cast("int")), "routes")
+    members = routes.select("uid", "hub", "slice", F.lit(1).alias("role"))
+    hubs = routes.select(F.col("hub").alias("uid"), "hub", "slice", F.lit(0).alias("role")).distinct()
     sides = hubs.unionByName(members)
     named = sets.filter("prefix is not null").select("uid", "doc_id", "text_hash")
     sides = staged(sides.join(named, "uid").withColumn("name", F.xxhash64("doc_id", "text_hash")), "sides")
 
-    marks = id_filter(sides, "name")
-    sent = docs.sparkSession.sparkContext.broadcast(marks)
-
-    def rebuild(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in large_batches(marked(batches, sent.value), release=True):
-            blobs = [numbers.tobytes() for numbers in text_sets(batch, classes.value)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("name"), pa.array(blobs, pa.binary())], names=["name", "numbers"]
-            )
-
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, hub = None, None
         for batch in batches:
@@ -479,10 +520,12 @@ def _verified(docs: DataFrame, pairs: DataFrame, sets: DataFrame, classes) -> Da
                     if TOP * common >= SHARE * (len(hub) + len(numbers) - common):
                         found.append((h, uid))
             columns = list(zip(*found, strict=True)) or [(), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+            a, b = (np.array(c, np.int64) for c in columns)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
+            )
 
-    texts = docs.select("text", F.xxhash64(F.col("doc_id").cast("bigint"), F.xxhash64("text")).alias("name"))
-    contents = with_slots(texts, "name", marks).mapInArrow(rebuild, "name long, numbers binary")
+    contents = _whole_sets(docs, sides, classes)
     return staged(
         sides.join(contents, "name")
         .select("hub", "slice", "role", "uid", "numbers")
@@ -493,58 +536,146 @@ def _verified(docs: DataFrame, pairs: DataFrame, sets: DataFrame, classes) -> Da
     )
 
 
+class Overlaps:
+    """Counts the shingles that sets of one group share."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.lengths = np.array([len(s) for s in sets], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        # Shingles by number within the group, so that a set can be marked in a table.
+        values, at = np.unique(np.concatenate(sets), return_inverse=True)
+        self.at = at.astype(np.int32)
+        self.inside = np.zeros(len(values), np.uint8)
+
+    def link(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether each of the pairs links."""
+        out = np.zeros(len(x), bool)
+        order = np.argsort(x, kind="stable")
+        heads = np.flatnonzero(np.diff(x[order], prepend=-1))
+        for part in np.split(order, heads[1:]) if len(x) else []:
+            k, others = int(x[part[0]]), y[part]
+            mine = self.at[self.starts[k] : self.starts[k] + self.lengths[k]]
+            self.inside[mine] = 1
+            sizes = self.lengths[others]
+            found = self.inside[self.at[ragged(self.starts[others], sizes)]]
+            common = np.add.reduceat(found, np.cumsum(sizes) - sizes, dtype=np.int64)
+            self.inside[mine] = 0
+            out[part] = TOP * common >= SHARE * (self.lengths[k] + sizes - common)
+        return out
+
+
+def _tree_of(sets: list[np.ndarray], components: np.ndarray) -> SignatureTree:
+    bitmaps = [np.frombuffer(signature(s), np.uint64) for s in sets]
+    return SignatureTree(np.array([len(s) for s in sets], np.int64), bitmaps, components)
+
+
 def count_links(uids: np.ndarray, own: np.ndarray, sets: list[np.ndarray], across: bool) -> np.ndarray:
     """How many of the others each set links with; ``across`` takes only pairs of different blocks ``own``."""
-    lengths = np.array([len(s) for s in sets], np.int64)
-    starts = np.cumsum(lengths) - lengths
-    # Shingles by number within the group, so that a set can be marked in a table.
-    values, at = np.unique(np.concatenate(sets), return_inverse=True)
-    at = at.astype(np.int32)
-    inside = np.zeros(len(values), np.uint8)
     # The traversal passes over pairs of one component. Here those are pairs that meet elsewhere.
-    tree = SignatureTree(
-        lengths, [np.frombuffer(signature(s), np.uint64) for s in sets], own if across else np.full(len(sets), -1)
-    )
+    tree, overlaps = _tree_of(sets, own if across else np.full(len(sets), -1)), Overlaps(sets)
     counts = np.zeros(len(uids), np.int64)
     for x, y in tree.pairs(whole_bitmaps=False):
-        order = np.argsort(x, kind="stable")
-        x, y = x[order], y[order]
-        heads = np.flatnonzero(np.diff(x, prepend=-1))
-        for k, others in zip(x[heads].tolist(), np.split(y, heads[1:]), strict=True):
-            mine = at[starts[k] : starts[k] + lengths[k]]
-            inside[mine] = 1
-            sizes = lengths[others]
-            found = inside[at[ragged(starts[others], sizes)]]
-            common = np.add.reduceat(found, np.cumsum(sizes) - sizes, dtype=np.int64)
-            inside[mine] = 0
-            links = others[TOP * common >= SHARE * (lengths[k] + sizes - common)]
-            counts[links] += 1
-            counts[k] += len(links)
+        links = overlaps.link(x, y)
+        np.add.at(counts, x[links], 1)
+        np.add.at(counts, y[links], 1)
     return counts
 
 
-def _links_in_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The number of links that each set has in a pair of blocks (sorted input)."""
+def connecting_links(components: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Links, one fewer than sets at most, that with the given components connect all sets that links connect."""
+    tree, overlaps = _tree_of(sets, components), Overlaps(sets)
+    return tree.forest(lambda x, y: overlaps.link(tree.order[x], tree.order[y]))
+
+
+def _sets_by_group(
+    batches: Iterable[pa.RecordBatch], key: str, value: str
+) -> Iterator[tuple[tuple, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """``(key, i, j)``, the uids, their ``value`` and the whole sets of each group of two or more (sorted input)."""
 
-    def group(name: tuple, rows: dict[int, tuple]) -> pa.RecordBatch:
+    def group() -> tuple:
         uids = np.array(list(rows), np.int64)
-        own = np.array([r[0] for r in rows.values()], np.int64)
-        counts = count_links(uids, own, [r[1] for r in rows.values()], name[1] != name[2])
-        return pa.RecordBatch.from_arrays([pa.array(uids), pa.array(counts)], names=["canon", "n_links"])
+        return name, uids, np.array([r[0] for r in rows.values()], np.int64), [r[1] for r in rows.values()]
 
     name, rows = None, {}
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("root", "i", "j", "uid", "own")]
-        for root, i, j, uid, own, blob in zip(*columns, batch.column("numbers"), strict=True):
-            if (root, i, j) != name:
+        columns = [batch.column(c).to_pylist() for c in (key, "i", "j", "uid", value)]
+        for k, i, j, uid, given, blob in zip(*columns, batch.column("numbers"), strict=True):
+            if (k, i, j) != name:
                 if len(rows) > 1:
-                    yield group(name, rows)
-                name, rows = (root, i, j), {}
+                    yield group()
+                name, rows = (k, i, j), {}
             # Rows with equal id and text come more than once.
             if uid not in rows:
-                rows[uid] = own, np.frombuffer(blob.as_py(), np.uint64)
+                rows[uid] = given, np.frombuffer(blob.as_py(), np.uint64)
     if len(rows) > 1:
-        yield group(name, rows)
+        yield group()
+
+
+def _links_in_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The number of links that each set has in a pair of blocks (sorted input)."""
+    for name, uids, own, sets in _sets_by_group(batches, "root", "own"):
+        counts = count_links(uids, own, sets, name[1] != name[2])
+        yield pa.RecordBatch.from_arrays([pa.array(uids), pa.array(counts)], names=["canon", "n_links"])
+
+
+def _connecting(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links that connect what is not yet one component in a group (sorted input)."""
+    for _, uids, component, sets in _sets_by_group(batches, "token", "component"):
+        x, y = connecting_links(component, sets)
+        a, b = np.minimum(uids[x], uids[y]), np.maximum(uids[x], uids[y])
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
+def _open_groups(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``token, uid, n, component, members, shingles``: the groups whose sets are not all in one component.
+
+    Groups of the same sets are one; the first shingle stands for all.
+    """
+    roots = components(links).withColumnRenamed("node", "uid")
+    placed = members.join(roots, "uid", "left").select(
+        "token", "uid", "n", F.coalesce("root", "uid").alias("component")
+    )
+    placed = staged(placed, "placed")
+    named = placed.groupBy("token").agg(
+        F.count("*").alias("members"),
+        F.sum("n").alias("shingles"),
+        F.bit_xor(F.xxhash64("uid")).alias("name"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+    )
+    named = named.filter("low <> high").groupBy("members", "shingles", "name").agg(F.min("token").alias("token"))
+    return staged(placed.join(named.drop("name"), "token"), "open")
+
+
+def _remaining_links(docs: DataFrame, members: DataFrame, links: DataFrame, sets: DataFrame, classes) -> DataFrame:
+    """Links that with ``links`` connect all that any links connect.
+
+    Each open group gives a forest of pairs that its bitmaps allow, so fewer pairs than sets, which are
+    then verified. If all of a group's pairs are links, its sets are connected as far as they can be.
+    The groups with a pair that is none meet again as whole sets, which are compared in the task.
+    """
+    groups = _open_groups(members, links)
+    if groups.isEmpty():
+        return links
+    bits = sets.filter("prefix is not null").select("uid", "bits")
+    tried = _candidates(_in_blocks(groups, BITMAP_BLOCKS * BLOCK_SHINGLES).join(bits, "uid"), True)
+    tried = staged(tried, "tried")
+    found = _verified(docs, tried.select("a", "b").distinct(), sets, classes)
+    links = links.unionByName(found)
+    failed = tried.join(found, ["a", "b"], "left_anti").select("token").distinct()
+    groups = _open_groups(members.join(failed, "token", "left_semi"), links)
+    if groups.isEmpty():
+        return links
+    named = sets.filter("prefix is not null").select("uid", F.xxhash64("doc_id", "text_hash").alias("name"))
+    groups = staged(groups.join(named, "uid"), "whole")
+    connecting = (
+        _in_blocks(groups.join(_whole_sets(docs, groups, classes), "name"), BLOCK_SHINGLES)
+        .select("token", "i", "j", "uid", "component", "numbers")
+        .repartition("token", "i", "j")
+        .sortWithinPartitions("token", "i", "j")
+        .mapInArrow(_connecting, "a long, b long")
+    )
+    return links.unionByName(connecting)
 
 
 def _degrees(docs: DataFrame, links: DataFrame, roots: DataFrame, sets: DataFrame, classes) -> DataFrame:
@@ -566,21 +697,8 @@ def _degrees(docs: DataFrame, links: DataFrame, roots: DataFrame, sets: DataFram
     rest = staged(rest, "open")
     if rest.isEmpty():
         return whole
-    marks = id_filter(rest, "name")
-    sent = docs.sparkSession.sparkContext.broadcast(marks)
-
-    def rebuild(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in large_batches(marked(batches, sent.value), release=True):
-            blobs = [numbers.tobytes() for numbers in text_sets(batch, classes.value)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("name"), pa.array(blobs, pa.binary())], names=["name", "numbers"]
-            )
-
-    texts = docs.select("text", F.xxhash64(F.col("doc_id").cast("bigint"), F.xxhash64("text")).alias("name"))
-    contents = with_slots(texts, "name", marks).mapInArrow(rebuild, "name long, numbers binary")
-    cuts = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     counted = (
-        _in_blocks(rest.join(contents, "name"), cuts)
+        _in_blocks(rest.join(_whole_sets(docs, rest, classes), "name"), BLOCK_SHINGLES)
         .select("root", "i", "j", "uid", "own", "numbers")
         .repartition("root", "i", "j")
         .sortWithinPartitions("root", "i", "j")
@@ -605,7 +723,10 @@ def linked(docs: DataFrame, count: bool = True) -> DataFrame:
     3. Sets go to the neighbour with which they share most. There a signature tree finds the pairs
        that may link, in large groups those with a centre; they are checked on the whole sets.
     4. Shingles whose sets are not yet in one component get a tree of their own, whose traversal
-       prunes nodes within a component. So no link between components is missed.
+       prunes nodes within a component. A union-find leaves of the pairs that may link a forest, which
+       is checked on the whole sets. Where one of its pairs is no link, the whole sets of the group
+       meet, and the pairs are checked in the task. So no link between components is missed, and
+       no group gives more pairs than it has sets.
     5. For ``n_links``, components of which not every pair has been found linked are read again; their
        sets meet in pairs of blocks and a tree without that pruning, and are counted there.
 
@@ -643,27 +764,9 @@ def linked(docs: DataFrame, count: bool = True) -> DataFrame:
     members = shared.join(same, "uid").select("token", F.col("canon").alias("uid"), "n").distinct()
     members = staged(members, "members")
     bits = sets.filter("prefix is not null").select("uid", "bits")
-    near = staged(_candidates(_neighbourhoods(members).join(bits, "uid"), False), "pairs")
-    links = _verified(docs, near, sets, classes)
-    roots = components(links).withColumnRenamed("node", "uid")
-    placed = members.join(roots, "uid", "left").select(
-        "token", "uid", "n", F.coalesce("root", "uid").alias("component")
-    )
-    placed = staged(placed, "placed")
-    # Shingles whose sets are in one component are done. Those with the same sets are one group: the
-    # first of them stands for all.
-    named = placed.groupBy("token").agg(
-        F.count("*").alias("members"),
-        F.bit_xor(F.xxhash64("uid")).alias("name"),
-        F.min("component").alias("low"),
-        F.max("component").alias("high"),
-    )
-    named = named.filter("low <> high").groupBy("members", "name").agg(F.min("token").alias("token"))
-    groups = placed.join(named.select("token", "members"), "token")
-    if not groups.isEmpty():
-        rest = staged(_candidates(_in_blocks(groups).join(bits, "uid"), True), "pairs")
-        links = links.unionByName(_verified(docs, rest, sets, classes))
-    links = staged(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    near = _candidates(_neighbourhoods(members).join(bits, "uid"), False).select("a", "b").distinct()
+    links = _verified(docs, staged(near, "pairs"), sets, classes)
+    links = staged(_remaining_links(docs, members, links, sets, classes).distinct(), "links")
     roots = staged(components(links), "roots")
     placed = (
         sets.select("doc_id", "text_hash", "n", "uid")

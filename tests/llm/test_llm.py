@@ -7,6 +7,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -214,6 +215,64 @@ def test_all_links_are_counted(spark, monkeypatch, block, block_shingles):
     assert check_links(spark, rows) > 600
 
 
+def edge_rows(count, words=60, changed=2):
+    """Texts of one origin, each with words of its own, so that most pairs are just below the limit."""
+    rng = np.random.default_rng(8)
+    base = prose(41, words).split()
+    rows = []
+    for k in range(count):
+        own = list(base)
+        for at in rng.choice(words, changed, replace=False):
+            own[at] = f"e{k}"
+        rows.append((k, " ".join(own)))
+    return rows
+
+
+def test_edge_groups_give_no_more_pairs_than_sets(spark, monkeypatch):
+    made, candidates = [], jaccard._candidates
+
+    def counted(dealt, forest):
+        out = candidates(dealt, forest)
+        groups = dealt.groupBy("token", "i", "j").agg(F.count_distinct("uid").alias("members"))
+        small = groups.filter(F.col("members") <= jaccard.SMALL_GROUP).count() * jaccard.SMALL_GROUP**2
+        made.append((out.count(), groups.agg(F.sum("members")).first()[0] + small * (not forest)))
+        return out
+
+    monkeypatch.setattr(jaccard, "_candidates", counted)
+    rows = edge_rows(150)
+    check_components(spark, rows)
+    assert len(made) == 2
+    assert all(pairs <= limit for pairs, limit in made)
+    check_links(spark, rows)
+
+
+def test_forests_connect_what_links_connect():
+    texts = [t for _, t in edge_rows(80)] + [t for _, t in edge_rows(30, 200, 5)]
+    sets = []
+    for text in texts:
+        h, _ = jaccard.shingle_hashes(*jaccard.text_bytes(pa.array([text])))
+        sets.append(np.unique(h))
+    links = [
+        (a, b)
+        for a in range(len(sets))
+        for b in range(a)
+        if 100 * (c := len(np.intersect1d(sets[a], sets[b]))) >= 80 * (len(sets[a]) + len(sets[b]) - c)
+    ]
+
+    def roots(pairs):
+        label = list(range(len(sets)))
+        for a, b in pairs:
+            label = [label[a] if v == label[b] else v for v in label]
+        return [label.index(v) for v in label]
+
+    for given in ([], links[:7]):
+        x, y = jaccard.connecting_links(np.array(roots(given)), sets)
+        found = list(zip(x.tolist(), y.tolist(), strict=True))
+        assert {tuple(sorted(p, reverse=True)) for p in found} <= set(links)
+        assert len(found) < len(sets)
+        assert roots([*given, *found]) == roots(links)
+
+
 def test_signature_tree_misses_no_link():
     rng = np.random.default_rng(3)
     sets = []
