@@ -44,7 +44,7 @@ BITMAP_BLOCKS = 8
 FANOUT = 8
 PAIRS = 1 << 15
 # Bits of a bitmap per shingle, at least, and words of bitmaps that are compared at once.
-BITS = 8
+BITS = 2
 COMPARED = 1 << 20
 # Pairs of a forest that are tested at once.
 TESTED = 1024
@@ -311,24 +311,33 @@ class SignatureTree:
                 x, y = x[keep], y[keep]
             yield self.order[x], self.order[y]
 
-    def forest(self, test: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    def forest(
+        self, test: Callable[[np.ndarray, np.ndarray], np.ndarray], every: bool = False
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Pairs for which ``test`` holds (it takes places in the tree), one fewer than sets at most.
 
         With the given components they connect all sets that any pairs for which ``test`` holds connect.
+        With ``every``, sets of such pairs that are in no pair of the forest come as pairs with themselves.
         """
         label = np.unique(self.levels[0][4], return_inverse=True)[1]
         found: list[tuple[int, int]] = []
+        met = np.zeros(len(label), bool)
         for x, y in self.leaves():
             for first in range(0, len(x), TESTED):
                 i, j = x[first : first + TESTED], y[first : first + TESTED]
-                apart = label[i] != label[j]
-                i, j = i[apart], j[apart]
+                if not every:
+                    apart = label[i] != label[j]
+                    i, j = i[apart], j[apart]
                 holds = test(i, j)
+                met[i[holds]] = met[j[holds]] = True
                 for a, b in zip(i[holds].tolist(), j[holds].tolist(), strict=True):
                     if label[a] != label[b]:
                         label[label == label[b]] = label[a]
                         found.append((a, b))
         ends = np.array(found, np.int64).reshape(-1, 2)
+        if every:
+            met[ends] = False
+            ends = np.concatenate([ends, np.repeat(np.flatnonzero(met), 2).reshape(-1, 2)])
         return self.order[ends[:, 0]], self.order[ends[:, 1]]
 
     def fits(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -368,9 +377,10 @@ class SignatureTree:
 
 def _joined(batches: Iterable[pa.RecordBatch], forest: bool) -> Iterator[pa.RecordBatch]:
     """Candidate pairs of each group (sorted by group): of large groups those with their centre, or with
-    ``forest`` as many as connect all that may link. Either way there are fewer than sets, but for small groups."""
+    ``forest`` as many as connect all that may link, and every set that may link in one at least. Either way
+    there are no more than sets, but for small groups."""
 
-    def group(token: int, rows: list[tuple]) -> pa.RecordBatch | None:
+    def group(rows: list[tuple]) -> pa.RecordBatch | None:
         rows = list({r[0]: r for r in rows}.values())
         if len(rows) < 2:
             return None
@@ -381,31 +391,30 @@ def _joined(batches: Iterable[pa.RecordBatch], forest: bool) -> Iterator[pa.Reco
             np.array([r[3] for r in rows], np.int64),
         )
         if forest:
-            x, y = tree.forest(tree.fits)
+            x, y = tree.forest(tree.fits, every=True)
         elif len(rows) <= SMALL_GROUP:
             found = list(tree.pairs()) or [(np.empty(0, np.int64),) * 2]
             x, y = (np.concatenate(side) for side in zip(*found, strict=True))
         else:
             x, y = tree.centre_pairs()
         a, b = np.minimum(uids[x], uids[y]), np.maximum(uids[x], uids[y])
-        tokens = pa.array(np.full(len(a), token, np.int64))
-        return pa.RecordBatch.from_arrays([tokens, pa.array(a), pa.array(b)], names=["token", "a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     name, rows = None, []
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in ("token", "i", "j", "uid", "n", "bits", "component")]
         for token, i, j, *row in zip(*columns, strict=True):
             if (token, i, j) != name:
-                if name is not None and (out := group(name[0], rows)) is not None:
+                if (out := group(rows)) is not None:
                     yield out
                 name, rows = (token, i, j), []
             rows.append(tuple(row))
-    if name is not None and (out := group(name[0], rows)) is not None:
+    if (out := group(rows)) is not None:
         yield out
 
 
 def _candidates(dealt: DataFrame, forest: bool) -> DataFrame:
-    """``token, a, b``: pairs of the sets of each group ``token, i, j``."""
+    """Pairs of the sets of each group ``token, i, j``."""
 
     def join(batches):
         return _joined(batches, forest)
@@ -414,7 +423,8 @@ def _candidates(dealt: DataFrame, forest: bool) -> DataFrame:
         dealt.select("token", "i", "j", "uid", "n", "bits", "component")
         .repartition("token", "i", "j")
         .sortWithinPartitions("token", "i", "j")
-        .mapInArrow(join, "token long, a long, b long")
+        .mapInArrow(join, "a long, b long")
+        .distinct()
     )
 
 
@@ -619,20 +629,19 @@ def _links_in_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _connecting(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links that connect what is not yet one component in a group (sorted input)."""
-    for _, uids, component, sets in _sets_by_group(batches, "token", "component"):
+    """Links that connect what is not yet one component in a pair of blocks (sorted input)."""
+    for _, uids, component, sets in _sets_by_group(batches, "cluster", "component"):
         x, y = connecting_links(component, sets)
         a, b = np.minimum(uids[x], uids[y]), np.maximum(uids[x], uids[y])
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
-def _open_groups(members: DataFrame, links: DataFrame) -> DataFrame:
+def _open_groups(members: DataFrame, roots: DataFrame) -> DataFrame:
     """``token, uid, n, component, members, shingles``: the groups whose sets are not all in one component.
 
     Groups of the same sets are one; the first shingle stands for all.
     """
-    roots = components(links).withColumnRenamed("node", "uid")
-    placed = members.join(roots, "uid", "left").select(
+    placed = members.join(roots.withColumnRenamed("node", "uid"), "uid", "left").select(
         "token", "uid", "n", F.coalesce("root", "uid").alias("component")
     )
     placed = staged(placed, "placed")
@@ -650,32 +659,39 @@ def _open_groups(members: DataFrame, links: DataFrame) -> DataFrame:
 def _remaining_links(docs: DataFrame, members: DataFrame, links: DataFrame, sets: DataFrame, classes) -> DataFrame:
     """Links that with ``links`` connect all that any links connect.
 
-    Each open group gives a forest of pairs that its bitmaps allow, so fewer pairs than sets, which are
-    then verified. If all of a group's pairs are links, its sets are connected as far as they can be.
-    The groups with a pair that is none meet again as whole sets, which are compared in the task.
+    Each open group gives a forest of pairs that its bitmaps allow, so no more pairs than sets. The
+    components of these pairs and the links are clusters, and no link leaves a cluster. So each set that
+    has a possible partner goes to one cluster, however many shingles it shares; there the whole sets
+    meet, in pairs of blocks, and a union-find in the task keeps the links that connect something.
     """
-    groups = _open_groups(members, links)
+    roots = components(links)
+    groups = _open_groups(members, roots)
     if groups.isEmpty():
         return links
+    named = sets.filter("prefix is not null").select("uid", "n", F.xxhash64("doc_id", "text_hash").alias("name"))
     bits = sets.filter("prefix is not null").select("uid", "bits")
     tried = _candidates(_in_blocks(groups, BITMAP_BLOCKS * BLOCK_SHINGLES).join(bits, "uid"), True)
     tried = staged(tried, "tried")
-    found = _verified(docs, tried.select("a", "b").distinct(), sets, classes)
-    links = links.unionByName(found)
-    failed = tried.join(found, ["a", "b"], "left_anti").select("token").distinct()
-    groups = _open_groups(members.join(failed, "token", "left_semi"), links)
-    if groups.isEmpty():
+    clusters = components(links.select("a", "b").unionByName(tried))
+    met = tried.select(F.col("a").alias("uid")).unionByName(tried.select(F.col("b").alias("uid"))).distinct()
+    met = (
+        met.join(clusters.select(F.col("node").alias("uid"), F.col("root").alias("cluster")), "uid")
+        .join(roots.select(F.col("node").alias("uid"), "root"), "uid", "left")
+        .join(named, "uid")
+        .select("uid", "cluster", "n", "name", F.coalesce("root", "uid").alias("component"))
+    )
+    met = staged(met, "met")
+    if met.isEmpty():
         return links
-    named = sets.filter("prefix is not null").select("uid", F.xxhash64("doc_id", "text_hash").alias("name"))
-    groups = staged(groups.join(named, "uid"), "whole")
+    sizes = met.groupBy("cluster").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
     connecting = (
-        _in_blocks(groups.join(_whole_sets(docs, groups, classes), "name"), BLOCK_SHINGLES)
-        .select("token", "i", "j", "uid", "component", "numbers")
-        .repartition("token", "i", "j")
-        .sortWithinPartitions("token", "i", "j")
+        _in_blocks(met.join(sizes, "cluster").join(_whole_sets(docs, met, classes), "name"), BLOCK_SHINGLES)
+        .select("cluster", "i", "j", "uid", "component", "numbers")
+        .repartition("cluster", "i", "j")
+        .sortWithinPartitions("cluster", "i", "j")
         .mapInArrow(_connecting, "a long, b long")
     )
-    return links.unionByName(connecting)
+    return links.select("a", "b").unionByName(connecting)
 
 
 def _degrees(docs: DataFrame, links: DataFrame, roots: DataFrame, sets: DataFrame, classes) -> DataFrame:
@@ -723,10 +739,10 @@ def linked(docs: DataFrame, count: bool = True) -> DataFrame:
     3. Sets go to the neighbour with which they share most. There a signature tree finds the pairs
        that may link, in large groups those with a centre; they are checked on the whole sets.
     4. Shingles whose sets are not yet in one component get a tree of their own, whose traversal
-       prunes nodes within a component. A union-find leaves of the pairs that may link a forest, which
-       is checked on the whole sets. Where one of its pairs is no link, the whole sets of the group
-       meet, and the pairs are checked in the task. So no link between components is missed, and
-       no group gives more pairs than it has sets.
+       prunes nodes within a component. A union-find leaves of the pairs that may link a forest. The
+       components of all forests and links are clusters; the sets with a possible partner meet there as
+       whole sets and are checked in the task. So no link between components is missed, no
+       group gives more pairs than it has sets, and a set is sent to one cluster only.
     5. For ``n_links``, components of which not every pair has been found linked are read again; their
        sets meet in pairs of blocks and a tree without that pruning, and are counted there.
 
