@@ -220,8 +220,8 @@ def page_blocks(page: str) -> list[Block]:
 def block_labels(blocks: list[Block]) -> list[bool]:
     """Whether each block is main text.
 
-    First pass: long blocks with function words and few links are, wherever they stand, and blocks full of
-    links are not. Of the rest, what stands in a menu, footer, advert or the like is not, unless a
+    First pass: long blocks with function words and few links are, unless they stand under a mark and the
+    page has at least as much such text without one; blocks full of links are not. Of the rest, what stands in a menu, footer, advert or the like is not, unless a
     long block shows that the mark is one of a wrapper; what stands in an article is, unless it has
     many links and few function words; elsewhere, blocks without function words are not. Short blocks
     stay open, as do headings in an article that are links. Second pass: an open block takes the
@@ -234,13 +234,21 @@ def block_labels(blocks: list[Block]) -> list[bool]:
         known = sum(w.strip(".,;:!?\"'()").lower() in STOP_WORDS for w in words) / max(1, len(words))
         prose = len(words) >= LONG_WORDS and known >= STOP_SHARE and links <= LINK_SHARE / 2
         facts.append((len(words), links, known, prose))
-    wrappers = {b.origin for b, f in zip(blocks, facts, strict=True) if f[3] and b.place == -1 and b.origin >= 0}
+    # Prose under a mark is the article only where there is more of it than of prose without a mark.
+    unmarked, marked = 0, {}
+    for block, (*_, prose) in zip(blocks, facts, strict=True):
+        if prose and block.place == -1:
+            marked[block.origin] = marked.get(block.origin, 0) + len(block.text)
+        elif prose and block.place >= 0:
+            unmarked += len(block.text)
+    wrappers = {origin for origin, size in marked.items() if size > unmarked}
     first: list[bool | None] = []
     for block, (n, links, known, prose) in zip(blocks, facts, strict=True):
-        place = 0 if block.place == -1 and block.origin in wrappers else block.place
+        freed = block.place == -1 and block.origin in wrappers
+        place = 0 if freed and block.origin >= 0 else block.place
         if place == -2:
             first.append(False)
-        elif prose:
+        elif prose and (place >= 0 or freed):
             first.append(True)
         elif place == -1:
             first.append(False)

@@ -593,6 +593,20 @@ def test_main_text():
 LONG = "The house of the man is in the town and it was built by the people that he knew in the old days of the war"
 
 
+@pytest.mark.parametrize(
+    "other",
+    ["section class=comments", "div id=disqus", "div class='cookie-notice'", "footer", "aside", "div class=ad", "form"],
+)
+def test_long_blocks_under_a_mark_stay_out_beside_an_article(other):
+    tag = other.split()[0]
+    extra = f"<{other}><h3>Title</h3><p>{LONG} as a reader said</p><p>Nice one!</p></{tag}>"
+    body = f"<p>{LONG}</p><p>{LONG} again</p>"
+    want = f"{LONG}\n{LONG} again"
+    assert main_text(f"<article>{body}</article>{extra}") == want
+    assert main_text(f"<article>{body}{extra}</article>") == want
+    assert main_text(f"<div>{body}</div>{extra}") == want
+
+
 @pytest.mark.parametrize(
     "around",
     ["article class='post has-comments'", "main class='with-sidebar'", "div class='no-sidebar'", "div class=has-sidebar",
