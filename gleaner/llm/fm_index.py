@@ -8,7 +8,10 @@ from gleaner.llm.suffixes import Shard, Streamer
 
 
 class WaveletTree:
-    """The symbols' bits level by level, zeros before ones, as packed words with counts per word."""
+    """The symbols' bits level by level, zeros before ones, as packed words of 64 bits.
+
+    Counts are kept in full for 512 bits and, within these, in 16 bits for each word: 20 bits beside 64.
+    """
 
     def __init__(self, symbols: np.ndarray, most: int):
         self.bits = max(1, int(most).bit_length())
@@ -16,23 +19,27 @@ class WaveletTree:
         current = symbols.astype(np.int64)
         for level in range(self.bits - 1, -1, -1):
             bit = ((current >> level) & 1).astype(np.uint8)
-            padded = np.zeros(-(-(len(bit) + 1) // 64) * 64, np.uint8)
+            padded = np.zeros(-(-(len(bit) + 1) // 512) * 512, np.uint8)
             padded[: len(bit)] = bit
             words = np.packbits(padded, bitorder="little").view(np.uint64)
-            counts = np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int64)])
+            counts = np.cumsum(np.bitwise_count(words), dtype=np.int64)
+            before = np.concatenate([[0], counts[:-1]])
+            blocks = before[::8].astype(np.int32)
+            inner = (before - np.repeat(before[::8], 8)).astype(np.uint16)
             zeros = len(bit) - int(counts[-1])
-            self.levels.append((words, counts, zeros))
+            self.levels.append((words, blocks, inner, zeros))
             current = np.concatenate([current[bit == 0], current[bit == 1]])
 
     def rank(self, symbol: np.ndarray, position: np.ndarray) -> np.ndarray:
         """How often each symbol stands before its position."""
         start, end = np.zeros(len(position), np.int64), position
-        for level, (words, counts, zeros) in zip(range(self.bits - 1, -1, -1), self.levels, strict=True):
+        for level, (words, blocks, inner, zeros) in zip(range(self.bits - 1, -1, -1), self.levels, strict=True):
             one = ((symbol >> level) & 1).astype(bool)
             ones = []
             for at in (start, end):
                 mask = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
-                ones.append(counts[at >> 6] + np.bitwise_count(words[at >> 6] & mask))
+                word = at >> 6
+                ones.append(blocks[at >> 9] + inner[word].astype(np.int64) + np.bitwise_count(words[word] & mask))
             start = np.where(one, zeros + ones[0], start - ones[0])
             end = np.where(one, zeros + ones[1], end - ones[1])
         return end - start

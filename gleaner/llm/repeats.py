@@ -4,12 +4,15 @@ A window is ``width`` consecutive symbols of one document: words, or bytes. Two
 if the smallest of their ``gram``-symbol hashes, the anchor, is the same and stands at the same
 place. Consecutive windows with the same anchor are a segment. So segments are sent by anchor:
 
-1. Segments that are wholly equal are one; all but the first are decided.
-2. Different segments of one anchor may share some windows. They go to a shard, whose index is built
-   over them, and all of them are streamed through it.
+1. Of segments that are wholly equal the earliest one leads and the others follow. Only leaders have
+   their symbols sent; one that no segment follows and that is alone under its anchor is no repeat.
+2. The leaders of an anchor go to a shard, whose index is built over them, and all of them are streamed
+   through it. What the index reports for a leader holds for the leader, where an earlier place is
+   found, and for its followers, whose windows all stand later.
 3. An anchor with very many different segments (the edge of a passage that stands in many different
    contexts) is cut finer first: into runs of a few windows, named by what all of them have in common,
-   and then into single windows. So no shard gets an unbounded group.
+   and then into single windows. So no shard gets an unbounded group. Equal runs are one here too; the
+   later ones are repeats without a further search.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.llm.common import (
@@ -132,13 +135,16 @@ def segments_of(kind: Kind, symbols: np.ndarray, offsets: np.ndarray) -> tuple[n
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
-_ROW = "anchor long, segment long, doc_id long, copy long, at long"
-_NAMES = ["anchor", "segment", "doc_id", "copy", "at"]
+# ``state``: what is known of a segment. Followers have an earlier equal segment, leaders a later one.
+_ALONE, _LEADS, _FOLLOWS = 0, 1, 2
+_ROW = "anchor long, segment long, doc_id long, copy long, at long, state long"
+_NAMES = ["anchor", "segment", "doc_id", "copy", "at", "state"]
+# A run cut from a segment: the segment that others follow (0: none), and where it starts.
+_CUT = f"{_ROW}, root long, begin long"
 
 
 def _rows(kind: Kind, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The segments of all documents. Of equal ones in a batch the later ones are decided: they come
-    with a null anchor."""
+    """The segments of all documents, each with what its batch tells of its state."""
     for batch in batches:
         held = []
         ids, copies = batch.column("doc_id").to_numpy(), batch.column("copy").to_numpy()
@@ -157,70 +163,74 @@ def _rows(kind: Kind, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBa
         new = np.ones(len(segment), bool)
         new[1:] = segment[1:] != segment[:-1]
         head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-        decided = ~new if kind.within else doc != doc[head]
+        follows = ~new if kind.within else doc != doc[head]
+        group = np.cumsum(new) - 1
+        led = np.bincount(group, follows, minlength=1)[group] > 0
+        state = np.where(follows, _FOLLOWS, np.where(new & led, _LEADS, _ALONE))
         for first in range(0, len(anchor), 1 << 16):
             piece = slice(first, first + (1 << 16))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor[piece], mask=decided[piece]), pa.array(segment[piece], mask=decided[piece])]
-                + [pa.array(c[piece]) for c in (doc, copy, at)],
-                names=_NAMES,
+                [pa.array(c[piece]) for c in (anchor, segment, doc, copy, at, state)], names=_NAMES
             )
 
 
 def _collapsed(kind: Kind, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows in order of anchor, segment and place: the decided ones (with a null anchor), and the
-    first of each segment where an anchor has several. Other rows are no repeats and are gone.
+    """Rows in order of anchor, segment and place, with their state among all rows of the segment.
 
-    Works on a batch at a time and carries the last anchor's first segment until a second one comes.
+    Rows that are alone, under their anchor too, are no repeats and are gone. Works on a batch at a
+    time; its last row is held until the next batch tells whether its anchor or segment goes on, and
+    so is a leader in the batch of the last segment.
     """
-    carry_key, carry_head, carry_open = None, None, False
-    pending: list[np.ndarray] = []
+    held: np.ndarray | None = None  # the last segment's first row, if it is not passed on yet
+    last: tuple[int, int, int] | None = None  # anchor, segment and its first document
+    shared = False  # the last anchor has several rows, or a row that leads
+    names: list[str] = []
     for batch in batches:
-        rows = np.stack([batch.column(c).to_numpy() for c in _NAMES], axis=1)
+        names = batch.schema.names
+        rows = np.stack([c.to_numpy() for c in batch.columns], axis=1)
         if not len(rows):
             continue
         anchor, segment, doc = rows[:, 0], rows[:, 1], rows[:, 2]
+        state = rows[:, 5]
         new_anchor, new_segment = np.ones(len(rows), bool), np.ones(len(rows), bool)
         new_anchor[1:] = anchor[1:] != anchor[:-1]
         new_segment[1:] = new_anchor[1:] | (segment[1:] != segment[:-1])
-        if carry_key is not None:
-            new_anchor[0] = anchor[0] != carry_key[0]
-            new_segment[0] = new_anchor[0] or segment[0] != carry_key[1]
+        if last is not None:
+            new_anchor[0] = anchor[0] != last[0]
+            new_segment[0] = new_anchor[0] or segment[0] != last[1]
         position = np.arange(len(rows))
         head = np.maximum.accumulate(np.where(new_segment, position, -1))
-        head_doc = np.where(head >= 0, doc[np.maximum(head, 0)], carry_head if carry_head is not None else 0)
-        decided = ~new_segment if kind.within else ~new_segment & (doc != head_doc)
-        # Runs of an anchor in this batch; the first may go on from the batch before.
-        starts = np.flatnonzero(new_anchor)
-        if not len(starts) or starts[0] != 0:
-            starts = np.concatenate([[0], starts])
+        head_doc = np.where(head >= 0, doc[np.maximum(head, 0)], last[2] if last is not None else 0)
+        follows = ~new_segment & (kind.within | (doc != head_doc))
+        if held is not None:
+            if not new_segment[0]:
+                held[0, 5] = _LEADS
+            if shared or not new_anchor[0]:
+                yield _batch(held, names)
+            held = None
+        # Segments led by a row of this batch, and anchors with more than one row.
+        led = np.bincount(head + 1, follows | (state == _LEADS), minlength=len(rows) + 1)[head + 1] > 0
+        starts = np.union1d(np.flatnonzero(new_anchor), [0])
         run = np.searchsorted(starts, position, side="right") - 1
-        several = np.add.reduceat(new_segment.astype(np.int64), starts) > 1
-        if not new_anchor[0]:
-            # Going on: a second segment may be here, or may have been before.
-            several[0] = carry_open or bool(new_segment[: starts[1] if len(starts) > 1 else None].any())
-            if several[0] and pending:
-                yield _batch(np.concatenate(pending), np.zeros(sum(map(len, pending)), bool))
-                pending = []
-        else:
-            pending = []
-        undecided = ~decided
-        last = run == len(starts) - 1
-        wait = last & ~several[-1] & undecided
-        if len(starts) > 1:
-            pending = []
-        if wait.any():
-            pending.append(rows[wait])
-        out = decided | (undecided & several[run])
+        several = np.diff(np.append(starts, len(rows))) > 1
+        several |= np.logical_or.reduceat(state == _LEADS, starts)
+        several[0] |= not new_anchor[0]
+        rows = rows.copy()
+        rows[:, 5] = np.where(follows, _FOLLOWS, np.where(new_segment & led, _LEADS, _ALONE))
+        out = several[run]
+        if head[-1] >= 0:
+            held = rows[head[-1]][None, :].copy()
+            out[head[-1]] = False
         if out.any():
-            yield _batch(rows[out], decided[out])
-        carry_key, carry_head, carry_open = (anchor[-1], segment[-1]), int(head_doc[-1]), bool(several[-1])
+            yield _batch(rows[out], names)
+        shared = bool(several[-1])
+        last = (int(anchor[-1]), int(segment[-1]), int(head_doc[-1]))
+    if held is not None and shared:
+        yield _batch(held, names)
 
 
-def _batch(rows: np.ndarray, decided: np.ndarray) -> pa.RecordBatch:
-    columns = [np.ascontiguousarray(rows[:, k]) for k in range(5)]
-    arrays = [pa.array(c, mask=decided) if k < 2 else pa.array(c) for k, c in enumerate(columns)]
-    return pa.RecordBatch.from_arrays(arrays, names=_NAMES)
+def _batch(rows: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in rows.T], names=names)
 
 
 def id_filter(ids: DataFrame, column: str, bits: int = 1 << 23) -> np.ndarray:
@@ -288,7 +298,7 @@ def _with_symbols(kind: Kind, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.
         counts = opened.value_lengths().to_numpy(zero_copy_only=False)
         flat = opened.flatten()
         doc = np.repeat(np.arange(batch.num_rows), counts)
-        anchor, at = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(2))
+        anchor, at, root = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(3))
         start, count, _ = _unpack(at)
         begin = (offsets[doc] + start).tolist()
         length = (count + kind.width - 1).tolist()
@@ -302,19 +312,23 @@ def _with_symbols(kind: Kind, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.
                     batch.column("doc_id").take(own),
                     batch.column("copy").take(own),
                     pa.array(at[piece]),
+                    pa.array(root[piece]),
+                    pa.array(start[piece]),
                     pa.array(blobs[piece], pa.binary()),
                 ],
-                names=["anchor", "doc_id", "copy", "at", "symbols"],
+                names=_SHARD,
             )
 
 
-_SEGMENT = "anchor long, doc_id long, copy long, at long, symbols binary"
+_SEGMENT = "anchor long, doc_id long, copy long, at long, root long, begin long, symbols binary"
+_SHARD = ["anchor", "doc_id", "copy", "at", "root", "begin", "symbols"]
 
 
 def _finer(kind: Kind, windows: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Cut segments into runs of ``windows`` windows whose anchors stand at the same places.
 
-    The new anchor is what all windows of a run have in common; the new segment is the run itself.
+    The new anchor is what all windows of a run have in common; the new segment is the run itself. Runs
+    of a leader stay even if they are alone: its followers wait for them.
     """
     size = 8 if kind.words else 1
 
@@ -323,8 +337,8 @@ def _finer(kind: Kind, windows: int, batches: Iterable[pa.RecordBatch]) -> Itera
 
     for batch in batches:
         out = []
-        columns = [batch.column(c).to_pylist() for c in ("anchor", "doc_id", "copy", "at", "symbols")]
-        for anchor, doc_id, copy, at, blob in zip(*columns, strict=True):
+        columns = [batch.column(c).to_pylist() for c in _SHARD]
+        for anchor, doc_id, copy, at, root, begin, blob in zip(*columns, strict=True):
             start, count, place = _unpack(at)
             first = 0
             while first < count:
@@ -335,18 +349,19 @@ def _finer(kind: Kind, windows: int, batches: Iterable[pa.RecordBatch]) -> Itera
                 text = blob[first * size : (last - 1 + kind.width) * size]
                 common = blob[high * size : (low + kind.width) * size]
                 name = number(anchor.to_bytes(8, "little", signed=True), group.to_bytes(4, "little"), common)
-                out.append((name, number(text), doc_id, copy, _pack(start + first, last - first, place - first), text))
+                cut = _pack(start + first, last - first, place - first)
+                out.append((name, number(text), doc_id, copy, cut, _LEADS if root else _ALONE, root, begin, text))
                 first = last
-        columns = list(zip(*out, strict=True)) or [()] * 6
-        arrays = [pa.array(c, pa.int64()) for c in columns[:5]] + [pa.array(columns[5], pa.binary())]
-        yield pa.RecordBatch.from_arrays(arrays, names=[*_NAMES, "symbols"])
+        columns = list(zip(*out, strict=True)) or [()] * 9
+        arrays = [pa.array(c, pa.int64()) for c in columns[:8]] + [pa.array(columns[8], pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, names=[*_NAMES, "root", "begin", "symbols"])
 
 
-def _decide(kind: Kind, rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-    """For the segments of a shard (``doc_id, copy, at, symbols``) in order of place: the rows and
-    offsets of the windows that also stand earlier."""
+def _decide(kind: Kind, rows: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For the segments of a shard (``doc_id, copy, at, root, begin, symbols``) in order of place: rows and
+    offsets of the windows that the index finds, and whether it finds them at an earlier place."""
     kinds = np.uint64 if kind.words else np.uint8
-    parts = [np.frombuffer(r[3], kinds) for r in rows]
+    parts = [np.frombuffer(r[5], kinds) for r in rows]
     lengths = np.array([len(p) for p in parts], np.int64)
     _, flat = np.unique(np.concatenate(parts), return_inverse=True)
     flat = flat.astype(np.int64) + 1
@@ -357,43 +372,63 @@ def _decide(kind: Kind, rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     matrix[np.arange(matrix.shape[1])[None, :] < lengths[:, None]] = flat
     index = kind.index(Shard(text, kind.width))
     docs = np.array([r[0] for r in rows], np.int64)
-    found_rows, found_at = [], []
     for row, at, place in index.matches(matrix, lengths, starts):
         earlier = place < starts[row] + at
         if not kind.within:
             earlier &= docs[np.searchsorted(starts, place, side="right") - 1] < docs[row]
-        found_rows.append(row[earlier])
-        found_at.append(at[earlier])
-    if not found_rows:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(found_rows), np.concatenate(found_at)
+        yield row, at, earlier
+
+
+def _runs(row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first offset and number of each run of consecutive windows."""
+    order = np.lexsort((at, row))
+    row, at = row[order], at[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)
+    heads = np.flatnonzero(new)
+    return row[heads], at[heads], np.diff(np.append(heads, len(row)))
+
+
+_FOUND = "doc_id long, copy long, at long, root long"
 
 
 def _searched(kind: Kind, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Gather whole anchors (sorted input) into shards, index each and stream its segments through it."""
+    """Gather whole anchors (sorted input) into shards, index each and stream its segments through it.
+
+    A row with a document is a run of windows that stand earlier too. A row with a root is a run found
+    in the segment that others follow; its place counts from the segment's start.
+    """
 
     def shard(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         rows.sort(key=lambda r: r[:3])
-        row, at = _decide(kind, rows)
-        if not len(row):
+        numbers = np.array([r[:5] for r in rows], np.int64)
+        found = list(_decide(kind, rows))
+        if not found:
             return
-        order = np.lexsort((at, row))
-        row, at = row[order], at[order]
-        new = np.ones(len(row), bool)
-        new[1:] = (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)
-        heads = np.flatnonzero(new)
-        counts = np.diff(np.append(heads, len(row)))
-        numbers = np.array([r[:3] for r in rows], np.int64)[row[heads]]
+        row, at, earlier = (np.concatenate(c) for c in zip(*found, strict=True))
         start, _, _ = _unpack(numbers[:, 2])
+        own, first, count = _runs(row[earlier], at[earlier])
+        led = numbers[row, 3] != 0
+        lead, from_, length = _runs(row[led], at[led])
+        nothing, none = np.zeros(len(lead), np.int64), np.zeros(len(own), np.int64)
+        absent = np.repeat([False, True], [len(own), len(lead)])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(numbers[:, 0].copy()), pa.array(numbers[:, 1].copy()), pa.array(_pack(start + at[heads], counts, 0))],
-            names=["doc_id", "copy", "at"],
+            [
+                pa.array(np.concatenate([numbers[own, 0], nothing]), mask=absent),
+                pa.array(np.concatenate([numbers[own, 1], nothing]), mask=absent),
+                pa.array(np.concatenate([
+                    _pack(start[own] + first, count, 0),
+                    _pack(start[lead] + from_ - numbers[lead, 4], length, 0),
+                ])),
+                pa.array(np.concatenate([none, numbers[lead, 3]]), mask=~absent),
+            ],
+            names=["doc_id", "copy", "at", "root"],
         )
 
     size = 8 if kind.words else 1
     rows, group, filled, name = [], [], 0, None
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("anchor", "doc_id", "copy", "at", "symbols")]
+        columns = [batch.column(c).to_pylist() for c in _SHARD]
         for anchor, *row in zip(*columns, strict=True):
             if anchor != name:
                 rows += group
@@ -402,7 +437,7 @@ def _searched(kind: Kind, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Reco
                     yield from shard(rows)
                     rows, filled = [], 0
             group.append(tuple(row))
-            filled += len(row[3]) // size + 1
+            filled += len(row[5]) // size + 1
     rows += group
     if rows:
         yield from shard(rows)
@@ -415,39 +450,37 @@ def marks(docs: DataFrame, kind: Kind) -> DataFrame:
     def on(function):
         return lambda batches: function(kind, batches)
 
-    first = docs.mapInArrow(on(_rows), _ROW)
-    # Decided rows have no group: they are spread by their place.
-    key = F.coalesce("anchor", F.xxhash64("doc_id", "at"))
-    sent = first.repartition(key).sortWithinPartitions("anchor", "segment", "doc_id", "copy", "at")
-
     def collapse(batches):
-        def undecided():
-            for batch in batches:
-                known = batch.column("anchor").is_null()
-                yield batch.filter(known), batch.filter(pc.invert(known))
+        """Followers pass, all other rows are collapsed."""
+        passed = []
 
-        held = undecided()
-        rest = []
-
-        def pass_on():
-            for known, other in held:
-                if known.num_rows:
-                    rest.append(known)
-                yield other
-
-        for out in _collapsed(kind, pass_on()):
-            yield from rest
-            rest.clear()
+        def others():
+            for batch in batches:
+                known = pc.equal(batch.column("state"), _FOLLOWS)
+                if pc.any(known).as_py():
+                    passed.append(batch.filter(known))
+                yield batch.filter(pc.invert(known))
+
+        for out in _collapsed(kind, others()):
+            yield from passed
+            passed.clear()
             yield out
-        yield from rest
+        yield from passed
 
+    first = docs.mapInArrow(on(_rows), _ROW)
+    # Followers have no group yet: they are spread by their place.
+    key = F.when(F.col("state") == _FOLLOWS, F.xxhash64("doc_id", "at")).otherwise(F.col("anchor"))
+    sent = first.repartition(key).sortWithinPartitions("anchor", "segment", "doc_id", "copy", "at")
     found = staged(sent.mapInArrow(collapse, _ROW), "collapsed")
-    decided = [found.filter("anchor is null").select("doc_id", "copy", "at")]
-    opened = found.filter("anchor is not null").select("anchor", "doc_id", "copy", "at")
-    per_doc = opened.groupBy("doc_id", "copy").agg(F.collect_list(F.struct("anchor", "at")).alias("opened"))
+    followers = found.filter(F.col("state") == _FOLLOWS)
+    opened = found.filter(F.col("state") != _FOLLOWS).select(
+        "anchor", "doc_id", "copy", "at",
+        F.when(F.col("state") == _LEADS, F.col("segment")).otherwise(F.lit(0)).alias("root"),
+    )
+    per_doc = opened.groupBy("doc_id", "copy").agg(F.collect_list(F.struct("anchor", "at", "root")).alias("opened"))
     with_text = only_marked(docs, "doc_id", id_filter(opened, "doc_id"))
     cut = staged(with_text.join(per_doc, ["doc_id", "copy"]).mapInArrow(on(_with_symbols), _SEGMENT), "open-segments")
-    ready = []
+    ready, decided, led = [], [], []
     for windows in (FINER, 1):
         sizes = cut.groupBy("anchor").agg(F.count("*").alias("n"))
         hot = staged(sizes.filter(F.col("n") > HOT_SEGMENTS).select("anchor"), "hot")
@@ -456,30 +489,42 @@ def marks(docs: DataFrame, kind: Kind) -> DataFrame:
             cut = None
             break
         finer = cut.join(hot, "anchor", "left_semi").mapInArrow(
-            lambda batches, w=windows: _finer(kind, w, batches), f"{_ROW}, symbols binary"
+            lambda batches, w=windows: _finer(kind, w, batches), f"{_CUT}, symbols binary"
         )
         finer = staged(finer, "finer")
-        again = finer.select(*_NAMES).repartition("anchor").sortWithinPartitions(*_NAMES).mapInArrow(collapse, _ROW)
+        again = finer.drop("symbols").repartition("anchor").sortWithinPartitions(*_NAMES).mapInArrow(collapse, _CUT)
         again = staged(again, "collapsed")
-        decided.append(again.filter("anchor is null").select("doc_id", "copy", "at"))
-        left = again.filter("anchor is not null").select("anchor", "doc_id", "copy", "at")
-        cut = staged(finer.join(left, ["anchor", "doc_id", "copy", "at"]).select(
-            "anchor", "doc_id", "copy", "at", "symbols"), "open-segments")
+        equal = again.filter(F.col("state") == _FOLLOWS)
+        decided.append(equal.select("doc_id", "copy", "at"))
+        led.append(equal.filter("root <> 0").select("root", (F.col("at") - _place("begin")).alias("run")))
+        left = again.filter(F.col("state") != _FOLLOWS).select("anchor", "doc_id", "copy", "at")
+        cut = staged(finer.join(left, ["anchor", "doc_id", "copy", "at"]).select(*_SHARD), "open-segments")
     if cut is not None:
-        # Single windows: equal ones were one row, so none is left open but rows of one document.
+        # Single windows: equal ones were one row, so none is left open but rows of one document, and
+        # windows that others follow.
         ready.append(cut)
     segments = ready[0]
     for more in ready[1:]:
         segments = segments.unionByName(more)
-    searched = segments.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
-        on(_searched), "doc_id long, copy long, at long"
-    )
-    out = searched
+    searched = segments.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(on(_searched), _FOUND)
+    searched = staged(searched, "searched")
+    out = searched.filter("root is null").select("doc_id", "copy", "at")
+    runs = searched.filter("root is not null").select("root", F.col("at").alias("run"))
+    for more in led:
+        runs = runs.unionByName(more)
+    start = F.shiftright("at", _COUNT_BITS + _ANCHOR_BITS)
+    expanded = followers.select(F.col("segment").alias("root"), "doc_id", "copy", start.alias("start")).join(runs, "root")
+    decided.append(expanded.select("doc_id", "copy", (F.col("run") + _place("start")).alias("at")))
     for more in decided:
         out = out.unionByName(more)
     return out
 
 
+def _place(start: str) -> Column:
+    """A start where a packed place has it."""
+    return F.shiftleft(F.col(start), _COUNT_BITS + _ANCHOR_BITS)
+
+
 def covered(kind: Kind, docs: DataFrame, finish: Callable, schema: str) -> DataFrame:
     """``docs`` with the parts that their repeated windows cover, as ``finish`` makes rows of them.
 

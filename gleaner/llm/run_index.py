@@ -23,8 +23,6 @@ class RunIndex(Streamer):
         self.starts = np.flatnonzero(new)
         self.heads = bwt[self.starts]
         ends = np.append(self.starts[1:], len(bwt))
-        # Which run a position is in; the end of the text counts with the last one.
-        self.run_of = np.append(np.cumsum(new) - 1, len(self.starts) - 1).astype(np.int32)
         self.end_places = shard.order[ends - 1]
         lengths = ends - self.starts
         # Runs by symbol and place: how often the symbol stands before each of its runs, and after it.
@@ -39,13 +37,17 @@ class RunIndex(Streamer):
         self.own = np.empty(self.runs, np.int64)
         self.own[self.by_symbol] = self.upto - lengths[self.by_symbol]
 
+    def _run(self, position: np.ndarray) -> np.ndarray:
+        """Which run a position is in; the end of the text counts with the last one."""
+        return np.searchsorted(self.starts, position, side="right") - 1
+
     def _last(self, symbol: np.ndarray, run: np.ndarray) -> np.ndarray:
         """The symbol's last run before a run of another one, by symbol; -1 or another symbol's if none."""
         return np.searchsorted(self.keys, symbol * self.runs + run) - 1
 
     def rank(self, symbol: np.ndarray, position: np.ndarray) -> np.ndarray:
         """How often each symbol stands before its position."""
-        run = self.run_of[position]
+        run = self._run(position)
         out = self.own[run] + position - self.starts[run]
         outside = np.flatnonzero(self.heads[run] != symbol)
         last = self._last(symbol[outside], run[outside])
@@ -56,7 +58,7 @@ class RunIndex(Streamer):
     def extend(self, symbol, low, high, place):
         base = self.before[symbol]
         # The last suffix moves by one symbol, or is the end of the last run of the symbol before it.
-        run = self.run_of[high - 1]
+        run = self._run(high - 1)
         outside = np.flatnonzero(self.heads[run] != symbol)
         place = place.copy()
         place[outside] = self.end_places[self.by_symbol[self._last(symbol[outside], run[outside])]]

@@ -77,18 +77,24 @@ class Streamer:
     The state of a segment is the interval of suffixes that begin with its last symbols read, at
     most ``width``, and the place of the interval's last suffix. A full match drops its last symbol,
     which widens the interval to the suffixes that share ``width - 1`` symbols, before it takes the
-    next one.
+    next one. Only groups of several suffixes are stored for that, so what is kept grows with the
+    repeats of a shard and not with its length.
     """
 
     def __init__(self, shard: Shard):
         self.width = shard.width
         self.n = len(shard.order)
         self.last_place = int(shard.order[-1])
-        self.wide_heads = np.append(np.flatnonzero(shard.cut[shard.width - 1]), self.n)
-        self.wide_places = shard.order[self.wide_heads[1:] - 1]
-        self.full_heads = np.flatnonzero(shard.cut[shard.width])
-        # The earliest place of each full match.
-        self.earliest = np.minimum.reduceat(shard.order, self.full_heads)
+        # Groups of several suffixes that share width - 1 symbols. All other suffixes are alone.
+        heads = np.append(np.flatnonzero(shard.cut[shard.width - 1]), self.n)
+        wide = np.flatnonzero(np.diff(heads) > 1)
+        self.wide_low, self.wide_high = heads[wide].astype(np.int32), heads[wide + 1].astype(np.int32)
+        self.wide_places = shard.order[heads[wide + 1] - 1].astype(np.int32)
+        # The earliest place of each full match that stands at several places.
+        heads = np.flatnonzero(shard.cut[shard.width])
+        repeated = np.flatnonzero(np.diff(heads, append=self.n) > 1)
+        self.full_low = heads[repeated].astype(np.int32)
+        self.earliest = np.minimum.reduceat(shard.order, heads)[repeated].astype(np.int32)
 
     def extend(
         self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray, place: np.ndarray
@@ -114,10 +120,12 @@ class Streamer:
             lo, hi, d, p = low[live], high[live], depth[live], place[live]
             full = d == self.width
             if full.any():
-                group = np.searchsorted(self.wide_heads, lo[full], side="right") - 1
-                lo[full], hi[full] = self.wide_heads[group], self.wide_heads[group + 1]
-                p[full] = self.wide_places[group]
                 d[full] -= 1
+                group = np.searchsorted(self.wide_low, lo[full], side="right") - 1
+                several = group >= 0
+                several[several] = lo[full][several] < self.wide_high[group[several]]
+                wider, group = np.flatnonzero(full)[several], group[several]
+                lo[wider], hi[wider], p[wider] = self.wide_low[group], self.wide_high[group], self.wide_places[group]
             lo, hi, p = self.extend(segments[live, at].astype(np.int64), lo, hi, p)
             # A symbol that does not occur before the match ends it; the next symbol starts anew.
             gone = lo >= hi
@@ -129,5 +137,10 @@ class Streamer:
                 yield live[done], at[done], found
 
     def located(self, low: np.ndarray, place: np.ndarray, own: np.ndarray) -> np.ndarray:
-        """The earliest place of each full match."""
-        return self.earliest[np.searchsorted(self.full_heads, low, side="right") - 1]
+        """The earliest place of each full match; one that stands nowhere else is at its own."""
+        out = own.copy()
+        group = np.searchsorted(self.full_low, low, side="right") - 1
+        known = np.flatnonzero(group >= 0)
+        known = known[self.full_low[group[known]] == low[known]]
+        out[known] = self.earliest[group[known]]
+        return out
