@@ -30,19 +30,22 @@ class WaveletTree:
             self.levels.append((words, blocks, inner, zeros))
             current = np.concatenate([current[bit == 0], current[bit == 1]])
 
-    def rank(self, symbol: np.ndarray, position: np.ndarray) -> np.ndarray:
-        """How often each symbol stands before its position."""
-        start, end = np.zeros(len(position), np.int64), position
+        # Where each symbol's own positions begin after the last level.
+        self.first = np.zeros(int(most) + 1, np.int64)
+        self.first = self.rank(np.arange(len(self.first)), self.first)[0]
+
+    def rank(self, symbol: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How often each symbol stands before its position, and whether it stands there."""
+        at, here = position, np.ones(len(position), bool)
         for level, (words, blocks, inner, zeros) in zip(range(self.bits - 1, -1, -1), self.levels, strict=True):
             one = ((symbol >> level) & 1).astype(bool)
-            ones = []
-            for at in (start, end):
-                mask = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
-                word = at >> 6
-                ones.append(blocks[at >> 9] + inner[word].astype(np.int64) + np.bitwise_count(words[word] & mask))
-            start = np.where(one, zeros + ones[0], start - ones[0])
-            end = np.where(one, zeros + ones[1], end - ones[1])
-        return end - start
+            index, shift = at >> 6, (at & 63).astype(np.uint64)
+            word = words[index]
+            here &= ((word >> shift) & np.uint64(1)).astype(bool) == one
+            below = np.bitwise_count(word & ((np.uint64(1) << shift) - np.uint64(1)))
+            ones = blocks[at >> 9] + inner[index].astype(np.int64) + below
+            at = np.where(one, zeros + ones, at - ones)
+        return at - self.first[symbol], here
 
 
 class FMIndex(Streamer):
@@ -55,4 +58,9 @@ class FMIndex(Streamer):
 
     def extend(self, symbol, low, high, place):
         base = self.before[symbol]
-        return base + self.tree.rank(symbol, low), base + self.tree.rank(symbol, high), place
+        upto, here = self.tree.rank(symbol, high - 1)
+        since = upto.copy()
+        # Intervals of one suffix need one search.
+        wide = np.flatnonzero(high - low > 1)
+        since[wide] = self.tree.rank(symbol[wide], low[wide])[0]
+        return base + since, base + upto + here, place

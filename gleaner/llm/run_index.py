@@ -45,24 +45,28 @@ class RunIndex(Streamer):
         """The symbol's last run before a run of another one, by symbol; -1 or another symbol's if none."""
         return np.searchsorted(self.keys, symbol * self.runs + run) - 1
 
-    def rank(self, symbol: np.ndarray, position: np.ndarray) -> np.ndarray:
-        """How often each symbol stands before its position."""
+    def rank(self, symbol: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """How often each symbol stands before its position, whether it stands there, and the run in which
+        it stands last up to there (any if there is none)."""
         run = self._run(position)
         out = self.own[run] + position - self.starts[run]
-        outside = np.flatnonzero(self.heads[run] != symbol)
+        here = self.heads[run] == symbol
+        outside = np.flatnonzero(~here)
         last = self._last(symbol[outside], run[outside])
         known = (last >= 0) & (self.keys[last] // self.runs == symbol[outside])
         out[outside] = np.where(known, self.upto[last], 0)
-        return out
+        run[outside] = self.by_symbol[last]
+        return out, here, run
 
     def extend(self, symbol, low, high, place):
         base = self.before[symbol]
+        upto, here, run = self.rank(symbol, high - 1)
+        since = upto.copy()
+        # Intervals of one suffix need one search.
+        wide = np.flatnonzero(high - low > 1)
+        since[wide] = self.rank(symbol[wide], low[wide])[0]
         # The last suffix moves by one symbol, or is the end of the last run of the symbol before it.
-        run = self._run(high - 1)
-        outside = np.flatnonzero(self.heads[run] != symbol)
-        place = place.copy()
-        place[outside] = self.end_places[self.by_symbol[self._last(symbol[outside], run[outside])]]
-        return base + self.rank(symbol, low), base + self.rank(symbol, high), place - 1
+        return base + since, base + upto + here, np.where(here, place, self.end_places[run]) - 1
 
     def located(self, low, place, own):
         """The sampled place if it is earlier than the match's own, else the earliest."""

@@ -7,23 +7,35 @@ from collections.abc import Iterator
 import numpy as np
 
 
-def _ranked(keys: np.ndarray) -> np.ndarray:
-    """Equal keys get the same number, in the order of the keys."""
+def _heads(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ordered keys where its group of equal ones begins, and whether it is in one of several."""
+    new = np.ones(len(ordered) + 1, bool)
+    new[1:-1] = ordered[1:] != ordered[:-1]
+    return np.maximum.accumulate(np.where(new[:-1], np.arange(len(ordered)), 0)), ~(new[:-1] & new[1:])
+
+
+def _ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each key how many are smaller, and the places of keys that occur several times."""
     order = np.argsort(keys)
-    ordered = keys[order]
-    new = np.ones(len(keys), np.int64)
-    new[1:] = ordered[1:] != ordered[:-1]
+    heads, shared = _heads(keys[order])
     out = np.empty(len(keys), np.int64)
-    out[order] = np.cumsum(new) - 1
-    return out
+    out[order] = heads
+    return out, order[shared]
 
 
-def _paired(ranks: np.ndarray, ahead: int) -> np.ndarray:
-    """Ranks by their own value and then by the one ``ahead`` symbols on."""
-    following = np.zeros(len(ranks), np.int64)
-    if ahead < len(ranks):
-        following[: len(ranks) - ahead] = ranks[ahead:] + 1
-    return _ranked((ranks << 32) | following)
+def _paired(ranks: np.ndarray, ahead: int, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks by their own value and then by the one ``ahead`` symbols on. Only those that are shared change."""
+    following = np.zeros(len(shared), np.int64)
+    inside = np.flatnonzero(shared + ahead < len(ranks))
+    following[inside] = ranks[shared[inside] + ahead] + 1
+    keys = (ranks[shared] << 32) | following
+    order = np.argsort(keys)
+    heads, still = _heads(keys[order])
+    places = shared[order]
+    own = ranks[places]
+    out = ranks.copy()
+    out[places] = own + heads - _heads(own)[0]
+    return out, places[still]
 
 
 class Shard:
@@ -48,9 +60,10 @@ class Shard:
             following[: len(keys) - depth] = keys[depth:]
             keys = (keys << (depth * bits)) | following
             depth *= 2
-        ranks = {depth: _ranked(keys)}
-        while depth < longest and ranks[depth].max() < len(first) - 1:
-            ranks[2 * depth] = _paired(ranks[depth], depth)
+        first_ranks, shared = _ranked(keys)
+        ranks = {depth: first_ranks}
+        while depth < longest and len(shared):
+            ranks[2 * depth], shared = _paired(ranks[depth], depth, shared)
             depth *= 2
         self.order = np.empty(len(first), np.int64)
         self.order[ranks[depth]] = np.arange(len(first))
