@@ -4,14 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 
-from gleaner.llm.suffixes import Shard, Streamer
+from gleaner.llm.suffixes import Bits, Shard, Streamer
 
 
 class WaveletTree:
-    """The symbols' bits level by level, zeros before ones, as packed words of 64 bits.
-
-    Counts are kept in full for 512 bits and, within these, in 16 bits for each word: 20 bits beside 64.
-    """
+    """The symbols' bits level by level, zeros before ones."""
 
     def __init__(self, symbols: np.ndarray, most: int):
         self.bits = max(1, int(most).bit_length())
@@ -19,15 +16,7 @@ class WaveletTree:
         current = symbols.astype(np.int64)
         for level in range(self.bits - 1, -1, -1):
             bit = ((current >> level) & 1).astype(np.uint8)
-            padded = np.zeros(-(-(len(bit) + 1) // 512) * 512, np.uint8)
-            padded[: len(bit)] = bit
-            words = np.packbits(padded, bitorder="little").view(np.uint64)
-            counts = np.cumsum(np.bitwise_count(words), dtype=np.int64)
-            before = np.concatenate([[0], counts[:-1]])
-            blocks = before[::8].astype(np.int32)
-            inner = (before - np.repeat(before[::8], 8)).astype(np.uint16)
-            zeros = len(bit) - int(counts[-1])
-            self.levels.append((words, blocks, inner, zeros))
+            self.levels.append((Bits(bit), len(bit) - int(bit.sum())))
             current = np.concatenate([current[bit == 0], current[bit == 1]])
 
         # Where each symbol's own positions begin after the last level.
@@ -37,13 +26,10 @@ class WaveletTree:
     def rank(self, symbol: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """How often each symbol stands before its position, and whether it stands there."""
         at, here = position, np.ones(len(position), bool)
-        for level, (words, blocks, inner, zeros) in zip(range(self.bits - 1, -1, -1), self.levels, strict=True):
+        for level, (bits, zeros) in zip(range(self.bits - 1, -1, -1), self.levels, strict=True):
             one = ((symbol >> level) & 1).astype(bool)
-            index, shift = at >> 6, (at & 63).astype(np.uint64)
-            word = words[index]
-            here &= ((word >> shift) & np.uint64(1)).astype(bool) == one
-            below = np.bitwise_count(word & ((np.uint64(1) << shift) - np.uint64(1)))
-            ones = blocks[at >> 9] + inner[index].astype(np.int64) + below
+            ones, bit = bits.rank(at)
+            here &= bit == one
             at = np.where(one, zeros + ones, at - ones)
         return at - self.first[symbol], here
 

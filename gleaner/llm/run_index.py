@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 
-from gleaner.llm.suffixes import Shard, Streamer
+from gleaner.llm.suffixes import Bits, Shard, Streamer
 
 
 class RunIndex(Streamer):
-    """Backward search over runs only, in space proportional to their number.
+    """Backward search over runs: what is kept is proportional to their number, but for one bit a symbol
+    (and 20 bits of counts for 64 of them) that tells which run a position is in.
 
     The places of the runs' ends are stored. With them each match carries the place of its last
     suffix, and most repeats are known from that place alone.
@@ -21,6 +22,7 @@ class RunIndex(Streamer):
         new = np.ones(len(bwt), bool)
         new[1:] = bwt[1:] != bwt[:-1]
         self.starts = np.flatnonzero(new)
+        self.marks = Bits(new)
         self.heads = bwt[self.starts]
         ends = np.append(self.starts[1:], len(bwt))
         self.end_places = shard.order[ends - 1]
@@ -38,8 +40,9 @@ class RunIndex(Streamer):
         self.own[self.by_symbol] = self.upto - lengths[self.by_symbol]
 
     def _run(self, position: np.ndarray) -> np.ndarray:
-        """Which run a position is in; the end of the text counts with the last one."""
-        return np.searchsorted(self.starts, position, side="right") - 1
+        """Which run a position is in."""
+        before, starts = self.marks.rank(position)
+        return before + starts - 1
 
     def _last(self, symbol: np.ndarray, run: np.ndarray) -> np.ndarray:
         """The symbol's last run before a run of another one, by symbol; -1 or another symbol's if none."""

@@ -84,6 +84,27 @@ class Shard:
         return new
 
 
+class Bits:
+    """Packed bits with counts: in full for 512 bits and, within these, in 16 bits for each word of 64."""
+
+    def __init__(self, bit: np.ndarray):
+        padded = np.zeros(-(-(len(bit) + 1) // 512) * 512, np.uint8)
+        padded[: len(bit)] = bit
+        self.words = np.packbits(padded, bitorder="little").view(np.uint64)
+        counts = np.bitwise_count(self.words).astype(np.int64)
+        before = np.cumsum(counts) - counts
+        self.blocks = before[::8].astype(np.int32)
+        self.inner = (before - np.repeat(before[::8], 8)).astype(np.uint16)
+
+    def rank(self, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many bits are set before each position, and whether the one there is."""
+        index, shift = position >> 6, (position & 63).astype(np.uint64)
+        word = self.words[index]
+        below = np.bitwise_count(word & ((np.uint64(1) << shift) - np.uint64(1)))
+        ones = self.blocks[position >> 9] + self.inner[index].astype(np.int64) + below
+        return ones, ((word >> shift) & np.uint64(1)).astype(bool)
+
+
 class Streamer:
     """Streams segments through an index, all at once, one symbol per step from the right.
 
