@@ -42,7 +42,7 @@ from gleaner.llm.suffixes import Shard, Streamer
 from gleaner.stage import staged
 
 # Symbols of a shard, and different segments of an anchor from which on it is cut finer.
-SHARD_SYMBOLS = 1 << 20
+SHARD_SYMBOLS = 1 << 19
 HOT_SEGMENTS = 2000
 FINER = 8
 # Bits of the packed place: start, number of windows, place of the anchor in the first of them.
