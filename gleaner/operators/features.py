@@ -13,8 +13,9 @@ from gleaner.stage import staged
 # Hex digits of a word's md5 that choose its bucket.
 CODE_DIGITS = 4
 MAX_DIMS = 16**CODE_DIGITS
-# Cells of the count matrix that are worked on at a time.
-TILE_CELLS = 1 << 22
+# Cells of the count matrix, and characters of texts, that are worked on at a time.
+TILE_CELLS = 1 << 20
+TILE_CHARS = 1 << 20
 # The rolling hash of n-grams; products stay within 63 bits.
 GRAM_BASE = 65_599
 GRAM_MODULUS = (1 << 31) - 1
@@ -31,46 +32,61 @@ def word_codes(text: Column) -> Column:
 
 def _bucket_counts(codes: pa.Array, dims: int) -> np.ndarray:
     """Count matrix, one row per text. Only a tile of rows is counted in wide numbers at a time."""
-    return _tiled(codes, dims, lambda tile: _tile_counts(tile, dims))
+    return _tiled(codes, dims, CODE_DIGITS, 0, _code_buckets)
 
 
-def _tiled(texts: pa.Array, dims: int, count) -> np.ndarray:
-    rows = max(1, TILE_CELLS // dims)
-    tiles = [count(texts.slice(at, rows)) for at in range(0, len(texts), rows)]
-    return np.concatenate(tiles) if tiles else np.zeros((0, dims), np.float32)
+def _tiled(texts: pa.Array, dims: int, unit: int, overlap: int, buckets) -> np.ndarray:
+    """Counts of all texts, whatever their lengths: neither rows nor characters of a tile exceed its size.
+
+    ``buckets`` turns a piece of text into the buckets of its features. A long text is cut between units, and
+    a piece also has the ``overlap`` characters that follow it.
+    """
+    out = np.zeros((len(texts), dims), np.float32)
+    step = TILE_CHARS // unit * unit
+    cells: list[np.ndarray] = []
+    first = size = 0
+
+    def count(low: int, high: int) -> None:
+        if cells:
+            sums = np.bincount(np.concatenate(cells), minlength=(high - low) * dims)
+            out[low:high] += sums.reshape(high - low, dims).astype(np.float32)
+            cells.clear()
+
+    for row, scalar in enumerate(texts):
+        value = scalar.as_py() or ""
+        if row > first and (size + len(value) > TILE_CHARS or (row + 1 - first) * dims > TILE_CELLS):
+            count(first, row)
+            first, size = row, 0
+        size += len(value)
+        for at in range(0, len(value), step):
+            cells.append(buckets(value[at : at + step + overlap], dims) + (row - first) * dims)
+            if len(value) > step:
+                count(first, row + 1)
+    count(first, len(texts))
+    return out
+
+
+def _code_buckets(codes: str, dims: int) -> np.ndarray:
+    digits = np.frombuffer(codes.encode("ascii"), dtype=np.uint8)
+    values = np.where(digits >= ord("a"), digits - (ord("a") - 10), digits - ord("0")).astype(np.int32)
+    return values.reshape(-1, CODE_DIGITS) @ _PLACES % dims
 
 
-def _tile_counts(codes: pa.Array, dims: int) -> np.ndarray:
-    n = len(codes)
-    lengths = np.array([0 if c is None else len(c) for c in codes.to_pylist()], dtype=np.int64)
-    digits = np.frombuffer("".join(codes.drop_null().to_pylist()).encode("ascii"), dtype=np.uint8)
-    values = np.where(digits >= ord("a"), digits - (ord("a") - 10), digits - ord("0")).astype(np.int64)
-    places = 16 ** np.arange(CODE_DIGITS - 1, -1, -1)
-    buckets = (values.reshape(-1, CODE_DIGITS) @ places) % dims
-    rows = np.repeat(np.arange(n, dtype=np.int64), lengths // CODE_DIGITS)
-    return np.bincount(rows * dims + buckets, minlength=n * dims).astype(np.float32).reshape(n, dims)
+_PLACES = (16 ** np.arange(CODE_DIGITS - 1, -1, -1)).astype(np.int32)
 
 
 def _gram_counts(texts: pa.Array, dims: int, ngram: int) -> np.ndarray:
     """Count matrix of the texts' n-grams of characters, by a rolling hash over their code points."""
-    return _tiled(texts, dims, lambda tile: _tile_grams(tile, dims, ngram))
+    return _tiled(texts, dims, 1, ngram - 1, lambda text, dims: _gram_buckets(text, dims, ngram))
 
 
-def _tile_grams(texts: pa.Array, dims: int, ngram: int) -> np.ndarray:
-    values = [t or "" for t in texts.to_pylist()]
-    lengths = np.array([len(v) for v in values], dtype=np.int64)
-    points = np.frombuffer("".join(values).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    rows = np.repeat(np.arange(len(values)), lengths)
-    size = len(points) - ngram + 1
-    if size <= 0:
-        return np.zeros((len(values), dims), np.float32)
+def _gram_buckets(text: str, dims: int, ngram: int) -> np.ndarray:
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    size = max(len(points) - ngram + 1, 0)
     hashes = points[:size] % GRAM_MODULUS
-    for k in range(1, ngram):
+    for k in range(1, ngram if size else 1):
         hashes = (hashes * GRAM_BASE + points[k : k + size]) % GRAM_MODULUS
-    # An n-gram belongs to a text if it ends in it too.
-    whole = rows[:size] == rows[ngram - 1 :]
-    cells = rows[:size][whole] * dims + hashes[whole] % dims
-    return np.bincount(cells, minlength=len(values) * dims).astype(np.float32).reshape(len(values), dims)
+    return hashes % dims
 
 
 def _feature_counts(ngram: int):
