@@ -64,14 +64,15 @@ def hyperplane_matches(
         return reps, twins
     if shortest != longest:
         raise ValueError("vectors differ in length")
-    normals = planes(longest // codec.itemsize, bands, bits, seed)
+    dims = longest // codec.itemsize
+    normals = planes(dims, bands, bits, seed)
     places = 1 << np.arange(bits, dtype=np.int64)
 
     def sides(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            above = _unpack(batch.column("packed").to_pylist(), codec) @ normals >= 0
+            above = _unpack(batch.column("packed"), dims) @ normals >= 0
             marks = above.reshape(-1, bands, bits) @ places + (np.arange(bands, dtype=np.int64) << bits)
             ids = batch.column("id").take(pa.array(np.repeat(np.arange(batch.num_rows), bands)))
             yield pa.RecordBatch.from_arrays([ids, pa.array(marks.ravel())], names=["id", "bucket"])
@@ -87,7 +88,7 @@ def hyperplane_matches(
     sent = met.join(vectors, "id").select(
         "bucket", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "own", "id", "packed"
     )
-    pairs = sent.groupBy("bucket", "left", "right").applyInArrow(_block_match(threshold, codec), MATCH)
+    pairs = sent.groupBy("bucket", "left", "right").applyInArrow(_block_match(threshold, dims), MATCH)
     order = F.struct(-F.col("similarity"), F.col("match_id"))
     best = (
         pairs.unionByName(twins)

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 
-from gleaner.operators import features
+from gleaner.operators import features, neighbors
 
 
 def _peak(run) -> float:
@@ -44,3 +44,65 @@ def test_texts_of_any_length_are_counted_whole(monkeypatch):
         assert {k: v for k, v in enumerate(found[row]) if v} == want
     assert features._gram_counts(pa.array([], pa.string()), 16, 3).shape == (0, 16)
     assert found.dtype == np.float32
+
+
+def _brute(vectors: dict[int, np.ndarray], threshold: float) -> dict[int, tuple[int, float]]:
+    out = {}
+    for key, v in vectors.items():
+        others = [(-round(float(v @ w / np.sqrt(v @ v) / np.sqrt(w @ w)), 9), k) for k, w in vectors.items() if k != key]
+        value, partner = min(others)
+        if -value >= threshold:
+            out[key] = (partner, -value)
+    return out
+
+
+def test_vectors_of_any_width_are_compared_exactly():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 5, (40, 24)).astype(np.float64)
+    scales = np.array([1, 100, 30_000, 0.5])[np.arange(160) % 4]
+    rows = base[np.arange(160) // 4] * scales[:, None]
+    rows[::7, 3] += 1
+    vectors = dict(zip(rng.permutation(160).tolist(), rows, strict=True))
+    packed = []
+    for k in vectors:
+        v = vectors[k]
+        whole = (v == v.astype(np.int64)).all()
+        kind = np.float32 if not whole or v.max() > 65535 else np.uint8 if v.max() < 256 else np.uint16
+        packed.append(v.astype(kind).tobytes())
+    assert len({len(p) for p in packed}) == 3
+    side = np.arange(160) % 2
+    parts = []
+    for left, right in ((0, 0), (0, 1), (1, 1)):
+        use = np.flatnonzero((side == left) | (side == right))
+        columns = [np.full(len(use), left, np.int32), np.full(len(use), right, np.int32), side[use].astype(np.int32)]
+        table = pa.table([pa.array(c) for c in columns] + [pa.array(np.array([*vectors])[use]), pa.array([packed[i] for i in use], pa.binary())], names=neighbors.SPREAD.names)
+        parts += neighbors._block_match(0.9, 24)(table).to_pylist()
+    got = {}
+    for p in parts:
+        got[p["id"]] = min(got.get(p["id"], (2.0, 0)), (-p["similarity"], p["match_id"]))
+    assert {k: (m, -s) for k, (s, m) in got.items()} == _brute(vectors, 0.9)
+
+
+def test_two_blocks_are_compared_tile_by_tile():
+    rng = np.random.default_rng(6)
+    counts = rng.integers(0, 3, (16_000, 512)).astype(np.uint8)
+    counts[1] = counts[9000]
+    own = (np.arange(16_000) >= 8000).astype(np.int32)
+    table = pa.table(
+        [pa.array(np.zeros(16_000, np.int32)), pa.array(np.ones(16_000, np.int32)), pa.array(own), pa.array(np.arange(16_000)), pa.array([c.tobytes() for c in counts], pa.binary())],
+        names=neighbors.SPREAD.names,
+    )
+    found = []
+    assert _peak(lambda: found.extend(neighbors._block_match(0.95, 512)(table).to_pylist())) < 150
+    assert [(f["id"], f["match_id"], f["similarity"]) for f in found] == [(1, 9000, 1.0), (9000, 1, 1.0)]
+
+
+def test_partners_are_found_once_and_counts_travel_narrow(spark):
+    rows = [(k, [float(k % 5), 1.0, float(k % 3), 2.0 + (k == 4) * 300, 0.5 * (k == 5)]) for k in range(30)]
+    frame = spark.createDataFrame(rows, "id long, v array<float>")
+    best = neighbors.nearest_rows(frame, "id", "v", 0.99)
+    plan = best._jdf.queryExecution().toString()
+    assert "FlatMapGroups" not in plan and "MapInArrow" in plan
+    packed = neighbors._packed(frame, "id", "v")
+    sizes = {r["id"]: len(r["packed"]) for r in neighbors._narrowed(packed, np.dtype(np.float32)).collect()}
+    assert sizes == {k: 10 if k == 4 else 20 if k == 5 else 5 for k in range(30)}
