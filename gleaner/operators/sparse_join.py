@@ -25,6 +25,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +44,8 @@ FEW_ROWS = 8
 # Entries of a matrix tile, and of the vectors that are worked on together.
 TILE_ENTRIES = 1 << 22
 CHUNK_ENTRIES = 1 << 21
+# Entries of vectors that are listed at a time, whatever the number of rows in a batch.
+LISTED_ENTRIES = 1 << 17
 # Rounding of norms and sums: prefixes are a little longer than needed.
 SLACK = 1e-9
 
@@ -77,6 +80,20 @@ def sparse_vectors(df: DataFrame, text: Column, id_col: str) -> DataFrame:
 _PLACES = (16 ** np.arange(CODE_DIGITS - 1, -1, -1)).astype(np.int32)
 
 
+def _cut(batches: Iterable[pa.RecordBatch], column: str, width: int = 1) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``LISTED_ENTRIES`` entries; one row may have more."""
+    for batch in batches:
+        values = batch.column(column)
+        sizes = pc.binary_length(values) if pa.types.is_binary(values.type) else pc.list_value_length(values)
+        ends = np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) // width)
+        low = 0
+        while low < batch.num_rows:
+            before = ends[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(ends, before + LISTED_ENTRIES, side="right")))
+            yield batch.slice(low, high - low)
+            low = high
+
+
 def _weighted(df: DataFrame, vector_col: str, reps: DataFrame, idf: bool) -> DataFrame:
     """``id, code, weight``: the words of each distinct vector, the rarest first, with unit weights.
 
@@ -84,7 +101,7 @@ def _weighted(df: DataFrame, vector_col: str, reps: DataFrame, idf: bool) -> Dat
     """
 
     def entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _cut(batches, "packed", ENTRY.itemsize):
             packed = batch.column("packed").to_pylist()
             flat = np.frombuffer(b"".join(packed), ENTRY)
             sizes = np.array([len(p) for p in packed], np.int64) // ENTRY.itemsize
@@ -130,7 +147,7 @@ def _postings(vectors: DataFrame, threshold: float) -> DataFrame:
     """
 
     def prefix_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _cut(batches, "code"):
             codes, weights, row = _entries(batch.column("code"), batch.column("weight"))
             left = remaining(weights, row)
             inside = np.flatnonzero(left >= threshold**2 - SLACK)

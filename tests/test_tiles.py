@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 
-from gleaner.operators import features, neighbors
+from gleaner.operators import features, neighbors, sparse_join
 
 
 def _peak(run) -> float:
@@ -106,3 +106,13 @@ def test_partners_are_found_once_and_counts_travel_narrow(spark):
     packed = neighbors._packed(frame, "id", "v")
     sizes = {r["id"]: len(r["packed"]) for r in neighbors._narrowed(packed, np.dtype(np.float32)).collect()}
     assert sizes == {k: 10 if k == 4 else 20 if k == 5 else 5 for k in range(30)}
+
+
+def test_entries_of_sparse_vectors_are_listed_in_pieces(monkeypatch):
+    monkeypatch.setattr(sparse_join, "LISTED_ENTRIES", 10)
+    lists = [[1] * n for n in (3, 0, 7, 1, 25, 4, 6, 1)]
+    batch = pa.record_batch([pa.array(range(8)), pa.array(lists)], names=["id", "code"])
+    parts = [*sparse_join._cut([batch, batch.slice(0, 0)], "code")]
+    assert [p.column("id").to_pylist() for p in parts] == [[0, 1, 2], [3], [4], [5, 6], [7]]
+    packed = pa.record_batch([pa.array([b"12345678" * len(v) for v in lists], pa.binary())], names=["packed"])
+    assert [p.num_rows for p in sparse_join._cut([packed], "packed", 8)] == [3, 1, 1, 2, 1]
