@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,19 +27,28 @@ def may_match(rows: DataFrame, ids: DataFrame, key: str, count: int) -> DataFram
     rows look up their word. With more ids than ``MOST_BITS / BITS_PER_ID`` more others remain, and nothing
     is lost. Null keys match nothing.
     """
-    bits = bitmap_bits(count)
+    given = rows.filter(F.col(key).isNotNull())
+    return may_be_in(given, ids, [key], count, "_may").filter("_may").select(*rows.columns)
+
 
-    def bit(column: Column) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(bits))
+def may_be_in(
+    rows: DataFrame, ids: DataFrame, keys: Sequence[str], count: int, name: str, asked: Column | None = None
+) -> DataFrame:
+    """All rows, and by the same filter in ``name`` whether their ``keys`` may be in ``ids``.
 
-    place = bit(F.col(key))
-    words = ids.filter(F.col(key).isNotNull()).select(
-        F.floor(place / _WORD).cast("int").alias("_word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % _WORD).cast("int")).alias("_bit")
+    Rows for which ``asked`` does not hold are not looked up and get false.
+    """
+    bits = bitmap_bits(count)
+    place = F.pmod(F.xxhash64(*keys), F.lit(bits))
+    index, bit = F.floor(place / _WORD).cast("int"), (place % _WORD).cast("int")
+    words = ids.dropna(subset=list(keys)).select(
+        index.alias("_word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("_bit")
     )
     bitmap = words.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
-    looked_up = rows.filter(F.col(key).isNotNull()).withColumn("_word", F.floor(place / _WORD).cast("int")).join(F.broadcast(bitmap), "_word")
-    is_set = F.call_function("shiftright", F.col("_bits"), (place % _WORD).cast("int")).bitwiseAND(F.lit(1)) == 1
-    return looked_up.filter(is_set).select(*rows.columns)
+    own = index if asked is None else F.when(asked, index)
+    looked_up = rows.withColumn("_word", own).join(F.broadcast(bitmap), "_word", "left")
+    is_set = F.call_function("shiftright", F.col("_bits"), bit).bitwiseAND(F.lit(1)) == 1
+    return looked_up.select(*rows.columns, F.coalesce(is_set, F.lit(False)).alias(name))
 
 
 def keep_ids(rows: DataFrame, ids: DataFrame, key: str, count: int, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from gleaner.functions.scores import perplexity
 from gleaner.functions.template import CHATML, ChatTemplate, context_messages, response_message
 from gleaner.functions.tokens import tokens, within_budget
-from gleaner.operators.lookup import BROADCAST_ROWS, count_lookup
+from gleaner.operators.bitmap import may_be_in
+from gleaner.operators.lookup import BROADCAST_ROWS, count_lookup, frequent_from
 from gleaner.stage import staged
 
 START = ""
@@ -33,10 +34,9 @@ def pairs_of(token_array: Column) -> Column:
     The outer one-element transform binds the tokens, so the text is split once.
     """
     start = F.array(F.lit(START))
-    shifted = F.transform(
+    return F.transform(
         F.array(token_array), lambda found: F.arrays_zip(F.concat(start, found), found)
     )[0]
-    return shifted.cast("array<struct<prev:string,word:string>>")
 
 
 @dataclass(frozen=True)
@@ -62,7 +62,8 @@ def _explode_pairs(df: DataFrame, token_array: Column, *keep: str) -> DataFrame:
         hashed = F.concat(F.lit("#"), F.md5(w))
         return F.when(F.length(w) > LONG_WORD, hashed).otherwise(w).alias(name)
 
-    rows = df.select(*keep, F.inline(pairs_of(token_array))).filter(F.col("word").isNotNull())
+    found = F.inline(pairs_of(token_array)).alias(*PAIR)
+    rows = df.select(*keep, found).filter(F.col("word").isNotNull())
     return rows.select(*keep, short("prev"), short("word"))
 
 
@@ -104,13 +105,47 @@ def mean_nll(
             words = model.words.withColumnRenamed("n", "word_n")
             scored = count_lookup(scored, words, ["word"], "word_n", model.vocabulary, model.total)
             scored = scored.withColumn("nll", F.coalesce("nll", _unseen_loss(model)))
-    elif all_seen:
-        losses = staged(known, "losses")
-        scored = count_lookup(parts, losses, PAIR, "pair_n", model.pair_rows, model.total)
+        return scored.groupBy(id_col).agg(F.avg("nll").alias("mean_nll"))
+    losses = staged(known, "losses")
+    held = staged(_settled(parts, id_col, model, losses, all_seen), "settled")
+    open_pairs = held.filter("word IS NOT NULL").drop("loss")
+    if all_seen:
+        # Pairs left open are rare in the corpus, and so here.
+        found = open_pairs.join(losses, PAIR, "left")
     else:
-        losses, rows, total = _losses_of(parts, model)
-        scored = count_lookup(parts, losses, PAIR, "pair_n", rows, total)
-    return scored.groupBy(id_col).agg(F.avg("nll").alias("mean_nll"))
+        found = count_lookup(open_pairs, *_losses_of(open_pairs, model, losses))
+    looked_up = found.select(id_col, "c", (F.col("c") * F.col("nll")).alias("loss"))
+    sums = held.filter("word IS NULL").select(id_col, "c", "loss").unionByName(looked_up)
+    return sums.groupBy(id_col).agg((F.sum("loss") / F.sum("c")).alias("mean_nll"))
+
+
+def _settled(
+    parts: DataFrame, id_col: str, model: BigramModel, losses: DataFrame, all_seen: bool
+) -> DataFrame:
+    """``id_col``, ``prev``, ``word``, and their count ``c`` and ``loss``, from one pass over the tokens.
+
+    Tokens whose loss the broadcast tables tell are summed up in a row without a pair. Those are the pairs
+    frequent in the model, and pairs that its bitmap rules out if the word's count is known. Only the other
+    pairs, at most one row of each per text, have to be looked up by a shuffle.
+    """
+    common = losses.filter(F.col("pair_n") >= frequent_from(losses, "pair_n")).select(*PAIR, "nll")
+    known = parts.join(F.broadcast(common), PAIR, "left")
+    if not all_seen:
+        whole = model.vocabulary <= BROADCAST_ROWS
+        words = model.words if whole else model.words.filter(F.col("n") >= frequent_from(model.words, "n"))
+        words = words.select(F.col("word").alias("known_word"), F.col("n").alias("word_n"))
+        # Each lookup is only for the tokens that those before it left open.
+        known = may_be_in(known, losses, PAIR, model.pair_rows, "pair_known", F.col("nll").isNull())
+        unseen = F.col("nll").isNull() & ~F.col("pair_known")
+        known = known.join(F.broadcast(words), F.when(unseen, F.col("word")) == F.col("known_word"), "left")
+        if not whole:
+            rare = unseen & F.col("word_n").isNull()
+            known = may_be_in(known, model.words, ["word"], model.vocabulary, "word_known", rare)
+            unseen &= ~F.col("word_known")
+        known = known.withColumn("nll", F.coalesce("nll", F.when(unseen, _unseen_loss(model))))
+    left_open = [F.when(F.col("nll").isNull(), F.col(name)).alias(name) for name in PAIR]
+    rows = known.select(id_col, *left_open, "nll")
+    return rows.groupBy(id_col, *PAIR).agg(F.count(F.lit(1)).alias("c"), F.sum("nll").alias("loss"))
 
 
 def mean_nll_left_out(
@@ -148,23 +183,24 @@ def _unseen_loss(model: BigramModel) -> Column:
     return F.lit(floor) - F.log(F.coalesce(F.col("word_n"), F.lit(0)) + 1)
 
 
-def _losses_of(parts: DataFrame, model: BigramModel) -> tuple[DataFrame, int, int]:
-    """The loss of every pair that occurs in ``parts``, with the count it has there.
+def _losses_of(
+    parts: DataFrame, model: BigramModel, losses: DataFrame
+) -> tuple[DataFrame, list[str], str, int, int]:
+    """The loss of every pair that occurs in ``parts``, with its number of rows there, for ``count_lookup``.
 
-    Counting the pairs first makes the joins to the model run over distinct keys, whatever word the
-    texts repeat that the model has never seen.
+    Counting the pairs first makes the joins to the model run over distinct keys, whatever pair the
+    texts repeat that is rare in the model.
     """
-    counts = staged(parts.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("pair_n")), "pairs")
+    counts = staged(parts.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("rows")), "pairs")
     model_words = model.words.withColumnRenamed("n", "word_n")
-    own_words = counts.groupBy("word").agg(F.sum("pair_n").alias("own_n"))
+    own_words = counts.groupBy("word").agg(F.sum("rows").alias("own_n"))
     words = staged(own_words.join(model_words, "word", "left"), "words")
     total, vocabulary = words.agg(F.coalesce(F.sum("own_n"), F.lit(0)), F.count(F.lit(1))).first()
-    known = counts.join(model.pairs.select("prev", "word", "nll"), PAIR, "left")
+    known = counts.join(losses.select(*PAIR, "nll"), PAIR, "left")
     joined = count_lookup(known, words, ["word"], "own_n", vocabulary, total)
     loss = F.coalesce("nll", _unseen_loss(model)).alias("nll")
-    losses = joined.select("prev", "word", "pair_n", loss)
-    held = staged(losses, "losses")
-    return held, held.count(), total
+    held = staged(joined.select(*PAIR, "rows", loss), "losses")
+    return held, PAIR, "rows", held.count(), total
 
 
 def response_tokens(

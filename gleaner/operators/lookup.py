@@ -12,6 +12,20 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 400_000
 
 
+def frequent_from(table: DataFrame, count_col: str) -> int:
+    """The lowest power of two that at most ``BROADCAST_ROWS`` rows of ``table`` reach with their count.
+
+    These rows may be broadcast; they are more than those above an even share of all counts.
+    """
+    bits = F.length(F.bin(count_col)).alias("bits")
+    levels = {row["bits"]: row["n"] for row in table.groupBy(bits).agg(F.count(F.lit(1)).alias("n")).collect()}
+    level, reached = max(levels, default=0) + 1, 0
+    while level > 1 and reached + levels.get(level - 1, 0) <= BROADCAST_ROWS:
+        level -= 1
+        reached += levels.get(level, 0)
+    return 1 << (level - 1)
+
+
 def count_lookup(
     rows: DataFrame,
     table: DataFrame,

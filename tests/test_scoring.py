@@ -142,6 +142,45 @@ def test_language_model(spark, monkeypatch, broadcast_rows):
     assert model.cross_entropy().first()[0] == pytest.approx(mean)
 
 
+@pytest.mark.parametrize("all_seen", [False, True])
+def test_texts_are_cut_once_and_open_pairs_alone_are_shuffled(spark, monkeypatch, all_seen):
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 40)
+    monkeypatch.setattr(lm, "BROADCAST_ROWS", 40)
+    corpus = [" ".join(f"w{(k * k + 3 * j) % (7 + 9 * k)}" for j in range(30)) for k in range(12)]
+    texts = dict(enumerate(corpus))
+    if not all_seen:
+        # A pair that the model lacks, one that it has once, and a rare word after an unknown one.
+        texts = {k: f"{t} new1 new2 {corpus[-1][:9]} zz {corpus[-1].split()[-1]} " + "new1 new2 " * 200 for k, t in texts.items()}
+        texts[50] = ""
+    model = lm.fit(spark.createDataFrame([(c,) for c in corpus], "content string"), "content")
+    assert model.pair_rows > 40 and model.vocabulary > 40
+    cut = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def read(text):
+        cut.add(1)
+        return text
+
+    rows = spark.createDataFrame(list(texts.items()), "k long, t string")
+    parts = lm._explode_pairs(rows, tokens(F.col("t")), "k")
+    n = parts.count()
+    settled = lm._settled(parts, "k", model, lm.staged(model.pairs.withColumnRenamed("n", "pair_n"), "t"), all_seen)
+    still_open = settled.filter("word IS NOT NULL")
+    assert 0 < still_open.count() < n / 2 and settled.agg(F.sum("c")).first()[0] == n
+    rows = rows.select("k", read("t").alias("t"))
+    got = {r["k"]: r["mean_nll"] for r in lm.mean_nll(rows, "k", tokens(F.col("t")), model, all_seen).collect()}
+    assert got == pytest.approx(expected_losses(corpus, texts))
+    assert cut.value == len(texts)
+
+
+def test_frequent_keys_fit_a_broadcast(spark, monkeypatch):
+    table = spark.createDataFrame([(n,) for n in [1] * 50 + [2] * 6 + [3] * 4 + [4, 9]], "n long")
+    for limit, least in ((100, 1), (62, 1), (61, 2), (12, 2), (11, 4), (2, 4), (1, 8), (0, 16)):
+        monkeypatch.setattr(lookup, "BROADCAST_ROWS", limit)
+        assert lookup.frequent_from(table, "n") == least
+    assert lookup.frequent_from(table.limit(0), "n") == 1
+
+
 def test_learning_values(spark):
     rows = [
         (1, [("user", "a b"), ("assistant", "c d")]),
