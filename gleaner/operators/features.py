@@ -156,11 +156,9 @@ def packed_vectors(
 
     Here a weight is at least 1, so texts that consist of words all rows have keep a direction.
     """
-    counted = df.select(id_col, packed_count_vector(text, dims, ngram).alias("vector"))
-    if not idf:
+    counted, weights = weighed_counts(df, text, id_col, dims, idf, ngram)
+    if weights is None:
         return counted
-    counted = staged(counted, "counts")
-    weights = (1 + np.array(idf_weights(counted, dims))).astype(np.float32)
 
     @F.arrow_udf("binary")
     def weigh(packed: pa.Array) -> pa.Array:
@@ -172,6 +170,17 @@ def packed_vectors(
     return counted.select(id_col, weigh("vector").alias("vector"))
 
 
+def weighed_counts(
+    df: DataFrame, text: Column, id_col: str, dims: int = 512, idf: bool = False, ngram: int = 0
+) -> tuple[DataFrame, np.ndarray | None]:
+    """``packed_vectors`` as counts and the weights of their buckets, null without ``idf``: counts travel narrow."""
+    counted = df.select(id_col, packed_count_vector(text, dims, ngram).alias("vector"))
+    if not idf:
+        return counted, None
+    counted = staged(counted, "counts")
+    return counted, (1 + np.array(idf_weights(counted, dims))).astype(np.float32)
+
+
 def idf_weights(counted: DataFrame, dims: int) -> list[float]:
     """``ln((n + 1) / (df + 1))`` per bucket. Presence is summed per task; the driver receives ``dims`` numbers."""
     packed = counted.schema["vector"].dataType.typeName() == "binary"

@@ -19,8 +19,8 @@ Plan, for vectors of any number:
    is multiplied again in double precision. A map-side-combined ``min_by`` picks the best over all blocks.
 
 What travels is each vector in the narrowest numbers that hold it exactly, so counts take a quarter of
-their bytes and blocks hold four times the rows. The product remains quadratic in the rows that no bound
-tells apart.
+their bytes and blocks hold four times the rows. Weights of dimensions are applied where vectors are read, so
+weighted counts travel as counts. The product remains quadratic in the rows that no bound tells apart.
 """
 
 from __future__ import annotations
@@ -135,10 +135,12 @@ def nearest_matches(
     threshold: float,
     block_rows: int | None = None,
     min_cells: int = MIN_CELLS,
+    weights: np.ndarray | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The distinct vectors, and each one's nearest partner at or above the threshold.
 
-    ``vector_col`` holds numbers, or float32 bytes that are null where a row has no direction.
+    ``vector_col`` holds numbers, or float32 bytes that are null where a row has no direction. With
+    ``weights``, one above zero for each dimension, the similarity is that of the vectors times these.
     """
     if not 0.0 < threshold <= 1.0:
         raise ValueError("threshold must be in (0, 1]")
@@ -158,6 +160,8 @@ def nearest_matches(
         raise ValueError("vectors differ in length")
 
     dims = longest // codec.itemsize
+    if weights is not None and (len(weights) != dims or not (np.isfinite(weights) & (weights > 0)).all()):
+        raise ValueError("one weight above zero is needed for each dimension")
     vectors = staged(_narrowed(reps.filter("packed IS NOT NULL").select("id", "packed"), codec), "narrow")
     width = math.ceil(vectors.agg(F.avg(size)).first()[0])
     rows = block_rows or _block_rows(n, width, spark.sparkContext.defaultParallelism)
@@ -166,16 +170,16 @@ def nearest_matches(
         placed = vectors.select("*", F.lit(0).alias("cell"))
         pivots, sizes, radii = None, np.array([n]), np.array([math.pi])
     else:
-        pivots = _pivots(vectors, n, blocks, min(n, blocks * CELLS_PER_BLOCK), dims)
-        placed = staged(_place(vectors, pivots), "placed")
+        pivots = _pivots(vectors, n, blocks, min(n, blocks * CELLS_PER_BLOCK), dims, weights)
+        placed = staged(_place(vectors, pivots, weights), "placed")
         sizes, radii = np.zeros(len(pivots), dtype=np.int64), np.zeros(len(pivots))
         cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("r"))
         for cell in cells.collect():
             sizes[cell["cell"]], radii[cell["cell"]] = cell["n"], cell["r"]
 
     layout = _Layout.of(sizes, rows)
-    spread = _spread(placed, pivots, radii, layout, threshold)
-    pairs = spread.groupBy("left", "right").applyInArrow(_block_match(threshold, dims), MATCH)
+    spread = _spread(placed, pivots, radii, layout, threshold, weights)
+    pairs = spread.groupBy("left", "right").applyInArrow(_block_match(threshold, dims, weights), MATCH)
     order = F.struct(-F.col("similarity"), F.col("match_id"))
     best = (
         pairs.unionByName(twins)
@@ -270,13 +274,15 @@ def _block_rows(n: int, width: int, parallelism: int) -> int:
     return min(largest, max(MIN_BLOCK_ROWS, math.ceil(n / wanted)))
 
 
-def _pivots(vectors: DataFrame, rows: int, groups: int, wanted: int, dims: int) -> np.ndarray:
+def _pivots(
+    vectors: DataFrame, rows: int, groups: int, wanted: int, dims: int, weights: np.ndarray | None = None
+) -> np.ndarray:
     """A sample of the vectors as unit rows, at most ``PIVOT_BYTES`` of them, neighbours together."""
     count = max(1, min(wanted, PIVOT_BYTES // (dims * 8)))
     # The hash is uniform, so a bound on it leaves little more than is wanted of each partition.
     near = vectors.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1.2 * count + 50) / rows * (1 << 30)))
     chosen = near.orderBy(F.xxhash64("id"), "id").limit(count).select("packed").collect()
-    pivots = _unpack(pa.array([row["packed"] for row in chosen], pa.binary()), dims)
+    pivots = _unpack(pa.array([row["packed"] for row in chosen], pa.binary()), dims, weights)
     first = pivots[:groups].T
     tiles = [(pivots[at : at + 1024] @ first).argmax(axis=1) for at in range(0, len(pivots), 1024)]
     nearest = np.concatenate(tiles)
@@ -357,18 +363,31 @@ def _narrowed(vectors: DataFrame, codec: np.dtype) -> DataFrame:
     return vectors.mapInArrow(run, "id bigint, packed binary")
 
 
-def _unpack(packed: pa.Array, dims: int) -> np.ndarray:
-    """Unit rows in double precision, from vectors of any width."""
+def _unpack(packed: pa.Array, dims: int, weights: np.ndarray | None = None) -> np.ndarray:
+    """Unit rows in double precision, from vectors of any width. Weighted ones are rounded as ``features`` does."""
     values = packed.to_pylist()
     widths = np.array([len(v) for v in values], np.int64) // dims
     matrix = np.empty((len(values), dims))
     for width in np.unique(widths).tolist():
         at = np.flatnonzero(widths == width)
         matrix[at] = np.frombuffer(b"".join([values[i] for i in at]), NARROW[width]).reshape(len(at), dims)
+    if weights is not None:
+        matrix = (matrix.astype(np.float32) * weights.astype(np.float32)).astype(np.float64)
     return _unit(matrix)
 
 
-def _place(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
+def _taken(packed: pa.ChunkedArray, rows: np.ndarray) -> pa.Array:
+    """The given rows, in ascending order, without putting the chunks of the whole column together."""
+    parts, start, low = [], 0, 0
+    for chunk in packed.chunks:
+        high = int(np.searchsorted(rows, start + len(chunk)))
+        if high > low:
+            parts.append(chunk.take(pa.array(rows[low:high] - start)))
+        start, low = start + len(chunk), high
+    return pa.concat_arrays(parts)
+
+
+def _place(vectors: DataFrame, pivots: np.ndarray, weights: np.ndarray | None = None) -> DataFrame:
     """Find each vector's nearest pivot and the angle to it."""
     shared = vectors.sparkSession.sparkContext.broadcast(pivots)
 
@@ -378,7 +397,7 @@ def _place(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, step):
                 tile = batch.slice(at, step)
-                dots = _unpack(tile.column("packed"), centres.shape[1]) @ centres.T
+                dots = _unpack(tile.column("packed"), centres.shape[1], weights) @ centres.T
                 nearest = dots.argmax(axis=1).astype(np.int32)
                 angle = np.arccos(np.clip(dots.max(axis=1), -1.0, 1.0))
                 yield pa.RecordBatch.from_arrays(
@@ -395,6 +414,7 @@ def _spread(
     radii: np.ndarray,
     layout: _Layout,
     threshold: float,
+    weights: np.ndarray | None = None,
 ) -> DataFrame:
     """Send each vector to every pair of blocks in which it may have a partner."""
     # The angle bounds get a margin that covers rounding of the similarity and of this arithmetic.
@@ -430,7 +450,7 @@ def _spread(
                 if centres is None:
                     mask = np.ones((len(ids), 1), dtype=bool)
                 else:
-                    mask = reachable(_unpack(tile.column("packed"), centres.shape[1]), home)
+                    mask = reachable(_unpack(tile.column("packed"), centres.shape[1], weights), home)
                 row, other = np.nonzero(plan.blocks_with(mask))
                 left = np.minimum(own[row], other).astype(np.int32)
                 right = np.maximum(own[row], other).astype(np.int32)
@@ -457,7 +477,7 @@ def _mix(ids: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(33)).astype(np.int64)
 
 
-def _block_match(threshold: float, dims: int):
+def _block_match(threshold: float, dims: int, weights: np.ndarray | None = None):
     limit = round(threshold, DIGITS)
     # How far a product in single precision may be off.
     error = dims * 2.0**-22 + 1e-6
@@ -509,11 +529,11 @@ def _block_match(threshold: float, dims: int):
         best_b = best_a if same else Best(ids[rows_b])
         for low in range(0, len(rows_a), outer):
             part_a = slice(low, min(low + outer, len(rows_a)))
-            a = _unpack(packed.take(pa.array(rows_a[part_a])), dims)
+            a = _unpack(_taken(packed, rows_a[part_a]), dims, weights)
             a_single = a.astype(np.float32)
             for at in range(0, len(rows_b), inner):
                 part_b = slice(at, min(at + inner, len(rows_b)))
-                b = _unpack(packed.take(pa.array(rows_b[part_b])), dims)
+                b = _unpack(_taken(packed, rows_b[part_b]), dims, weights)
                 tile = a_single @ b.astype(np.float32).T
                 if same:
                     # A row is not its own partner.
@@ -538,7 +558,7 @@ def _block_match(threshold: float, dims: int):
         rows_b = rows_a if same else np.flatnonzero(~in_left)
         found = []
         if len(ids) > 1 and len(rows_a) and len(rows_b):
-            found = compare(rows_a, rows_b, ids, group.column("packed").combine_chunks(), same)
+            found = compare(rows_a, rows_b, ids, group.column("packed"), same)
         columns = [
             pa.array(np.concatenate([f[i] for f in found]) if found else np.empty(0), kind)
             for i, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))

@@ -17,7 +17,7 @@ from gleaner.functions.template import CHATML, ChatTemplate, response_message
 from gleaner.operators.bitmap import keep_ids
 from gleaner.operators.clusters import match_clusters
 from gleaner.operators.compare import compare_texts, message_texts
-from gleaner.operators.features import packed_vectors
+from gleaner.operators.features import weighed_counts
 from gleaner.operators.language_model import learning_values, normalised
 from gleaner.operators.neighbors import nearest_matches, survivors, with_copies
 from gleaner.operators.quality import judge_conversations, passes_quality
@@ -241,13 +241,13 @@ def deduplicate(
     else:
         text = F.array_join("messages.content", "\n")
     threshold = settings.similarity_threshold
-    sparse = False
+    sparse, weights = False, None
     if run.vector_col is not None:
         vectors = rows.select(id_col, F.col(run.vector_col).alias("vector"))
     elif run.encoder is not None:
         vectors = rows.select(id_col, run.encoder(text).alias("vector"))
     elif settings.method == "hashed":
-        vectors = packed_vectors(rows, text, id_col, settings.dims, settings.idf, settings.ngram)
+        vectors, weights = weighed_counts(rows, text, id_col, settings.dims, settings.idf, settings.ngram)
     elif settings.method == "sparse":
         sparse, vectors = True, staged(sparse_vectors(rows, text, id_col), "counts")
     else:
@@ -255,7 +255,7 @@ def deduplicate(
     if sparse:
         reps, best = sparse_matches(vectors, id_col, "vector", threshold, settings.idf)
     else:
-        reps, best = nearest_matches(vectors, id_col, "vector", threshold)
+        reps, best = nearest_matches(vectors, id_col, "vector", threshold, weights=weights)
     if clustered:
         best = staged(best, "matches")
     kept = survivors(reps, best).withColumnRenamed("id", id_col)

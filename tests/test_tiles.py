@@ -5,8 +5,13 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
+from gleaner import stage
+from gleaner.config import load_config
 from gleaner.operators import features, neighbors, sparse_join
+from gleaner.plans.curate import RunOptions, deduplicate
 
 
 def _peak(run) -> float:
@@ -116,3 +121,65 @@ def test_entries_of_sparse_vectors_are_listed_in_pieces(monkeypatch):
     assert [p.column("id").to_pylist() for p in parts] == [[0, 1, 2], [3], [4], [5, 6], [7]]
     packed = pa.record_batch([pa.array([b"12345678" * len(v) for v in lists], pa.binary())], names=["packed"])
     assert [p.num_rows for p in sparse_join._cut([packed], "packed", 8)] == [3, 1, 1, 2, 1]
+
+
+def test_chunks_of_two_blocks_are_not_put_together():
+    rng = np.random.default_rng(7)
+    counts = rng.integers(0, 3, (16_000, 512)).astype(np.uint8)
+    counts[1] = counts[9000]
+    own = (np.arange(16_000) % 2).astype(np.int32)
+    own[[1, 9000]] = 0, 1
+    table = pa.table(
+        [pa.array(np.zeros(16_000, np.int32)), pa.array(np.ones(16_000, np.int32)), pa.array(own), pa.array(np.arange(16_000)), pa.array([c.tobytes() for c in counts], pa.binary())],
+        names=neighbors.SPREAD.names,
+    )
+    chunked = pa.concat_tables([table.slice(at, 3000) for at in range(0, 16_000, 3000)])
+    usual = pa.default_memory_pool()
+    pool = pa.proxy_memory_pool(usual)
+    pa.set_memory_pool(pool)
+    try:
+        found = neighbors._block_match(0.95, 512)(chunked).to_pylist()
+    finally:
+        pa.set_memory_pool(usual)
+    assert pool.max_memory() < 5_000_000
+    assert sorted((f["id"], f["match_id"], f["similarity"]) for f in found) == [(1, 9000, 1.0), (9000, 1, 1.0)]
+
+
+@pytest.mark.parametrize("block_rows", [None, 25])
+def test_weights_of_dimensions_are_applied_where_vectors_are_read(spark, block_rows):
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 6, (50, 16)) * (rng.random((50, 16)) < 0.5)
+    base[:, 0] += 1
+    counts = base[np.arange(200) // 4] + (rng.random((200, 16)) < 0.03)
+    counts[100:110, 5] += 300
+    weights = (1 + rng.random(16) * 5).astype(np.float32)
+    first = {}
+    for key, row in enumerate(counts.tolist()):
+        first.setdefault(tuple(row), key)
+    vectors = {k: (np.array(v, np.float32) * weights).astype(np.float64) for v, k in first.items()}
+    frame = spark.createDataFrame([(k, [float(x) for x in v]) for v, k in first.items()], "id long, v array<float>")
+    _, best = neighbors.nearest_matches(frame, "id", "v", 0.93, block_rows, 2, weights)
+    got = {r["id"]: (r["match_id"], r["similarity"]) for r in best.collect()}
+    assert got == _brute(vectors, 0.93)
+    assert len(got) > 20
+    with pytest.raises(ValueError, match="weight"):
+        neighbors.nearest_matches(frame, "id", "v", 0.93, weights=weights[:3])
+
+
+def test_a_run_with_rare_words_weighing_more_sends_counts(spark):
+    words = [f"w{k}" for k in range(60)]
+    rng = np.random.default_rng(9)
+    texts = [" ".join(rng.choice(words, 30)) for _ in range(40)]
+    texts += [t + " w1" for t in texts[:10]] + texts[:5] + [""]
+    rows = [(k, [("user", t)]) for k, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "sample_id long, messages array<struct<role:string,content:string>>")
+    config = load_config("llama_3_2_instruct").with_dedup(similarity_threshold=0.9)
+    since = stage.written()
+    kept, _ = deduplicate(frame, config, RunOptions())
+    path = next(p for p in stage._written[since:] if "/narrow-" in p)
+    widths = {r[0] for r in spark.read.parquet(path).select(F.length("packed")).distinct().collect()}
+    assert widths == {config.deduplication.dims}
+    vectors = features.packed_vectors(frame, F.array_join("messages.content", "\n"), "sample_id", config.deduplication.dims, True)
+    want = {r[0] for r in neighbors.kept_ids(vectors, "sample_id", "vector", 0.9).collect()}
+    assert {r[0] for r in kept.collect()} == want
+    assert 40 <= len(want) < 55
