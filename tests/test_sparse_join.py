@@ -86,6 +86,72 @@ def test_vectors_travel_by_shared_rare_words_only(spark):
     assert met.count() == 0
 
 
+def test_a_row_meets_a_wide_block_once_whatever_words_it_shares(spark):
+    from gleaner.operators import sparse_join
+
+    rng = np.random.default_rng(3)
+    pool = [f"w{k}" for k in range(150)]
+    rows = [(k, " ".join(rng.choice(pool, 60, replace=False))) for k in range(120)]
+    vectors = sparse_vectors(spark.createDataFrame(rows, "id long, text string"), F.col("text"), "id")
+    reps = sparse_join.distinct_vectors(vectors, "id", "vector")
+    weighted = sparse_join._weighted(vectors, "vector", reps, True)
+    met = sparse_join._met(sparse_join._postings(weighted, 0.9), 0.9, 16384)
+    wide = math.ceil(math.sqrt(4 * spark.sparkContext.defaultParallelism))
+    assert 0 < met.count() <= 120 * wide
+    assert met.select("id", "first", "second").distinct().count() == met.count()
+    # None is near another, so no vector is sent.
+    near = met.join(sparse_join._short_forms(weighted), "id").groupBy("first", "second")
+    assert near.applyInArrow(sparse_join._open_blocks(0.9), sparse_join.ROUTE).count() == 0
+
+
+def test_numbers_of_words_are_looked_up_in_parts(spark, monkeypatch):
+    from gleaner.operators import sparse_join
+
+    texts = corpus(4)
+    rows = spark.createDataFrame(list(texts.items()), "id long, text string")
+    vectors = sparse_vectors(rows, F.col("text"), "id")
+
+    def numbered():
+        reps = sparse_join.distinct_vectors(vectors, "id", "vector")
+        return {r["id"]: (r["rows"], r["packed"]) for r in sparse_join._weighted(vectors, "vector", reps, True).collect()}
+
+    whole = numbered()
+    monkeypatch.setattr(sparse_join, "LOOKUP_WORDS", 100)
+    assert numbered() == whole and len(whole) > 50
+
+
+@pytest.mark.parametrize("few", [False, True])
+def test_long_rows_are_compared_by_finer_parts(monkeypatch, few):
+    import pyarrow as pa
+
+    from gleaner.operators import sparse_join
+
+    monkeypatch.setattr(sparse_join, "TILE_ROWS", 16)
+    if few:
+        monkeypatch.setattr(sparse_join, "PARTS", 4)
+        monkeypatch.setattr(sparse_join, "FINE", 1024)
+    rng = np.random.default_rng(5)
+    base = [np.sort(rng.choice(50_000, 3000, replace=False)) for _ in range(10)]
+    rows, packed = [], []
+    for k in range(50):
+        codes = np.unique(np.append(base[k % 10][: 3000 - 40 * (k // 10)], rng.choice(50_000, 100)))
+        rows.append(codes)
+        packed.append(sparse_join._planes(codes, np.ones(len(codes), int), np.full(len(codes), 2)))
+    side = np.arange(50) // 10 % 2
+    columns = [pa.array(np.arange(50) * 7), pa.array(np.zeros(50, int)), pa.array(packed, pa.binary())]
+    table = pa.table(columns, names=["id", "rows", "packed"])
+    a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    for same, left, right in ((True, np.arange(50), np.arange(50)), (False, a, b)):
+        got = {i: (j, s) for i, j, s in zip(*(x.tolist() for x in sparse_join.best_partners(table, same, left, right, 0.9)))}
+        want = {}
+        for i in range(50):
+            others = [j for j in range(50) if j != i and (same or side[i] != side[j])]
+            found = [(-round(len(np.intersect1d(rows[i], rows[j])) / math.sqrt(len(rows[i]) * len(rows[j])), 9), j * 7) for j in others]
+            if -min(found)[0] >= 0.9:
+                want[i * 7] = (min(found)[1], pytest.approx(-min(found)[0], abs=2e-9))
+        assert got == want and len(want) >= 40
+
+
 def brute_clusters(matches):
     out = {}
     for start in matches:
